@@ -13,8 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER = "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
-INTEGER_LITERAL = r"^(BIGINT|DECIMAL\((19|2\d|3\d),0\))$"
+from evalspark.functions.let import let
+
+
+def number_kind(t: Column) -> Column:
+    return t.isin("BIGINT", "DOUBLE", "FLOAT") | t.startswith("DECIMAL")
+
+
+def integer_literal_kind(t: Column) -> Column:
+    return (t == "BIGINT") | (t.startswith("DECIMAL") & t.endswith(",0)") & (F.length(t) == F.lit(len("DECIMAL(19,0)"))) & (t >= "DECIMAL(19"))
 
 
 def fields(v: Column) -> Column:
@@ -40,51 +47,70 @@ def absent(v: Column) -> Column:
     return v.isNull() | F.is_variant_null(v)
 
 
-def is_string(v: Column) -> Column:
-    return kind(v) == "STRING"
-
-
-def is_number(v: Column) -> Column:
-    """JSON number; booleans are not numbers here."""
-    return kind(v).rlike(NUMBER)
-
-
-def is_integer(v: Column) -> Column:
-    """Integral JSON number, ``128.0`` and ``1e2`` included, booleans not."""
-    t = kind(v)
-    d = F.try_variant_get(v, "$", "double")
-    return (t == "BIGINT") | t.rlike(r"^DECIMAL\(\d+,0\)$") | (t.isin("DOUBLE", "FLOAT") & (d == F.floor(d)))
-
-
 def is_boolean(v: Column) -> Column:
     return kind(v) == "BOOLEAN"
 
 
-def numeric_or_bool(v: Column) -> Column:
+def numeric_or_bool(v: Column, t: Column | None = None) -> Column:
     """Value as DOUBLE where it is a number or a boolean (true is 1.0), else NULL."""
-    return F.when(is_number(v) | is_boolean(v), F.try_variant_get(v, "$", "double"))
+    t = kind(v) if t is None else t
+    return F.when(number_kind(t) | (t == "BOOLEAN"), F.try_variant_get(v, "$", "double"))
 
 
 def integer_literal(v: Column) -> Column:
     """Value as BIGINT where it was written as an integer (``4096``, not ``4096.0``), else NULL."""
-    return F.when(kind(v).rlike(INTEGER_LITERAL), F.try_variant_get(v, "$", "bigint"))
+    return let(kind(v), lambda t: F.when(integer_literal_kind(t), F.try_variant_get(v, "$", "bigint")))
 
 
 def string(v: Column) -> Column:
-    return F.when(is_string(v), F.try_variant_get(v, "$", "string"))
+    return F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
+
+
+def has_type(v: Column, t: Column, wanted: Column) -> Column:
+    """Whether ``v`` of kind ``t`` is of the JSON Schema type named by ``wanted``.
+
+    A boolean is neither number nor integer; ``128.0`` and ``1e2`` are integers.
+    """
+    d = F.try_variant_get(v, "$", "double")
+    integral = (t == "BIGINT") | (t.startswith("DECIMAL") & t.endswith(",0)")) | (t.isin("DOUBLE", "FLOAT") & (d == F.floor(d)))
+    return (
+        F.when(wanted == "string", t == "STRING")
+        .when(wanted == "number", number_kind(t))
+        .when(wanted == "integer", integral)
+        .when(wanted == "integer or null", integral | (t == "VOID"))
+        .when(wanted == "boolean", t == "BOOLEAN")
+        .when(wanted == "object", t.startswith("OBJECT"))
+        .when(wanted == "array", t.startswith("ARRAY"))
+        .otherwise(True)
+    )
 
 
 def truthy(v: Column) -> Column:
     """False for a missing key, null, false, zero, and empty strings, arrays and objects."""
-    t = kind(v)
-    return F.coalesce(
-        F.when(t == "VOID", False)
-        .when(t == "STRING", F.try_variant_get(v, "$", "string") != "")
-        .when(t.rlike(NUMBER) | (t == "BOOLEAN"), F.try_variant_get(v, "$", "double") != 0)
-        .when(t == "ARRAY<VOID>", F.size(items(v)) > 0)
-        .otherwise(t != "OBJECT<>"),
-        F.lit(False),
-    )
+
+    def by_kind(t: Column) -> Column:
+        return (
+            F.when(t.isNull() | t.isin("VOID", "OBJECT<>"), False)
+            .when(t == "STRING", F.try_variant_get(v, "$", "string") != "")
+            .when(number_kind(t) | (t == "BOOLEAN"), F.try_variant_get(v, "$", "double") != 0)
+            .when(t == "ARRAY<VOID>", F.size(items(v)) > 0)
+            .otherwise(True)
+        )
+
+    return let(kind(v), by_kind)
+
+
+def _spread(sign: Column, head: Column, frac: Column, exp: Column) -> Column:
+    digits = F.concat(head, frac)
+    width = exp + 1
+    tail = F.coalesce(F.nullif(F.substring(digits, width + 1, F.length(digits)), F.lit("")), F.lit("0"))
+    large = F.concat(sign, F.rpad(digits, width, "0"), F.lit("."), tail)
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    mantissa = F.concat(sign, head, F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(""))
+    power = F.abs(exp).cast("string")
+    power = F.when(F.length(power) < 2, F.concat(F.lit("0"), power)).otherwise(power)
+    scientific = F.concat(mantissa, F.lit("e"), F.when(exp < 0, "-").otherwise("+"), power)
+    return F.when((exp >= 7) & (exp < 16), large).when((exp < 0) & (exp >= -4), small).otherwise(scientific)
 
 
 def float_text(d: Column) -> Column:
@@ -92,26 +118,19 @@ def float_text(d: Column) -> Column:
 
     Spark's own cast switches at 1e-3 and 1e7.
     """
-    s = d.cast("string")
     pattern = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
-    sign, head = F.regexp_extract(s, pattern, 1), F.regexp_extract(s, pattern, 2)
-    frac = F.regexp_replace(F.regexp_extract(s, pattern, 3), "0+$", "")
-    exp = F.regexp_extract(s, pattern, 4).try_cast("int")
-    digits = F.concat(head, frac)
-    width = (exp + 1).cast("int")
-    tail = F.substring(digits, width + 1, F.length(digits))
-    large = F.concat(sign, F.rpad(digits, width, "0"), F.lit("."), F.when(tail == "", "0").otherwise(tail))
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
-    mantissa = F.concat(sign, head, F.when(frac == "", "").otherwise(F.concat(F.lit("."), frac)))
-    power = F.concat(F.when(exp < 0, "-").otherwise("+"), F.lpad(F.abs(exp).cast("string"), 2, "0"))
-    wide_power = F.concat(F.when(exp < 0, "-").otherwise("+"), F.abs(exp).cast("string"))
-    scientific = F.concat(mantissa, F.lit("e"), F.when(F.abs(exp) > 99, wide_power).otherwise(power))
-    return (
-        F.when(~s.contains("E"), s)
-        .when((exp >= 7) & (exp < 16), large)
-        .when((exp < 0) & (exp >= -4), small)
-        .otherwise(scientific)
-    )
+
+    def rewrite(s: Column) -> Column:
+        parts = F.struct(
+            F.regexp_extract(s, pattern, 1).alias("sign"),
+            F.regexp_extract(s, pattern, 2).alias("head"),
+            F.regexp_replace(F.regexp_extract(s, pattern, 3), "0+$", "").alias("frac"),
+            F.regexp_extract(s, pattern, 4).try_cast("int").alias("exp"),
+        )
+        spread = let(parts, lambda p: _spread(p["sign"], p["head"], p["frac"], p["exp"]))
+        return F.when(s.contains("E"), spread).otherwise(s)
+
+    return let(d.cast("string"), rewrite)
 
 
 def text(v: Column) -> Column:
@@ -119,12 +138,14 @@ def text(v: Column) -> Column:
 
     Objects and arrays give their JSON text. A missing key and null give NULL.
     """
-    t = kind(v)
-    return (
-        F.when(t == "VOID", F.lit(None).cast("string"))
-        .when(t == "STRING", F.try_variant_get(v, "$", "string"))
-        .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
-        .when(t.rlike(INTEGER_LITERAL), F.try_variant_get(v, "$", "string"))
-        .when(t.rlike(NUMBER), float_text(F.try_variant_get(v, "$", "double")))
-        .otherwise(F.to_json(v))
-    )
+
+    def by_kind(t: Column) -> Column:
+        return (
+            F.when(t == "VOID", F.lit(None).cast("string"))
+            .when((t == "STRING") | integer_literal_kind(t), F.try_variant_get(v, "$", "string"))
+            .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
+            .when(number_kind(t), float_text(F.try_variant_get(v, "$", "double")))
+            .otherwise(F.to_json(v))
+        )
+
+    return let(kind(v), by_kind)

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evalspark.functions.let import computed_once
 from evalspark.functions.maps import empty_string_map, last_wins
 from evalspark.operators import serving, task_eval
-from evalspark.schemas import ENVELOPE_COLUMNS, GEN_KWARGS_DDL, SCHEMA_VERSION, SNAPSHOT_DDL, SYSTEM_DDL
+from evalspark.schemas import ENVELOPE_COLUMNS, GEN_KWARGS_DDL, SCHEMA_VERSION, SNAPSHOT_DDL, SYSTEM_DDL, SYSTEM_FIELDS
+
+NOT_JSON = "not valid JSON"
 
 # Columns a run may bring along, with their types; absent ones are added as NULL.
 CONTEXT_COLUMNS = {
@@ -48,6 +52,16 @@ def parse_tag_pairs(df: DataFrame, pairs: str, keep: list[str]) -> tuple[DataFra
     return good, rejects.withColumn("reason", problem(F.col("pair")))
 
 
+def system_struct(df: DataFrame) -> Column:
+    """``system`` with all fields of the schema; those the column lacks, or a NULL system, give NULL fields."""
+    given = df.schema["system"].dataType.fieldNames()
+    unknown = sorted(set(given) - {name for name, _ in SYSTEM_FIELDS})
+    if unknown:
+        raise ValueError(f"unknown system fields: {', '.join(unknown)}")
+    fields = [F.col(f"system.{n}") if n in given else F.lit(None) for n, _ in SYSTEM_FIELDS]
+    return F.struct(*[f.alias(n) for f, (n, _) in zip(fields, SYSTEM_FIELDS, strict=True)]).cast(SYSTEM_DDL)
+
+
 def fill_run_context(df: DataFrame, runs: DataFrame | None = None, on: str = "run_id") -> DataFrame:
     """Attach the run dimension and its defaults.
 
@@ -60,12 +74,11 @@ def fill_run_context(df: DataFrame, runs: DataFrame | None = None, on: str = "ru
     for name, kind in CONTEXT_COLUMNS.items():
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast(kind))
-    empty_system = F.from_json(F.lit("{}"), SYSTEM_DDL)
     return df.withColumns(
         {
             "trigger": F.coalesce("trigger", F.lit("local")),
             "git_sha": F.coalesce("git_sha", F.lit("unknown")),
-            "system": F.coalesce("system", empty_system),
+            "system": system_struct(df),
             "extra_tags": F.coalesce("extra_tags", empty_string_map()),
         }
     )
@@ -73,6 +86,7 @@ def fill_run_context(df: DataFrame, runs: DataFrame | None = None, on: str = "ru
 
 def assemble_envelopes(parts: dict[str, Column]) -> dict[str, Column]:
     """Envelope columns of a document from what its converter read. No measurements is a valid envelope."""
+    unreadable = F.when(F.col("doc").isNull(), F.array(F.lit(NOT_JSON)))
     envelope = {
         "schema_version": F.lit(SCHEMA_VERSION),
         "git_sha": F.col("git_sha"),
@@ -88,17 +102,17 @@ def assemble_envelopes(parts: dict[str, Column]) -> dict[str, Column]:
         "memory_snapshots": F.lit(None).cast(f"array<{SNAPSHOT_DDL}>"),
         "errors": F.array().cast("array<string>"),
         **parts,
+        "problems": F.coalesce(unreadable, parts["problems"]),
     }
     return {c: envelope[c] for c in ["problems", *ENVELOPE_COLUMNS]}
 
 
 def task_eval_parts(ingest_ts: Column) -> dict[str, Column]:
     top, cfg, gen, args = (F.col(c) for c in ("_top", "_cfg", "_gen", "_args"))
-    tags = task_eval.run_tags(F.col("extra_tags"), top, cfg, gen)
     return {
         "timestamp": task_eval.extract_timestamp(F.col("timestamp_override"), top["date"], ingest_ts),
         "model": task_eval.resolve_model(F.col("model"), top, args),
-        "results": task_eval.measurements(top, F.col("_took"), tags),
+        "results": task_eval.measurements(top, F.col("_took"), F.col("_tags")),
         "gen_kwargs": task_eval.extract_gen_kwargs(gen),
         "seed": task_eval.extract_seed(cfg),
         "model_revision": task_eval.extract_revision(top, args),
@@ -113,18 +127,28 @@ def serving_parts(ingest_ts: Column) -> dict[str, Column]:
     return {
         "timestamp": task_eval.extract_timestamp(F.col("timestamp_override"), no_date, ingest_ts),
         "model": task_eval.resolve_model(F.col("model"), top, args),
-        "results": serving.measurements(top, serving.serving_tags(F.col("extra_tags"), top)),
+        "results": serving.measurements(top, F.col("_tags")),
         "problems": serving.shape_problems(),
     }
 
 
-CONVERTERS: dict[str, Callable[[Column], dict[str, Column]]] = {
-    "lm-eval": task_eval_parts,
-    "vllm": serving_parts,
+@dataclass(frozen=True)
+class Converter:
+    """Column expressions over an opened document: tags of the run, and the parts of its envelope."""
+
+    tags: Callable[[], Column]
+    parts: Callable[[Column], dict[str, Column]]
+
+
+CONVERTERS = {
+    "lm-eval": Converter(
+        lambda: task_eval.run_tags(F.col("extra_tags"), F.col("_top"), F.col("_cfg"), F.col("_gen")), task_eval_parts
+    ),
+    "vllm": Converter(lambda: serving.serving_tags(F.col("extra_tags"), F.col("_top")), serving_parts),
 }
 
 
-def get_converter(kind: str) -> Callable[[Column], dict[str, Column]]:
+def get_converter(kind: str) -> Converter:
     if kind not in CONVERTERS:
         known = ", ".join(sorted(CONVERTERS)) or "(none)"
         raise ValueError(f"Unknown converter kind {kind!r}; known kinds: {known}")
@@ -134,7 +158,7 @@ def get_converter(kind: str) -> Callable[[Column], dict[str, Column]]:
 def convert(docs: DataFrame, kind: str | Column, keep: list[str], ingest_ts: Column | None = None) -> DataFrame:
     """``keep``, ``problems`` and the envelope columns of parsed documents.
 
-    Needs ``doc`` and the columns of :func:`fill_run_context`. ``kind`` names the tool, or is a column when one
+    Needs ``doc`` (NULL where the text was not JSON) and the columns of :func:`fill_run_context`. ``kind`` names the tool, or is a column when one
     input mixes tools: the converters then share one pass over it, and a row of an unknown kind gets an empty
     envelope with the problem noted. A non-empty ``problems`` marks a document that could not be read as its
     kind; :func:`split_converted` separates those.
@@ -142,22 +166,29 @@ def convert(docs: DataFrame, kind: str | Column, keep: list[str], ingest_ts: Col
     ts = F.current_timestamp() if ingest_ts is None else ingest_ts
     opened = task_eval.open_document(docs)
     if isinstance(kind, str):
-        columns = assemble_envelopes(get_converter(kind)(ts))
-        return opened.select(*keep, *[c.alias(name) for name, c in columns.items()])
-    by_kind = {name: assemble_envelopes(fn(ts)) for name, fn in CONVERTERS.items()}
+        converter = get_converter(kind)
+        columns = assemble_envelopes(converter.parts(ts))
+        tagged = opened.withColumn("_tags", converter.tags())
+        return tagged.select(*keep, *[c.alias(name) for name, c in columns.items()])
+    tagged = opened.withColumn("_tags", _by_kind(kind, {n: c.tags() for n, c in CONVERTERS.items()}))
+    columns = {n: assemble_envelopes(c.parts(ts)) for n, c in CONVERTERS.items()}
+    chosen = {c: _by_kind(kind, {n: columns[n][c] for n in columns}) for c in ENVELOPE_COLUMNS}
     unknown = F.array(F.concat(F.lit("unknown converter kind: "), F.coalesce(kind, F.lit("(none)"))))
+    problems = F.coalesce(_by_kind(kind, {n: columns[n]["problems"] for n in columns}), unknown)
+    return tagged.select(*keep, problems.alias("problems"), *[c.alias(name) for name, c in chosen.items()])
 
-    def pick(column: str) -> Column:
-        chosen = F.when(F.lit(False), by_kind["lm-eval"][column])
-        for name, columns in by_kind.items():
-            chosen = chosen.when(kind == name, columns[column])
-        return (chosen.otherwise(unknown) if column == "problems" else chosen).alias(column)
 
-    return opened.select(*keep, *[pick(c) for c in ["problems", *ENVELOPE_COLUMNS]])
+def _by_kind(kind: Column, choices: dict[str, Column]) -> Column:
+    """The expression of the row's kind; NULL for an unknown one. Equal expressions are stated once."""
+    if len({str(c) for c in choices.values()}) == 1:
+        known = F.when(kind.isin(*choices), next(iter(choices.values())))
+        return known
+    return F.coalesce(*[F.when(kind == name, c) for name, c in choices.items()])
 
 
 def split_converted(converted: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
     """``(envelopes, rejects)``: a document with problems is not published, its problems are listed."""
-    good = converted.where(F.size("problems") == 0).drop("problems")
-    bad = converted.where(F.size("problems") > 0)
+    done = computed_once(converted)
+    good = done.where(F.size("problems") == 0).drop("problems")
+    bad = done.where(F.size("problems") > 0)
     return good, bad.select(*keep, F.array_join("problems", "; ").alias("reason"))

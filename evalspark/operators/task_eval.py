@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalspark.functions import variants as V
-from evalspark.functions.maps import overlay, without_nulls
+from evalspark.functions.let import let
+from evalspark.functions.maps import overlay
 from evalspark.schemas import GEN_KWARGS_DDL, TASK_METRIC_NAMES
 
 ISO_UTC = r"(?dU)\A\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?Z$"
@@ -49,7 +50,7 @@ def explode_task_metrics(df: DataFrame) -> DataFrame:
 def is_measurement(metric_key: Column, metric_value: Column) -> Column:
     """Error estimates, the display name and everything that is not a number go. Booleans stay as 1 or 0."""
     label = metric_key.contains("stderr") | (metric_key == "alias")
-    return ~label & (V.is_number(metric_value) | V.is_boolean(metric_value))
+    return ~label & V.numeric_or_bool(metric_value).isNotNull()
 
 
 def rename_metric(metric_key: Column) -> Column:
@@ -68,12 +69,14 @@ def infer_unit(metric: Column) -> Column:
 
 def run_tags(extra_tags: Column, top: Column, cfg: Column, gen: Column) -> Column:
     """Tags that are the same for every measurement of a run; those the document states override the caller's."""
-    stated = F.create_map(
-        F.lit("total_eval_time_s"), V.text(top["total_evaluation_time_seconds"]),
-        F.lit("n_limit"), V.text(cfg["limit"]),
-        F.lit("max_gen_toks"), V.text(gen["max_gen_toks"]),
-    )
-    return overlay(extra_tags, without_nulls(stated))
+    stated = F.array(
+        F.struct(F.lit("total_eval_time_s").alias("key"), top["total_evaluation_time_seconds"].alias("value")),
+        F.struct(F.lit("n_limit").alias("key"), cfg["limit"].alias("value")),
+        F.struct(F.lit("max_gen_toks").alias("key"), gen["max_gen_toks"].alias("value")),
+    )
+    present = F.filter(stated, lambda e: ~V.absent(e["value"]))
+    texts = F.map_from_entries(F.transform(present, lambda e: F.struct(e["key"], V.text(e["value"]))))
+    return let(texts, lambda t: overlay(extra_tags, t))
 
 
 def measurement_tags(metric_key: Column, tags: Column) -> Column:
@@ -82,54 +85,66 @@ def measurement_tags(metric_key: Column, tags: Column) -> Column:
 
 def task_duration(took: Column, task: Column) -> Column:
     """Seconds spent on a task; zero counts, text does not."""
-    return V.numeric_or_bool(took[task])
+    return let(took[task], V.numeric_or_bool)
 
 
 def measurements(top: Column, took: Column, tags: Column) -> Column:
     """The ``results`` array of a document."""
 
-    def of_task(task: Column, metrics: Column, seconds: Column) -> Column:
-        kept = F.filter(F.map_entries(metrics), lambda m: is_measurement(m["key"], m["value"]))
-        return F.transform(kept, lambda m: one(task, m["key"], m["value"], seconds))
+    def candidates(metrics: Column) -> Column:
+        """Numeric members of a task's metrics, in stages so that each value is looked at once."""
+        named = F.filter(F.map_entries(metrics), lambda m: ~(m["key"].contains("stderr") | (m["key"] == "alias")))
+        read = F.transform(
+            named,
+            lambda m: F.struct(
+                m["key"].alias("key"),
+                rename_metric(m["key"]).alias("metric"),
+                let(V.kind(m["value"]), lambda t: V.numeric_or_bool(m["value"], t)).alias("value"),
+            ),
+        )
+        return F.filter(read, lambda m: m["value"].isNotNull())
 
-    def one(task: Column, key: Column, value: Column, seconds: Column) -> Column:
-        metric = rename_metric(key)
+    def result(task: Column, m: Column, seconds: Column) -> Column:
         return F.struct(
             task.alias("name"),
-            metric.alias("metric"),
-            V.numeric_or_bool(value).alias("value"),
-            infer_unit(metric).alias("unit"),
+            m["metric"].alias("metric"),
+            m["value"].alias("value"),
+            infer_unit(m["metric"]).alias("unit"),
             seconds.alias("duration_seconds"),
-            measurement_tags(key, tags).alias("tags"),
+            measurement_tags(m["key"], tags).alias("tags"),
             F.lit(None).cast("variant").alias("raw"),
         )
 
+    def of_task(task: Column, metrics: Column) -> Column:
+        kept = candidates(F.coalesce(V.fields(metrics), V.no_fields()))
+        return let(task_duration(took, task), lambda seconds: F.transform(kept, lambda m: result(task, m, seconds)))
+
     tasks = F.coalesce(V.fields(top["results"]), V.no_fields())
-    return F.flatten(
-        F.transform(
-            F.map_entries(tasks),
-            lambda t: of_task(t["key"], F.coalesce(V.fields(t["value"]), V.no_fields()), task_duration(took, t["key"])),
-        )
-    )
+    return F.flatten(F.transform(F.map_entries(tasks), lambda t: of_task(t["key"], t["value"])))
 
 
 def extract_timestamp(override: Column, date: Column, ingest_ts: Column) -> Column:
     """Run time as UTC text: the caller's, the document's (epoch seconds or ISO text), else ``ingest_ts``."""
     utc = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-    micros = F.rint(V.numeric_or_bool(date) * 1e6).try_cast("bigint")
-    from_epoch = F.date_format(F.timestamp_micros(micros), utc)
-    iso = F.when(V.string(date).rlike(ISO_UTC), V.string(date))
-    return F.coalesce(F.nullif(override, F.lit("")), from_epoch, iso, F.date_format(ingest_ts, utc))
+
+    def stated(d: Column) -> Column:
+        micros = F.rint(V.numeric_or_bool(d) * 1e6).try_cast("bigint")
+        iso = let(V.string(d), lambda s: F.when(s.rlike(ISO_UTC), s))
+        return F.coalesce(F.date_format(F.timestamp_micros(micros), utc), iso)
+
+    return F.coalesce(F.nullif(override, F.lit("")), let(date, stated), F.date_format(ingest_ts, utc))
 
 
 def extract_gen_kwargs(gen: Column) -> Column:
-    values = [
+    values = F.struct(
         V.integer_literal(gen["max_gen_toks"]).alias("max_gen_toks"),
-        V.numeric_or_bool(gen["temperature"]).alias("temperature"),
-        V.numeric_or_bool(gen["top_p"]).alias("top_p"),
+        let(gen["temperature"], V.numeric_or_bool).alias("temperature"),
+        let(gen["top_p"], V.numeric_or_bool).alias("top_p"),
         V.integer_literal(gen["top_k"]).alias("top_k"),
-    ]
-    return F.when(F.coalesce(*[v.cast("double") for v in values]).isNotNull(), F.struct(*values)).cast(GEN_KWARGS_DDL)
+    )
+    names = ("max_gen_toks", "temperature", "top_p", "top_k")
+    some = let(values, lambda g: F.when(F.coalesce(*[g[n].cast("double") for n in names]).isNotNull(), g))
+    return some.cast(GEN_KWARGS_DDL)
 
 
 def extract_seed(cfg: Column) -> Column:
@@ -137,25 +152,22 @@ def extract_seed(cfg: Column) -> Column:
 
 
 def extract_revision(top: Column, args: Column) -> Column:
-    source, pinned = top["model_source"], args["revision"]
-    return F.when(V.truthy(source), V.text(source)).when(V.truthy(pinned), V.text(pinned))
+    """First of the stated source and the pinned revision that is not empty."""
+    stated = F.filter(F.array(top["model_source"], args["revision"]), V.truthy)
+    return let(F.get(stated, F.lit(0)), V.text)
 
 
 def resolve_model(override: Column, top: Column, args: Column) -> Column:
-    def stated(v: Column) -> Column:
-        return F.nullif(V.string(v), F.lit(""))
-
-    return F.coalesce(
-        F.nullif(override, F.lit("")),
-        stated(top["model_name"]),
-        stated(args["model"]),
-        stated(top["model"]),
-        F.lit("unknown"),
-    )
+    names = F.transform(F.array(top["model_name"], args["model"], top["model"]), V.string)
+    first = F.get(F.filter(names, lambda n: n.isNotNull() & (n != "")), F.lit(0))
+    return F.coalesce(F.nullif(override, F.lit("")), first, F.lit("unknown"))
 
 
-def not_object(v: Column, name: str) -> Column:
-    return F.when(V.truthy(v) & V.fields(v).isNull(), f"{name} is not an object")
+def not_objects(parts: dict[str, Column]) -> Column:
+    """A reason for each part that is neither missing nor empty nor an object."""
+    named = F.array(*[F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in parts.items()])
+    bad = F.filter(named, lambda p: V.fields(p["value"]).isNull() & V.truthy(p["value"]))
+    return F.transform(bad, lambda p: F.concat(p["name"], F.lit(" is not an object")))
 
 
 def shape_problems() -> Column:
@@ -164,26 +176,30 @@ def shape_problems() -> Column:
     Reads ``doc`` and the columns of :func:`open_document`.
     """
     top, cfg, gen = F.col("_top"), F.col("_cfg"), F.col("_gen")
-
+    parts = {
+        "results": top["results"],
+        "config": top["config"],
+        "config.model_args": cfg["model_args"],
+        "config.gen_kwargs": cfg["gen_kwargs"],
+        "total_evaluation_time_seconds_per_task": top["total_evaluation_time_seconds_per_task"],
+    }
+    whole_numbers = {
+        "config.seed": cfg["seed"],
+        "config.gen_kwargs.max_gen_toks": gen["max_gen_toks"],
+        "config.gen_kwargs.top_k": gen["top_k"],
+    }
+    named = F.array(*[F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in whole_numbers.items()])
+    booleans = F.filter(named, lambda p: V.is_boolean(p["value"]))
     tasks = F.coalesce(V.fields(top["results"]), V.no_fields())
-    date = V.numeric_or_bool(top["date"])
-    bad_tasks = F.map_filter(tasks, lambda _, v: V.fields(v).isNull())
+    bad_tasks = F.map_keys(F.map_filter(tasks, lambda _, v: V.fields(v).isNull()))
+    date = let(top["date"], V.numeric_or_bool)
     found = F.array(
         F.when(V.fields(F.col("doc")).isNull(), "document is not an object"),
-        not_object(top["results"], "results"),
-        not_object(top["config"], "config"),
-        not_object(cfg["model_args"], "config.model_args"),
-        not_object(cfg["gen_kwargs"], "config.gen_kwargs"),
-        not_object(top["total_evaluation_time_seconds_per_task"], "total_evaluation_time_seconds_per_task"),
-        F.when(F.size(bad_tasks) > 0, F.concat(F.lit("metrics of a task are not an object: "), F.array_join(F.map_keys(bad_tasks), ", "))),
-        F.when((date < MIN_EPOCH) | (date > MAX_EPOCH), "date is out of range"),
-        *[
-            F.when(V.is_boolean(v), f"{name} is a boolean")
-            for name, v in [
-                ("config.seed", cfg["seed"]),
-                ("config.gen_kwargs.max_gen_toks", gen["max_gen_toks"]),
-                ("config.gen_kwargs.top_k", gen["top_k"]),
-            ]
-        ],
-    )
-    return F.array_compact(found)
+        let(date, lambda d: F.when((d < MIN_EPOCH) | (d > MAX_EPOCH), "date is out of range")),
+    )
+    return F.concat(
+        F.array_compact(found),
+        not_objects(parts),
+        F.transform(bad_tasks, lambda t: F.concat(F.lit("metrics are not an object: "), t)),
+        F.transform(booleans, lambda p: F.concat(p["name"], F.lit(" is a boolean"))),
+    )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evalspark.functions.let import computed_once
+
 
 def load_text(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
     """``(path, raw)``. One row per file, or per non-blank line with ``lines=True``.
@@ -18,7 +20,7 @@ def load_text(spark: SparkSession, path: str | list[str], lines: bool = False) -
 
 def parse_documents(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Add ``doc``; it is NULL where the text is not strict JSON (NaN and repeated keys included)."""
-    return df.withColumn("doc", F.try_parse_json(raw))
+    return computed_once(df.withColumn("doc", F.try_parse_json(raw)))
 
 
 def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
