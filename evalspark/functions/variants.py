@@ -21,7 +21,9 @@ def number_kind(t: Column) -> Column:
 
 
 def integer_literal_kind(t: Column) -> Column:
-    return (t == "BIGINT") | (t.startswith("DECIMAL") & t.endswith(",0)") & (F.length(t) == F.lit(len("DECIMAL(19,0)"))) & (t >= "DECIMAL(19"))
+    # DECIMAL(19,0) to DECIMAL(38,0): shorter ones were written with a fraction of zeros.
+    two_digits = F.length(t) == len("DECIMAL(19,0)")
+    return (t == "BIGINT") | (t.startswith("DECIMAL") & t.endswith(",0)") & two_digits & (t >= "DECIMAL(19"))
 
 
 def fields(v: Column) -> Column:
@@ -47,6 +49,11 @@ def absent(v: Column) -> Column:
     return v.isNull() | F.is_variant_null(v)
 
 
+def is_number(v: Column) -> Column:
+    """JSON number; booleans are not numbers here."""
+    return number_kind(kind(v))
+
+
 def is_boolean(v: Column) -> Column:
     return kind(v) == "BOOLEAN"
 

@@ -1,16 +1,19 @@
 """Envelope validation: every violation of every document, in one narrow pass.
 
-A document is checked as VARIANT, since a wrong type has to be seen before anything is cast. Each check yields
-a violation or NULL; the non-NULL ones are kept, so nothing is exploded, joined or shuffled. Violations carry the
+A document is checked as VARIANT, since a wrong type has to be seen before anything is cast. The checks build one
+array per document, so nothing is exploded, joined or shuffled. Violations carry the
 number of the rule they come from (``V1`` to ``V19``), the keyword that failed and the path to the value.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalspark.functions import variants as V
+from evalspark.functions.let import computed_once, let
 from evalspark.schemas import (
     ENVELOPE_COLUMNS,
     GEN_KWARGS_DDL,
@@ -57,128 +60,198 @@ DATE_TIME = (
 
 VIOLATION = "struct<path: array<string>, rule: string, keyword: string, detail: string>"
 
-_TESTS = {
-    "string": V.is_string,
-    "integer": V.is_integer,
-    "number": V.is_number,
-    "boolean": V.is_boolean,
-    "object": lambda v: V.fields(v).isNotNull(),
-    "array": lambda v: V.items(v).isNotNull(),
-    "integer or null": lambda v: F.is_variant_null(v) | V.is_integer(v),
-}
-
-Path = list["str | Column"]
-
-
-def violation(path: Path, rule: str, keyword: str, detail: str | Column) -> Column:
-    steps = [F.lit(p) if isinstance(p, str) else p for p in path]
+def violation(path: Column, rule: str | Column, keyword: str, detail: str | Column) -> Column:
     return F.struct(
-        (F.array(*steps) if steps else F.array().cast("array<string>")).alias("path"),
-        F.lit(rule).alias("rule"),
+        path.alias("path"),
+        (F.lit(rule) if isinstance(rule, str) else rule).alias("rule"),
         F.lit(keyword).alias("keyword"),
         (F.lit(detail) if isinstance(detail, str) else detail).alias("detail"),
     )
 
 
-def typed(v: Column, kind: str, path: Path, rule: str) -> Column:
-    bad = v.isNotNull() & ~_TESTS[kind](v)
-    return F.when(bad, violation(path, rule, "type", f"not of type {kind}"))
+def at(*steps: str | Column) -> Column:
+    """Path to a value as an array of keys and positions."""
+    if not steps:
+        return F.array().cast("array<string>")
+    return F.array(*[F.lit(s) if isinstance(s, str) else s for s in steps])
+
+
+def no_violations() -> Column:
+    return F.array().cast(f"array<{VIOLATION}>")
+
+
+def wrong_types(m: Column, fields: list[tuple[str, str, str]], path: Column) -> Column:
+    """Members of an object that do not have the type given in ``(name, type, rule)``.
+
+    The table goes into the plan as a literal array and one lambda walks it, so the size of the expression does not
+    grow with the number of fields.
+    """
+    wanted = F.array(
+        *[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type"), F.lit(r).alias("rule")) for n, t, r in fields]
+    )
+
+    def fails(f: Column) -> Column:
+        v = m[f["name"]]
+        return v.isNotNull() & ~let(V.kind(v), lambda t: V.has_type(v, t, f["type"]))
+
+    return F.transform(
+        F.filter(wanted, lambda f: fails(f)),
+        lambda f: violation(
+            F.concat(path, F.array(f["name"])), f["rule"], "type", F.concat(F.lit("not of type "), f["type"])
+        ),
+    )
 
 
-def required(m: Column, names: list[str], path: Path, rule: str) -> list[Column]:
-    return [F.when(~F.map_contains_key(m, n), violation(path, rule, "required", f"missing key: {n}")) for n in names]
+def missing_keys(m: Column, names: list[str], path: Column, rule: str) -> Column:
+    missing = F.array_except(F.array(*[F.lit(n) for n in names]), F.map_keys(m))
+    return F.transform(missing, lambda n: violation(path, rule, "required", F.concat(F.lit("missing key: "), n)))
 
 
-def closed(m: Column, names: list[str], path: Path, rule: str) -> Column:
-    unknown = F.array_except(F.map_keys(m), F.array(*[F.lit(n) for n in names]))
-    detail = F.concat(F.lit("unexpected keys: "), F.array_join(F.array_sort(unknown), ", "))
-    return F.when(F.size(unknown) > 0, violation(path, rule, "additionalProperties", detail))
+def unknown_keys(m: Column, names: list[str], path: Column, rule: str) -> Column:
+    unknown = F.array_sort(F.array_except(F.map_keys(m), F.array(*[F.lit(n) for n in names])))
 
+    def listed(u: Column) -> Column:
+        detail = F.concat(F.lit("unexpected keys: "), F.array_join(u, ", "))
+        return F.when(F.size(u) > 0, F.array(violation(path, rule, "additionalProperties", detail)))
 
-def one_of(v: Column, values: list[str], path: Path, rule: str) -> Column:
-    allowed = V.is_string(v) & F.try_variant_get(v, "$", "string").isin(*values)
-    return F.when(v.isNotNull() & ~allowed, violation(path, rule, "enum", "not one of the allowed values"))
+    return F.coalesce(let(unknown, listed), no_violations())
 
 
-def closed_object(
-    v: Column, fields: list[tuple[str, str]], needed: list[str], path: Path, rule: str
-) -> list[Column]:
-    """Checks of an object with known members; nothing but the type is checked where it is none."""
-    m = V.fields(v)
-    return [
-        typed(v, "object", path, rule),
-        *required(m, needed, path, rule),
-        closed(m, [n for n, _ in fields], path, rule),
-        *[typed(m[n], kind, [*path, n], rule) for n, kind in fields if kind not in ("any", "object")],
-    ]
+def members(m: Column, fields: list[tuple[str, str]], needed: list[str], path: Column, rule: str) -> Column:
+    """Violations of an object with a closed set of members, given as a map; none where it is NULL."""
+    checked = [(n, t, rule) for n, t in fields if t not in ("any", "object")]
+    found = F.concat(
+        missing_keys(m, needed, path, rule) if needed else no_violations(),
+        unknown_keys(m, [n for n, _ in fields], path, rule),
+        wrong_types(m, checked, path),
+    )
+    return F.when(m.isNull(), no_violations()).otherwise(found)
 
 
-def gather(*found: Column) -> Column:
-    return F.array_compact(F.array(*found))
+def _each(array: Column, check: Callable[[Column, Column], Column]) -> Column:
+    """Violations of every element of an array given as variants; none where it is NULL."""
+    per_item = F.transform(array, lambda item, i: check(item, i.cast("string")))
+    return F.coalesce(F.flatten(per_item), no_violations())
 
 
-def _in_array(v: Column, check) -> Column:
-    """Violations of every element of an array; none where ``v`` is no array."""
-    per_item = F.transform(V.items(v), lambda item, i: check(item, i.cast("string")))
-    return F.coalesce(F.flatten(per_item), F.array().cast(f"array<{VIOLATION}>"))
+def _not_object(item: Column, m: Column, path: Column, rule: str) -> Column:
+    bad = item.isNotNull() & m.isNull()
+    return F.when(bad, F.array(violation(path, rule, "type", "not of type object"))).otherwise(no_violations())
 
 
 def _result(item: Column, i: Column) -> Column:
-    path: Path = ["results", i]
-    tags = V.fields(item)["tags"]
-    own = gather(*closed_object(item, RESULT_FIELDS, RESULT_REQUIRED, path, "V14"), typed(tags, "object", [*path, "tags"], "V15"))
-    not_text = F.map_filter(F.coalesce(V.fields(tags), V.no_fields()), lambda _, v: ~V.is_string(v))
-    per_tag = F.transform(
-        F.map_keys(not_text), lambda k: violation([*path, "tags", k], "V15", "type", "not of type string")
+    path = at("results", i)
+
+    def parts(m: Column) -> Column:
+        tags = m["tags"]
+        return F.concat(
+            _not_object(item, m, path, "V14"),
+            members(m, RESULT_FIELDS, RESULT_REQUIRED, path, "V14"),
+            let(V.fields(tags), lambda t: F.concat(_not_object(tags, t, at("results", i, "tags"), "V15"), _tags(t, i))),
+        )
+
+    return let(V.fields(item), parts)
+
+
+def _tags(tags: Column, i: Column) -> Column:
+    not_text = F.map_filter(F.coalesce(tags, V.no_fields()), lambda _, v: V.kind(v) != "STRING")
+    return F.transform(
+        F.map_keys(not_text), lambda k: violation(at("results", i, "tags", k), "V15", "type", "not of type string")
     )
-    return F.concat(own, per_tag)
 
 
 def _snapshot(item: Column, i: Column) -> Column:
-    return gather(*closed_object(item, SNAPSHOT_FIELDS, SNAPSHOT_REQUIRED, ["memory_snapshots", i], "V17"))
+    path = at("memory_snapshots", i)
+
+    def parts(m: Column) -> Column:
+        own = members(m, SNAPSHOT_FIELDS, SNAPSHOT_REQUIRED, path, "V17")
+        return F.concat(_not_object(item, m, path, "V17"), own)
+
+    return let(V.fields(item), parts)
 
 
 def _error(item: Column, i: Column) -> Column:
-    return gather(typed(item, "string", ["errors", i], "V18"))
+    bad = V.kind(item) != "STRING"
+    found = F.array(violation(at("errors", i), "V18", "type", "not of type string"))
+    return F.when(bad, found).otherwise(no_violations())
 
 
 def is_date_time(s: Column) -> Column:
     """Shape and calendar: a cast alone takes ``2026-04-24 18:30``, a pattern alone takes 30 February."""
     day = F.left(s, F.lit(10))
-    return s.rlike(DATE_TIME) & ~s.startswith("0000") & day.try_cast("date").isNotNull()
-
-
-def checks(m: Column) -> Column:
-    """All violations of a document given as the map of its top-level members."""
-    sha, stamp, version = m["git_sha"], m["timestamp"], m["schema_version"]
-    sha_text, stamp_text = V.string(sha), V.string(stamp)
-    version_ok = V.is_string(version) & (F.try_variant_get(version, "$", "string") == SCHEMA_VERSION)
-    top = gather(
-        *required(m, REQUIRED_KEYS, [], "V1"),
-        closed(m, ENVELOPE_COLUMNS, [], "V2"),
-        typed(version, "string", ["schema_version"], "V3"),
-        F.when(version.isNotNull() & ~version_ok, violation(["schema_version"], "V3", "const", f"'{SCHEMA_VERSION}' was expected")),
-        typed(stamp, "string", ["timestamp"], "V4"),
-        F.when(~is_date_time(stamp_text), violation(["timestamp"], "V4", "format", "not a date-time")),
-        typed(sha, "string", ["git_sha"], "V5"),
-        F.when(F.length(sha_text) < SHA_MIN_LENGTH, violation(["git_sha"], "V5", "minLength", f"shorter than {SHA_MIN_LENGTH} characters")),
-        F.when(~sha_text.rlike("(?d)" + SHA_PATTERN), violation(["git_sha"], "V5", "pattern", f"does not match {SHA_PATTERN}")),
-        typed(m["trigger"], "string", ["trigger"], "V6"),
-        one_of(m["trigger"], TRIGGERS, ["trigger"], "V6"),
-        typed(m["pr_number"], "integer or null", ["pr_number"], "V7"),
-        typed(m["suite"], "string", ["suite"], "V8"),
-        one_of(m["suite"], SUITES, ["suite"], "V8"),
-        *[typed(m[c], "string", [c], "V9") for c in ("model", "model_revision", "quantization")],
-        typed(m["skipped"], "boolean", ["skipped"], "V10"),
-        typed(m["seed"], "integer", ["seed"], "V11"),
-        *closed_object(m["gen_kwargs"], GEN_KWARGS_FIELDS, [], ["gen_kwargs"], "V12"),
-        *closed_object(m["system"], SYSTEM_FIELDS, SYSTEM_REQUIRED, ["system"], "V13"),
-        typed(m["results"], "array", ["results"], "V14"),
-        typed(m["memory_snapshots"], "array", ["memory_snapshots"], "V17"),
-        typed(m["errors"], "array", ["errors"], "V18"),
-    )
+    return s.isNotNull() & s.rlike(DATE_TIME) & ~s.startswith("0000") & day.try_cast("date").isNotNull()
+
+
+TOP_TYPES = [
+    ("schema_version", "string", "V3"),
+    ("timestamp", "string", "V4"),
+    ("git_sha", "string", "V5"),
+    ("trigger", "string", "V6"),
+    ("pr_number", "integer or null", "V7"),
+    ("suite", "string", "V8"),
+    ("model", "string", "V9"),
+    ("model_revision", "string", "V9"),
+    ("quantization", "string", "V9"),
+    ("skipped", "boolean", "V10"),
+    ("seed", "integer", "V11"),
+]
+
+
+def _stated(m: Column) -> Column:
+    """Violations by what a member says, as against its type."""
+    names = ("schema_version", "timestamp", "git_sha", "trigger", "suite")
+    texts = F.struct(*[V.string(m[n]).alias(n) for n in names])
+
+    def not_in(s: Column, name: str, values: list[str], rule: str, keyword: str, detail: str) -> Column:
+        allowed = s[name].isNotNull() & s[name].isin(*values)
+        return F.when(m[name].isNotNull() & ~allowed, violation(at(name), rule, keyword, detail))
+
+    def found(s: Column) -> Column:
+        sha = s["git_sha"]
+        return F.array(
+            not_in(s, "schema_version", [SCHEMA_VERSION], "V3", "const", f"'{SCHEMA_VERSION}' was expected"),
+            F.when(s["timestamp"].isNotNull() & ~is_date_time(s["timestamp"]), violation(at("timestamp"), "V4", "format", "not a date-time")),
+            F.when(
+                F.length(sha) < SHA_MIN_LENGTH,
+                violation(at("git_sha"), "V5", "minLength", f"shorter than {SHA_MIN_LENGTH} characters"),
+            ),
+            F.when(
+                ~sha.rlike("(?d)" + SHA_PATTERN),
+                violation(at("git_sha"), "V5", "pattern", f"does not match {SHA_PATTERN}"),
+            ),
+            not_in(s, "trigger", TRIGGERS, "V6", "enum", "not one of the allowed values"),
+            not_in(s, "suite", SUITES, "V8", "enum", "not one of the allowed values"),
+        )
+
+    return F.array_compact(let(texts, found))
+
+
+def checks(m: Column, parts: Column) -> Column:
+    """All violations of a document: ``m`` maps its top-level members, ``parts`` holds those opened further."""
+
+    def wrong(name: str, opened: Column, kind: str, rule: str) -> Column:
+        return F.when(m[name].isNotNull() & opened.isNull(), violation(at(name), rule, "type", f"not of type {kind}"))
+
+    gen, system, results = parts["gen_kwargs"], parts["system"], parts["results"]
+    snapshots, errors = parts["memory_snapshots"], parts["errors"]
+    containers = F.array(
+        wrong("gen_kwargs", gen, "object", "V12"),
+        wrong("system", system, "object", "V13"),
+        wrong("results", results, "array", "V14"),
+        wrong("memory_snapshots", snapshots, "array", "V17"),
+        wrong("errors", errors, "array", "V18"),
+    )
     return F.concat(
-        top, _in_array(m["results"], _result), _in_array(m["memory_snapshots"], _snapshot), _in_array(m["errors"], _error)
+        missing_keys(m, REQUIRED_KEYS, at(), "V1"),
+        unknown_keys(m, ENVELOPE_COLUMNS, at(), "V2"),
+        wrong_types(m, TOP_TYPES, at()),
+        _stated(m),
+        F.array_compact(containers),
+        members(gen, GEN_KWARGS_FIELDS, [], at("gen_kwargs"), "V12"),
+        members(system, SYSTEM_FIELDS, SYSTEM_REQUIRED, at("system"), "V13"),
+        _each(results, _result),
+        _each(snapshots, _snapshot),
+        _each(errors, _error),
     )
 
 
@@ -197,10 +270,19 @@ def by_path(found: Column) -> Column:
 
 def with_violations(df: DataFrame) -> DataFrame:
     """Add ``violations`` to documents (``doc``); a document that is no object has that one violation."""
+    m = F.col("_m")
     opened = df.withColumn("_m", V.fields(F.col("doc")))
-    no_object = F.array(violation([], "V1", "type", "not of type object"))
-    found = F.when(F.col("_m").isNull(), no_object).otherwise(by_path(checks(F.col("_m"))))
-    return opened.withColumn("violations", found).drop("_m")
+    parts = F.struct(
+        V.fields(m["gen_kwargs"]).alias("gen_kwargs"),
+        V.fields(m["system"]).alias("system"),
+        V.items(m["results"]).alias("results"),
+        V.items(m["memory_snapshots"]).alias("memory_snapshots"),
+        V.items(m["errors"]).alias("errors"),
+    )
+    opened = opened.withColumn("_parts", parts)
+    no_object = F.array(violation(at(), "V1", "type", "not of type object"))
+    found = F.when(m.isNull(), no_object).otherwise(by_path(checks(m, F.col("_parts"))))
+    return computed_once(opened.withColumn("violations", found).drop("_m", "_parts"))
 
 
 def violations(checked: DataFrame, keep: list[str]) -> DataFrame:

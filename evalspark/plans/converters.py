@@ -347,6 +347,9 @@ def f1_flatten(spark, sf_dir):
 )
 def flagship_leaderboard(spark, sf_dir):
     """Raw text to the latest score of every model: parse, convert, flatten, select, reduce, sort."""
-    rows = FL.flatten(task_envelopes(spark, sf_dir)[0])
+    # Only documents of the suite are parsed: the suite is known from the run's context.
+    raw = raw_task_documents(spark, sf_dir).where("suite = 'reasoning'")
+    docs = C.fill_run_context(run_context(parse_documents(raw)))
+    rows = FL.flatten(C.split_converted(C.convert(docs, "lm-eval", [], ingest_time()), [])[0])
     rows = with_derived(rows.withColumn("timestamp", F.to_timestamp("timestamp")).withColumn("shard_key", F.col("git_sha")))
     return Q.leaderboard(rows, "reasoning", "view", "exact_match_flexible").drop("timestamp")
