@@ -44,11 +44,13 @@ def summarize_runs(transcript: DataFrame, max_steps: int = MAX_STEPS) -> DataFra
     step = F.col("step")
     final = is_turn & (F.coalesce(F.size("tool_calls"), F.lit(0)) <= 0)
     tokens = message_tokens(F.col("total_tokens"), F.col("completion_tokens"))
+    # An answer is cut before the shuffle, not after it.
     used = transcript.where(~is_turn | (step <= max_steps)).withColumn("_tokens", tokens)
+    said = F.left("content", F.lit(ANSWER_LENGTH))
     turns = range(1, max_steps + 1)
     sums = used.groupBy("run_id").agg(
         F.min(F.when(final, step)).alias("_final"),
-        F.min_by(F.when(final, F.col("content")), F.when(final, step)).alias("_answer"),
+        F.min_by(F.when(final, said), F.when(final, step)).alias("_answer"),
         F.min("ts").alias("_start"),
         F.max("ts").alias("_last"),
         *[F.coalesce(F.sum(F.when(is_turn & (step == i), F.col("_tokens"))), F.lit(0)).alias(f"_tokens{i}") for i in turns],
@@ -132,7 +134,7 @@ def steps_from_calls(transcript: DataFrame) -> DataFrame:
     """
     is_turn = F.col("role") == "assistant"
     n_calls = F.when(is_turn, F.greatest(F.coalesce(F.size("tool_calls"), F.lit(0)), F.lit(0))).otherwise(0)
-    said = F.when(is_turn, F.nullif("content", F.lit("")))
+    said = F.when(is_turn, F.nullif(F.left("content", F.lit(ANSWER_LENGTH)), F.lit("")))
     per_step = transcript.groupBy("run_id", "step").agg(
         F.max(n_calls).alias("_calls"),
         F.max_by(said, F.when(said.isNotNull(), F.col("ts"))).alias("_said"),

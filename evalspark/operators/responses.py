@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,10 +59,8 @@ def render(template: str, **values: Column | str) -> Column:
 
     The template is cut up when the query is built. A place whose value is NULL makes the text NULL.
     """
-    import string
-
     parts: list[Column] = []
-    for literal, field, _, _ in string.Formatter().parse(template):
+    for literal, field, _, _ in Formatter().parse(template):
         if literal:
             parts.append(F.lit(literal))
         if field:
@@ -71,9 +71,10 @@ def render(template: str, **values: Column | str) -> Column:
     return F.concat(*parts)
 
 
-def render_prompts(df: DataFrame, prompt: str, target: str, **values: Column | str) -> DataFrame:
-    """Add ``rendered_prompt`` and ``rendered_target``."""
-    return df.withColumn("rendered_prompt", render(prompt, **values)).withColumn("rendered_target", render(target, **values))
+def render_prompts(df: DataFrame, prompt_text: str, target_text: str, **values: Column | str) -> DataFrame:
+    """Add ``rendered_prompt`` and ``rendered_target``. ``values`` says which column fills a name, if not its own."""
+    rendered = {"rendered_prompt": render(prompt_text, **values), "rendered_target": render(target_text, **values)}
+    return df.withColumns(rendered)
 
 
 def first_n(df: DataFrame, n: int, order: list[str], per: list[str] | None = None) -> DataFrame:

@@ -312,7 +312,7 @@ r AS (
 rr AS (
   SELECT *, 'line_' || CAST(i AS VARCHAR) AS name,
          CASE WHEN i = 1 THEN o_totalprice ELSE CAST(o_orderkey + i AS DOUBLE) END AS val,
-         CASE WHEN i = 0 THEN 2.5 ELSE NULL END AS seconds
+         CAST(CASE WHEN i = 0 THEN 2.5 END AS DOUBLE) AS seconds
   FROM r
 )"""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evalspark.plans import converters, results, validation  # noqa: F401
+from evalspark.plans import agents, converters, reports, responses, results, storage, validation  # noqa: F401
 from evalspark.plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = "flagship_leaderboard"
