@@ -10,47 +10,52 @@ SKETCH = 10_000
 MARGIN = 10 / SKETCH
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Exact median per key without holding a key's values in one task.
+def exact_median(df: DataFrame, keys: list[str], value: str, also: dict[str, Column] | None = None) -> DataFrame:
+    """Exact median per key without holding a key's values in one task; ``also`` are aggregates of the same pass.
 
     The built-in median keeps every distinct value of a group in the memory of one task. Here a sketch brackets the
-    median first, the rows below the bracket are only counted, and just the values inside it (about 0.2 % of a large
-    group, merged by value) are put in order. A bracket that missed would raise an error, not give a wrong median.
+    median in a first pass. In the second the rows below the bracket are only counted, and just the values inside it
+    (about 0.2 % of a large group, merged by value) are put in order. A bracket that missed would raise an error, not
+    give a wrong median.
     """
-    present = df.select(*keys, F.col(value).alias("_v")).where("_v IS NOT NULL")
-    bracket = present.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [0.5 - MARGIN, 0.5 + MARGIN], SKETCH).alias("_q"),
+    v, n, q = F.col("_v"), F.col("_n"), F.col("_q")
+    bracket = df.groupBy(*keys).agg(
+        F.count(value).alias("_n"),
+        F.percentile_approx(value, [0.5 - MARGIN, 0.5 + MARGIN], SKETCH).alias("_q"),
+        F.struct(F.lit(0).alias("_"), *[c.alias(name) for name, c in (also or {}).items()]).alias("_also"),
     )
     # One row per key on one side; a key with most of the rows is split by adaptive execution.
-    placed = present.join(bracket, keys).where(F.col("_v") <= F.col("_q")[1])
-    merged = placed.groupBy(*keys, F.when(F.col("_v") >= F.col("_q")[0], F.col("_v")).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n")
+    placed = df.select(*keys, F.col(value).alias("_v")).join(bracket, keys).where((v <= q[1]) | (n == 0))
+    merged = placed.groupBy(*keys, F.when(v >= q[0], v).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.first("_also").alias("_also")
     )
     # The rows below the bracket are the NULL value, which sorts first.
-    upto = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
+    upto = Window.partitionBy(*keys).orderBy(v.asc_nulls_first())
     ranked = merged.withColumn("_upto", F.sum("_c").over(upto))
-    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    lower, upper = F.floor((n + 1) / 2), F.floor(n / 2) + 1
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank), F.col("_v")))
+        return F.max(F.when((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank), v))
 
-    halves = ranked.groupBy(*keys).agg(at(lower).alias("_lo"), at(upper).alias("_hi"))
+    halves = ranked.groupBy(*keys).agg(
+        at(lower).alias("_lo"), at(upper).alias("_hi"), F.first("_n").alias("_n"), F.first("_also").alias("_also")
+    )
     missed = F.raise_error(F.lit("median outside its bracket")).cast("double")
-    median = F.when(F.col("_lo").isNull() | F.col("_hi").isNull(), missed).otherwise((F.col("_lo") + F.col("_hi")) / 2)
-    return halves.select(*keys, median.alias("median"))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    median = F.when(n == 0, F.lit(None)).when(lo.isNull() | hi.isNull(), missed).otherwise((lo + hi) / 2)
+    return halves.select(*keys, *[F.col(f"_also.{name}") for name in also or {}], median.alias("median"))
 
 
 def latency_summary(df: DataFrame, keys: list[str], seconds: str = "seconds", correct: str = "correct") -> DataFrame:
     """Samples, mean, median, minimum, maximum and correct answers per key."""
-    simple = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(seconds).alias("mean"),
-        F.min(seconds).alias("min"),
-        F.max(seconds).alias("max"),
-        F.count_if(F.col(correct)).alias("n_correct"),
-    )
-    return simple.join(exact_median(df, keys, seconds), keys, "left")
+    simple = {
+        "n": F.count(F.lit(1)),
+        "mean": F.avg(seconds),
+        "min": F.min(seconds),
+        "max": F.max(seconds),
+        "n_correct": F.count_if(F.col(correct)),
+    }
+    return exact_median(df, keys, seconds, simple)
 
 
 def paired_overhead(df: DataFrame, keys: list[str], base: str, other: str, sample: str = "sample") -> DataFrame:

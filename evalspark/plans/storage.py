@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evalspark.operators import convert as C
+from evalspark.operators.publish import publish
 from evalspark.plans.bindings import (
     EV_SQL,
     MEASUREMENTS_SQL,
@@ -174,6 +175,10 @@ def _context(docs):
     )
 
 
+def _numbered_context(docs):
+    return _context(docs).withColumn("git_sha", F.lpad(F.col("id").cast("string"), 8, "0"))
+
+
 def _convert_stream(spark, sf_dir):
     base = new_shared_path(spark, "convert")
     docs = raw_task_documents(spark, sf_dir)
@@ -198,6 +203,33 @@ def s9_stream_convert(spark, sf_dir):
     return read_shards(spark, out, flat_schema()).select("name", "metric", "value", "unit", "seed")
 
 
+def _batch(spark, sf_dir):
+    docs = raw_task_documents(spark, sf_dir).select("id", "raw")
+    return docs, new_shared_path(spark, "published")
+
+
+@query(
+    "publish_batch",
+    f"""WITH {EV_SQL}, {MEASUREMENTS_SQL} SELECT lpad(CAST(id AS VARCHAR), 8, '0') AS git_sha, task AS name, metric,
+          val AS value, unit FROM mm WHERE {READABLE}""",
+)
+def publish_batch(spark, sf_dir):
+    """The whole way in one batch: parse, convert, validate, flatten, append; then read what was stored."""
+    docs, base = _batch(spark, sf_dir)
+    publish(docs, "lm-eval", ["id"], f"{base}/out", f"{base}/rejects", _numbered_context, ingest_time())
+    return read_shards(spark, f"{base}/out", flat_schema()).select("git_sha", "name", "metric", "value", "unit")
+
+
+@query(
+    "publish_dry_run",
+    f"""WITH {EV_SQL}, {MEASUREMENTS_SQL} SELECT id, count(*) AS n_rows FROM mm WHERE {READABLE} GROUP BY id""",
+)
+def publish_dry_run(spark, sf_dir):
+    docs, base = _batch(spark, sf_dir)
+    plan = publish(docs, "lm-eval", ["id"], f"{base}/out", f"{base}/rejects", _numbered_context, ingest_time(), dry_run=True)
+    return plan.select("id", "n_rows")
+
+
 @query(
     "s9_stream_convert_rejects",
     f"""WITH {EV_SQL} SELECT CASE WHEN id % 13 = 12 THEN '{C.NOT_JSON}' WHEN id % 23 = 7 THEN 'config is not an object'

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evalspark.functions.names import slugify
 from evalspark.operators.flatten import BASE, OPTIONAL, canonical_results, flatten
@@ -89,13 +90,31 @@ def new_runs(envelopes: DataFrame, existing_keys: DataFrame) -> DataFrame:
     return distinct_runs(envelopes).join(existing_keys.select("shard_key").distinct(), "shard_key", "left_anti")
 
 
-def stored_keys(spark: SparkSession, path: str) -> DataFrame:
-    """Keys in the store; only the key column is read."""
-    return read_shards(spark, path, flat_schema()).select("shard_key")
+def stored_keys(spark: SparkSession, path: str, other_than: int | None = None) -> DataFrame:
+    """Keys in the store; only the key column is read. ``other_than`` leaves one batch out."""
+    if other_than is None:
+        return read_shards(spark, path, flat_schema()).select("shard_key")
+    rows = read_shards(spark, path, flat_schema().add("batch_id", T.LongType()))
+    return rows.where(F.col("batch_id") != other_than).select("shard_key")
 
 
-def append_new(envelopes: DataFrame, path: str) -> None:
-    """Append the runs of a batch the store does not have. Publishing the same content again changes nothing."""
-    fresh = new_runs(envelopes, stored_keys(envelopes.sparkSession, path))
+def append_new(envelopes: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Append the runs of a batch the store does not have. Publishing the same content again changes nothing.
+
+    A lost executor is no matter: only the output of a finished job is committed. With a ``batch_id`` a lost driver is
+    none either. The batch then has a directory of its own, which is overwritten when the batch is started again, so a
+    commit that stopped half way is replaced and not taken for stored. A store is written in one of the two ways.
+    """
+    fresh = new_runs(envelopes, stored_keys(envelopes.sparkSession, path, batch_id))
     rows = flatten(fresh, ["shard_key"]).withColumn("timestamp", F.to_timestamp("timestamp"))
-    write_results(rows, path)
+    if batch_id is None:
+        write_results(rows, path)
+    else:
+        write_results(rows, f"{path}/batch_id={batch_id}", mode="overwrite")
+
+
+def write_rejects(rejects: DataFrame, path: str, batch_id: int | None = None) -> None:
+    if batch_id is None:
+        rejects.write.mode("append").parquet(path)
+    else:
+        rejects.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
