@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evalspark.functions.let import computed_once
+
 # What the harness reports.
 MAX_STEPS = 5
 ANSWER_LENGTH = 200
@@ -44,17 +46,25 @@ def summarize_runs(transcript: DataFrame, max_steps: int = MAX_STEPS) -> DataFra
     step = F.col("step")
     final = is_turn & (F.coalesce(F.size("tool_calls"), F.lit(0)) <= 0)
     tokens = message_tokens(F.col("total_tokens"), F.col("completion_tokens"))
-    # An answer is cut before the shuffle, not after it.
-    used = transcript.where(~is_turn | (step <= max_steps)).withColumn("_tokens", tokens)
-    said = F.left("content", F.lit(ANSWER_LENGTH))
+    # Texts are cut before the aggregation sorts and shuffles its rows.
+    used = computed_once(
+        transcript.where(~is_turn | (step <= max_steps)).select(
+            "run_id",
+            "ts",
+            F.when(is_turn, step).alias("_step"),
+            F.when(final, step).alias("_end"),
+            F.when(final, F.left("content", F.lit(ANSWER_LENGTH))).alias("_said"),
+            tokens.alias("_tokens"),
+        )
+    )
     turns = range(1, max_steps + 1)
     sums = used.groupBy("run_id").agg(
-        F.min(F.when(final, step)).alias("_final"),
-        F.min_by(F.when(final, said), F.when(final, step)).alias("_answer"),
+        F.min("_end").alias("_final"),
+        F.min_by("_said", "_end").alias("_answer"),
         F.min("ts").alias("_start"),
         F.max("ts").alias("_last"),
-        *[F.coalesce(F.sum(F.when(is_turn & (step == i), F.col("_tokens"))), F.lit(0)).alias(f"_tokens{i}") for i in turns],
-        *[F.max(F.when(is_turn & (step == i), F.col("ts"))).alias(f"_ts{i}") for i in turns],
+        *[F.coalesce(F.sum(F.when(F.col("_step") == i, F.col("_tokens"))), F.lit(0)).alias(f"_tokens{i}") for i in turns],
+        *[F.max(F.when(F.col("_step") == i, F.col("ts"))).alias(f"_ts{i}") for i in turns],
     )
     last = F.coalesce("_final", F.lit(max_steps))
     spent = reduce(lambda a, b: a + b, [F.when(last >= i, F.col(f"_tokens{i}")).otherwise(F.lit(0)) for i in turns])
@@ -135,9 +145,10 @@ def steps_from_calls(transcript: DataFrame) -> DataFrame:
     is_turn = F.col("role") == "assistant"
     n_calls = F.when(is_turn, F.greatest(F.coalesce(F.size("tool_calls"), F.lit(0)), F.lit(0))).otherwise(0)
     said = F.when(is_turn, F.nullif(F.left("content", F.lit(ANSWER_LENGTH)), F.lit("")))
-    per_step = transcript.groupBy("run_id", "step").agg(
-        F.max(n_calls).alias("_calls"),
-        F.max_by(said, F.when(said.isNotNull(), F.col("ts"))).alias("_said"),
+    short = computed_once(transcript.select("run_id", "step", "ts", n_calls.alias("_n"), said.alias("_text")))
+    per_step = short.groupBy("run_id", "step").agg(
+        F.max("_n").alias("_calls"),
+        F.max_by("_text", F.when(F.col("_text").isNotNull(), F.col("ts"))).alias("_said"),
         F.min("ts").alias("_first"),
         F.max("ts").alias("_last"),
     )

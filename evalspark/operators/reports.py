@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rank error of the quantile sketch is at most n / SKETCH; the bracket is ten times as wide.
 SKETCH = 10_000
 MARGIN = 10 / SKETCH
+# Copies of the brackets that a hot key's rows are dealt to.
+SALTS = 32
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, also: dict[str, Column] | None = None) -> DataFrame:
@@ -19,13 +23,17 @@ def exact_median(df: DataFrame, keys: list[str], value: str, also: dict[str, Col
     give a wrong median.
     """
     v, n, q = F.col("_v"), F.col("_n"), F.col("_q")
-    bracket = df.groupBy(*keys).agg(
+    bracket = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
         F.count(value).alias("_n"),
         F.percentile_approx(value, [0.5 - MARGIN, 0.5 + MARGIN], SKETCH).alias("_q"),
         F.struct(F.lit(0).alias("_"), *[c.alias(name) for name, c in (also or {}).items()]).alias("_also"),
     )
-    # One row per key on one side; a key with most of the rows is split by adaptive execution.
-    placed = df.select(*keys, F.col(value).alias("_v")).join(bracket, keys).where((v <= q[1]) | (n == 0))
+    # A key with a third of all rows must not meet its bracket in one task. The brackets are few and copied; the rows go
+    # to the copy of the task that read them, whose number stays the same when it is run again.
+    copies = bracket.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = df.select(*keys, F.col(value).alias("_v"), (F.spark_partition_id() % SALTS).alias("_salt"))
+    meet = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], F.col("_salt") == F.col("_copy"))
+    placed = rows.join(copies, meet).where((v <= q[1]) | (n == 0))
     merged = placed.groupBy(*keys, F.when(v >= q[0], v).alias("_v")).agg(
         F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.first("_also").alias("_also")
     )

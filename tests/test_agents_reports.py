@@ -91,10 +91,21 @@ def test_runs_to_results(spark):
 def test_exact_median_with_a_hot_key(spark):
     rng = random.Random(3)
     data = [("hot", rng.choice([rng.random(), 0.5])) for _ in range(50_000)]
-    data += [("tied", 2.0)] * 1001 + [("one", 7.0)] + [("even", float(i)) for i in range(10)] + [("null", None)]
+    data += [("tied", 2.0)] * 1001 + [("one", 7.0)] + [("even", float(i)) for i in range(10)] + [("null", None), (None, 4.0), (None, 6.0)]
     got = {r["k"]: r["median"] for r in R.exact_median(spark.createDataFrame(data, "k string, v double").repartition(8), ["k"], "v").collect()}
     want = {k: statistics.median([v for kk, v in data if kk == k]) for k in ("hot", "tied", "one", "even")}
-    assert got == {**want, "null": None}
+    assert got == {**want, "null": None, None: 5.0}
+
+
+def test_exact_median_without_keys_and_with_a_sort_merge_join(spark):
+    df = spark.range(100_001).select((F.col("id") * 7 % 100_001).cast("double").alias("v"), F.lit("a").alias("k")).repartition(8)
+    assert R.exact_median(df, [], "v").first()["median"] == 50_000.0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert R.exact_median(df, ["k"], "v", {"n": F.count("v")}).first().asDict() == {"k": "a", "n": 100_001, "median": 50_000.0}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_report_numbers(spark):
