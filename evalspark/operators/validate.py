@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from evalspark.functions import variants as V
 from evalspark.functions.let import computed_once, let
+from evalspark.functions.maps import empty_string_map
 from evalspark.schemas import (
     ENVELOPE_COLUMNS,
     GEN_KWARGS_DDL,
@@ -197,20 +198,18 @@ TOP_TYPES = [
 ]
 
 
-def _stated(m: Column) -> Column:
-    """Violations by what a member says, as against its type."""
-    names = ("schema_version", "timestamp", "git_sha", "trigger", "suite")
-    texts = F.struct(*[V.string(m[n]).alias(n) for n in names])
+def _stated(texts: Column, present: Callable[[str], Column]) -> Column:
+    """Violations by what a member says, as against its type. ``texts`` has the members as strings."""
 
     def not_in(s: Column, name: str, values: list[str], rule: str, keyword: str, detail: str) -> Column:
         allowed = s[name].isNotNull() & s[name].isin(*values)
-        return F.when(m[name].isNotNull() & ~allowed, violation(at(name), rule, keyword, detail))
+        return F.when(present(name) & ~allowed, violation(at(name), rule, keyword, detail))
 
     def found(s: Column) -> Column:
-        sha = s["git_sha"]
+        sha, stamp = s["git_sha"], s["timestamp"]
         return F.array(
             not_in(s, "schema_version", [SCHEMA_VERSION], "V3", "const", f"'{SCHEMA_VERSION}' was expected"),
-            F.when(s["timestamp"].isNotNull() & ~is_date_time(s["timestamp"]), violation(at("timestamp"), "V4", "format", "not a date-time")),
+            F.when(stamp.isNotNull() & ~is_date_time(stamp), violation(at("timestamp"), "V4", "format", "not a date-time")),
             F.when(
                 F.length(sha) < SHA_MIN_LENGTH,
                 violation(at("git_sha"), "V5", "minLength", f"shorter than {SHA_MIN_LENGTH} characters"),
@@ -226,6 +225,9 @@ def _stated(m: Column) -> Column:
     return F.array_compact(let(texts, found))
 
 
+STATED = ("schema_version", "timestamp", "git_sha", "trigger", "suite")
+
+
 def checks(m: Column, parts: Column) -> Column:
     """All violations of a document: ``m`` maps its top-level members, ``parts`` holds those opened further."""
 
@@ -245,7 +247,7 @@ def checks(m: Column, parts: Column) -> Column:
         missing_keys(m, REQUIRED_KEYS, at(), "V1"),
         unknown_keys(m, ENVELOPE_COLUMNS, at(), "V2"),
         wrong_types(m, TOP_TYPES, at()),
-        _stated(m),
+        _stated(F.struct(*[V.string(m[n]).alias(n) for n in STATED]), lambda n: m[n].isNotNull()),
         F.array_compact(containers),
         members(gen, GEN_KWARGS_FIELDS, [], at("gen_kwargs"), "V12"),
         members(system, SYSTEM_FIELDS, SYSTEM_REQUIRED, at("system"), "V13"),
@@ -281,10 +283,63 @@ def with_violations(df: DataFrame) -> DataFrame:
     )
     opened = opened.withColumn("_parts", parts)
     no_object = F.array(violation(at(), "V1", "type", "not of type object"))
-    found = F.when(m.isNull(), no_object).otherwise(by_path(checks(m, F.col("_parts"))))
+    found = let(checks(m, F.col("_parts")), lambda f: F.when(F.size(f) > 0, by_path(f)).otherwise(f))
+    found = F.when(m.isNull(), no_object).otherwise(found)
     return computed_once(opened.withColumn("violations", found).drop("_m", "_parts"))
 
 
+def _absent(present: list[tuple[str, Column]], path: Column, rule: str) -> Column:
+    """A violation for each required member that is NULL."""
+    return F.array_compact(
+        F.array(*[F.when(c.isNull(), violation(path, rule, "required", f"missing key: {n}")) for n, c in present])
+    )
+
+
+def with_typed_violations(envelopes: DataFrame) -> DataFrame:
+    """Add ``violations`` to typed envelope columns, as a converter makes them.
+
+    Types hold by the schema of the columns and no key is unknown, so what is left is what may be missing and what the
+    members say. The elements of an array are gone through a second time only where one of them is incomplete.
+    """
+
+    def incomplete(array: str, needed: list[str], rule: str) -> Column:
+        c = F.col(array)
+
+        def lacks(r: Column) -> Column:
+            missing = r[needed[0]].isNull()
+            for n in needed[1:]:
+                missing = missing | r[n].isNull()
+            return missing
+
+        def listed(r: Column, i: Column) -> Column:
+            return _absent([(n, r[n]) for n in needed], at(array, i.cast("string")), rule)
+
+        return F.when(F.exists(c, lacks), F.flatten(F.transform(c, listed)))
+
+    def bad_tags(r: Column, i: Column) -> Column:
+        empty = F.map_filter(F.coalesce(r["tags"], empty_string_map()), lambda _, v: v.isNull())
+        place = i.cast("string")
+        return F.transform(
+            F.map_keys(empty), lambda k: violation(at("results", place, "tags", k), "V15", "type", "not of type string")
+        )
+
+    def null_tag(r: Column) -> Column:
+        return F.exists(F.map_values(r["tags"]), lambda v: v.isNull())
+
+    errors = F.transform("errors", lambda e, i: F.when(e.isNull(), violation(at("errors", i.cast("string")), "V18", "type", "not of type string")))
+    found = [
+        _absent([(n, F.col(n)) for n in REQUIRED_KEYS], at(), "V1"),
+        _stated(F.struct(*[F.col(n) for n in STATED]), lambda n: F.col(n).isNotNull()),
+        F.when(F.col("system").isNotNull(), _absent([(n, F.col(f"system.{n}")) for n in SYSTEM_REQUIRED], at("system"), "V13")),
+        incomplete("results", RESULT_REQUIRED, "V14"),
+        F.when(F.exists("results", null_tag), F.flatten(F.transform("results", bad_tags))),
+        incomplete("memory_snapshots", SNAPSHOT_REQUIRED, "V17"),
+        F.array_compact(errors),
+    ]
+    all_found = F.concat(*[F.coalesce(f, no_violations()) for f in found])
+    return computed_once(envelopes.withColumn("violations", let(all_found, lambda f: F.when(F.size(f) > 0, by_path(f)).otherwise(f))))
+
+
 def violations(checked: DataFrame, keep: list[str]) -> DataFrame:
     """One row per violation with its position in the report of its document."""
     rows = checked.select(*keep, F.posexplode_outer("violations").alias("position", "v")).where(F.col("v").isNotNull())

@@ -135,3 +135,28 @@ def test_large_arrays(spark):
     items = [{"name": "n", "metric": "m", "value": i, "unit": "u"} for i in range(5000)]
     items[4321]["value"] = "x"
     assert found(spark, changed(results=items)) == [("results.4321.value", "type")]
+
+
+def test_typed_columns_and_documents_report_the_same(spark):
+    result = {"name": "n", "metric": "m", "value": 1.0, "unit": "u", "tags": {"a": "b"}}
+    partial = {k: v for k, v in result.items() if k not in ("metric", "unit")}
+    docs = [
+        VALID_ENVELOPE,
+        INVALID_ENVELOPE,
+        changed(git_sha="unknown", suite="x", timestamp="2026-02-30T00:00:00Z"),
+        changed(results=[result] * 11 + [partial]),
+        changed(memory_snapshots=[{"phase": "p", "rss_gb": 1.0}, {"phase": "q"}]),
+        json.dumps({"schema_version": "1"}),
+        "{}",
+    ]
+    both = checked(spark, *docs).orderBy("id").collect()
+    typed = VA.with_typed_violations(VA.typed_envelopes(checked(spark, *docs), ["id"])).orderBy("id").collect()
+    assert [r["violations"] for r in typed] == [r["violations"] for r in both]
+
+
+def test_typed_columns_with_null_elements(spark):
+    df = VA.typed_envelopes(checked(spark, VALID_ENVELOPE), ["id"]).withColumn("errors", F.expr("array('a', CAST(NULL AS STRING))"))
+    tags = F.expr("transform(results, r -> named_struct('name', r.name, 'metric', r.metric, 'value', DOUBLE('Infinity'), 'unit', r.unit, "
+                  "'duration_seconds', r.duration_seconds, 'tags', map('k', CAST(NULL AS STRING)), 'raw', r.raw))")
+    found_ = VA.with_typed_violations(df.withColumn("results", tags)).first()["violations"]
+    assert [(".".join(v["path"]), v["keyword"]) for v in found_] == [("errors.1", "type"), ("results.0.tags.k", "type")]
