@@ -82,9 +82,8 @@ def main() -> None:
         seconds[name] = round(best, 3)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     total = round(sum(seconds.values()), 3)
-    print(
-        json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds, "sf": sf_dir.rsplit("/sf", 1)[-1]})
-    )
+    sf = sf_dir.rstrip("/").rsplit("/sf", 1)[-1]
+    print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds, "sf": sf}))
 
 
 if __name__ == "__main__":

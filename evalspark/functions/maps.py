@@ -16,10 +16,6 @@ def overlay(base: Column, top: Column) -> Column:
     return F.map_concat(kept, top)
 
 
-def without_nulls(m: Column) -> Column:
-    return F.map_filter(m, lambda _, v: v.isNotNull())
-
-
 def last_wins(entries: Column) -> Column:
     """Map from an array of (key, value) structs; a repeated key keeps its last value."""
     from_end = F.reverse(F.transform(entries, lambda e: e["key"]))

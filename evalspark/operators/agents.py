@@ -166,7 +166,9 @@ def error_answers(runs: DataFrame) -> DataFrame:
     """
     failed = F.concat(F.lit("Error: "), F.col("error"))
     return runs.select(
-        "run_id", answer_text(F.coalesce(failed, F.col("answer"))).alias("answer"), seconds_between(F.col("started"), F.col("ended")).alias("latency")
+        "run_id",
+        answer_text(F.coalesce(failed, F.col("answer"))).alias("answer"),
+        seconds_between(F.col("started"), F.col("ended")).alias("latency"),
     )
 
 

@@ -158,10 +158,10 @@ def get_converter(kind: str) -> Converter:
 def convert(docs: DataFrame, kind: str | Column, keep: list[str], ingest_ts: Column | None = None) -> DataFrame:
     """``keep``, ``problems`` and the envelope columns of parsed documents.
 
-    Needs ``doc`` (NULL where the text was not JSON) and the columns of :func:`fill_run_context`. ``kind`` names the tool, or is a column when one
-    input mixes tools: the converters then share one pass over it, and a row of an unknown kind gets an empty
-    envelope with the problem noted. A non-empty ``problems`` marks a document that could not be read as its
-    kind; :func:`split_converted` separates those.
+    Needs ``doc`` (NULL where the text was not JSON) and the columns of :func:`fill_run_context`. ``kind`` names the
+    tool, or is a column when one input mixes tools: the converters then share one pass over it, and a row of an
+    unknown kind gets an empty envelope with the problem noted. A non-empty ``problems`` marks a document that could
+    not be read as its kind; :func:`split_converted` separates those.
     """
     ts = F.current_timestamp() if ingest_ts is None else ingest_ts
     opened = task_eval.open_document(docs)
@@ -181,8 +181,7 @@ def convert(docs: DataFrame, kind: str | Column, keep: list[str], ingest_ts: Col
 def _by_kind(kind: Column, choices: dict[str, Column]) -> Column:
     """The expression of the row's kind; NULL for an unknown one. Equal expressions are stated once."""
     if len({str(c) for c in choices.values()}) == 1:
-        known = F.when(kind.isin(*choices), next(iter(choices.values())))
-        return known
+        return F.when(kind.isin(*choices), next(iter(choices.values())))
     return F.coalesce(*[F.when(kind == name, c) for name, c in choices.items()])
 
 

@@ -11,19 +11,17 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evalspark.functions import variants as V
 from evalspark.functions.let import computed_once, let
 from evalspark.functions.maps import empty_string_map
 from evalspark.schemas import (
     ENVELOPE_COLUMNS,
-    GEN_KWARGS_DDL,
+    ENVELOPE_DDL,
     REQUIRED_KEYS,
-    RESULT_DDL,
     SCHEMA_VERSION,
-    SNAPSHOT_DDL,
     SUITES,
-    SYSTEM_DDL,
     SYSTEM_FIELDS,
     TRIGGERS,
 )
@@ -326,18 +324,22 @@ def with_typed_violations(envelopes: DataFrame) -> DataFrame:
     def null_tag(r: Column) -> Column:
         return F.exists(F.map_values(r["tags"]), lambda v: v.isNull())
 
-    errors = F.transform("errors", lambda e, i: F.when(e.isNull(), violation(at("errors", i.cast("string")), "V18", "type", "not of type string")))
+    def bad_error(e: Column, i: Column) -> Column:
+        return F.when(e.isNull(), violation(at("errors", i.cast("string")), "V18", "type", "not of type string"))
+
+    machine = _absent([(n, F.col(f"system.{n}")) for n in SYSTEM_REQUIRED], at("system"), "V13")
     found = [
         _absent([(n, F.col(n)) for n in REQUIRED_KEYS], at(), "V1"),
         _stated(F.struct(*[F.col(n) for n in STATED]), lambda n: F.col(n).isNotNull()),
-        F.when(F.col("system").isNotNull(), _absent([(n, F.col(f"system.{n}")) for n in SYSTEM_REQUIRED], at("system"), "V13")),
+        F.when(F.col("system").isNotNull(), machine),
         incomplete("results", RESULT_REQUIRED, "V14"),
         F.when(F.exists("results", null_tag), F.flatten(F.transform("results", bad_tags))),
         incomplete("memory_snapshots", SNAPSHOT_REQUIRED, "V17"),
-        F.array_compact(errors),
+        F.array_compact(F.transform("errors", bad_error)),
     ]
     all_found = F.concat(*[F.coalesce(f, no_violations()) for f in found])
-    return computed_once(envelopes.withColumn("violations", let(all_found, lambda f: F.when(F.size(f) > 0, by_path(f)).otherwise(f))))
+    ordered = let(all_found, lambda f: F.when(F.size(f) > 0, by_path(f)).otherwise(f))
+    return computed_once(envelopes.withColumn("violations", ordered))
 
 
 def violations(checked: DataFrame, keep: list[str]) -> DataFrame:
@@ -370,19 +372,11 @@ def downgrade(checked: DataFrame) -> DataFrame:
 
 def typed_envelopes(df: DataFrame, keep: list[str]) -> DataFrame:
     """Documents as typed envelope columns. A part with a wrong type is NULL; validate first."""
-    kinds = {
-        "gen_kwargs": GEN_KWARGS_DDL,
-        "system": SYSTEM_DDL,
-        "results": f"ARRAY<{RESULT_DDL}>",
-        "memory_snapshots": f"ARRAY<{SNAPSHOT_DDL}>",
-        "errors": "ARRAY<STRING>",
-        "pr_number": "BIGINT",
-        "seed": "BIGINT",
-        "skipped": "BOOLEAN",
-    }
     opened = df.withColumn("_m", V.fields(F.col("doc")))
+    schema = T.StructType.fromDDL(ENVELOPE_DDL)
     return opened.select(
-        *keep, *[F.try_variant_get(F.col("_m")[c], "$", kinds.get(c, "STRING")).alias(c) for c in ENVELOPE_COLUMNS]
+        *keep,
+        *[F.try_variant_get(F.col("_m")[f.name], "$", f.dataType.simpleString()).alias(f.name) for f in schema],
     )
 
 
