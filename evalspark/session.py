@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,18 +15,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir`` where the cluster names one.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else a folder in the session's warehouse.
 
-    Only a local-mode session without the setting (tests, a laptop) falls back to a new temporary folder.
+    The warehouse is shared by the driver and the executors wherever tables can be stored, so that nothing is ever
+    written to a folder that only one machine sees.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="evalspark-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/evalspark-shared"
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
