@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalspark.llm import chat, mixing, sharding
+from evalspark.llm import chat, decontaminate, langid, licenses, mixing, pii, secret_scan, sharding, simhash, sketches
 from evalspark.session import configure, new_shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,11 +78,120 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_WORDS = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op2_decontamination",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+    i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
+    iw AS (
+      SELECT DISTINCT item, least(len(w), 10) AS n, list_slice(w, s, s + least(len(w), 10) - 1) AS x
+      FROM (SELECT *, unnest(range(1, greatest(2, len(w) - 8))) AS s FROM i WHERE len(w) > 0)
+    ),
+    dw AS (
+      SELECT r, s, n, list_slice(w, s, s + n - 1) AS x
+      FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw))
+    ),
+    hits AS (SELECT dw.r, dw.s, dw.n, iw.item FROM dw JOIN iw ON dw.n = iw.n AND dw.x = iw.x),
+    words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hits) GROUP BY r),
+    items AS (SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY r)
+    SELECT doc_id, len(d.w)::BIGINT AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+      sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words ON d.r = words.r LEFT JOIN items ON d.r = items.r
+    """,
+)
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    found = langid.predict(docs, langid.learn(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def joined_spans(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def span_columns(kinds: list[str], spans: str) -> list[Column]:
+    """n_<kind> for the base kinds, the digest of their spans, and all spans as text."""
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return [*map(count, kinds), F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col(spans)).alias("spans")]
+
+
+@query("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents")).withColumnRenamed("spans", "found")
+    scores = F.array_join(F.transform("found", lambda s: F.format_number(s["score"], 2)), ",")
+    return found.select("doc_id", *span_columns([k.name for k in pii.KINDS if k.base], "found"), scores.alias("scores"))
+
+
 @query("op5_mixing")
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(table(spark, sf_dir, "documents"))
 
 
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sketches.with_half_of_next(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        sketches.digits(F.col("sketch")).alias("fingerprint"),
+        sketches.digits(F.col("edited_sketch")).alias("edited_fingerprint"),
+        sketches.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        sketches.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), new_shared_path(spark, "ledger")).withColumnRenamed("findings", "found")
+    return found.select("doc_id", *span_columns([r.kind for r in secret_scan.BASE_RULES], "found"))
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scan(table(spark, sf_dir, "documents"))
+    names = F.lit(list(licenses.PHRASES.values()))
+    base = F.filter(F.transform("places", lambda p, i: F.when(p["n"] > 0, F.get(names, i))), lambda n: n.isNotNull())
+    more = F.transform("found", lambda f: f["label"])
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.aggregate("places", F.lit(0).cast("long"), lambda acc, p: acc + p["n"]).alias("n_base"),
+        F.array_min(F.transform("places", lambda p: p["first"])).cast("long").alias("first_word"),
+        F.array_max(F.transform("places", lambda p: p["last"])).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, more)), ",").alias("labels"),
+        F.when(F.size(base) > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform("found", lambda f: f["containment"])), F.lit(0.0))).alias("score"),
+    )
+
+
+@query("op9_simhash")
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query("op10_sharding")
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), 16, new_shared_path(spark, "slot-map"))
