@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from evalspark.llm import chat, decontaminate, langid, licenses, mixing, pii, secret_scan, sharding, simhash, sketches
 from evalspark.session import configure, new_shared_path
 
@@ -196,3 +197,6 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), 16, new_shared_path(spark, "slot-map"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot", "rebalanced_shard")
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

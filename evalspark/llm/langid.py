@@ -82,6 +82,8 @@ class Model:
 
     @staticmethod
     def _cut(word: str, size: int) -> list[str]:
+        if size == 1:
+            return list(word)
         padded = f"^{word}$"
         return [padded[i : i + size] for i in range(len(padded) - size + 1)]
 
@@ -150,8 +152,10 @@ def learn(
     return Model.fit([(r.lang, r.word, r.n) for r in top.select("lang", "word", "n").collect()])
 
 
-def predict(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """One row per document: the columns ``keep``, lang_pred and score (0 to 1). Null, empty and letterless texts are
+def predict(
+    docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",), text: str = "text", into: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """One row per document: the columns ``keep``, and language and score (0 to 1) as the columns ``into``. Null, empty and letterless texts are
     ``und`` with score 0; so is every text of a model without languages. Equal texts get equal results. Ties go to the
     language that sorts first. An empty table gives no rows. Other columns are ignored. One pass, no shuffle."""
     rows = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], F.col(text).alias("__text"))
@@ -166,4 +170,4 @@ def predict(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",
             yield pa.record_batch(columns, names=[*kept.schema.names, "lang_pred", "score"])
 
     found = rows.mapInArrow(run, f"{fields}, lang_pred string, score double")
-    return found.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+    return found.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], F.col("lang_pred").alias(into[0]), F.col("score").alias(into[1]))

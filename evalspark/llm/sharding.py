@@ -105,28 +105,35 @@ class SlotMap:
         return F.get(F.lit([self.shard[s] for s in range(self.n_slots)]), slot)
 
 
-def assign(docs: DataFrame, n_shards: int, map_path: str, *, key: str = "doc_id", text: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
-    """One row per record: ``key``, size, text_crc32, vslot, shard, slot (0, 1, ... in each shard), rebalanced_shard.
+def place(docs: DataFrame, n_shards: int, map_path: str, *, key: str = "doc_id", text: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
+    """``docs`` with vslot, shard and rebalanced_shard (in place of columns of these names), without a shuffle of rows.
 
     Law ``bytes``: shards get nearly equal bytes, since thousands of slots are dealt by size. Records never change
     their slot; growing to one more shard edits the map (version 2) and moves only what the new shard takes
-    (``rebalanced_shard``). Both versions are stored at ``map_path``.
-
-    A null key is the empty key; a null text has size 1. Repeated rows share a slot and get places of their own. An
-    empty table gives no rows (and a map of empty slots). Other columns are ignored. One key that holds more bytes
-    than a shard's share stays whole in one slot: its shard is then larger than the others by that much.
+    (``rebalanced_shard``). Both versions are stored at ``map_path``. A null key is the empty key. One key that holds
+    more bytes than a shard's share stays whole in one slot: its shard is then larger than the others by that much.
     """
     spark = docs.sparkSession
-    rows = docs.select(
-        F.col(key), size_of(text).alias("size"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("text_crc32"), slot_of(key, n_slots).alias("vslot")
-    )
     # At most one row per slot reaches the driver.
     sizes = {r.vslot: r.bytes for r in slot_bytes(docs, slot_of(key, n_slots), size_of(text)).collect()}
     first = SlotMap.fresh(sizes, n_shards, n_slots)
     first.save(spark, map_path)
     second = first.grown()
     second.save(spark, map_path)
-    placed = rows.withColumns({"shard": first.shard_of(F.col("vslot")), "rebalanced_shard": second.shard_of(F.col("vslot"))})
-    places = numbered(placed, "shard", key, "text_crc32", into="__place", name="shards")
+    slot = slot_of(key, n_slots)
+    return docs.withColumns({"vslot": slot, "shard": first.shard_of(slot), "rebalanced_shard": second.shard_of(slot)})
+
+
+def assign(docs: DataFrame, n_shards: int, map_path: str, *, key: str = "doc_id", text: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
+    """One row per record: ``key``, size, text_crc32, vslot, shard, slot (0, 1, ... in each shard), rebalanced_shard.
+
+    Shards as in ``place``. A null text has size 1. Repeated rows share a virtual slot and get places of their own. An
+    empty table gives no rows (and a map of empty slots). Other columns are ignored.
+    """
+    rows = place(docs.select(F.col(key), F.col(text)), n_shards, map_path, key=key, text=text, n_slots=n_slots)
+    rows = rows.select(
+        F.col(key), size_of(text).alias("size"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("text_crc32"), "vslot", "shard", "rebalanced_shard"
+    )
+    places = numbered(rows, "shard", key, "text_crc32", into="__place", name="shards")
     heads = places.groupBy("shard").agg(F.min("__place").alias("__head"))  # one row per shard
     return places.join(F.broadcast(heads), "shard").withColumn("slot", F.col("__place") - F.col("__head")).drop("__place", "__head")

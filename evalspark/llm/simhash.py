@@ -204,7 +204,8 @@ def links(prints: DataFrame, *, radius: int = RADIUS, n_pivots: int = PIVOTS, bl
 
 
 def near_duplicates(docs: DataFrame, *, keep: tuple[str, ...] = (), doc_id: str = "doc_id", text: str = "text", shingle_radius: int = RADIUS) -> DataFrame:
-    """One row per document: doc_id, the columns ``keep``, fp, and component_id, the least doc_id it is linked to.
+    """One row per document: doc_id, the columns ``keep``, fp, component (a fingerprint that stands for its component),
+    and component_id, the least doc_id it is linked to.
 
     Fingerprints are linked at ``shingle_radius`` or fewer differing bits, and so on from link to link; equal ones are
     one node. Texts without words have fingerprint 0 and are linked like others. Rows that repeat are rows of the
@@ -219,9 +220,12 @@ def near_duplicates(docs: DataFrame, *, keep: tuple[str, ...] = (), doc_id: str
     roots = components(links(prints, radius=shingle_radius))
     linked = nodes.join(roots, nodes.fp == roots.node)
     least = linked.groupBy("root").agg(F.min("__least").alias("component_id"))
-    known = linked.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    of = nodes.join(known, "fp", "left").select("fp", F.coalesce("component_id", "__least").alias("component_id"))
-    return prints.join(of, "fp").select(*[F.col(k).alias(c) for k, c in zip(keys, columns, strict=True)], "fp", "component_id")
+    known = linked.join(least, "root").select(F.col("node").alias("fp"), "root", "component_id")
+    alone = F.col("root").isNull()
+    of = nodes.join(known, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("component"), F.when(alone, F.col("__least")).otherwise(F.col("component_id")).alias("component_id")
+    )
+    return prints.join(of, "fp").select(*[F.col(k).alias(c) for k, c in zip(keys, columns, strict=True)], "fp", "component", "component_id")
 
 
 def digits(fp: Column) -> Column:
