@@ -69,6 +69,12 @@ def integer_literal(v: Column) -> Column:
     return let(kind(v), lambda t: F.when(integer_literal_kind(t), F.try_variant_get(v, "$", "bigint")))
 
 
+def too_wide(v: Column) -> Column:
+    """Whether a value is an integer that 64 bits do not hold."""
+    whole = let(kind(v), lambda t: has_type(v, t, F.lit("integer")))
+    return F.coalesce(whole, F.lit(False)) & F.try_variant_get(v, "$", "bigint").isNull()
+
+
 def string(v: Column) -> Column:
     return F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
 

@@ -11,7 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.functions.let import computed_once
+from evalspark.functions.let import computed_once, let
+from evalspark.operators.convert import assemble_envelopes, fill_run_context
+from evalspark.schemas import ENVELOPE_COLUMNS
 
 # What the harness reports.
 MAX_STEPS = 5
@@ -39,7 +41,7 @@ def seconds_between(start: Column, end: Column) -> Column:
 def summarize_runs(transcript: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
     """``answer, steps, tokens, latency`` of every run: its first model turn without tool calls ends it.
 
-    Turns past ``max_steps`` do not count. With that bound the sums up to a final turn known only after the
+    Rows past ``max_steps`` do not count, whoever wrote them. With that bound the sums up to a final turn known only after the
     aggregation are a handful of conditional sums: one hash aggregation with partial sums, no window over a run.
     """
     is_turn = F.col("role") == "assistant"
@@ -48,7 +50,7 @@ def summarize_runs(transcript: DataFrame, max_steps: int = MAX_STEPS) -> DataFra
     tokens = message_tokens(F.col("total_tokens"), F.col("completion_tokens"))
     # Texts are cut before the aggregation sorts and shuffles its rows.
     used = computed_once(
-        transcript.where(~is_turn | (step <= max_steps)).select(
+        transcript.where(F.coalesce(step, F.lit(0)) <= max_steps).select(
             "run_id",
             "ts",
             F.when(is_turn, step).alias("_step"),
@@ -94,14 +96,26 @@ def distinct_calls(calls: DataFrame) -> DataFrame:
     return calls.dropDuplicates(["run_id", "step", "position"])
 
 
-def tool_call_lists(transcript: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
-    """Calls of each run as one ordered array. The step bound keeps a run's array small."""
-    calls = tool_calls(transcript, max_steps)
-    place = F.struct("step", "position", "tool", "args")
-    ordered = F.array_sort(F.collect_set(place))
-    return calls.groupBy("run_id").agg(
-        F.transform(ordered, lambda c: F.struct(c["tool"].alias("tool"), c["args"].alias("args"))).alias("tool_calls")
-    )
+def tool_call_lists(transcript: DataFrame, max_steps: int | None = None) -> DataFrame:
+    """Calls of each run as one ordered array, empty for a run without calls.
+
+    A run ends with its first model turn that calls nothing; what a transcript has after it does not count. There is no
+    bound on the steps unless one is given. Turns are grouped, not calls, and a turn that was reported again counts
+    once: its longest report, since streaming frameworks repeat a turn as it grows.
+    """
+    is_turn = F.col("role") == "assistant"
+    calls = F.coalesce("tool_calls", F.array().cast("array<struct<tool: string, args: string>>"))
+    counts = is_turn if max_steps is None else is_turn & (F.col("step") <= max_steps)
+    turn = F.struct(F.col("step").alias("step"), F.size(calls).alias("n"), calls.alias("calls"))
+    turns = F.array_sort(F.collect_set(F.when(counts, turn)))
+    runs = transcript.groupBy("run_id").agg(turns.alias("_turns"))
+
+    def used(turns: Column) -> Column:
+        ends = F.array_min(F.transform(F.filter(turns, lambda t: t["n"] == 0), lambda t: t["step"]))
+        before = F.filter(turns, lambda t, i: (t["n"] > 0) & (F.get(turns, i + 1)["step"].isNull() | (F.get(turns, i + 1)["step"] != t["step"])))
+        return let(ends, lambda end: F.flatten(F.transform(F.filter(before, lambda t: end.isNull() | (t["step"] < end)), lambda t: t["calls"])))
+
+    return runs.select("run_id", let(F.col("_turns"), used).alias("tool_calls"))
 
 
 def tool_call_status(
@@ -115,16 +129,19 @@ def tool_call_status(
     ``files`` (``path``) lists what exists; without it every allowed path does. The checks run in the tool's own
     order: arguments, tool, path, file.
     """
+    paths = ALLOWED_PATHS if allowed is None else allowed
     args = F.try_parse_json("args")
     checked = calls.withColumn("_args", args)
     path = F.coalesce(F.try_variant_get("_args", "$.path", "string"), F.lit(""))
     checked = checked.withColumn("path", path)
     exists = F.lit(True)
     if files is not None:
-        checked = checked.join(files.select("path", F.lit(True).alias("_exists")).distinct(), "path", "left")
+        # Only allowed paths can be "not found": at most as many rows as the parameter has.
+        there = files.where(F.col("path").isin(paths)).select("path", F.lit(True).alias("_exists")).distinct()
+        checked = checked.join(F.broadcast(there), "path", "left")
         exists = F.col("_exists").isNotNull()
     known = F.col("tool").isin(KNOWN_TOOLS if tools is None else tools)
-    permitted = F.col("path").isin(ALLOWED_PATHS if allowed is None else allowed)
+    permitted = F.col("path").isin(paths)
     is_object = F.try_variant_get("_args", "$", "map<string,variant>").isNotNull()
     status = (
         F.when(F.col("_args").isNull(), "Error: malformed tool arguments")
@@ -173,7 +190,8 @@ def error_answers(runs: DataFrame) -> DataFrame:
 
 
 def runs_to_results(runs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``results`` array of every run (``framework, passed, latency`` and, where known, ``tokens``).
+    """``results`` array of every run (``framework, passed, latency`` and, where known, ``tokens``, ``input_tokens`` and
+    ``output_tokens``).
 
     One envelope per run of a model under a framework, so the array is made inside the row.
     """
@@ -194,10 +212,25 @@ def runs_to_results(runs: DataFrame, keep: list[str] | None = None) -> DataFrame
             ),
         )
 
-    tokens = F.col("tokens") if "tokens" in runs.columns else F.lit(None).cast("bigint")
+    counted = [c for c in ("tokens", "input_tokens", "output_tokens") if c in runs.columns]
     results = F.array(
         entry("score", F.col("passed").cast("int"), "bool"),
         entry("latency", F.col("latency"), "sec"),
-        entry("tokens", tokens, "tokens"),
+        *[entry(c, F.col(c), "tokens") for c in counted],
     )
     return runs.select(*keep, F.lit("framework-eval").alias("suite"), F.array_compact(results).alias("results"))
+
+
+def runs_to_envelopes(runs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Agent runs as envelopes, ready to be validated and stored: ``keep`` and all envelope columns.
+
+    ``runs`` has what :func:`runs_to_results` reads, ``model`` and ``ended``, and may bring the columns of a run's
+    context. The time of a run is its end.
+    """
+    keep = ["run_id"] if keep is None else keep
+    context = fill_run_context(runs.drop("suite"))
+    rows = runs_to_results(context.drop("suite"), [*keep, "model", "git_sha", "trigger", "pr_number", "system", "ended"])
+    ended = F.date_format(F.to_utc_timestamp("ended", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    parts = {"timestamp": ended, "model": F.col("model"), "results": F.col("results"), "problems": F.array().cast("array<string>")}
+    columns = assemble_envelopes(parts, F.lit(True))
+    return rows.select(*keep, *[columns[c].alias(c) for c in ENVELOPE_COLUMNS])

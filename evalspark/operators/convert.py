@@ -84,9 +84,10 @@ def fill_run_context(df: DataFrame, runs: DataFrame | None = None, on: str = "ru
     )
 
 
-def assemble_envelopes(parts: dict[str, Column]) -> dict[str, Column]:
+def assemble_envelopes(parts: dict[str, Column], readable: Column | None = None) -> dict[str, Column]:
     """Envelope columns of a document from what its converter read. No measurements is a valid envelope."""
-    unreadable = F.when(F.col("doc").isNull(), F.array(F.lit(NOT_JSON)))
+    readable = F.col("doc").isNotNull() if readable is None else readable
+    unreadable = F.when(~readable, F.array(F.lit(NOT_JSON)))
     envelope = {
         "schema_version": F.lit(SCHEMA_VERSION),
         "git_sha": F.col("git_sha"),
@@ -107,12 +108,12 @@ def assemble_envelopes(parts: dict[str, Column]) -> dict[str, Column]:
     return {c: envelope[c] for c in ["problems", *ENVELOPE_COLUMNS]}
 
 
-def task_eval_parts(ingest_ts: Column) -> dict[str, Column]:
+def task_eval_parts(ingest_ts: Column, tags: Column | None) -> dict[str, Column]:
     top, cfg, gen, args = (F.col(c) for c in ("_top", "_cfg", "_gen", "_args"))
     return {
         "timestamp": task_eval.extract_timestamp(F.col("timestamp_override"), top["date"], ingest_ts),
         "model": task_eval.resolve_model(F.col("model"), top, args),
-        "results": task_eval.measurements(top, F.col("_took"), F.col("_tags")),
+        "results": task_eval.measurements(top, F.col("_took"), tags),
         "gen_kwargs": task_eval.extract_gen_kwargs(gen),
         "seed": task_eval.extract_seed(cfg),
         "model_revision": task_eval.extract_revision(top, args),
@@ -120,14 +121,14 @@ def task_eval_parts(ingest_ts: Column) -> dict[str, Column]:
     }
 
 
-def serving_parts(ingest_ts: Column) -> dict[str, Column]:
+def serving_parts(ingest_ts: Column, tags: Column | None) -> dict[str, Column]:
     """Serving runs state no date, seed, revision or generation settings."""
     top, args = F.col("_top"), F.col("_args")
     no_date = F.lit(None).cast("variant")
     return {
         "timestamp": task_eval.extract_timestamp(F.col("timestamp_override"), no_date, ingest_ts),
         "model": task_eval.resolve_model(F.col("model"), top, args),
-        "results": serving.measurements(top, F.col("_tags")),
+        "results": serving.measurements(top, tags),
         "problems": serving.shape_problems(),
     }
 
@@ -137,7 +138,7 @@ class Converter:
     """Column expressions over an opened document: tags of the run, and the parts of its envelope."""
 
     tags: Callable[[], Column]
-    parts: Callable[[Column], dict[str, Column]]
+    parts: Callable[[Column, Column | None], dict[str, Column]]
 
 
 CONVERTERS = {
@@ -149,15 +150,21 @@ CONVERTERS = {
 
 
 def get_converter(kind: str) -> Converter:
-    if kind not in CONVERTERS:
-        known = ", ".join(sorted(CONVERTERS)) or "(none)"
-        raise ValueError(f"Unknown converter kind {kind!r}; known kinds: {known}")
-    return CONVERTERS[kind]
+    converter = CONVERTERS.get(kind)
+    if converter is None:
+        raise ValueError(f"there is no converter for {kind!r}, only for {' and '.join(CONVERTERS)}")
+    return converter
 
 
-def convert(docs: DataFrame, kind: str | Column, keep: list[str], ingest_ts: Column | None = None) -> DataFrame:
+def convert(
+    docs: DataFrame, kind: str | Column, keep: list[str], ingest_ts: Column | None = None,
+    columns: list[str] | None = None, with_tags: bool = True,
+) -> DataFrame:
     """``keep``, ``problems`` and the envelope columns of parsed documents.
 
+    ``columns`` names the envelope columns that are wanted, and without ``with_tags`` the measurements have none: what is
+    not asked for is not in the plan. The barrier that follows a conversion would keep it there.
+
     Needs ``doc`` (NULL where the text was not JSON) and the columns of :func:`fill_run_context`. ``kind`` names the
     tool, or is a column when one input mixes tools: the converters then share one pass over it, and a row of an
     unknown kind gets an empty envelope with the problem noted. A non-empty ``problems`` marks a document that could
@@ -165,16 +172,20 @@ def convert(docs: DataFrame, kind: str | Column, keep: list[str], ingest_ts: Col
     """
     ts = F.current_timestamp() if ingest_ts is None else ingest_ts
     opened = task_eval.open_document(docs)
+    wanted = [c for c in ENVELOPE_COLUMNS if columns is None or c in columns]
+    tags = F.col("_tags") if with_tags else None
     if isinstance(kind, str):
         converter = get_converter(kind)
-        columns = assemble_envelopes(converter.parts(ts))
-        tagged = opened.withColumn("_tags", converter.tags())
-        return tagged.select(*keep, *[c.alias(name) for name, c in columns.items()])
-    tagged = opened.withColumn("_tags", _by_kind(kind, {n: c.tags() for n, c in CONVERTERS.items()}))
-    columns = {n: assemble_envelopes(c.parts(ts)) for n, c in CONVERTERS.items()}
-    chosen = {c: _by_kind(kind, {n: columns[n][c] for n in columns}) for c in ENVELOPE_COLUMNS}
+        made = assemble_envelopes(converter.parts(ts, tags))
+        tagged = opened.withColumn("_tags", converter.tags()) if with_tags else opened
+        return tagged.select(*keep, *[made[name].alias(name) for name in ["problems", *wanted]])
+    tagged = opened
+    if with_tags:
+        tagged = opened.withColumn("_tags", _by_kind(kind, {n: c.tags() for n, c in CONVERTERS.items()}))
+    each = {n: assemble_envelopes(c.parts(ts, tags)) for n, c in CONVERTERS.items()}
+    chosen = {c: _by_kind(kind, {n: each[n][c] for n in each}) for c in wanted}
     unknown = F.array(F.concat(F.lit("unknown converter kind: "), F.coalesce(kind, F.lit("(none)"))))
-    problems = F.coalesce(_by_kind(kind, {n: columns[n]["problems"] for n in columns}), unknown)
+    problems = F.coalesce(_by_kind(kind, {n: each[n]["problems"] for n in each}), unknown)
     return tagged.select(*keep, problems.alias("problems"), *[c.alias(name) for name, c in chosen.items()])
 
 

@@ -115,13 +115,18 @@ def stream_timing(chunks: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _with_baseline(df: DataFrame, keys: list[str], baseline: str, value: str) -> DataFrame:
-    """Add ``_base``: the baseline model's value for the same keys, by equi-join on them."""
+def _with_baseline(df: DataFrame, keys: list[str], baseline: str | Column, value: str) -> DataFrame:
+    """Add ``_base``: the baseline model's value for the same keys, by equi-join on them.
+
+    Without keys there is one value for all rows, from an aggregation without groups.
+    """
     base = df.where(F.col("model") == baseline).groupBy(*keys).agg(F.max(value).alias("_base"))
+    if not keys:
+        return df.withColumn("_base", base.scalar())
     return df.join(base, keys, "left")
 
 
-def per_example_cost(runs: DataFrame, keys: list[str], baseline: str) -> DataFrame:
+def per_example_cost(runs: DataFrame, keys: list[str], baseline: str | Column) -> DataFrame:
     """Seconds per example of each model, and how many times faster it is than the baseline.
 
     ``runs`` has ``model, total_seconds, examples``.
@@ -134,7 +139,7 @@ def per_example_cost(runs: DataFrame, keys: list[str], baseline: str) -> DataFra
     return _with_baseline(cost, keys, baseline, "per_example").withColumn("speed_ratio", ratio).drop("_base")
 
 
-def score_gap(scores: DataFrame, keys: list[str], baseline: str) -> DataFrame:
+def score_gap(scores: DataFrame, keys: list[str], baseline: str | Column) -> DataFrame:
     """Valid scores and their distance to the baseline model's. Needs ``model, score, valid``."""
     valid = scores.where("valid")
     gap = F.col("score") - F.col("_base")

@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from evalspark.functions import responses as R
 
 # The prompt texts of the two scoring tasks.
-COMPLETION_LEAD = "Write a solution to the following problem and make sure that it passes the tests:\n"
-COMPLETION_PROMPT = COMPLETION_LEAD + "```python\n{prompt}\n```\n"
+COMPLETION_PROMPT = "Write a solution to the following problem and make sure that it passes the tests:\n```python\n{prompt}\n```\n"
 COMPLETION_TARGET = "{test}\ncheck({entry_point})"
-TASK_LEAD = "You are an expert Python programmer, and here is your task:\n"
-TASK_PROMPT = TASK_LEAD + "{text}\nYour code should pass these tests:\n{test_list[0]}\n{test_list[1]}\n{test_list[2]}"
+TASK_PROMPT = "You are an expert Python programmer, and here is your task:\n{text}\nYour code should pass these tests:\n{test_list[0]}\n{test_list[1]}\n{test_list[2]}"
 TASK_TARGET = "{test_list[0]}\n{test_list[1]}\n{test_list[2]}"
 FEWSHOT_TARGET = "{code}\n```"
 FEWSHOT_EXAMPLES = 3
@@ -29,6 +27,23 @@ def pair_responses(responses: DataFrame, docs: DataFrame, on: str = "doc_id") ->
     return responses.join(docs, on)
 
 
+def pair_all(responses: DataFrame, docs: DataFrame, on: str = "doc_id", unanswered: str = "error") -> DataFrame:
+    """Like :func:`pair_responses` for inputs that must line up: the job fails at the first key that one side lacks.
+
+    With ``unanswered='skip'`` problems without a response are left out and only responses without a problem fail.
+    """
+    left = responses.withColumn("_answered", F.lit(True))
+    right = docs.withColumn("_stated", F.lit(True))
+    both = left.join(right, on, "full" if unanswered == "error" else "left")
+
+    def missing(side: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{side}: "), F.col(on).cast("string"))).cast("boolean")
+
+    lines_up = F.when(F.col("_stated").isNull(), missing("response without problem"))
+    lines_up = lines_up.when(F.col("_answered").isNull(), missing("problem without response")).otherwise(True)
+    return both.where(lines_up).drop("_answered", "_stated")
+
+
 def unpaired(responses: DataFrame, docs: DataFrame, on: str = "doc_id") -> DataFrame:
     """Keys that only one side has: ``(key, side)``. Empty when the inputs line up."""
     answered = responses.select(on).distinct()

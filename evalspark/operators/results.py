@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evalspark.operators.flatten import column_names
 from evalspark.functions.names import score_label
 
 # The selections a fresh viewer starts from.
@@ -110,7 +111,7 @@ def summary_pivot(
     """
     chosen = select_results(df, suite, metric=metric)
     if names is None:
-        names = sorted(r["name"] for r in chosen.where("name IS NOT NULL").select("name").distinct().collect())
+        names = column_names(chosen.where("name IS NOT NULL").select("name"))
     wanted = ["timestamp", "model", "name", "model_short", "value", *[c for c in TIE_BREAK[:1] if c in df.columns]]
     newest = latest_by_model_task(chosen.select(*wanted))
     if on_duplicate == "error":

@@ -46,7 +46,7 @@ def known_metrics() -> Column:
     )
 
 
-def measurements(top: Column, tags: Column) -> Column:
+def measurements(top: Column, tags: Column | None) -> Column:
     """The ``results`` array: one entry for each known key with a number."""
 
     def read(known: Column) -> Column:
@@ -64,7 +64,7 @@ def measurements(top: Column, tags: Column) -> Column:
         )
 
     present = F.filter(F.transform(known_metrics(), read), lambda m: m["value"].isNotNull())
-    run = F.struct(serving_duration(top).alias("seconds"), tags.alias("tags"))
+    run = F.struct(serving_duration(top).alias("seconds"), (F.lit(None).cast("map<string,string>") if tags is None else tags).alias("tags"))
     return let(run, lambda r: F.transform(present, lambda m: result(m, r)))
 
 

@@ -88,8 +88,9 @@ def task_duration(took: Column, task: Column) -> Column:
     return let(took[task], V.numeric_or_bool)
 
 
-def measurements(top: Column, took: Column, tags: Column) -> Column:
-    """The ``results`` array of a document."""
+def measurements(top: Column, took: Column, tags: Column | None) -> Column:
+    """The ``results`` array of a document; without ``tags`` its measurements have none."""
+    no_tags = F.lit(None).cast("map<string,string>")
 
     def candidates(metrics: Column) -> Column:
         """Numeric members of a task's metrics, in stages so that each value is looked at once."""
@@ -111,7 +112,7 @@ def measurements(top: Column, took: Column, tags: Column) -> Column:
             m["value"].alias("value"),
             infer_unit(m["metric"]).alias("unit"),
             seconds.alias("duration_seconds"),
-            measurement_tags(m["key"], tags).alias("tags"),
+            (no_tags if tags is None else measurement_tags(m["key"], tags)).alias("tags"),
             F.lit(None).cast("variant").alias("raw"),
         )
 
@@ -190,6 +191,7 @@ def shape_problems() -> Column:
     }
     named = F.array(*[F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in whole_numbers.items()])
     booleans = F.filter(named, lambda p: V.is_boolean(p["value"]))
+    wide = F.filter(named, lambda p: p["value"].isNotNull() & V.too_wide(p["value"]))
     tasks = F.coalesce(V.fields(top["results"]), V.no_fields())
     bad_tasks = F.map_keys(F.map_filter(tasks, lambda _, v: V.fields(v).isNull()))
     date = let(top["date"], V.numeric_or_bool)
@@ -202,4 +204,5 @@ def shape_problems() -> Column:
         not_objects(parts),
         F.transform(bad_tasks, lambda t: F.concat(F.lit("metrics are not an object: "), t)),
         F.transform(booleans, lambda p: F.concat(p["name"], F.lit(" is a boolean"))),
+        F.transform(wide, lambda p: F.concat(p["name"], F.lit(" does not fit 64 bits"))),
     )

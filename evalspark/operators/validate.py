@@ -51,6 +51,8 @@ GEN_KWARGS_FIELDS = [("max_gen_toks", "integer"), ("temperature", "number"), ("t
 SYSTEM_REQUIRED = ["os", "chip", "memory_gb"]
 # end of fixed values
 
+# Members of an envelope that are lists.
+LISTS = ["results", "memory_snapshots", "errors"]
 # RFC 3339: a zone is required, seconds end at 59. Letters may be in lower case.
 DATE_TIME = (
     r"(?id)\A[0-9]{4}-(0[1-9]|1[0-2])-[0-9]{2}T([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]+)?"
@@ -235,6 +237,10 @@ def checks(m: Column, parts: Column) -> Column:
     gen, system, results = parts["gen_kwargs"], parts["system"], parts["results"]
     snapshots, errors = parts["memory_snapshots"], parts["errors"]
     containers = F.array(
+        *[
+            F.when(m[n].isNotNull() & V.too_wide(m[n]), violation(at(n), rule, "range", "does not fit 64 bits"))
+            for n, rule in (("pr_number", "V7"), ("seed", "V11"))
+        ],
         wrong("gen_kwargs", gen, "object", "V12"),
         wrong("system", system, "object", "V13"),
         wrong("results", results, "array", "V14"),
@@ -255,12 +261,18 @@ def checks(m: Column, parts: Column) -> Column:
     )
 
 
+def is_position(path: Column, step: Column) -> Column:
+    """Whether a step of a path is a place in an array: only the second one below a list of the envelope is. A key may
+    look like a number and is a key all the same."""
+    return (step == 1) & F.get(path, F.lit(0)).isin(*LISTS)
+
+
 def by_path(found: Column) -> Column:
     """Violations in order of their paths, array positions as numbers; within a path in the order of the rules."""
     keyed = F.transform(
         found,
         lambda x, i: F.struct(
-            F.transform(x["path"], lambda p: F.when(p.rlike(r"^\d+$"), F.lpad(p, 12, "0")).otherwise(p)).alias("at"),
+            F.transform(x["path"], lambda p, n: F.when(is_position(x["path"], n), F.lpad(p, 12, "0")).otherwise(p)).alias("at"),
             i.alias("i"),
             x.alias("x"),
         ),
@@ -356,7 +368,8 @@ def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 def violation_summary(checked: DataFrame) -> DataFrame:
     """How often each rule fails at each path. Array positions are left out so the table stays small."""
     rows = violations(checked, [])
-    place = F.array_join(F.transform("path", lambda p: F.when(p.rlike(r"^\d+$"), "*").otherwise(p)), ".")
+    path = F.col("path")
+    place = F.array_join(F.transform(path, lambda p, n: F.when(is_position(path, n), "*").otherwise(p)), ".")
     return rows.groupBy("rule", "keyword", place.alias("path")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -51,7 +51,7 @@ _ANSWER = "CASE WHEN coalesce({c}, '') = '' THEN '(empty)' ELSE left({c}, 200) E
     "a1_summarize_runs",
     f"""WITH {B8_SQL},
         f AS (SELECT run_id, min(CASE WHEN role = 'assistant' AND NOT has_call THEN step END) AS final, min(at_ms) AS start, max(at_ms) AS last
-              FROM tr GROUP BY run_id),
+              FROM tr WHERE step <= 5 GROUP BY run_id),
         s AS (SELECT tr.run_id, final, start, last,
                 sum(CASE WHEN role = 'assistant' AND step <= coalesce(final, 5)
                     THEN CASE WHEN coalesce(total_tokens, 0) <> 0 THEN total_tokens ELSE coalesce(completion_tokens, 0) END ELSE 0 END) AS tokens,
@@ -80,8 +80,9 @@ def a2_tool_calls(spark, sf_dir):
 
 @query(
     "a2_tool_call_lists",
-    f"""WITH {_CALLS_SQL} SELECT run_id, string_agg(tool || ' ' || args, ';' ORDER BY step, position) AS tool_calls
-        FROM calls WHERE step <= 5 GROUP BY run_id""",
+    f"""WITH {_CALLS_SQL}, ends AS (SELECT run_id, min(step) FILTER (role = 'assistant' AND NOT has_call) AS final FROM tr GROUP BY run_id)
+        SELECT ends.run_id, coalesce(string_agg(tool || ' ' || args, ';' ORDER BY step, position), '') AS tool_calls
+        FROM ends LEFT JOIN calls ON calls.run_id = ends.run_id AND (final IS NULL OR step < final) GROUP BY ends.run_id""",
 )
 def a2_tool_call_lists(spark, sf_dir):
     lists = A.tool_call_lists(transcript(spark, sf_dir))
@@ -162,3 +163,22 @@ def a6_runs_to_results(spark, sf_dir):
     results = A.runs_to_results(runs)
     rows = results.select("run_id", "suite", F.explode("results").alias("r"))
     return rows.select("run_id", "suite", "r.name", "r.metric", "r.value", "r.unit")
+
+
+@query(
+    "a6_runs_to_envelopes",
+    """SELECT run_id, 'framework-eval' AS suite, 'model-' || CAST(c % 40 AS VARCHAR) AS model, 'unknown' AS git_sha, 'local' AS trigger,
+          strftime(d + to_microseconds((run_id % 700) * 250000), '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, x.metric AS metric,
+          CAST(x.v AS DOUBLE) AS value
+       FROM (SELECT o_orderkey AS run_id, o_custkey AS c, CAST(o_orderdate AS TIMESTAMP) AS d, unnest([
+           {'metric': 'score', 'v': CASE WHEN o_orderstatus = 'O' THEN 1.0 ELSE 0.0 END},
+           {'metric': 'latency', 'v': CAST((o_orderkey % 700) * 0.25 AS DOUBLE)},
+           {'metric': 'input_tokens', 'v': CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END},
+           {'metric': 'output_tokens', 'v': CAST(o_orderkey % 997 AS DOUBLE)}]) AS x FROM orders) WHERE x.v IS NOT NULL""",
+)
+def a6_runs_to_envelopes(spark, sf_dir):
+    """Runs as envelopes that keep the model, with input and output tokens apart."""
+    runs = agent_runs(spark, sf_dir).withColumn("latency", A.seconds_between(F.col("started"), F.col("ended")))
+    runs = runs.withColumnRenamed("tokens", "input_tokens").withColumn("output_tokens", F.col("run_id") % 997)
+    rows = A.runs_to_envelopes(runs).withColumn("r", F.explode("results"))
+    return rows.select("run_id", "suite", "model", "git_sha", "trigger", "timestamp", "r.metric", "r.value")

@@ -29,10 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+INPUT_PARTITIONS = "evalspark.input.partitions"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly work on rows that come in few splits. Input with enough splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """Rows of a source as they come, or dealt to as many partitions as the session's ``INPUT_PARTITIONS`` says.
+
+    The setting is for sources that no reader can split, such as one file of one row group. It is never guessed.
+    """
+    wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def stamp_text(column: str = "timestamp"):

@@ -282,7 +282,7 @@ def c17_convert(spark, sf_dir):
     tasks = raw_task_documents(spark, sf_dir).withColumn("kind", F.lit("lm-eval"))
     serving_docs = raw_serving_documents(spark, sf_dir).withColumn("kind", F.lit("vllm"))
     both = parse_documents(tasks.unionByName(serving_docs))
-    done = C.convert(C.fill_run_context(run_context(both)), F.col("kind"), ["id", "kind"], ingest_time())
+    done = C.convert(C.fill_run_context(run_context(both)), F.col("kind"), ["id", "kind"], ingest_time(), ["results"], with_tags=False)
     good = C.split_converted(done, ["id", "kind"])[0]
     return FL.flatten(good, ["id", "kind"]).select("id", "kind", "name", "metric", "value")
 
@@ -350,6 +350,7 @@ def flagship_leaderboard(spark, sf_dir):
     # Only documents of the suite are parsed: the suite is known from the run's context.
     raw = raw_task_documents(spark, sf_dir).where("suite = 'reasoning'")
     docs = C.fill_run_context(run_context(parse_documents(raw)))
-    rows = FL.flatten(C.split_converted(C.convert(docs, "lm-eval", [], ingest_time()), [])[0])
-    rows = with_derived(rows.withColumn("timestamp", F.to_timestamp("timestamp")).withColumn("shard_key", F.col("git_sha")))
+    columns = ["timestamp", "git_sha", "suite", "model", "results"]
+    done = C.convert(docs, "lm-eval", [], ingest_time(), columns, with_tags=False)
+    rows = with_derived(FL.flatten(C.split_converted(done, [])[0]).withColumn("shard_key", F.col("git_sha")))
     return Q.leaderboard(rows, "reasoning", "view", "exact_match_flexible").drop("timestamp")

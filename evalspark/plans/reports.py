@@ -113,8 +113,7 @@ def r6_score_gap(spark, sf_dir):
         table(spark, sf_dir, "labels").join(docs, "doc_id").groupBy("lang", "model")
         .agg(F.avg(F.col("quality").cast("double")).alias("score"), (F.count(F.lit(1)) >= 3).alias("valid"))
     )
-    baseline = docs.agg(F.min("model").alias("m")).first()["m"]
-    gap = R.score_gap(scores, ["lang"], baseline)
+    gap = R.score_gap(scores, ["lang"], docs.agg(F.min("model")).scalar())
     return gap.select("lang", "model", F.round("score", 8).alias("score"), F.round("gap", 8).alias("gap"))
 
 
@@ -137,6 +136,19 @@ def r7_budget_flag(spark, sf_dir):
     return flags.select("l_orderkey", "l_linenumber", "worst_per_example", "budget_exhausted", "over_timeout")
 
 
+@query(
+    "r6_score_gap_of_all",
+    """WITH s AS (SELECT source AS model, avg(CAST(quality AS DOUBLE)) AS score FROM labels JOIN documents USING (doc_id) GROUP BY source)
+       SELECT model, round(score, 8) AS score, round(score - (SELECT score FROM s WHERE model = 'src1'), 8) AS gap FROM s""",
+)
+def r6_score_gap_of_all(spark, sf_dir):
+    """One table of models without a grouping key."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("model"))
+    scores = table(spark, sf_dir, "labels").join(docs, "doc_id").groupBy("model").agg(F.avg(F.col("quality").cast("double")).alias("score"))
+    gap = R.score_gap(scores.withColumn("valid", F.lit(True)), [], "src1")
+    return gap.select("model", F.round("score", 8).alias("score"), F.round("gap", 8).alias("gap"))
+
+
 @query("r8_top_models", "SELECT c_name AS model, c_acctbal AS downloads FROM customer ORDER BY c_acctbal DESC, c_name LIMIT 20")
 def r8_top_models(spark, sf_dir):
     models = table(spark, sf_dir, "customer").selectExpr("c_name AS model", "c_acctbal AS downloads")

@@ -72,8 +72,8 @@ def answers(spark, sf_dir):
 
 
 def responses(spark, sf_dir):
-    """``doc_id, prompt, response``."""
-    paired = P.pair_responses(answers(spark, sf_dir), problems(spark, sf_dir))
+    """``doc_id, prompt, response`` of every response; each must have its prompt, which one class repeats."""
+    paired = P.pair_all(answers(spark, sf_dir), problems(spark, sf_dir), unanswered="skip")
     return paired.select("doc_id", "prompt", F.expr(WRAPPED).alias("response"))
 
 
@@ -162,6 +162,18 @@ def t7_render_prompts(spark, sf_dir):
     return P.render_prompts(tests, P.TASK_PROMPT, P.TASK_TARGET).select("doc_id", "rendered_prompt", "rendered_target")
 
 
+@query(
+    "t7_render_fewshot",
+    """SELECT doc_id, lang AS rendered_prompt, text || chr(10) || '```' AS rendered_target FROM (
+         SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents) WHERE n <= 3""",
+)
+def t7_render_fewshot(spark, sf_dir):
+    """The worked examples of each task: their target is the code and the fence that ends it."""
+    docs = P.first_n(table(spark, sf_dir, "documents"), P.FEWSHOT_EXAMPLES, ["doc_id"], ["source"])
+    done = P.render_prompts(docs, "{lang}", P.FEWSHOT_TARGET, code="text")
+    return done.select("doc_id", "rendered_prompt", "rendered_target")
+
+
 @query(
     "t7_render_completion_prompts",
     """SELECT doc_id,

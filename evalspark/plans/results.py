@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evalspark.functions.names import short_model, slugify
+from evalspark.functions.names import score_label, short_model, slugify
 from evalspark.operators import flatten as FL
 from evalspark.operators import results as Q
 from evalspark.plans.bindings import B1_SQL, flat_results, stamp_text, table
@@ -121,6 +121,12 @@ def q6_score_label(spark, sf_dir):
     return Q.labelled(rows(spark, sf_dir).where("value IS NOT NULL")).select("shard_key", "text")
 
 
+@query("q6_score_label_ties", "SELECT event_id, printf('%.3f', (event_id % 40000) / 16.0) AS label FROM events")
+def q6_score_label_ties(spark, sf_dir):
+    """Numbers half way between two labels, which the binary value decides."""
+    return table(spark, sf_dir, "events").select("event_id", score_label((F.col("event_id") % 40000) / 16.0).alias("label"))
+
+
 @query(
     "q7_trend",
     f"""WITH {B1_SQL} SELECT ts_text, model_short, value FROM b1

@@ -54,6 +54,7 @@ keyed AS (
            || ',"results":[' || coalesce(results, '') || ']}}' AS payload
   FROM orders LEFT JOIN parts USING (o_orderkey)
 )"""
+_COPIES = 4
 _KEY_SQL = "'data/run-' || stem || '-' || left(sha256(payload), 8) || '.parquet'"
 
 
@@ -113,6 +114,58 @@ def s7_append_new(spark, sf_dir):
     return _stored(spark, path)
 
 
+@query(
+    "s7_append_new_colliding_keys",
+    f"""WITH {_PAYLOAD_SQL}, c AS (SELECT unnest(range({_COPIES})) AS copy, n_rows FROM keyed WHERE n_rows > 0 AND o_orderkey % 5 = 0)
+        SELECT copy, count(*) AS n_runs, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM c GROUP BY copy""",
+)
+def s7_append_new_colliding_keys(spark, sf_dir):
+    """Runs that share the name of their shard but not their content are all stored: the name is made equal here."""
+    path = new_shared_path(spark, "colliding")
+    runs = order_envelopes(spark, sf_dir).where("o_orderkey % 5 = 0 AND size(results) > 0")
+    copies = runs.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(_COPIES - 1))))
+    copies = copies.withColumn("model_revision", F.col("copy").cast("string"))
+    one_name = ST.new_runs(copies, ST.read_keys(spark, path)).withColumn("shard_key", F.lit("data/run-of-one-name.parquet"))
+    ST.write_results(ST.flatten(one_name, ["shard_key", "content_sha"]).withColumn("timestamp", F.to_timestamp("timestamp")), path)
+    stored = read_shards(spark, path, flat_schema())
+    per_copy = stored.groupBy(F.col("model_revision").cast("bigint").alias("copy"))
+    return per_copy.agg(F.countDistinct("content_sha").alias("n_runs"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("s7_append_new_compacted", _STORED_SQL)
+def s7_append_new_compacted(spark, sf_dir):
+    """A store of several batches, one of them stored twice over by two publishers at once, written anew with each run once."""
+    path = new_shared_path(spark, "store")
+    runs = order_envelopes(spark, sf_dir)
+    ST.append_new(runs.where("suite = 'coding'"), path, "first")
+    ST.write_results(ST.publishable_rows(runs.where("suite = 'coding' AND size(results) > 0")), path, "second")
+    ST.write_keys(spark, path, "second")
+    ST.append_new(runs, path, "third")
+    ST.compact(spark, path, f"{path}-compacted")
+    return _stored(spark, f"{path}-compacted")
+
+
+@query(
+    "s4_write_results_odd_times",
+    """SELECT CASE o_orderkey % 4 WHEN 0 THEN 'refused' ELSE 'stored' END AS fate, count(*) AS n FROM orders
+       WHERE o_orderkey % 4 <> 0 OR o_orderkey % 8 = 4 GROUP BY 1""",
+)
+def s4_write_results_odd_times(spark, sf_dir):
+    """Times in lower case and with an offset are stored, one that is no time is refused, and the others are not lost."""
+    path = new_shared_path(spark, "times")
+    runs = order_envelopes(spark, sf_dir)
+    stamp = F.col("timestamp")
+    odd = F.when(F.col("o_orderkey") % 8 == 4, "yesterday at noon").when(F.col("o_orderkey") % 4 == 1, F.lower(stamp))
+    odd = odd.when(F.col("o_orderkey") % 4 == 2, F.replace(stamp, F.lit("Z"), F.lit("+02:00"))).otherwise(stamp)
+    one = F.expr("named_struct('name', 'n', 'metric', 'm', 'value', 1.0D, 'unit', 'u', 'duration_seconds', CAST(NULL AS DOUBLE), 'tags', CAST(map() AS map<string,string>))")
+    runs = runs.where("o_orderkey % 4 <> 0 OR o_orderkey % 8 = 4").withColumns({"timestamp": odd, "results": F.array(one)})
+    good, bad = ST.split_empty(runs, ["o_orderkey"])
+    ST.write_results(ST.publishable_rows(good), path)
+    stored = read_shards(spark, path, flat_schema()).where("timestamp IS NOT NULL").select(F.lit("stored").alias("fate"))
+    refused = bad.where(F.col("reason") == ST.NO_INSTANT).select(F.lit("refused").alias("fate"))
+    return stored.unionByName(refused).groupBy("fate").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "s2_read_shards",
     f"""WITH {B1_SQL} SELECT shard_key, ts_text, model, model_short, value, k,
@@ -161,6 +214,7 @@ def s8_stream_results(spark, sf_dir):
         rows.where(metrics).write.mode("append").parquet(shards)
     stream = SR.stream_results(spark, shards, flat_schema(), maxFilesPerTrigger="1")
     SR.start_latest(stream, state, state + "-checkpoint", once=True).awaitTermination()
+    SR.snapshot_latest(spark, state)
     return SR.read_latest(spark, state).select("suite", "name", "metric", "model", "value", stamp_text().alias("ts_text"))
 
 
@@ -179,14 +233,14 @@ def _numbered_context(docs):
     return _context(docs).withColumn("git_sha", F.lpad(F.col("id").cast("string"), 8, "0"))
 
 
-def _convert_stream(spark, sf_dir):
-    base = new_shared_path(spark, "convert")
+def _convert_stream(spark, sf_dir, base=None, checkpoint="checkpoint"):
+    base = base or new_shared_path(spark, "convert")
     docs = raw_task_documents(spark, sf_dir)
     numbered = docs.select(F.concat(F.lit('{"run": '), F.col("id").cast("string"), F.lit(", "), F.expr("substring(raw, 2)")))
-    numbered.write.text(f"{base}/raw")
+    numbered.write.mode("ignore").text(f"{base}/raw")
     arriving = SC.stream_raw(spark, f"{base}/raw", lines=True)
     query_ = SC.start_convert(
-        arriving, "lm-eval", ["path"], f"{base}/out", f"{base}/rejects", f"{base}/checkpoint", _context, ingest_time(), once=True
+        arriving, "lm-eval", ["path"], f"{base}/out", f"{base}/rejects", f"{base}/{checkpoint}", _context, ingest_time(), once=True
     )
     query_.awaitTermination()
     return f"{base}/out", f"{base}/rejects"
@@ -203,6 +257,40 @@ def s9_stream_convert(spark, sf_dir):
     return read_shards(spark, out, flat_schema()).select("name", "metric", "value", "unit", "seed")
 
 
+@query(
+    "s9_two_streams",
+    f"""WITH {EV_SQL}, {MEASUREMENTS_SQL} SELECT 'stream' AS origin, task AS name, metric, count(*) AS n FROM mm WHERE {READABLE} GROUP BY ALL
+        UNION ALL SELECT 'batch', task, metric, count(*) FROM mm WHERE {READABLE} GROUP BY ALL""",
+)
+def s9_two_streams(spark, sf_dir):
+    """A stream, a second one with a checkpoint of its own and a batch on one store: nothing is overwritten or doubled."""
+    base = new_shared_path(spark, "convert")
+    _convert_stream(spark, sf_dir, base, "first")
+    _convert_stream(spark, sf_dir, base, "second")
+    docs = raw_task_documents(spark, sf_dir).select("id", "raw")
+    publish(docs, "lm-eval", ["id"], f"{base}/out", f"{base}/rejects", _numbered_context, ingest_time())
+    rows = read_shards(spark, f"{base}/out", flat_schema())
+    origin = F.when(F.length("git_sha") == 8, "batch").otherwise("stream")
+    return rows.groupBy(origin.alias("origin"), "name", "metric").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "s1_read_loose_json",
+    """SELECT event_id, CASE WHEN event_id % 3 = 2 THEN 'not finite' ELSE CAST(event_id AS VARCHAR) END AS last, event_id % 2 = 0 AS has_nan
+       FROM events""",
+)
+def s1_read_loose_json(spark, sf_dir):
+    """Documents with repeated keys, of which the last counts, and with numbers that are not finite."""
+    raw = F.concat(
+        F.lit('{"v": -1, "v": '), F.when(F.col("event_id") % 3 == 2, "-Infinity").otherwise(F.col("event_id").cast("string")),
+        F.lit(', "e": '), F.when(F.col("event_id") % 2 == 0, "NaN").otherwise("1"), F.lit("}"),
+    )
+    docs = RAW.parse_documents(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", raw.alias("raw")))
+    v, e = F.try_variant_get("doc", "$.v", "double"), F.try_variant_get("doc", "$.e", "double")
+    last = F.when(F.abs(v) == float("inf"), "not finite").otherwise(v.cast("bigint").cast("string"))
+    return docs.select("event_id", last.alias("last"), F.isnan(e).alias("has_nan"))
+
+
 def _batch(spark, sf_dir):
     docs = raw_task_documents(spark, sf_dir).select("id", "raw")
     return docs, new_shared_path(spark, "published")

@@ -109,7 +109,7 @@ FLAT_DDL = """
 schema_version STRING, timestamp TIMESTAMP, git_sha STRING, trigger STRING, suite STRING, model STRING,
 os STRING, chip STRING, memory_gb BIGINT, model_revision STRING, quantization STRING, seed BIGINT,
 name STRING, metric STRING, value DOUBLE, unit STRING, duration_seconds DOUBLE,
-tags MAP<STRING, STRING>, shard_key STRING
+tags MAP<STRING, STRING>, shard_key STRING, content_sha STRING
 """
 
 # The columns every result query may rely on, for a dataset that has no shards yet.

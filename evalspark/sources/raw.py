@@ -19,8 +19,13 @@ def load_text(spark: SparkSession, path: str | list[str], lines: bool = False) -
 
 
 def parse_documents(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Add ``doc``; it is NULL where the text is not strict JSON (NaN and repeated keys included)."""
-    return computed_once(df.withColumn("doc", F.try_parse_json(raw)))
+    """Add ``doc``; it is NULL where the text is not JSON.
+
+    Beyond strict JSON, what common tools write is read: ``NaN`` and ``Infinity`` are numbers that are not finite, and
+    of a repeated key the last value counts. For the latter the session's setting is switched on.
+    """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return computed_once(df.withColumn("doc", F.from_json(raw, "variant")))
 
 
 def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

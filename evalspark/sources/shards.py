@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evalspark.functions.names import short_model
+from evalspark.functions.times import instant
 from evalspark.schemas import RESULT_COLUMNS_DDL, flat_schema
 
 
@@ -21,21 +22,23 @@ def empty_results(spark: SparkSession, schema: T.StructType | None = None) -> Da
 def with_derived(df: DataFrame) -> DataFrame:
     """``timestamp`` as an instant, where a shard holds text, and ``model_short``."""
     if isinstance(df.schema["timestamp"].dataType, T.StringType):
-        df = df.withColumn("timestamp", F.to_timestamp("timestamp"))
+        df = df.withColumn("timestamp", instant(F.col("timestamp")))
     return df.withColumn("model_short", short_model(F.col("model")))
 
 
-def read_shards(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, schema: T.StructType | None = None, keep_batch: bool = False) -> DataFrame:
     """All shards under ``path``, united by column name; a column a shard lacks is NULL there.
 
     The schema is given, not merged from the files: a column that was all NULL in one run is stored with a
     made-up type and would not merge. It also spares a job over the footers of every shard. A path that does
-    not exist yet is an empty dataset.
+    not exist yet is an empty dataset. ``keep_batch`` adds the batch that stored a row.
     """
     schema = schema or flat_schema()
+    batched = T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())])
     try:
-        return with_derived(spark.read.schema(schema).parquet(path))
+        rows = with_derived(spark.read.schema(batched).parquet(path))
+        return rows if keep_batch else rows.drop("batch_id")
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return empty_results(spark, schema)
+            return empty_results(spark, batched if keep_batch else schema)
         raise

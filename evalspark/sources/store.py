@@ -1,17 +1,30 @@
-"""Writing the result dataset: content keys, dry run, append once."""
+"""Writing the result dataset: content keys, dry run, append once, compaction.
+
+The rows of a batch stand under ``batch_id=<batch>/suite=<suite>``, whether a batch job or a stream wrote them, and one
+row per run in a table of keys beside them, ``<path>_keys``, by suite and sorted by day. Identity is the full digest of a run's
+content; the short digest in the shard's name is for reading.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evalspark.functions.names import slugify
+from evalspark.functions.times import instant
 from evalspark.operators.flatten import BASE, OPTIONAL, canonical_results, flatten
 from evalspark.schemas import flat_schema
 from evalspark.sources.shards import read_shards
 
-NO_ROWS = "No result rows to serialize: envelope has empty results[]"
+NO_ROWS = "the run has no measurement to store"
+NO_INSTANT = "the timestamp is no point in time"
+KEYS_DDL = "content_sha STRING, shard_key STRING, batch_id STRING, suite STRING, day DATE"
+# Suites of a batch that are named in the filter on the keys; a batch with more is filtered by its days alone.
+MOST_SUITES = 1_000
 
 
 def canonical_payload(
@@ -29,7 +42,10 @@ def canonical_payload(
 
 
 def shard_key(payload: Column | None = None) -> Column:
-    """Path of a run's shard from its envelope columns; with a payload it ends in the content's digest."""
+    """Path of a run's shard from its envelope columns; with a payload it ends in the content's short digest.
+
+    A name, not an identity: different runs can have the same one.
+    """
     when = F.regexp_replace(F.translate("timestamp", ":", "-"), "Z+\\z", "")
     slug = F.left(slugify(F.col("model")), F.lit(50))
     prefix = F.concat(F.lit("data/run-"), F.concat_ws("-", when, F.col("git_sha"), F.col("suite"), slug))
@@ -39,15 +55,20 @@ def shard_key(payload: Column | None = None) -> Column:
 
 
 def with_shard_key(envelopes: DataFrame) -> DataFrame:
-    """Add ``payload`` and ``shard_key``; a narrow step, each run's content is inside its row."""
+    """Add ``payload``, ``content_sha`` and ``shard_key``; a narrow step, each run's content is inside its row."""
     keyed = envelopes.withColumn("payload", canonical_payload())
-    return keyed.withColumn("shard_key", shard_key(F.col("payload")))
+    return keyed.withColumns({"content_sha": F.sha2("payload", 256), "shard_key": shard_key(F.col("payload"))})
+
+
+def no_instant(timestamp: str = "timestamp") -> Column:
+    """Whether a time is stated that cannot be stored."""
+    return F.col(timestamp).isNotNull() & instant(F.col(timestamp)).isNull()
 
 
 def split_empty(envelopes: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
-    """``(publishable, rejects)``: a run without a single measurement is refused."""
-    empty = F.coalesce(F.size("results"), F.lit(0)) <= 0
-    return envelopes.where(~empty), envelopes.where(empty).select(*keep, F.lit(NO_ROWS).alias("reason"))
+    """``(publishable, rejects)``: a run without a single measurement, or of an impossible time, is refused."""
+    reason = F.when(F.coalesce(F.size("results"), F.lit(0)) <= 0, NO_ROWS).when(no_instant(), NO_INSTANT)
+    return envelopes.where(reason.isNull()), envelopes.where(reason.isNotNull()).select(*keep, reason.alias("reason"))
 
 
 def publish_plan(envelopes: DataFrame, keep: list[str]) -> DataFrame:
@@ -62,59 +83,119 @@ def publish_plan(envelopes: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def publishable_rows(envelopes: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Flat rows ready to store: with their shard's key and the time as an instant."""
-    rows = flatten(with_shard_key(envelopes), [*(keep or []), "shard_key"])
-    return rows.withColumn("timestamp", F.to_timestamp("timestamp"))
+    """Flat rows ready to store: with their shard's key, the run's digest and the time as an instant."""
+    rows = flatten(with_shard_key(envelopes), [*(keep or []), "shard_key", "content_sha"])
+    return rows.withColumn("timestamp", instant(F.col("timestamp")))
+
 
+def new_batch() -> str:
+    return f"batch-{uuid.uuid4().hex}"
 
-def write_results(rows: DataFrame, path: str, mode: str = "append", partition_by: tuple[str, ...] = ("suite",)) -> None:
-    """Store flat rows as Parquet, one directory per suite.
+
+def write_results(rows: DataFrame, path: str, batch_id: str | None = None, partition_by: tuple[str, ...] = ("suite",)) -> None:
+    """Store flat rows as Parquet in the directory of a batch, one directory per suite in it.
 
     The rebalance hint evens out file sizes: small partitions are joined, and a suite that holds most of the rows
     is spread over many files.
     """
     balanced = rows.hint("rebalance", *[F.col(c) for c in partition_by])
-    balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    balanced.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id or new_batch()}")
 
 
 def distinct_runs(envelopes: DataFrame) -> DataFrame:
-    """One envelope per content key. Equal keys are equal content, so which copy stays does not matter.
+    """One envelope per content. The digest is of 256 bits, so equal digests are equal content and any copy may stay.
 
     A run submitted many times shrinks to one row per task before the shuffle.
     """
-    return with_shard_key(envelopes).dropDuplicates(["shard_key"])
+    return with_shard_key(envelopes).dropDuplicates(["content_sha"])
 
 
-def new_runs(envelopes: DataFrame, existing_keys: DataFrame) -> DataFrame:
+def new_runs(envelopes: DataFrame, existing: DataFrame) -> DataFrame:
     """Distinct runs of a batch that are not stored yet."""
-    return distinct_runs(envelopes).join(existing_keys.select("shard_key").distinct(), "shard_key", "left_anti")
+    return distinct_runs(envelopes).join(existing.select("content_sha"), "content_sha", "left_anti")
 
 
-def stored_keys(spark: SparkSession, path: str, other_than: int | None = None) -> DataFrame:
-    """Keys in the store; only the key column is read. ``other_than`` leaves one batch out."""
-    if other_than is None:
-        return read_shards(spark, path, flat_schema()).select("shard_key")
-    rows = read_shards(spark, path, flat_schema().add("batch_id", T.LongType()))
-    return rows.where(F.col("batch_id") != other_than).select("shard_key")
+def read_keys(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run and batch that stored it."""
+    schema = T.StructType.fromDDL(KEYS_DDL)
+    try:
+        return spark.read.schema(schema).parquet(f"{path}_keys").select(*schema.names)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
 
-def append_new(envelopes: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append the runs of a batch the store does not have. Publishing the same content again changes nothing.
+def stored_keys(keys: DataFrame, runs: DataFrame | None = None, other_than: str | None = None) -> DataFrame:
+    """Keys in the store; with ``runs`` only of their suites and days, ``other_than`` leaves one batch out.
 
-    A lost executor is no matter: only the output of a finished job is committed. With a ``batch_id`` a lost driver is
-    none either. The batch then has a directory of its own, which is overwritten when the batch is started again, so a
-    commit that stopped half way is replaced and not taken for stored. A store is written in one of the two ways.
+    Equal content has equal suite and time, so nothing outside can match: other suites are never opened, and other days
+    are skipped by the statistics of the files, which are sorted by day.
     """
-    fresh = new_runs(envelopes, stored_keys(envelopes.sparkSession, path, batch_id))
-    rows = flatten(fresh, ["shard_key"]).withColumn("timestamp", F.to_timestamp("timestamp"))
-    if batch_id is None:
-        write_results(rows, path)
+    if other_than is not None:
+        keys = keys.where(F.col("batch_id") != other_than)
+    if runs is None:
+        return keys
+    day = F.to_date(instant(F.col("timestamp")))
+    found = runs.groupBy("suite").agg(F.min(day).alias("a"), F.max(day).alias("b"), F.count_if(day.isNull()).alias("n"))
+    found = found.limit(MOST_SUITES + 1).collect()
+    if len(found) > MOST_SUITES:
+        total = runs.agg(F.min(day).alias("a"), F.max(day).alias("b"), F.count_if(day.isNull()).alias("n")).first()
+        found, suites = [total], None
     else:
-        write_results(rows, f"{path}/batch_id={batch_id}", mode="overwrite")
+        suites = [r.suite for r in found]
+    dates = [d for r in found for d in (r.a, r.b) if d is not None]
+    in_days = F.col("day").between(min(dates), max(dates)) if dates else F.lit(False)
+    if any(r.n for r in found):
+        in_days = in_days | F.col("day").isNull()
+    if suites is not None:
+        of_suite = F.col("suite").isin([s for s in suites if s is not None])
+        in_days = in_days & (of_suite | F.col("suite").isNull() if None in suites else of_suite)
+    return keys.where(in_days)
+
+
+def append_new(envelopes: DataFrame, path: str, batch_id: str | None = None) -> None:
+    """Append the runs of a batch the store does not have. Publishing the same content again changes nothing.
 
+    Every batch has a directory of its own, so nothing that another batch wrote is ever touched. A lost executor is no
+    matter: only the output of a finished job is committed. With a ``batch_id``, which nobody else may use, a lost
+    driver is none either: the batch is started again under its name and replaces what it left half done. The keys are
+    written after the rows. Two batches at once may both store a run; :func:`compact` keeps one.
+    """
+    spark = envelopes.sparkSession
+    batch = batch_id or new_batch()
+    fresh = new_runs(envelopes, stored_keys(read_keys(spark, path), envelopes, batch))
+    rows = flatten(fresh, ["shard_key", "content_sha"]).withColumn("timestamp", instant(F.col("timestamp")))
+    write_results(rows, path, batch)
+    write_keys(spark, path, batch)
+
+
+def write_keys(spark: SparkSession, path: str, batch: str) -> None:
+    """The keys of a batch from the rows it has stored: four columns, one row per run."""
+    try:
+        rows = spark.read.schema(flat_schema()).parquet(f"{path}/batch_id={batch}")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return
+    keys = rows.select("content_sha", "shard_key", "suite", F.to_date("timestamp").alias("day")).distinct()
+    keys = keys.hint("rebalance", F.col("suite")).sortWithinPartitions("suite", "day")
+    keys.write.mode("overwrite").partitionBy("suite").parquet(f"{path}_keys/batch_id={batch}")
+
+
+def compact(spark: SparkSession, path: str, into: str) -> None:
+    """Write the store anew under ``into`` as one batch: few large files, each run once.
+
+    The old store stays as it is; readers and writers are pointed to the new one when it is done. A run that several
+    batches stored is taken from the batch whose name sorts first.
+    """
+    chosen = read_keys(spark, path).groupBy("content_sha").agg(F.min("batch_id").alias("batch_id"))
+    rows = read_shards(spark, path, flat_schema(), keep_batch=True).drop("model_short")
+    kept = rows.join(chosen, ["content_sha", "batch_id"], "left_semi").drop("batch_id")
+    batch = new_batch()
+    write_results(kept, into, batch)
+    write_keys(spark, into, batch)
 
-def write_rejects(rejects: DataFrame, path: str, batch_id: int | None = None) -> None:
-    if batch_id is None:
-        rejects.write.mode("append").parquet(path)
-    else:
-        rejects.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+def write_rejects(rejects: DataFrame, path: str, batch_id: str | None = None) -> None:
+    rejects.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id or new_batch()}")

@@ -54,6 +54,44 @@ def test_call_lists_are_ordered(spark):
     assert [c["tool"] for c in A.tool_call_lists(df).first()["tool_calls"]] == ["z", "b", "a"]
 
 
+def test_call_lists_have_every_run_and_end_with_it(spark):
+    many = [(f"t{i}", "{}") for i in range(2)]
+    rows = [
+        (1, 0, 0, "user", "q", None, None, None),
+        (2, 1, 1, "assistant", "done", [], 0, 0),
+        (2, 2, 2, "assistant", "", [("after", "{}")], 0, 0),
+        *[(3, i, i, "assistant", "", [(f"s{i}", "{}")], 0, 0) for i in range(1, 12)],
+        (4, 1, 1, "assistant", "", many[:1], 0, 0),
+        (4, 1, 2, "assistant", "", many, 0, 0),
+    ]
+    got = {r["run_id"]: [c["tool"] for c in r["tool_calls"]] for r in A.tool_call_lists(transcript(spark, rows)).collect()}
+    assert got == {1: [], 2: [], 3: [f"s{i}" for i in range(1, 12)], 4: ["t0", "t1"]}
+    bounded = {r["run_id"]: len(r["tool_calls"]) for r in A.tool_call_lists(transcript(spark, rows), max_steps=5).collect()}
+    assert bounded[3] == 5
+
+
+def test_late_messages_do_not_stretch_a_run(spark):
+    rows = [(9, 0, 0, "user", "q", None, None, None), *[(9, i, 2 * i, "assistant", "", CALL, 1, 1) for i in range(1, 7)], (9, 6, 50, "tool", "late", None, None, None)]
+    (run,) = A.summarize_runs(transcript(spark, rows)).collect()
+    assert (run["steps"], run["latency"]) == (5, 10.0)
+
+
+def test_runs_as_envelopes(spark):
+    df = spark.sql("SELECT 1 AS run_id, 'm/x' AS model, 'fw' AS framework, true AS passed, 2.5D AS latency, 10L AS input_tokens, 3L AS output_tokens, "
+                   "timestamp'2026-01-01 10:00:00' AS ended")
+    row = A.runs_to_envelopes(df).first()
+    assert (row["model"], row["suite"], row["timestamp"]) == ("m/x", "framework-eval", "2026-01-01T10:00:00.000000Z")
+    assert {r["metric"]: r["value"] for r in row["results"]} == {"score": 1.0, "latency": 2.5, "input_tokens": 10.0, "output_tokens": 3.0}
+
+
+def test_reports_without_a_key(spark):
+    df = spark.createDataFrame([("a", 0.5, True), ("b", 0.75, True), ("c", 0.9, False)], "model string, score double, valid boolean")
+    assert {(r["model"], r["gap"]) for r in R.score_gap(df, [], "a").collect()} == {("a", 0.0), ("b", 0.25)}
+    assert all(r["gap"] is None for r in R.score_gap(df, [], "nobody").collect())
+    runs = spark.createDataFrame([("a", 10.0, 5), ("b", 10.0, 20)], "model string, total_seconds double, examples int")
+    assert {(r["model"], r["speed_ratio"]) for r in R.per_example_cost(runs, [], "a").collect()} == {("a", 1.0), ("b", 4.0)}
+
+
 def test_call_status(spark):
     ok, gone = "/tmp/eval-test.txt", "/tmp/gone.txt"
     cases = [

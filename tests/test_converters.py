@@ -13,7 +13,7 @@ from evalspark.operators import task_eval as T
 from evalspark.operators import validate as VA
 from evalspark.operators.flatten import flatten, tag_keys, tags_to_columns
 from evalspark.sources.raw import parse_documents, read_raw
-from fixtures import SERVING_DOCUMENT, TASK_DOCUMENT
+from fixtures import MODEL, SERVING_DOCUMENT, TASK, TASK_DOCUMENT
 
 SYSTEM = "named_struct('os', 'o', 'chip', 'c', 'memory_gb', 8L)"
 
@@ -41,14 +41,14 @@ def one(spark, raw, **kw):
 def test_task_document_golden(spark):
     e = one(spark, TASK_DOCUMENT)
     assert e["problems"] == []
-    assert e["timestamp"] == "2025-12-25T05:20:00Z"
-    assert e["model"] == "mlx-community/Qwen3.5-9B-MLX-4bit"
-    assert e["gen_kwargs"] == {"max_gen_toks": 4096, "temperature": 0.0, "top_p": None, "top_k": None}
+    assert e["timestamp"] == "2025-06-15T15:06:40Z"
+    assert e["model"] == MODEL
+    assert e["gen_kwargs"] == {"max_gen_toks": 2000, "temperature": 0.5, "top_p": None, "top_k": None}
     assert e["seed"] is None and e["model_revision"] is None and e["errors"] == [] and e["trigger"] == "local"
-    shared = {"total_eval_time_s": "123.45", "n_limit": "10", "max_gen_toks": "4096"}
+    shared = {"total_eval_time_s": "61.75", "n_limit": "16", "max_gen_toks": "2000"}
     got = {r["metric"]: r for r in e["results"]}
     assert set(got) == {"exact_match_flexible", "exact_match_strict"}
-    assert got["exact_match_flexible"]["value"] == 0.7 and got["exact_match_strict"]["value"] == 0.5
+    assert got["exact_match_flexible"]["value"] == 0.375 and got["exact_match_strict"]["value"] == 0.25
     assert got["exact_match_flexible"]["tags"] == {"lm_eval_key": "exact_match,flexible-extract", **shared}
     assert all(r["unit"] == "ratio" and r["duration_seconds"] is None for r in e["results"])
 
@@ -64,23 +64,23 @@ def test_serving_document_golden(spark):
     e = one(spark, SERVING_DOCUMENT, kind="vllm", tags={"input_len": "256", "completed_requests": "0"})
     got = {r["metric"]: (r["value"], r["unit"]) for r in e["results"]}
     assert got == {
-        "throughput_output_toks_per_s": (42.5, "tok/s"),
-        "throughput_total_toks_per_s": (85.1, "tok/s"),
-        "throughput_requests_per_s": (1.664, "req/s"),
-        "ttft_p50_ms": (42.1, "ms"),
-        "ttft_p99_ms": (89.2, "ms"),
-        "itl_p50_ms": (11.8, "ms"),
-        "itl_p99_ms": (19.2, "ms"),
-        "tpot_p50_ms": (11.8, "ms"),
-        "tpot_p99_ms": (19.2, "ms"),
+        "throughput_output_toks_per_s": (640.0, "tok/s"),
+        "throughput_total_toks_per_s": (1040.0, "tok/s"),
+        "throughput_requests_per_s": (3.25, "req/s"),
+        "ttft_p50_ms": (10.0, "ms"),
+        "ttft_p99_ms": (30.0, "ms"),
+        "tpot_p50_ms": (20.0, "ms"),
+        "tpot_p99_ms": (60.0, "ms"),
+        "itl_p50_ms": (30.0, "ms"),
+        "itl_p99_ms": (90.0, "ms"),
     }
     tags = {
         "input_len": "256",
-        "completed_requests": "100",
-        "total_input_tokens": "25600",
-        "total_output_tokens": "25600",
+        "completed_requests": "40",
+        "total_input_tokens": "5000",
+        "total_output_tokens": "8000",
     }
-    assert all(r["name"] == "benchmark_serving" and r["duration_seconds"] == 60.12 and r["tags"] == tags for r in e["results"])
+    assert all(r["name"] == "benchmark_serving" and r["duration_seconds"] == 12.5 and r["tags"] == tags for r in e["results"])
     assert e["timestamp"] == "2026-01-02T03:04:05Z" and e["gen_kwargs"] is None
 
 
@@ -113,13 +113,14 @@ def test_no_measurements_is_an_envelope(spark):
 def test_unreadable_documents_are_named(spark):
     raws = [
         "{this is not json",
-        '{"results": {"t": {"m": NaN}}}',
+        '{"results": {"t": {"m": NaN}',
         "[1]",
         '{"config": "text"}',
         '{"config": {"model_args": "a=b"}}',
         '{"results": {"t": 5}}',
         '{"date": 1e30}',
         '{"config": {"seed": true}}',
+        '{"config": {"seed": 18446744073709551615}}',
     ]
     rejects = C.split_converted(converted(spark, raws), ["id"])[1]
     assert {r["id"]: r["reason"] for r in rejects.collect()} == {
@@ -131,6 +132,7 @@ def test_unreadable_documents_are_named(spark):
         5: "metrics are not an object: t",
         6: "date is out of range",
         7: "config.seed is a boolean",
+        8: "config.seed does not fit 64 bits",
     }
 
 
@@ -167,7 +169,7 @@ def test_document_overrides_tags_of_the_caller(spark):
 
 
 def test_unknown_kind(spark):
-    with pytest.raises(ValueError, match="Unknown converter kind"):
+    with pytest.raises(ValueError, match="no converter for 'no-such-tool'"):
         converted(spark, ["{}"], kind="no-such-tool")
 
 
@@ -210,7 +212,7 @@ def test_tags_to_columns_takes_the_union_of_keys(spark):
 
 def test_flat_row_of_an_envelope(spark):
     row = flatten(converted(spark, [TASK_DOCUMENT]), ["id"]).where("metric = 'exact_match_strict'").first()
-    assert (row["os"], row["chip"], row["memory_gb"], row["suite"], row["value"]) == ("o", "c", 8, "reasoning", 0.5)
+    assert (row["os"], row["chip"], row["memory_gb"], row["suite"], row["value"]) == ("o", "c", 8, "reasoning", 0.25)
 
 
 def test_float_text_equals_shortest_text(spark):
@@ -238,11 +240,27 @@ def test_explode_equals_in_row_form(spark):
     df = parse_documents(spark.createDataFrame([(1, TASK_DOCUMENT)], "id int, raw string"))
     rows = T.explode_task_metrics(df).where(T.is_measurement(F.col("metric_key"), F.col("metric_value"))).collect()
     assert {(r["task"], r["metric_key"]) for r in rows} == {
-        ("gsm8k_cot_zeroshot", "exact_match,flexible-extract"),
-        ("gsm8k_cot_zeroshot", "exact_match,strict-match"),
+        (TASK, "exact_match,flexible-extract"),
+        (TASK, "exact_match,strict-match"),
     }
 
 
+def test_what_common_tools_write_beyond_strict_json(spark):
+    e = one(spark, '{"model_name": "a", "model_name": "b", "results": {"t": {"acc,none": 0.5, "acc_stderr,none": NaN, "x": Infinity, "y": NaN}}}')
+    got = {r["metric"]: r["value"] for r in e["results"]}
+    assert e["model"] == "b" and e["problems"] == [] and set(got) == {"accuracy", "x", "y"}
+    assert got["accuracy"] == 0.5 and got["x"] == math.inf and math.isnan(got["y"])
+
+
+def test_only_wanted_columns_are_made(spark):
+    df = context(parse_documents(spark.createDataFrame([(0, TASK_DOCUMENT)], "id int, raw string")))
+    done = C.convert(C.fill_run_context(df), "lm-eval", ["id"], F.lit("2026-01-01").cast("timestamp"), ["model", "results"], with_tags=False)
+    assert done.columns == ["id", "problems", "model", "results"]
+    text = flatten(C.split_converted(done, ["id"])[0], ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(word in text for word in ("map_concat", "memory_snapshots", "quantization", "model_revision"))
+    assert flatten(done, ["id"]).first()["value"] in (0.25, 0.375)
+
+
 def test_double_bits_are_kept(spark):
     raw = '{"results": {"t": {"a": 0.1, "b": 1e-320, "c": 123456789012345678901234567890}}}'
     got = {r["metric"]: r["value"] for r in one(spark, raw)["results"]}

@@ -17,35 +17,49 @@ PIECES = [
 ]
 
 
-def strip(text):
-    text = re.sub(r"<think>.*?</think>", "", text, flags=re.S)
-    text = re.sub(r"\AThinking Process:.*?(?=```python|```\n|Here is|My solution|$)", "", text, flags=re.S)
-    return text.lstrip()
-
-
-def code_of(text):
-    blocks = re.findall(r"```python\n(.*?)\n?```", text, flags=re.S) or re.findall(r"```\w*\n(.*?)\n?```", text, flags=re.S)
-    return blocks[-1] if blocks else ""
+PY, JS, END = "```python\n", "```js\n", "\n```"
+# response, prompt, what is left of it, its code, the program
+CASES = [
+    ("", "p", "", "", "p"),
+    ("  \n x", "", "x", "", "x"),
+    ("<think>a\nb</think>\n\ny", "", "y", "", "y"),
+    ("<think>a</think>b<think>c</think>d", "", "bd", "", "bd"),
+    ("<think>never closed", "", "<think>never closed", "", "<think>never closed"),
+    ("Thinking Process: 1. 2. Here is z", "", "Here is z", "", "Here is z"),
+    ("Thinking Process: all of it", "p", "", "", "p"),
+    ("x Thinking Process: stays", "", "x Thinking Process: stays", "", "x Thinking Process: stays"),
+    (f"Thinking Process: a {PY}return 1{END}", "p ", f"{PY}return 1{END}", "return 1", "p return 1"),
+    (f"a {PY}b = 1{END} c {PY}c = 2{END} d", "p", f"a {PY}b = 1{END} c {PY}c = 2{END} d", "c = 2", "pa "),
+    (f"a {JS}return 1;{END}", "", f"a {JS}return 1;{END}", "return 1;", "return 1;"),
+    (f"{JS}return 1;{END}{PY}x = 1{END}", "", f"{JS}return 1;{END}{PY}x = 1{END}", "x = 1", ""),
+    (f"{PY}def f():\n    return 2{END}", "def f():", f"{PY}def f():\n    return 2{END}", "def f():\n    return 2", "def f():\n    return 2"),
+    (f"{PY}def f():\n    return 2{END}", "def f():  \n", f"{PY}def f():\n    return 2{END}", "def f():\n    return 2", "def f():\n    return 2"),
+    (f"{PY}def f():\n    return 2{END}", "def g():\n", f"{PY}def f():\n    return 2{END}", "def f():\n    return 2", "def g():\ndef f():\n    return 2"),
+    (f"{PY}open block", "p", f"{PY}open block", "", "p"),
+    (f"{PY}{END}", "p", f"{PY}{END}", "", "p"),
+    ("é 日本 $1 \\", "", "é 日本 $1 \\", "", "é 日本 $1 \\"),
+]
 
 
-def program(text, prompt):
-    cleaned = strip(text)
-    code = code_of(cleaned)
-    if "def " in code or "return " in code:
-        return code if prompt.rstrip() in code else prompt + code
-    return prompt + cleaned.split("```", 1)[0]
+def test_cases(spark):
+    df = spark.createDataFrame([(i, c[0], c[1]) for i, c in enumerate(CASES)], "i int, response string, prompt string")
+    for r in P.completion_predictions(df).collect():
+        assert (r["cleaned"], r["code"], r["prediction"]) == CASES[r["i"]][2:], CASES[r["i"]]
 
 
-def test_random_texts_against_the_plain_definition(spark):
+def test_properties_of_random_texts(spark):
     rng = random.Random(7)
-    texts = ["".join(rng.choices(PIECES, k=rng.randint(0, 14))) for _ in range(4000)]
-    texts += ["Thinking Process: a" + t for t in texts[:1000]]
-    df = spark.createDataFrame([(i, t, rng.choice(["", "x", "def f():\n  ", "p\n"])) for i, t in enumerate(texts)], "i int, response string, prompt string")
-    done = P.completion_predictions(df).select("response", "prompt", "cleaned", "code", "prediction")
+    texts = ["".join(rng.choices(PIECES, k=rng.randint(0, 14))) for _ in range(3000)]
+    df = spark.createDataFrame([(t, rng.choice(["", "x", "def f():\n  "])) for t in texts], "response string, prompt string")
+    wrapped = df.withColumn("last", F.concat("response", F.lit("\n```\n```python\nlast = 1\n```")))
+    done = P.completion_predictions(df.withColumn("again", R.strip_think(R.strip_think(F.col("response")))))
     for r in done.collect():
-        assert r["cleaned"] == strip(r["response"]), repr(r["response"])
-        assert r["code"] == code_of(r["cleaned"]), repr(r["response"])
-        assert r["prediction"] == program(r["response"], r["prompt"]), repr((r["response"], r["prompt"]))
+        assert not re.search("<think>.*</think>", r["cleaned"], re.S) or "<think><think>" in r["response"] or r["cleaned"] != r["response"]
+        assert not r["cleaned"][:1].isspace()
+        assert r["code"] in r["cleaned"] and "```" not in r["code"]
+        assert r["prediction"].startswith(r["prompt"]) or r["prompt"].rstrip() in r["code"]
+    for r in wrapped.select(R.extract_code(F.col("last")).alias("code")).collect():
+        assert r["code"].endswith("last = 1") or "```" not in r["code"]
 
 
 def test_order_of_the_two_patterns(spark):
@@ -62,6 +76,17 @@ def test_unpaired(spark):
     assert sides == {(3, "response without doc"), (2, "doc without response")}
 
 
+def test_inputs_that_must_line_up(spark):
+    docs = spark.createDataFrame([(1, "p"), (2, "q")], "doc_id int, prompt string")
+    answers = spark.createDataFrame([(1, "a"), (1, "b")], "doc_id int, response string")
+    assert P.pair_all(answers, docs, unanswered="skip").count() == 2
+    assert P.pair_all(answers, docs.where("doc_id = 1")).count() == 2
+    with pytest.raises(Exception, match="problem without response: 2"):
+        P.pair_all(answers, docs).collect()
+    with pytest.raises(Exception, match="response without problem: 1"):
+        P.pair_all(answers, docs.where("doc_id = 2"), unanswered="skip").collect()
+
+
 def test_prompts(spark):
     df = spark.createDataFrame([("add", ["t0", "t1", "t2"], "T", "add")], "text string, test_list array<string>, test string, entry_point string")
     row = P.render_prompts(df, P.TASK_PROMPT, P.TASK_TARGET).first()

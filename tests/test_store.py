@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from evalspark.schemas import flat_schema
 from evalspark.sources import store as ST
 from evalspark.sources.raw import parse_documents
 from evalspark.sources.shards import read_shards
-from fixtures import INVALID_ENVELOPE, VALID_ENVELOPE
+from fixtures import INVALID_ENVELOPE, MODEL, SLUG, VALID_ENVELOPE
 
 
 def envelopes(spark, *raws):
@@ -20,8 +22,8 @@ def envelopes(spark, *raws):
 
 def test_names(spark):
     pairs = {
-        "mlx-community/Qwen3.5-9B-MLX-4bit": ("mlx-community-qwen3-5-9b-mlx-4bit", "Qwen3.5-9B-MLX-4bit"),
-        "openrouter/openai/gpt-5-mini": ("openrouter-openai-gpt-5-mini", "openrouter/gpt-5-mini"),
+        MODEL: (SLUG, "Sparrow-2.5-Mini-6bit"),
+        "openrouter/openai/heron-1": ("openrouter-openai-heron-1", "openrouter/heron-1"),
         "plain-name": ("plain-name", "plain-name"),
         "x/mlx-community/y": ("x-mlx-community-y", "x/mlx-community/y"),
         "mlx-community/openrouter/openai/z": ("mlx-community-openrouter-openai-z", "openrouter/z"),
@@ -35,7 +37,7 @@ def test_names(spark):
 def test_key_without_and_with_payload(spark):
     df = envelopes(spark, VALID_ENVELOPE)
     bare, a, b = df.select(ST.shard_key(), ST.shard_key(F.lit("alpha")), ST.shard_key(F.lit("beta"))).first()
-    stem = "data/run-2026-04-24T18-30-00-aaa3ff3-reasoning-mlx-community-qwen3-5-9b-mlx-4bit"
+    stem = f"data/run-2025-03-14T15-09-26-5eed5eed-reasoning-{SLUG}"
     assert bare == stem + ".parquet"
     assert a == stem + "-8ed3f6ad.parquet"
     assert b.startswith(stem + "-") and b != a
@@ -51,14 +53,14 @@ def test_key_depends_on_content_not_on_order(spark):
 
 def test_long_model_names_are_cut_after_trimming(spark):
     name = "-" + "a" * 49 + "/b"
-    key = envelopes(spark, VALID_ENVELOPE.replace("mlx-community/Qwen3.5-9B-MLX-4bit", name)).select(ST.shard_key()).first()[0]
+    key = envelopes(spark, VALID_ENVELOPE.replace(MODEL, name)).select(ST.shard_key()).first()[0]
     assert key.endswith("-reasoning-" + "a" * 49 + "-.parquet")
 
 
 def test_empty_runs_are_refused(spark):
     good, bad = ST.split_empty(envelopes(spark, VALID_ENVELOPE, INVALID_ENVELOPE), ["id"])
     assert [r["id"] for r in good.collect()] == [0]
-    assert [(r["id"], r["reason"].startswith("No result rows")) for r in bad.collect()] == [(1, True)]
+    assert [(r["id"], r["reason"] == ST.NO_ROWS) for r in bad.collect()] == [(1, True)]
 
 
 def test_plan_writes_nothing(spark, tmp_path):
@@ -69,16 +71,17 @@ def test_plan_writes_nothing(spark, tmp_path):
 
 def test_publishing_again_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "store")
-    other = VALID_ENVELOPE.replace("0.8", "0.9")
+    other = VALID_ENVELOPE.replace("0.375", "0.875")
     runs = envelopes(spark, VALID_ENVELOPE, VALID_ENVELOPE, other)
     ST.append_new(runs.where("id < 2"), path)
     assert read_shards(spark, path).count() == 1
     ST.append_new(runs, path)
     ST.append_new(runs, path)
     stored = read_shards(spark, path)
-    assert sorted(r["value"] for r in stored.collect()) == [0.8, 0.9]
-    assert stored.first()["model_short"] == "Qwen3.5-9B-MLX-4bit"
-    assert (tmp_path / "store" / "suite=reasoning").is_dir()
+    assert sorted(r["value"] for r in stored.collect()) == [0.375, 0.875]
+    assert stored.first()["model_short"] == "Sparrow-2.5-Mini-6bit"
+    batches = sorted((tmp_path / "store").glob("batch_id=*"))
+    assert len(batches) == 3 and sum((b / "suite=reasoning").is_dir() for b in batches) == 2
 
 
 def test_shards_with_different_columns(spark, tmp_path):
@@ -95,3 +98,59 @@ def test_shards_with_different_columns(spark, tmp_path):
 def test_missing_dataset_is_empty(spark, tmp_path):
     got = read_shards(spark, str(tmp_path / "nothing"))
     assert got.count() == 0 and "model_short" in got.columns
+
+
+def test_runs_whose_short_digests_are_equal_are_both_kept(spark, tmp_path):
+    """Two contents that share the eight digits of the shard's name, found by search."""
+    seen = {}
+    for n in range(400_000):
+        short = hashlib.sha256(f"content {n}".encode()).hexdigest()[:8]
+        if short in seen:
+            break
+        seen[short] = n
+    pair = [f"content {seen[short]}", f"content {n}"]
+    both = envelopes(spark, VALID_ENVELOPE, VALID_ENVELOPE).withColumn("payload", F.get(F.array(*map(F.lit, pair)), F.col("id")))
+    names = both.select(ST.shard_key(F.col("payload")).alias("k"), F.sha2("payload", 256).alias("d")).collect()
+    assert len({r.k for r in names}) == 1 and len({r.d for r in names}) == 2
+    keyed = both.withColumns({"content_sha": F.sha2("payload", 256), "shard_key": ST.shard_key(F.col("payload"))})
+    monkey = ST.with_shard_key
+    try:
+        ST.with_shard_key = lambda df: df
+        ST.append_new(keyed, str(tmp_path / "store"))
+        ST.append_new(keyed, str(tmp_path / "store"))
+    finally:
+        ST.with_shard_key = monkey
+    assert read_shards(spark, str(tmp_path / "store")).count() == 2
+
+
+def test_odd_times_do_not_stop_a_batch(spark, tmp_path):
+    stamp = "2025-03-14T15:09:26Z"
+    times = [stamp, stamp.lower(), stamp.replace("Z", "+01:00"), "noon", "2025-02-30T00:00:00Z"]
+    runs = envelopes(spark, *[VALID_ENVELOPE.replace(stamp, t) for t in times])
+    good, bad = ST.split_empty(runs, ["id"])
+    ST.append_new(good, str(tmp_path / "store"))
+    assert {(r["id"], r["reason"]) for r in bad.collect()} == {(3, ST.NO_INSTANT), (4, ST.NO_INSTANT)}
+    assert read_shards(spark, str(tmp_path / "store")).where("timestamp IS NOT NULL").count() == 3
+
+
+def test_named_batches_replace_themselves_only(spark, tmp_path):
+    path = str(tmp_path / "store")
+    runs = envelopes(spark, *[VALID_ENVELOPE.replace("0.375", str(v)) for v in (1, 2, 3)])
+    ST.append_new(runs.where("id = 0"), path, "a")
+    ST.append_new(runs.where("id = 1"), path, "b")
+    ST.append_new(runs.where("id IN (1, 2)"), path, "b")
+    assert sorted(r["value"] for r in read_shards(spark, path).collect()) == [1, 2, 3]
+    assert ST.read_keys(spark, path).count() == 3
+
+
+def test_compaction_keeps_every_run_once(spark, tmp_path):
+    path = str(tmp_path / "store")
+    runs = envelopes(spark, *[VALID_ENVELOPE.replace("0.375", str(v)) for v in (1, 2, 3)])
+    for batch in ("x", "y"):  # two publishers at once
+        ST.write_results(ST.publishable_rows(runs), path, batch)
+        ST.write_keys(spark, path, batch)
+    assert read_shards(spark, path).count() == 6
+    ST.compact(spark, path, path + "-new")
+    assert sorted(r["value"] for r in read_shards(spark, path + "-new").collect()) == [1, 2, 3]
+    ST.append_new(runs, path + "-new")
+    assert read_shards(spark, path + "-new").count() == 3

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from evalspark.operators import results as Q
 from evalspark.operators.publish import publish
 from evalspark.schemas import flat_schema
+from evalspark.sources import store as ST
 from evalspark.sources.shards import read_shards, with_derived
 from evalspark.streaming import convert as SC
 from evalspark.streaming import results as SR
@@ -34,6 +35,7 @@ def flat(spark, n):
         F.lit(None).cast("double").alias("duration_seconds"),
         F.expr("map('k', CAST(id AS STRING))").alias("tags"),
         F.format_string("shard-%06d", "id").alias("shard_key"),
+        F.sha2(F.col("id").cast("string"), 256).alias("content_sha"),
     )
 
 
@@ -57,7 +59,11 @@ def test_maintained_latest_equals_batch(spark, tmp_path):
     assert run() == batch()
     parts[2].coalesce(1).write.mode("append").parquet(shards)
     parts[0].coalesce(1).write.mode("append").parquet(shards)
+    SR.snapshot_latest(spark, state)
+    SR.snapshot_latest(spark, state)
     assert run() == batch()
+    SR.snapshot_latest(spark, state)
+    assert {tuple(r) for r in SR.read_latest(spark, state).collect()} == batch()
 
 
 def context(docs):
@@ -89,14 +95,14 @@ def test_documents_become_rows_once(spark, tmp_path):
     put("b.json", SERVING_DOCUMENT)
     put("c.json", "{this is not json")
     put("d.json", json.dumps({"results": {}}))
-    put("e.json", TASK_DOCUMENT.replace("2025", "2026"))
+    put("e.json", TASK_DOCUMENT)
     rows, bad = run()
     assert rows.count() == 2 + 9
-    assert set(bad) == {"c.json", "d.json"} and bad["c.json"] == ["not valid JSON"] and "No result rows" in bad["d.json"][0]
+    assert set(bad) == {"c.json", "d.json"} and bad["c.json"] == ["not valid JSON"] and bad["d.json"] == [ST.NO_ROWS]
 
     # The same content again, and something new: only the new run is added.
     put("f.json", TASK_DOCUMENT)
-    put("g.json", TASK_DOCUMENT.replace("0.7", "0.75"))
+    put("g.json", TASK_DOCUMENT.replace("0.375", "0.75"))
     rows, bad = run()
     assert rows.count() == 2 + 9 + 2 and set(bad) == {"c.json", "d.json"}
 
@@ -110,6 +116,23 @@ def test_documents_become_rows_once(spark, tmp_path):
     assert sorted(str(r) for r in rows.collect()) == before
 
 
+def test_streams_and_batches_share_a_store(spark, tmp_path):
+    """Each writer's first batch has the number 0; none replaces what another has stored."""
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    ts = F.lit("2026-01-01").cast("timestamp")
+    for n, value in enumerate(("0.1", "0.2", "0.3")):
+        (tmp_path / f"raw{n}").mkdir()
+        (tmp_path / f"raw{n}" / "a.json").write_text(TASK_DOCUMENT.replace("0.375", value))
+        (tmp_path / f"raw{n}" / "b.json").write_text("{bad")
+        stream = SC.stream_raw(spark, str(tmp_path / f"raw{n}"))
+        SC.start_convert(stream, F.col("kind"), ["path"], out, rejects, str(tmp_path / f"checkpoint{n}"), context, ts, once=True).awaitTermination()
+    docs = spark.createDataFrame([("x", TASK_DOCUMENT.replace("0.375", "0.4"))], "path string, raw string")
+    publish(docs, F.col("kind"), ["path"], out, rejects, context, ts)
+    stored = read_shards(spark, out).where("metric = 'exact_match_flexible'")
+    assert sorted(r["value"] for r in stored.collect()) == [0.1, 0.2, 0.3, 0.4]
+    assert spark.read.parquet(rejects).count() == 3
+
+
 def test_batch_publishing(spark, tmp_path):
     raws = [TASK_DOCUMENT, SERVING_DOCUMENT, "{bad", "{}", TASK_DOCUMENT]
     docs = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "id int, raw string")
