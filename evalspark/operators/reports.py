@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Rank error of the quantile sketch is at most n / SKETCH; the bracket is ten times as wide.
 SKETCH = 10_000
 MARGIN = 10 / SKETCH
+# Ranges that a bracket is cut into, so that the values of a hot key are put in order by many tasks.
+RANGES = 1024
 # Copies of the brackets that a hot key's rows are dealt to.
 SALTS = 32
 
@@ -19,8 +21,9 @@ def exact_median(df: DataFrame, keys: list[str], value: str, also: dict[str, Col
 
     The built-in median keeps every distinct value of a group in the memory of one task. Here a sketch brackets the
     median in a first pass. In the second the rows below the bracket are only counted, and just the values inside it
-    (about 0.2 % of a large group, merged by value) are put in order. A bracket that missed would raise an error, not
-    give a wrong median.
+    (about 0.2 % of a large group, merged by value) are put in order, range by range: a range counts its own values, and
+    the ranges before it are sums, at most ``RANGES`` for a key. A bracket that missed would raise an error, not give a
+    wrong median.
     """
     v, n, q = F.col("_v"), F.col("_n"), F.col("_q")
     bracket = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
@@ -35,11 +38,23 @@ def exact_median(df: DataFrame, keys: list[str], value: str, also: dict[str, Col
     meet = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], F.col("_salt") == F.col("_copy"))
     placed = rows.join(copies, meet).where((v <= q[1]) | (n == 0))
     merged = placed.groupBy(*keys, F.when(v >= q[0], v).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.first("_also").alias("_also")
+        F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.first("_also").alias("_also"), F.first("_q").alias("_q")
     )
-    # The rows below the bracket are the NULL value, which sorts first.
-    upto = Window.partitionBy(*keys).orderBy(v.asc_nulls_first())
-    ranked = merged.withColumn("_upto", F.sum("_c").over(upto))
+    # The rows below the bracket are the NULL value, a range of its own before all others.
+    share = F.floor((v - q[0]) / (q[1] - q[0]) * RANGES)
+    place = F.when(v.isNull(), -1).when(q[1] > q[0], F.least(share, F.lit(RANGES - 1))).otherwise(0)
+    merged = merged.withColumn("_range", place.cast("int")).drop("_q")
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = merged.groupBy(*keys, "_range").agg(F.sum("_c").alias("_rows"))
+    ranges = ranges.select(
+        *[F.col(k).alias(f"_of_{k}") for k in keys],
+        F.col("_range").alias("_of"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+    )
+    inside = Window.partitionBy(*keys, "_range").orderBy(v)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.col("_range") == F.col("_of"))
+    ranked = merged.withColumn("_in", F.sum("_c").over(inside)).join(ranges, same)
+    ranked = ranked.withColumn("_upto", F.col("_before") + F.col("_in"))
     lower, upper = F.floor((n + 1) / 2), F.floor(n / 2) + 1
 
     def at(rank: Column) -> Column:
