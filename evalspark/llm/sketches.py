@@ -75,7 +75,7 @@ def with_half_of_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     document before it takes.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    key = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
+    key = F.coalesce(F.concat(F.lit("="), F.col(doc_id).cast("string")), F.lit("null"))
     rows = docs.select(F.col(doc_id).alias("__id"), body.alias("__text"), F.xxhash64(key, body).alias("__h"), key.alias("__key"))
     ids = rows.groupBy("__id", "__key", "__h").agg(F.first(F.length("__text")).alias("__n"))
     ranked = numbered(ids, "__id", "__h", into="__rank", name="order")
@@ -83,16 +83,17 @@ def with_half_of_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     after = ranked.select(F.col("__key").alias("__to"), F.col("__h").alias("__to_h"), F.floor(F.col("__n") / 2).cast("int").alias("__take"), ((F.col("__rank") + 1) % max(total, 1)).alias("__rank"))
     links = ranked.select("__key", "__h", "__rank").join(after, "__rank").drop("__rank")
 
-    sketched = rows.withColumn("__own", sketch(F.col("__text"), k, shingle))
+    # Both joins read the same columns of this, so that the texts are shuffled once and the exchange is used again.
+    sketched = rows.select("__key", "__h", "__text", sketch(F.col("__text"), k, shingle).alias("__own"))
     first = F.row_number().over(Window.partitionBy("__key", "__h").orderBy("__h"))
-    heads = sketched.select("__key", "__h", "__id", "__text", "__own").join(links, ["__key", "__h"]).withColumn("__nth", first).filter(F.col("__nth") == 1)
+    heads = sketched.join(links, ["__key", "__h"]).withColumn("__nth", first).filter(F.col("__nth") == 1)
     heads = heads.select(F.col("__to").alias("__key"), F.col("__to_h").alias("__h"), F.substring(F.col("__text"), F.lit(1), F.col("__take")).alias("__head"), F.col("__own").alias("__next"))
-    joined = sketched.select("__key", "__h", "__id", "__text", "__own").join(heads, ["__key", "__h"])
+    joined = sketched.join(heads, ["__key", "__h"])
     n = F.length("__text")
     edited = F.concat(F.substring(F.col("__text"), F.lit(1), (n - F.floor(n / 2)).cast("int")), F.col("__head"))
     joined = joined.withColumn("__edited", edited)
     return joined.select(
-        F.col("__id").alias(doc_id),
+        F.when(F.col("__key") != "null", F.substring(F.col("__key"), F.lit(2), F.length("__key"))).cast(docs.schema[doc_id].dataType).alias(doc_id),
         n.cast("long").alias("n_chars"),
         F.col("__edited").alias("edited"),
         F.col("__own").alias("sketch"),
