@@ -22,7 +22,12 @@ EMPTY_ANSWER = "(empty)"
 STEPS_EXHAUSTED = "(max steps reached)"
 KNOWN_TOOLS = ["file_read"]
 ALLOWED_PATHS = ["/tmp/eval-test.txt"]
+MALFORMED_ARGUMENTS = "Error: malformed tool arguments"
+UNKNOWN_TOOL = "Error: Unknown tool: "
+PATH_NOT_ALLOWED = "Error: path not allowed: "
+FILE_NOT_FOUND = "Error: File not found: "
 # end of fixed values
+NO_OBJECT = "Error: tool arguments are not an object"
 
 
 def answer_text(answer: Column) -> Column:
@@ -144,11 +149,11 @@ def tool_call_status(
     permitted = F.col("path").isin(paths)
     is_object = F.try_variant_get("_args", "$", "map<string,variant>").isNotNull()
     status = (
-        F.when(F.col("_args").isNull(), "Error: malformed tool arguments")
-        .when(~known, F.concat(F.lit("Error: Unknown tool: "), "tool"))
-        .when(~is_object, "Error: tool arguments are not an object")
-        .when(~permitted, F.concat(F.lit("Error: path not allowed: "), "path"))
-        .when(~exists, F.concat(F.lit("Error: File not found: "), "path"))
+        F.when(F.col("_args").isNull(), MALFORMED_ARGUMENTS)
+        .when(~known, F.concat(F.lit(UNKNOWN_TOOL), "tool"))
+        .when(~is_object, NO_OBJECT)
+        .when(~permitted, F.concat(F.lit(PATH_NOT_ALLOWED), "path"))
+        .when(~exists, F.concat(F.lit(FILE_NOT_FOUND), "path"))
         .otherwise("ok")
     )
     return checked.select(*calls.columns, "path", status.alias("status"))
