@@ -163,13 +163,67 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op7_secret_scan")
+def _spans_sql(rule: secret_scan.Rule, at: int) -> str:
+    """Spans of one kind: what stands before a match are the pieces between the matches and the matches before it."""
+    pattern = rule.pattern.replace("'", "''")
+    holds = {"assign": f"len(regexp_extract(m[i], '{pattern}', 2)) >= 8", "access": "len(m[i]) >= 16"}.get(rule.kind, "true")
+    lengths = "coalesce(list_sum(list_transform({0}, lambda x: len(x))), 0)"
+    start = f"{lengths.format('g[1:i]')} + {lengths.format('m[1:i-1]')}"
+    return f"""
+      SELECT r, '{rule.kind}' AS kind, {at} AS nth, ({start})::BIGINT AS a, ({start})::BIGINT + len(m[i]) AS b FROM (
+        SELECT r, m, g, unnest(range(1, len(m) + 1)) AS i FROM (
+          SELECT r, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM d
+          WHERE regexp_matches(t, '{pattern}'))) WHERE {holds}"""
+
+
+_ALL_SPANS = "string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, nth)"
+
+
+@query(
+    "op7_secret_scan",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+    s AS ({" UNION ALL ".join(_spans_sql(rule, n) for n, rule in enumerate(secret_scan.RULES))}),
+    per AS (
+      SELECT r, {", ".join(f"count(*) FILTER (kind = '{x.kind}') AS n_{x.kind}" for x in secret_scan.BASE_RULES)},
+        {_ALL_SPANS} FILTER (nth < {len(secret_scan.BASE_RULES)}) AS base, {_ALL_SPANS} AS spans FROM s GROUP BY r
+    )
+    SELECT doc_id, {", ".join(f"coalesce(n_{x.kind}, 0) AS n_{x.kind}" for x in secret_scan.BASE_RULES)},
+      sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN per USING (r)
+    """,
+)
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"), new_shared_path(spark, "ledger")).withColumnRenamed("findings", "found")
     return found.select("doc_id", *span_columns([r.kind for r in secret_scan.BASE_RULES], "found"))
 
 
-@query("op8_license_scan")
+def _words_sql(text) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in text) + "]"
+
+
+_NOTICES_SQL = ", ".join(f"({n.need}, '{n.label}', {_words_sql(n.words)})" for n in licenses.notices_in_order(licenses.NOTICES, {}, licenses.THRESHOLD))
+_PHRASES_SQL = ", ".join(f"('{label}', {_words_sql(phrase.split())})" for phrase, label in licenses.PHRASES.items())
+
+
+@query(
+    "op8_license_scan",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+    notices(need, label, x) AS (VALUES {_NOTICES_SQL}), phrases(label, x) AS (VALUES {_PHRASES_SQL}),
+    places AS (
+      SELECT r, label, s - 1 AS s FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS s FROM d), phrases WHERE list_slice(w, s, s + len(x) - 1) = x
+    ),
+    lines AS (SELECT r, {_WORDS.format("line")} AS w FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
+    hits AS (SELECT r, label, len(list_intersect(x, w)) / len(x)::DOUBLE AS c FROM lines, notices WHERE len(list_intersect(x, w)) >= need),
+    base AS (SELECT r, count(*) AS n, min(s) AS a, max(s) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY r),
+    every AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM places UNION SELECT r, label FROM hits) GROUP BY r),
+    best AS (SELECT r, max(c) AS c FROM hits GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word, coalesce(base.labels, '') AS base_labels,
+      coalesce(every.labels, '') AS labels, CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0.0::DOUBLE) END AS score
+    FROM d LEFT JOIN base USING (r) LEFT JOIN every USING (r) LEFT JOIN best USING (r)
+    """,
+)
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = licenses.scan(table(spark, sf_dir, "documents"))
     names = F.lit(list(licenses.PHRASES.values()))

@@ -47,7 +47,7 @@ MORE_RULES = (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
     Rule("bearer", r"[Bb]earer\x20+[A-Za-z0-9+/_.~-]{20,}=*"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,100}:[^\s/:@]{1,100}@"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\x00-\x20/:@]{1,100}:[^\x00-\x20/:@]{1,100}@"),
 )
 RULES = BASE_RULES + MORE_RULES
 
