@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalspark.llm.order import numbered
+from evalspark.llm.order import numbered, row_key
 
 N_SLOTS = 4096
 MAP_SCHEMA = T.StructType(
@@ -22,10 +22,9 @@ def size_of(text: str = "text") -> F.Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def slot_of(key: str = "doc_id", n_slots: int = N_SLOTS) -> F.Column:
-    """The virtual slot of a record: seven hex digits of the MD5 of its key as text, modulo the number of slots."""
-    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
-    return (F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % n_slots).cast("int")
+def slot_of(*columns: str, n_slots: int = N_SLOTS) -> F.Column:
+    """The virtual slot of a record: seven hex digits of the MD5 of its columns, modulo the number of slots."""
+    return (F.conv(F.substring(F.hex(row_key(*columns)), 1, 7), 16, 10).cast("long") % n_slots).cast("int")
 
 
 def slot_bytes(records: DataFrame, slot: F.Column, size: F.Column) -> DataFrame:
@@ -105,32 +104,37 @@ class SlotMap:
         return F.get(F.lit([self.shard[s] for s in range(self.n_slots)]), slot)
 
 
-def place(docs: DataFrame, n_shards: int, map_path: str, *, key: str = "doc_id", text: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
+def place(
+    docs: DataFrame, n_shards: int, map_path: str, *, by: tuple[str, ...] = ("doc_id", "text"), text: str = "text", n_slots: int = N_SLOTS
+) -> DataFrame:
     """``docs`` with vslot, shard and rebalanced_shard (in place of columns of these names), without a shuffle of rows.
 
     Law ``bytes``: shards get nearly equal bytes, since thousands of slots are dealt by size. Records never change
     their slot; growing to one more shard edits the map (version 2) and moves only what the new shard takes
-    (``rebalanced_shard``). Both versions are stored at ``map_path``. A null key is the empty key. One key that holds
-    more bytes than a shard's share stays whole in one slot: its shard is then larger than the others by that much.
+    (``rebalanced_shard``). Both versions are stored at ``map_path``.
+
+    The slot is a hash of the columns ``by``. With id and text an id that many records share, or null, is spread over
+    the slots; with the id alone its records stay together, and so do copies of one record in any case: where these are
+    more than a shard's share, their shard is larger than the others by that much.
     """
     spark = docs.sparkSession
     # At most one row per slot reaches the driver.
-    sizes = {r.vslot: r.bytes for r in slot_bytes(docs, slot_of(key, n_slots), size_of(text)).collect()}
+    slot = slot_of(*by, n_slots=n_slots)
+    sizes = {r.vslot: r.bytes for r in slot_bytes(docs, slot, size_of(text)).collect()}
     first = SlotMap.fresh(sizes, n_shards, n_slots)
     first.save(spark, map_path)
     second = first.grown()
     second.save(spark, map_path)
-    slot = slot_of(key, n_slots)
     return docs.withColumns({"vslot": slot, "shard": first.shard_of(slot), "rebalanced_shard": second.shard_of(slot)})
 
 
 def assign(docs: DataFrame, n_shards: int, map_path: str, *, key: str = "doc_id", text: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
-    """One row per record: ``key``, size, text_crc32, vslot, shard, slot (0, 1, ... in each shard), rebalanced_shard.
+    """One row per record: ``key`` (the id), size, text_crc32, vslot, shard, slot (0, 1, ... in each shard), rebalanced_shard.
 
     Shards as in ``place``. A null text has size 1. Repeated rows share a virtual slot and get places of their own. An
     empty table gives no rows (and a map of empty slots). Other columns are ignored.
     """
-    rows = place(docs.select(F.col(key), F.col(text)), n_shards, map_path, key=key, text=text, n_slots=n_slots)
+    rows = place(docs.select(F.col(key), F.col(text)), n_shards, map_path, by=(key, text), text=text, n_slots=n_slots)
     rows = rows.select(
         F.col(key), size_of(text).alias("size"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("text_crc32"), "vslot", "shard", "rebalanced_shard"
     )

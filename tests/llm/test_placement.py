@@ -94,6 +94,16 @@ def test_more_documents_do_not_move_slots(tmp_path, documents):
     assert few.items() <= all_.items()
 
 
+def test_one_id_of_many_records_is_spread(tmp_path, frame):
+    docs = frame([(1 if i % 3 == 0 else None, f"text {i} " * 20, None, None) for i in range(900)])
+    loads = Counter()
+    for r in sharding.assign(docs, 4, str(tmp_path / "a")).collect():
+        loads[r.shard] += r.size
+    assert max(loads.values()) < 1.05 * min(loads.values())
+    together = sharding.place(docs, 4, str(tmp_path / "b"), by=("doc_id",))
+    assert together.select("vslot").distinct().count() == 2
+
+
 def test_a_heavy_slot_and_growth_by_several():
     sizes = {0: 1000, **{i: 10 for i in range(1, 64)}}
     first = sharding.SlotMap.fresh(sizes, 4, 64)
