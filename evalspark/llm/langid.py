@@ -48,7 +48,7 @@ class Model:
     words: dict[str, int] = field(default_factory=dict)
     grams: dict[str, int] = field(default_factory=dict)
     table: np.ndarray = field(default_factory=lambda: np.zeros((1, 0)))
-    _known: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
+    _known: dict[str, list[int]] = field(default_factory=dict, repr=False)
 
     @classmethod
     def fit(cls, counts: list[tuple[str, str, int]]) -> Model:
@@ -87,26 +87,35 @@ class Model:
         padded = f"^{word}$"
         return [padded[i : i + size] for i in range(len(padded) - size + 1)]
 
-    def score_of(self, word: str) -> np.ndarray:
-        """Log frequency by language: of the word, else the mean of its longest n-grams that are known, else nothing."""
+    def rows_of(self, word: str) -> list[int]:
+        """Rows of the table whose mean is the word's score: its own, else those of its longest n-grams that are known."""
         if (row := self.words.get(word)) is not None:
-            return self.table[row]
+            return [row]
         for size in GRAMS:
             if rows := [r for g in self._cut(word, size) if (r := self.grams.get(g)) is not None]:
-                return self.table[rows].mean(axis=0)
-        return np.zeros(len(self.langs))
+                return rows
+        return []
+
+    def score_of(self, word: str) -> np.ndarray:
+        rows = self.rows_of(word)
+        return self.table[rows].mean(axis=0) if rows else np.zeros(len(self.langs))
 
     def predict(self, text: str) -> tuple[str, float]:
         """(language, posterior probability); ``und`` and 0 without a letter or without a language to choose."""
         total, letters = np.zeros(len(self.langs)), False
         for words in words_of(text):
+            rows: list[int] = []
+            weights: list[float] = []
             for word, n in Counter(words).items():
-                if (score := self._known.get(word)) is None:
+                if (own := self._known.get(word)) is None:
                     if len(self._known) >= _CACHE:
                         self._known.clear()
-                    score = self._known[word] = self.score_of(word)
-                total += n * score
+                    own = self._known[word] = self.rows_of(word)
+                rows += own
+                weights += [n / len(own)] * len(own) if own else own
                 letters = letters or any(c.isalpha() for c in word)
+            if rows:
+                total += np.array(weights) @ self.table[rows]
         if not letters or not self.langs:
             return UNKNOWN, 0.0
         best = int(np.argmax(total))
@@ -133,12 +142,13 @@ def learn(
     max_langs: int = MAX_LANGS,
     model_words: int = MODEL_WORDS,
 ) -> Model:
-    """A model from a bounded sample of the labelled rows: of each language the ``rows_per_lang`` rows whose keys have
-    the least hashes (more where hashes tie), of the ``max_langs`` languages with most rows. Rows without a language or
+    """A model from a bounded sample of the labelled rows: of each language the ``rows_per_lang`` rows whose keys and
+    texts have the least hashes (only copies of one row can tie and make it more), of the ``max_langs`` languages with
+    most rows. Rows without a language or
     a text teach nothing; without labelled rows the model has no language. Whole texts are counted, in Spark; what
     reaches the driver is the most frequent words, ``model_words`` in all.
     """
-    rows = docs.filter(F.col(lang).isNotNull()).select(F.xxhash64(F.col(key)).alias("h"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    rows = docs.filter(F.col(lang).isNotNull()).select(F.xxhash64(F.col(key), F.col(text)).alias("h"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     by_lang = Window.partitionBy("lang").orderBy("h")
     first = rows.select("lang", "h").withColumn("r", F.row_number().over(by_lang)).filter(F.col("r") <= rows_per_lang)
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
