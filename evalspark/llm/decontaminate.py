@@ -71,7 +71,8 @@ def _short(text: _Text) -> dict[int, np.ndarray]:
 
 def _fingerprints(text: _Text) -> np.ndarray:
     """Kept k-grams of the long items, and whole short items."""
-    kept = gram_hashes(text.hashes, GRAM)[winnowed(gram_hashes(text.hashes, GRAM), text.spans(WINDOW), WINDOW - GRAM + 1)]
+    grams = gram_hashes(text.hashes, GRAM)
+    kept = grams[winnowed(grams, text.spans(WINDOW), WINDOW - GRAM + 1)]
     return np.concatenate([kept, *(gram_hashes(text.hashes, n)[at] for n, at in _short(text).items())])
 
 

@@ -172,7 +172,9 @@ def spans_of(text: Column, kind: Kind, at: int) -> Column:
                     hit = near.rlike("(?<![a-z])(?:" + "|".join(kind.context) + ")")
                     score = F.when(hit, min(1.0, kind.score + RAISE)).otherwise(kind.score)
                     keep = kind.valid(m) if kind.base else kind.valid(m) & (score >= LEAST_SCORE)
-                    return F.when(keep, F.struct(start.alias("start"), F.lit(at).alias("at"), (start + F.length(m)).alias("end"), F.lit(kind.name).alias("kind"), score.alias("score")))
+                    end = start + F.length(m)
+                    parts = {"start": start, "at": F.lit(at), "end": end, "kind": F.lit(kind.name), "score": score}
+                    return F.when(keep, F.struct(*[c.alias(n) for n, c in parts.items()]))
 
                 return F.filter(F.transform(found, span), lambda s: s.isNotNull())
 

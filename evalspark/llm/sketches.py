@@ -28,7 +28,8 @@ def sketch(text: Column, k: int = K, shingle: int = SHINGLE) -> Column:
 
     def hashes(w: Column) -> Column:
         each = F.transform(F.sequence(F.lit(0), F.size(w) - shingle), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(shingle)]))
-        return F.when(F.size(w) >= shingle, _least(each, k)).when(F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array().cast("array<bigint>"))
+        few = F.when(F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(w) >= shingle, _least(each, k)).otherwise(few)
 
     return let(words, hashes)
 
@@ -80,14 +81,16 @@ def with_half_of_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     ids = rows.groupBy("__id", "__key", "__h").agg(F.first(F.length("__text")).alias("__n"))
     ranked = numbered(ids, "__id", "__h", into="__rank", name="order")
     total = ranked.count()
-    after = ranked.select(F.col("__key").alias("__to"), F.col("__h").alias("__to_h"), F.floor(F.col("__n") / 2).cast("int").alias("__take"), ((F.col("__rank") + 1) % max(total, 1)).alias("__rank"))
+    take, next_rank = F.floor(F.col("__n") / 2).cast("int"), (F.col("__rank") + 1) % max(total, 1)
+    after = ranked.select(F.col("__key").alias("__to"), F.col("__h").alias("__to_h"), take.alias("__take"), next_rank.alias("__rank"))
     links = ranked.select("__key", "__h", "__rank").join(after, "__rank").drop("__rank")
 
     # Both joins read the same columns of this, so that the texts are shuffled once and the exchange is used again.
     sketched = rows.select("__key", "__h", "__text", sketch(F.col("__text"), k, shingle).alias("__own"))
     first = F.row_number().over(Window.partitionBy("__key", "__h").orderBy("__h"))
     heads = sketched.join(links, ["__key", "__h"]).withColumn("__nth", first).filter(F.col("__nth") == 1)
-    heads = heads.select(F.col("__to").alias("__key"), F.col("__to_h").alias("__h"), F.substring(F.col("__text"), F.lit(1), F.col("__take")).alias("__head"), F.col("__own").alias("__next"))
+    head = F.substring(F.col("__text"), F.lit(1), F.col("__take"))
+    heads = heads.select(F.col("__to").alias("__key"), F.col("__to_h").alias("__h"), head.alias("__head"), F.col("__own").alias("__next"))
     joined = sketched.join(heads, ["__key", "__h"])
     n = F.length("__text")
     edited = F.concat(F.substring(F.col("__text"), F.lit(1), (n - F.floor(n / 2)).cast("int")), F.col("__head"))
