@@ -4,8 +4,9 @@ longest known character n-grams."""
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -14,11 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: The sample that is learned from: labelled rows of each language, by least hash of the key; and languages at most.
+#: The sample that is learned from: labelled rows of each language, on average; and languages at most.
 ROWS_PER_LANG = 2_000
 MAX_LANGS = 256
 #: Words of the model in all; a language has its share.
 MODEL_WORDS = 400_000
+#: Numbers that these words may have, one for each language; with many languages this is the bound.
+MODEL_CELLS = 20_000_000
 LEAST_COUNT = 2
 GRAMS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
@@ -51,33 +54,37 @@ class Model:
     _known: dict[str, list[int]] = field(default_factory=dict, repr=False)
 
     @classmethod
-    def fit(cls, counts: list[tuple[str, str, int]]) -> Model:
-        """``counts``: (language, word, occurrences)."""
-        langs = sorted({lang for lang, _, _ in counts})
+    def fit(cls, counts: Iterable[tuple[str, str, int]], langs: list[str]) -> Model:
+        """``counts``: (language, word, occurrences), each pair of language and word once. They are read as they come; what
+        is held is a number for each language of each word and n-gram."""
+        langs = sorted(langs)
         of = {lang: i for i, lang in enumerate(langs)}
-        words: dict[str, Counter] = {}
-        grams: dict[str, Counter] = {}
+        model, width = cls(langs), len(langs)
+        zeros, seen = array("d", bytes(8 * width)), {}
+
+        def add(kind: int, name: str, lang: int, n: int) -> None:
+            names, cells = seen.setdefault(kind, ({}, array("d")))
+            if (row := names.get(name)) is None:
+                row = names[name] = len(names)
+                cells.extend(zeros)
+            cells[row * width + lang] += n
+
         for lang, word, n in counts:
-            words.setdefault(word, Counter())[of[lang]] += n
-            for gram in {g for size in GRAMS for g in cls._cut(word, size)}:
-                grams.setdefault(gram, Counter())[of[lang]] += n
-        words = {w: c for w, c in words.items() if sum(c.values()) >= LEAST_COUNT}
-        rows, model = [], cls(langs)
-        sizes: dict[int, dict[str, Counter]] = {}
-        for gram, c in grams.items():
-            sizes.setdefault(len(gram), {})[gram] = c
-        for kind, into in ((words, model.words), *((sizes[s], model.grams) for s in sorted(sizes))):
-            total = np.zeros(len(langs))
-            for c in kind.values():
-                for i, n in c.items():
-                    total[i] += n
-            for name in sorted(kind):
-                seen = np.full(len(langs), SMOOTHING)
-                for i, n in kind[name].items():
-                    seen[i] += n
-                into[name] = len(rows)
-                rows.append(np.log(seen) - np.log(total + SMOOTHING * len(kind)))
-        model.table = np.array(rows) if rows else np.zeros((0, len(langs)))
+            add(0, word, of[lang], n)
+            for size in GRAMS:
+                for gram in set(cls._cut(word, size)):
+                    add(size, gram, of[lang], n)
+        tables, first = [np.zeros((0, width))], 0
+        for kind, (names, cells) in sorted(seen.items()):
+            found = np.array(cells).reshape(-1, width)
+            kept = np.flatnonzero(found.sum(axis=1) >= (LEAST_COUNT if kind == 0 else 0))
+            at = {int(row): first + i for i, row in enumerate(kept)}
+            into = model.words if kind == 0 else model.grams
+            into.update((name, at[row]) for name, row in names.items() if row in at)
+            found = found[kept]
+            tables.append(np.log(found + SMOOTHING) - np.log(found.sum(axis=0) + SMOOTHING * max(1, len(kept))))
+            first += len(kept)
+        model.table = np.concatenate(tables)
         return model
 
     @staticmethod
@@ -142,40 +149,45 @@ def learn(
     max_langs: int = MAX_LANGS,
     model_words: int = MODEL_WORDS,
 ) -> Model:
-    """A model from a bounded sample of the labelled rows: of each language the ``rows_per_lang`` rows whose keys and
-    texts have the least hashes (only copies of one row can tie and make it more), of the ``max_langs`` languages with
-    most rows. Rows without a language or
-    a text teach nothing; without labelled rows the model has no language. Whole texts are counted, in Spark; what
-    reaches the driver is the most frequent words, ``model_words`` in all.
+    """A model from a bounded sample of the labelled rows: of each language the rows whose hash of key and text is in the
+    share of all hashes that holds ``rows_per_lang`` rows (give or take chance; all rows of a smaller language), of the
+    ``max_langs`` languages with most rows. Nothing is ranked: only counts by language meet in one task. Rows without a language or a text teach nothing; without labelled rows the model has no language. Whole
+    texts are counted, in Spark; what reaches the driver is the most frequent words, ``model_words`` in all, of
+    ``MODEL_CELLS`` numbers at most.
     """
     rows = docs.filter(F.col(lang).isNotNull()).select(F.xxhash64(F.col(key), F.col(text)).alias("h"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    by_lang = Window.partitionBy("lang").orderBy("h")
-    first = rows.select("lang", "h").withColumn("r", F.row_number().over(by_lang)).filter(F.col("r") <= rows_per_lang)
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
-    bound = first.groupBy("lang").agg(F.max("h").alias("most")).join(F.broadcast(sizes.select("lang")), "lang")
-    # At most max_langs rows are broadcast.
-    sample = rows.join(F.broadcast(bound), "lang").filter(F.col("h") <= F.col("most")).select("lang", "text")
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
+    langs = [r.lang for r in sizes]
+    most = [(r.lang, min(2**63 - 1, 2**64 * rows_per_lang // r.n - 2**63)) for r in sizes]
+    bound = F.broadcast(rows.sparkSession.createDataFrame(most, "lang string, most long"))  # at most max_langs rows
+    sample = rows.join(bound, "lang").filter(F.col("h") <= F.col("most")).select("lang", "text")
     counts = sample.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    n_langs = max(1, bound.count())
+    words = min(model_words, MODEL_CELLS // max(1, len(langs)))
     share = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counts.withColumn("r", F.row_number().over(share)).filter(F.col("r") <= max(1, model_words // n_langs))
-    return Model.fit([(r.lang, r.word, r.n) for r in top.select("lang", "word", "n").collect()])
+    top = counts.withColumn("r", F.row_number().over(share)).filter(F.col("r") <= max(1, words // max(1, len(langs))))
+    return Model.fit(map(tuple, top.select("lang", "word", "n").toLocalIterator()), langs)
 
 
 def predict(
     docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",), text: str = "text", into: tuple[str, str] = ("lang_pred", "score")
 ) -> DataFrame:
-    """One row per document: the columns ``keep``, and language and score (0 to 1) as the columns ``into``. Null, empty and letterless texts are
-    ``und`` with score 0; so is every text of a model without languages. Equal texts get equal results. Ties go to the
-    language that sorts first. An empty table gives no rows. Other columns are ignored. One pass, no shuffle."""
-    rows = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], F.col(text).alias("__text"))
+    """One row per document: the columns ``keep``, and language and score (0 to 1) as the columns ``into``.
+
+    Null, empty and letterless texts are ``und`` with score 0; so is every text of a model without languages. Equal texts
+    get equal results. Ties go to the language that sorts first. An empty table gives no rows. Other columns are
+    ignored. One pass, no shuffle.
+    """
+    rows = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)])
+    if text not in keep:  # a text that is kept is not sent twice
+        rows = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], F.col(text).alias("__text"))
+    body = f"__k{keep.index(text)}" if text in keep else "__text"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by model_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t.as_py() or "") for t in batch.column("__text")]
-            kept = batch.drop_columns(["__text"])
+            found = [shared.value.predict(t.as_py() or "") for t in batch.column(body)]
+            kept = batch.drop_columns(["__text"]) if body == "__text" else batch
             columns = [*kept.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.record_batch(columns, names=[*kept.schema.names, "lang_pred", "score"])
 

@@ -18,7 +18,7 @@ def test_held_out_accuracy(spark, sf_dir):
 
 
 def test_known_words_come_first_then_the_longest_known_grams():
-    model = langid.Model.fit([("aa", "water", 50), ("bb", "water", 1), ("bb", "wasser", 50), ("aa", "single", 1)])
+    model = langid.Model.fit([("aa", "water", 50), ("bb", "water", 1), ("bb", "wasser", 50), ("aa", "single", 1)], ["bb", "aa"])
     assert np.argmax(model.score_of("water")) == 0 and np.argmax(model.score_of("wasser")) == 1
     assert "single" not in model.words  # too rare to be known
     longest = [g for g in model._cut("singles", 5) if g in model.grams]
@@ -27,7 +27,7 @@ def test_known_words_come_first_then_the_longest_known_grams():
 
 
 def test_scores_do_not_depend_on_the_cache_or_the_slices(monkeypatch):
-    model = langid.Model.fit([("aa", f"w{c}ord", 3) for c in "abcdef"] + [("bb", f"x{c}ord", 3) for c in "abcdef"])
+    model = langid.Model.fit([("aa", f"w{c}ord", 3) for c in "abcdef"] + [("bb", f"x{c}ord", 3) for c in "abcdef"], ["aa", "bb"])
     text = " ".join(["waord", "xbord", "wcord", "unwaords", "waord7x"] * 50)
     want = model.predict(text)
     monkeypatch.setattr(langid, "_CACHE", 2)
