@@ -71,7 +71,7 @@ def measure(sf_dir: str, cpus: str, runs: int, names: list[str], shared: str) ->
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.adaptive.enabled", "true")
         # Each table is one file of one row group, which no reader setting splits.
-        .config("evalspark.input.partitions", cpus)
+        .config("spark.evalspark.input.partitions", cpus)
         .config("spark.checkpoint.dir", shared)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-INPUT_PARTITIONS = "evalspark.input.partitions"
+INPUT_PARTITIONS = "spark.evalspark.input.partitions"
 
 
 def spread(df: DataFrame) -> DataFrame:
