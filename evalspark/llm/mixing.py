@@ -2,30 +2,84 @@
 
 A source with weight w must have had w * t blocks, give or take less than one, after every t slots. Its j-th block is
 therefore released at floor((j - 1) / w) and due at ceil(j / w), and in every slot the released block with the earliest
-deadline runs. With weights in whole parts of a period of q slots the schedule repeats after q slots: one period is laid
-out once (its length is a parameter, not the data), and every block of every source finds its slot by arithmetic.
+deadline runs. Weights are whole numbers of a common denominator, so releases and deadlines are exact however many
+blocks there are: no error grows with the number of slots. The blocks that exist are laid out one after another in one
+task, which holds a few numbers for each source and writes a row for each block (``block_rows`` rows of the data).
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterable, Iterator
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from evalspark.llm.order import numbered
+from evalspark.llm.order import numbered, stored
 
 PERIOD = 10_000
 BLOCK_ROWS = 8
 ALPHA = 0.5
 MAX_SOURCES = 1_000
 
-_TABLE = T.StructType(
-    [T.StructField("__src", T.StringType(), False)]
-    + [T.StructField(n, T.LongType(), False) for n in ("__share", "__nth", "__release", "__deadline", "__slot")]
-)
+_LAYOUT = ("__src", "block", "release", "deadline", "slot")
+_LAST_SLOT = 1 << 56
+_BATCH = 1 << 15
+
+
+def whole_weights(weights: dict[str, float], blocks: dict[str, int], period: int = PERIOD) -> dict[str, int]:
+    """Weights as whole numbers in exact proportion.
+
+    Those of weight zero get the least share: one part of ``period`` each, or of twice their number where that is more,
+    and the others share the rest in proportion. Weights so small that the last of a source's blocks would be due after
+    2 ** 56 slots count as zero.
+    """
+    if any(w < 0 for w in weights.values()):
+        raise ValueError("weights must not be negative")
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    while True:
+        common = math.lcm(*{w.denominator for w in exact.values()})
+        parts = {s: w.numerator * (common // w.denominator) for s, w in exact.items()}
+        total, none = sum(parts.values()), sum(w == 0 for w in parts.values())
+        if not total:
+            return dict.fromkeys(parts, 1)
+        of = max(period, 2 * none) if none else 1
+        whole = {s: w * (of - none) if w else total for s, w in parts.items()}
+        late = [s for s, w in parts.items() if w and blocks[s] * total * of > _LAST_SLOT * whole[s]]
+        if not late:
+            return whole
+        exact.update(dict.fromkeys(late, Fraction(0)))
+
+
+def layout(whole: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, n-th block from 0, release, deadline, slot) of every block, by slot: earliest deadline first, then names.
+
+    A slot stays empty when all blocks that are left are released later.
+    """
+    names = sorted(s for s, n in blocks.items() if n > 0)
+    weights, left = [whole[s] for s in names], [blocks[s] for s in names]
+    total = sum(whole.values())
+    nth, release = [0] * len(names), [0] * len(names)
+    ready = [(-(-total // w), i) for i, w in enumerate(weights)]
+    heapq.heapify(ready)
+    waiting: list[tuple[int, int]] = []
+    slot = 0
+    while ready or waiting:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
+            i = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-(-(nth[i] + 1) * total // weights[i]), i))
+        deadline, i = heapq.heappop(ready)
+        yield names[i], nth[i], release[i], deadline, slot
+        slot += 1
+        nth[i] += 1
+        if nth[i] < left[i]:
+            release[i] = nth[i] * total // weights[i]
+            heapq.heappush(waiting, (release[i], i))
 
 
 def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -49,19 +103,7 @@ def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
 
 def one_period(parts: dict[str, int]) -> list[tuple[str, int, int, int, int, int]]:
     """(source, share, n-th block from 0, release, deadline, slot) for each block of one period, by earliest deadline."""
-    period = sum(parts.values())
-    waiting: list[list[tuple[int, str, int, int]]] = [[] for _ in range(period)]
-    for source, share in parts.items():
-        for nth in range(share):
-            release, deadline = nth * period // share, -(-(nth + 1) * period // share)
-            waiting[release].append((deadline, source, nth, release))
-    out, ready = [], []
-    for slot in range(period):
-        for block in waiting[slot]:
-            heapq.heappush(ready, block)
-        deadline, source, nth, release = heapq.heappop(ready)
-        out.append((source, parts[source], nth, release, deadline, slot))
-    return out
+    return [(s, parts[s], nth, release, deadline, slot) for s, nth, release, deadline, slot in layout(parts, parts)]
 
 
 def source_key(source: str = "source") -> Column:
@@ -69,13 +111,29 @@ def source_key(source: str = "source") -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("null"))
 
 
-def target_weights(docs: DataFrame, *, source: str = "source", size: Column | None = None, alpha: float = ALPHA, max_sources: int = MAX_SOURCES) -> dict[str, float]:
-    """size ** alpha by source key, so that small sources weigh more than their share (alpha 1: as they come)."""
-    size = F.lit(1) if size is None else size
-    found = docs.groupBy(source_key(source).alias("s")).agg(F.sum(size).cast("long").alias("n")).limit(max_sources + 1).collect()
-    if len(found) > max_sources:
-        raise ValueError(f"more than {max_sources} sources; group them first")
-    return {r.s: float(r.n or 0) ** alpha for r in found}
+def _layouts(sizes: DataFrame, given: dict[str, float] | None, period: int, block_rows: int) -> DataFrame:
+    """(__src, block, release, deadline, slot) of every block of the sources in ``sizes`` (__src, __n: rows)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = {s: n for b in batches for s, n in zip(b.column("__src").to_pylist(), b.column("__n").to_pylist(), strict=True)}
+        if not rows:
+            return
+        weights = {s: float(n) ** ALPHA for s, n in rows.items()} if given is None else {s: given.get(s, 0.0) for s in rows}
+        blocks = {s: -(-n // block_rows) for s, n in rows.items()}
+        held: list[tuple] = []
+        for block in layout(whole_weights(weights, blocks, period), blocks):
+            held.append(block)
+            if len(held) == _BATCH:
+                yield batch(held)
+                held = []
+        if held:
+            yield batch(held)
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        src, *numbers = zip(*rows, strict=True)
+        return pa.record_batch([pa.array(src, pa.string()), *[pa.array(c, pa.int64()) for c in numbers]], names=list(_LAYOUT))
+
+    return sizes.select("__src", "__n").repartition(1).mapInArrow(run, "__src string, " + ", ".join(f"{c} long" for c in _LAYOUT[1:]))
 
 
 def schedule(
@@ -91,41 +149,38 @@ def schedule(
     """One row per record: the columns ``keep`` and ``source``, block, release, deadline, slot and place.
 
     ``weights`` by source name (None for null); without them a source weighs the square root of its number of rows.
-    A source that has no weight, or zero, gets the least share (one slot of a period): nothing is dropped. Rows of a
-    source go into blocks of ``block_rows`` in an order given by a hash of the columns ``keep``; ``block`` counts from
-    0. ``place`` is the row's place in the mixed sequence: rising, different for all rows, with holes where a source
-    has run out; the others then keep their proportions to each other. Up to that point the blocks of a source differ
-    from weight * slots by less than one.
+    A source that has no weight, or zero, gets the least share (one slot of ``period``, see ``whole_weights``): nothing
+    is dropped. Rows of a source go into blocks of ``block_rows`` in an order given by a hash of the columns ``keep``;
+    ``block`` counts from 0. ``place`` is the row's place in the mixed sequence: rising, different for all rows, with
+    holes where a source has run out; the others then keep their proportions to each other. As long as a source has
+    blocks, the number it has had differs from weight * slots by less than one, after any number of slots.
 
     Repeated rows get places of their own. Null keys are allowed. An empty table gives no rows. More than
-    ``max_sources`` sources is an error. Only ``keep`` and ``source`` are read; the schedule table has ``period`` rows.
+    ``max_sources`` sources is an error. Only ``keep`` and ``source`` are read.
     """
-    spark = docs.sparkSession
+    given = None if weights is None else {"null" if s is None else "=" + s: w for s, w in weights.items()}
+    if given and any(w < 0 for w in given.values()):
+        raise ValueError("weights must not be negative")
     rows = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], F.col(source).alias("__source"))
     rows = rows.withColumn("__src", source_key("__source"))
-    found = target_weights(rows, source="__source", max_sources=max_sources)
-    if weights is not None:
-        given = {"null" if s is None else "=" + s: w for s, w in weights.items()}
-        found = {s: given.get(s, 0.0) for s in found}
-    table = spark.createDataFrame(one_period(shares(found, period)) if found else [], _TABLE)
-
     hashed = rows.withColumn("__h", F.xxhash64(*[F.col(f"__k{i}") for i in range(len(keep))]))
     ranked = numbered(hashed, "__src", "__h", into="__rank", name="mixing")
-    heads = ranked.groupBy("__src").agg(F.min("__rank").alias("__head"))
-    parts = table.select("__src", "__share").distinct()
-    # Both sides have at most max_sources rows, the schedule has period rows.
-    ranked = ranked.join(F.broadcast(heads.join(parts, "__src")), "__src")
+    sizes = stored(ranked.groupBy("__src").agg(F.min("__rank").alias("__head"), F.count(F.lit(1)).alias("__n")), "mixing-sources")
+    n_sources = sizes.count()
+    if n_sources > max_sources:
+        raise ValueError(f"more than {max_sources} sources; group them first")
+    heads = sizes.select("__src", "__head")
+    ranked = ranked.join(F.broadcast(heads), "__src")
     nth = F.col("__rank") - F.col("__head")
     blocks = ranked.withColumns({"block": F.floor(nth / block_rows).cast("long"), "__in": nth % block_rows})
-    blocks = blocks.withColumns({"__round": F.floor(F.col("block") / F.col("__share")).cast("long"), "__nth": F.col("block") % F.col("__share")})
-    placed = blocks.join(F.broadcast(table.drop("__share")), ["__src", "__nth"])
-    shift = F.col("__round") * period
+    # Stored, so that the join knows its size: a row for each block is too much to be sent to all tasks unseen.
+    placed = blocks.join(stored(_layouts(sizes, given, period, block_rows), "mixing-layout"), ["__src", "block"])
     return placed.select(
         *[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)],
         F.col("__source").alias(source),
         "block",
-        (shift + F.col("__release")).alias("release"),
-        (shift + F.col("__deadline")).alias("deadline"),
-        (shift + F.col("__slot")).alias("slot"),
-        ((shift + F.col("__slot")) * block_rows + F.col("__in")).alias("place"),
+        "release",
+        "deadline",
+        "slot",
+        (F.col("slot") * block_rows + F.col("__in")).alias("place"),
     )

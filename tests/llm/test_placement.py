@@ -52,6 +52,25 @@ def test_later_periods_continue(frame):
     assert all(4 * i <= s < 4 * i + 4 for i, s in enumerate(first))
 
 
+def test_the_target_is_kept_over_many_periods(frame):
+    docs = frame([(i, "x", None, "b" if i % 10 == 0 else "a") for i in range(2000)])
+    rows = mixing.schedule(docs, {"a": 0.9, "b": 0.1}, period=20, block_rows=1).collect()
+    weights = {"a": Fraction(0.9), "b": Fraction(0.1)}
+    done = Counter()
+    for t, r in enumerate(sorted(rows, key=lambda r: r.slot)[:1990], start=1):
+        done[r.source] += 1
+        assert r.slot == t - 1 and all(abs(done[s] - w / sum(weights.values()) * t) < 1 for s, w in weights.items())
+
+
+def test_least_shares():
+    blocks = {"a": 10, "b": 10, "c": 1}
+    assert mixing.whole_weights({"a": 3.0, "b": 1.0, "c": 0.0}, blocks, 100) == {"a": 297, "b": 99, "c": 4}
+    assert mixing.whole_weights({"a": 3.0, "b": 1e-300, "c": 1.0}, blocks, 100) == {"a": 297, "b": 4, "c": 99}
+    assert mixing.whole_weights(dict.fromkeys(blocks, 0.0), blocks) == dict.fromkeys(blocks, 1)
+    last = {s: slot for s, _, _, _, slot in mixing.layout({"a": 1, "b": 10**12}, {"a": 3, "b": 2})}
+    assert 2 * 10**12 < last["a"] < 3 * 10**12 + 3
+
+
 def test_mixing_odd_rows(odd, frame):
     rows = mixing.schedule(odd).collect()
     assert len(rows) == 11 and len({r.place for r in rows}) == 11 and None in {r.source for r in rows}
