@@ -23,7 +23,8 @@ from evalspark.llm.order import numbered, stored
 PERIOD = 10_000
 BLOCK_ROWS = 8
 ALPHA = 0.5
-MAX_SOURCES = 1_000
+#: Up to so many sources their table is sent to all tasks; beyond, it is joined by shuffle.
+BROADCAST_SOURCES = 10_000
 
 _LAYOUT = ("__src", "block", "release", "deadline", "slot")
 _LAST_SLOT = 1 << 56
@@ -144,7 +145,7 @@ def schedule(
     source: str = "source",
     period: int = PERIOD,
     block_rows: int = BLOCK_ROWS,
-    max_sources: int = MAX_SOURCES,
+    max_sources: int | None = None,
 ) -> DataFrame:
     """One row per record: the columns ``keep`` and ``source``, block, release, deadline, slot and place.
 
@@ -155,8 +156,8 @@ def schedule(
     holes where a source has run out; the others then keep their proportions to each other. As long as a source has
     blocks, the number it has had differs from weight * slots by less than one, after any number of slots.
 
-    Repeated rows get places of their own. Null keys are allowed. An empty table gives no rows. More than
-    ``max_sources`` sources is an error. Only ``keep`` and ``source`` are read.
+    Repeated rows get places of their own. Null keys are allowed. An empty table gives no rows. Any number of sources
+    is laid out; more than ``max_sources``, if that is given, is an error. Only ``keep`` and ``source`` are read.
     """
     given = None if weights is None else {"null" if s is None else "=" + s: w for s, w in weights.items()}
     if given and any(w < 0 for w in given.values()):
@@ -167,10 +168,10 @@ def schedule(
     ranked = numbered(hashed, "__src", "__h", into="__rank", name="mixing")
     sizes = stored(ranked.groupBy("__src").agg(F.min("__rank").alias("__head"), F.count(F.lit(1)).alias("__n")), "mixing-sources")
     n_sources = sizes.count()
-    if n_sources > max_sources:
+    if max_sources is not None and n_sources > max_sources:
         raise ValueError(f"more than {max_sources} sources; group them first")
     heads = sizes.select("__src", "__head")
-    ranked = ranked.join(F.broadcast(heads), "__src")
+    ranked = ranked.join(F.broadcast(heads) if n_sources <= BROADCAST_SOURCES else heads, "__src")
     nth = F.col("__rank") - F.col("__head")
     blocks = ranked.withColumns({"block": F.floor(nth / block_rows).cast("long"), "__in": nth % block_rows})
     # Stored, so that the join knows its size: a row for each block is too much to be sent to all tasks unseen.

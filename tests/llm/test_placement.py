@@ -62,6 +62,21 @@ def test_the_target_is_kept_over_many_periods(frame):
         assert r.slot == t - 1 and all(abs(done[s] - w / sum(weights.values()) * t) < 1 for s, w in weights.items())
 
 
+@pytest.mark.parametrize("by_shuffle", [False, True])
+def test_any_number_of_sources(monkeypatch, frame, by_shuffle):
+    if by_shuffle:
+        monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 10)
+    weights = {"hot": 1100.0} | {f"s{i}": 1.0 for i in range(1100)}
+    docs = frame([(i, "x", None, "hot" if i < 1100 else f"s{i - 1100}") for i in range(2200)])
+    rows = sorted(mixing.schedule(docs, weights, block_rows=1).collect(), key=lambda r: r.place)
+    assert [r.place for r in rows] == list(range(2200)) and len({r.doc_id for r in rows}) == 2200
+    hot = 0
+    for t, r in enumerate(rows, start=1):
+        hot += r.source == "hot"
+        assert abs(hot - t / 2) < 1
+    assert mixing.schedule(docs).count() == 2200
+
+
 def test_least_shares():
     blocks = {"a": 10, "b": 10, "c": 1}
     assert mixing.whole_weights({"a": 3.0, "b": 1.0, "c": 0.0}, blocks, 100) == {"a": 297, "b": 99, "c": 4}
