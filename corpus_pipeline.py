@@ -6,8 +6,9 @@ pass through.
 
 Each stage keeps what it has no reason to remove: texts without a letter go (language ID), one document of each group of
 near duplicates stays (SimHash), documents that hold a window of a benchmark go (decontamination). Mixing puts the rows
-in the order of the mixed sequence and sharding adds their virtual slot and shard; neither removes rows. An empty table
-passes all stages.
+in the order of the mixed sequence. Sharding adds their virtual slot and shard and returns them shard by shard, within a
+shard in the mixed order, which it finds again: files that are read do not keep their order. Neither removes rows. An
+empty table passes all stages.
 """
 
 from __future__ import annotations
@@ -54,16 +55,22 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(found, _KEY, "left_anti").select(*docs.columns)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order in which the sources are mixed; repeated rows stand together."""
+def _with_place(docs: DataFrame) -> DataFrame:
+    """``docs`` with __place, the place in the mixed sequence: it depends on the rows only. Repeated rows share the first."""
     rows = _keyed(docs)
     places = mixing.schedule(rows, keep=(_KEY,)).groupBy(_KEY).agg(F.min("place").alias("__place"))
-    return rows.join(places, _KEY).orderBy("__place").select(*docs.columns)
+    return rows.join(places, _KEY).drop(_KEY)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order in which the sources are mixed; repeated rows stand together."""
+    return _with_place(docs).orderBy("__place").select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their virtual slot (vslot) and shard."""
-    return sharding.place(docs, N_SHARDS, new_shared_path(spark, "slot-map")).drop("rebalanced_shard")
+    """All documents with their virtual slot (vslot) and shard, by shard and within it in the mixed order."""
+    placed = sharding.place(docs, N_SHARDS, new_shared_path(spark, "slot-map")).drop("rebalanced_shard")
+    return _with_place(placed).orderBy("shard", "__place").select(*placed.columns)
 
 
 STAGES = [

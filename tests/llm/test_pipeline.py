@@ -37,6 +37,13 @@ def test_mixing_orders_the_rows(spark, sf_dir, documents):
     assert len(set(first)) == 20  # equal sources: one block of each in turn
 
 
+def test_shards_keep_the_mixed_order(spark, sf_dir):
+    got = [(r.shard, r.doc_id) for r in corpus_pipeline.run(spark, sf_dir).collect()]
+    kept = corpus_pipeline.run(spark, sf_dir).drop("vslot", "shard").orderBy("doc_id")
+    mixed = {r.doc_id: n for n, r in enumerate(corpus_pipeline.mix(spark, kept, sf_dir).collect())}
+    assert got == sorted(got, key=lambda r: (r[0], mixed[r[1]])) and len(got) == len(mixed) > 100
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_odd_rows_pass(spark, sf_dir, odd, frame, name):
     stage = dict(corpus_pipeline.STAGES)[name]
