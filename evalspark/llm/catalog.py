@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from evalspark.llm import chat, decontaminate, langid, licenses, mixing, pii, secret_scan, sharding, simhash, sketches
+from evalspark.llm import alignment, chat, decontaminate, langid, licenses, mixing, packing, pii, secret_scan, sharding, simhash, sketches, survival
 from evalspark.session import configure, new_shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -253,4 +253,73 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot", "rebalanced_shard")
 
 
+def vocabulary(name: str) -> str:
+    """Where the file of a public tokenizer is; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), groups="digest")
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query(
+    "op12_filter_audit",
+    r"""
+    WITH t AS (SELECT coalesce(source::VARCHAR, '') AS part, doc_id, coalesce(text, '') AS x FROM documents),
+    w AS (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY x) AS first FROM t),
+    f AS (
+      SELECT part, doc_id, [
+        len(words) < 50,
+        100 * len(list_distinct(words)) < 65 * len(words),
+        100 * len(regexp_extract_all(x, '[A-Z]')) > 5 * length(x),
+        regexp_matches(x, '[#$%&*|]'),
+        coalesce(doc_id > first, false)] AS fails
+      FROM w
+    ),
+    l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+    g AS (
+      SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails
+    ),
+    i AS (SELECT unnest(range(1, 6)) AS i),
+    orders AS (
+      SELECT row_number() OVER () AS o, [a.i, b.i, c.i, d.i, e.i] AS p FROM i a, i b, i c, i d, i e
+      WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+    ),
+    steps AS (SELECT o, array_to_string(list_transform(p, lambda x: substr('ABCDE', x, 1)), '') AS filter_order, i AS step, p[i] AS f, p[1:i-1] AS before FROM orders, i),
+    each AS (
+      SELECT part, o, filter_order, step, f, n, n_good, n_toxic, fails[f] AS failing,
+        len(list_filter(before, lambda x: fails[x])) > 0 AS gone, len(list_filter(fails, lambda x: x)) = 1 AND fails[f] AS alone FROM g, steps
+    ),
+    sums AS (
+      SELECT part, filter_order, step, f,
+        coalesce(sum(n) FILTER (NOT failing AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (failing AND NOT gone), 0) AS removed,
+        coalesce(sum(n) FILTER (failing AND gone), 0) AS redundant, coalesce(sum(n) FILTER (alone), 0) AS unique_fails,
+        coalesce(sum(n_good) FILTER (failing AND NOT gone), 0) AS good_lost, coalesce(sum(n_toxic) FILTER (failing AND NOT gone), 0) AS toxic_lost
+      FROM each GROUP BY part, filter_order, step, f
+    )
+    SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+      unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+      (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+    FROM sums
+    """,
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survival.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_packing")
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents are examples of one turn that bears loss."""
+    docs = table(spark, sf_dir, "documents")
+    turn = F.struct(F.col("text").alias("text"), F.lit(True).alias("loss"))
+    packed = packing.pack(docs.select("doc_id", F.array(turn).alias("segments")), vocabulary("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
