@@ -7,6 +7,11 @@ whose span has as many bytes as it decodes to ends where its span ends; the othe
 bytes they decode to. Ends of both tokenizers that fall together cut the tokens into groups, and the stretches between
 any two neighbouring ends are the links: each is the overlap of just one token with one other.
 
+A text is cut before every single space or line feed between two other characters: there both tokenizers start a token, whatever
+comes before or after (which is checked for the vocabularies at hand; for others texts stay whole). The parts between these
+cuts are mostly words. Parts a task has not met yet are tokenized together, many to a call, and what was found is
+remembered for each: its tokens, groups and links. A text is the sum of its parts.
+
 Tokens are made once. A task numbers the pairs of ids in blocks of about ``BLOCK_LINKS`` links and notes for each document which
 numbers it has how often, and for each block its pairs, so that a pair which all documents share is counted by a row
 for each block instead of one for each link. The corpus-wide counts go back to the blocks the same way and each
@@ -15,7 +20,10 @@ block's documents look their numbers up in them.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import json
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,15 +38,18 @@ from pyspark.sql import types as T
 from evalspark.llm.order import stored
 from evalspark.llm.words import packs
 
-BLOCK_LINKS = 1 << 22
+BLOCK_LINKS = 1 << 21
 BLOCK_ROWS = 1 << 16
-#: Texts that one call encodes, in bytes; longer texts are cut at such lengths where no token of either kind can reach across.
-CALL_BYTES = 1 << 18
+#: Characters of new parts in one text to encode (longer ones take longer by the character), and such texts at a time.
+TEXT_CHARS = 1 << 12
+TEXTS = 1 << 6
+#: Parts that a task remembers, of at most so many characters. The memory is emptied when it is full.
+PARTS_KEPT = 600_000
+LONG_PART = 64
 
 _BLOCK_BITS = 24  # block: task above, block of the task below
 _PAIRS_IN_ROW = 1 << 16
-# A letter, one space, a letter: both tokenizers start a token at the space.
-_SAFE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
 class TokenizerA:
@@ -47,6 +58,7 @@ class TokenizerA:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core, not the machine
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         names = self._tokenizer.get_vocab(with_added_tokens=True)
@@ -55,19 +67,23 @@ class TokenizerA:
         self.entries = [b""] * (max(names.values()) + 1)
         for name, i in names.items():
             self.entries[i] = name.encode() if name in added else bytes(byte[c] for c in name)
+        rules = json.loads(self._tokenizer.to_str())
+        words = rules["pre_tokenizer"] or {}
+        self.cuttable = rules["normalizer"] is None and words.get("type") == "ByteLevel" and words.get("use_regex") and not words.get("add_prefix_space")
 
-    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of each text the ids, and the ends of their spans in bytes; a span starts where the one before ends, or in the
+        same character."""
         for text, e in zip(texts, self._tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-            spans = np.array(e.offsets, dtype=np.int64).reshape(-1, 2)
+            ends = np.array([end for _, end in e.offsets], dtype=np.int64)
             if not text.isascii():
                 data = np.frombuffer(text.encode(), dtype=np.uint8)
-                at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-                spans = at[spans]
-            yield np.array(e.ids, dtype=np.int64), spans[:, 0], spans[:, 1]
+                ends = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))[ends]
+            yield np.array(e.ids, dtype=np.int64), ends
 
 
 class TokenizerB:
-    """A sentencepiece model with byte fallback: ids, and spans in bytes, of texts after the space it adds."""
+    """A sentencepiece model with byte fallback: ids, and spans in bytes, of texts whose first space it adds itself."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -76,11 +92,13 @@ class TokenizerB:
         n = self._model.get_piece_size()
         names = self._model.id_to_piece(list(range(n)))
         self.entries = [bytes([int(p[3:5], 16)]) if self._model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+        self.cuttable = not any("▁" in p.lstrip("▁") or "\n" in p or " " in p for p in names)
 
-    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        for proto in self._model.encode(texts, return_type="proto", num_threads=1):
-            rows = np.array([(p.id, p.begin, p.end) for p in proto.pieces], dtype=np.int64).reshape(-1, 3)
-            yield rows[:, 0], rows[:, 1] + 1, rows[:, 2] + 1
+    def __call__(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of each text, which begins with a space, the ids and the ends of their spans in bytes."""
+        for proto in self._model.encode([t[1:] for t in texts], return_type="proto", num_threads=1):
+            flat = np.array([x for p in proto.pieces for x in (p.id, p.end)], dtype=np.int64)
+            yield flat[0::2], flat[1::2] + 1
 
 
 def _bytes_of_characters() -> dict[str, int]:
@@ -91,76 +109,150 @@ def _bytes_of_characters() -> dict[str, int]:
 
 
 class _Vocabulary:
-    """Entries of a tokenizer: their bytes, their lengths, and their ids as text with what follows in a digest."""
+    """Entries of a tokenizer: their bytes, their lengths, and their ids as text with what follows in the list of groups."""
 
     def __init__(self, tokenizer: TokenizerA | TokenizerB):
-        self.encode, self.entries = tokenizer, tokenizer.entries
+        self.encode, self.entries, self.cuttable = tokenizer, tokenizer.entries, tokenizer.cuttable
         self.lengths = np.array([len(e) for e in self.entries], dtype=np.int64)
-        self.written = np.array([[f"{i}{after}" for i in range(len(self.entries))] for after in (",", "|", ";", "")], dtype=object)
-
-
-@lru_cache(maxsize=4)
-def _vocabularies(path_a: str, path_b: str) -> tuple[_Vocabulary, _Vocabulary]:
-    return _Vocabulary(TokenizerA(path_a)), _Vocabulary(TokenizerB(path_b))
-
-
-def segments(text: str) -> list[str]:
-    """A text in parts that tokenize as the whole does, cut at safe spaces; the space is left out, as every part gets one."""
-    if len(text) <= CALL_BYTES:
-        return [text]
-    out, start = [], 0
-    while len(text) - start > CALL_BYTES and (m := _SAFE.search(text, start + CALL_BYTES)):
-        out.append(text[start : m.start()])
-        start = m.end()
-    return [*out, text[start:]]
-
-
-def refined(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        self.written = np.array([[f"{i}{after}" for i in range(len(self.entries))] for after in (",", "|", ";")], dtype=object)
+        self.digits = np.array([len(w) for w in self.written[0]], dtype=np.int64)
+
+    def ends(self, texts: list[str], data: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of the texts, one after another, and where each ends in their bytes; None if they do not decode to them."""
+        found = list(self.encode(texts))
+        ids = np.concatenate([f[0] for f in found])
+        if b"".join(map(self.entries.__getitem__, ids.tolist())) != data:
+            return None
+        shift = np.cumsum([0, *(len(t.encode()) for t in texts[:-1])])
+        spans = np.concatenate([f[1] + at for f, at in zip(found, shift.tolist(), strict=True)])
+        ends = refined(spans, self.lengths[ids])
+        if np.any(np.diff(ends, prepend=0) <= 0) or ends[-1] != len(data):
+            raise ValueError("spans and decoded bytes of a tokenizer contradict each other")
+        return ids, ends
+
+
+def refined(spans: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Where each token ends, in bytes: where its span ends if that holds as many bytes as the token decodes to, else
     counted on from the last such end by decoded bytes."""
     decoded = np.cumsum(lengths)
-    sure = np.maximum.accumulate(np.where(ends - starts == lengths, np.arange(len(ids)), -1))
-    return decoded + np.where(sure >= 0, ends[sure] - decoded[sure], 0)
-
-
-class Aligned:
-    """Tokens of one text by both tokenizers; no tokens where one of them does not give back the text."""
-
-    def __init__(self, a: _Vocabulary, b: _Vocabulary, parts: list[str], found_a: list, found_b: list):
-        self.ids, self.ends = [], []
-        whole = " " + " ".join(parts)
-        data = whole.encode()
-        sizes = [len(p.encode()) + 1 for p in parts]
-        for vocabulary, found in ((a, found_a), (b, found_b)):
-            ids = np.concatenate([f[0] for f in found])
-            if b"".join(map(vocabulary.entries.__getitem__, ids.tolist())) != data:
-                self.ids, self.ends = [np.zeros(0, dtype=np.int64)] * 2, [np.zeros(0, dtype=np.int64)] * 2
-                return
-            shift = np.repeat(np.cumsum([0, *sizes[:-1]]), [len(f[0]) for f in found])
-            starts = np.concatenate([f[1] for f in found]) + shift
-            stops = np.concatenate([f[2] for f in found]) + shift
-            ends = refined(ids, starts, stops, vocabulary.lengths[ids])
-            if np.any(np.diff(ends, prepend=0) <= 0) or ends[-1] != len(data):
-                raise ValueError("spans and decoded bytes of a tokenizer contradict each other")
-            self.ids.append(ids)
-            self.ends.append(ends)
-
-    def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the two tokens of every overlap, in order."""
-        cuts = np.union1d(*self.ends)
-        return np.searchsorted(self.ends[0], cuts), np.searchsorted(self.ends[1], cuts)
-
-    def groups(self, a: _Vocabulary, b: _Vocabulary) -> str:
-        """``a1,a2|b1;a3|b2,b3``: the ids of the groups between common ends."""
-        common = np.intersect1d(*self.ends, assume_unique=True)
-        last = [np.isin(ends, common, assume_unique=True) for ends in self.ends]
-        group = [np.searchsorted(common, ends) for ends in self.ends]
-        after_a = np.where(last[0], 1, 0)
-        after_b = np.where(last[1], 2, 0)
-        after_b[-1:] = 3
-        order = np.argsort(np.concatenate((2 * group[0], 2 * group[1] + 1)), kind="stable")
-        written = np.concatenate((a.written[after_a, self.ids[0]], b.written[after_b, self.ids[1]]))
-        return "".join(written[order].tolist())
+    sure = np.maximum.accumulate(np.where(np.diff(spans, prepend=0) == lengths, np.arange(len(lengths)), -1))
+    return decoded + np.where(sure >= 0, spans[sure] - decoded[sure], 0)
+
+
+#: Tokens of A and of B, of each link the ids of A and B as one 64-bit number, and the groups as text.
+Part = tuple[int, int, bytes, str]
+
+
+class Aligner:
+    """Parts of texts aligned, and remembered."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.a, self.b = _Vocabulary(TokenizerA(path_a)), _Vocabulary(TokenizerB(path_b))
+        self._known: dict[str, Part | None] = {}
+        self._before: dict[str, Part | None] = {}
+
+    def parts(self, text: str) -> list[str]:
+        """What a space and the text are cut into."""
+        return _CUT.split(" " + text) if self.a.cuttable and self.b.cuttable else [" " + text]
+
+    def __call__(self, texts: list[list[str]]) -> list[list[Part | None]]:
+        """Of texts that are cut into parts what each part holds; None for parts that do not come back.
+
+        What is remembered is of two ages: parts that are met again become young, and the old ones go when the young
+        ones are many.
+        """
+        missing = set().union(*texts).difference(self._known)
+        for p in missing & self._before.keys():
+            self._known[p] = self._before[p]
+        new = missing.difference(self._before)
+        # Only a part that begins with one space or line feed, and does not end in white space, can stand among others.
+        plain = [p for p in new if p[0] in " \n" and len(p) > 1 and not p[1].isspace() and not p[-1].isspace()]
+        for some in _texts_of(plain):
+            self._align_some(some)
+        for p in new.difference(plain):
+            self._align_alone(p)
+        out = [list(map(self._known.__getitem__, parts)) for parts in texts]
+        for p in new:
+            if len(p) > LONG_PART:
+                del self._known[p]
+        if len(self._known) > PARTS_KEPT // 2:
+            self._known, self._before = {}, self._known
+        return out
+
+    def _align_some(self, texts: list[list[str]]) -> None:
+        found = self._aligned([[" x", *parts] for parts in texts])
+        if found is not None:
+            for parts, each in zip(texts, found, strict=True):
+                self._known.update(zip(parts, each[1:], strict=True))
+        elif len(texts) > 1:  # one of them does not come back
+            self._align_some(texts[: len(texts) // 2])
+            self._align_some(texts[len(texts) // 2 :])
+        elif len(texts[0]) > 1:
+            half = len(texts[0]) // 2
+            self._align_some([texts[0][:half]])
+            self._align_some([texts[0][half:]])
+        else:
+            self._known[texts[0][0]] = None
+
+    def _align_alone(self, part: str) -> None:
+        found = self._aligned([[part] if part[0] == " " else [" x", part]])
+        self._known[part] = None if found is None else found[0][-1]
+
+    def _aligned(self, texts: list[list[str]]) -> list[list[Part]] | None:
+        joined = ["".join(parts) for parts in texts]
+        data = "".join(joined).encode()
+        a, b = self.a.ends(joined, data), self.b.ends(joined, data)
+        if a is None or b is None:
+            return None
+        (ids_a, ends_a), (ids_b, ends_b) = a, b
+        sizes = [len(p) if p.isascii() else len(p.encode()) for parts in texts for p in parts]
+        cuts = np.cumsum(sizes)
+        # By byte: whether a token of A, of B ends there. Running sums number tokens, links and groups.
+        is_a, is_b = np.zeros(len(data) + 1, dtype=bool), np.zeros(len(data) + 1, dtype=bool)
+        is_a[ends_a] = is_b[ends_b] = True
+        common, either = is_a & is_b, np.flatnonzero(is_a | is_b)
+        if not common[cuts].all():
+            raise ValueError("a token reaches over a cut between two parts")
+        of_a, of_b, of_link, of_group = (np.cumsum(x, dtype=np.int64) for x in (is_a, is_b, is_a | is_b, common))
+        # The token that a link ends in, or with: as many have ended before.
+        pairs = (ids_a[of_a[either] - is_a[either]] << 32 | ids_b[of_b[either] - is_b[either]]).tobytes()
+        # Written out group by group: the ids of A, then those of B. Each is followed by one character.
+        groups = np.flatnonzero(common)
+        written = np.empty(len(ids_a) + len(ids_b), dtype=object)
+        width = np.empty(len(written), dtype=np.int64)
+        at_a = np.arange(len(ids_a)) + np.append(0, of_b[groups])[of_group[ends_a] - common[ends_a]]
+        at_b = np.arange(len(ids_b)) + of_a[groups][of_group[ends_b] - common[ends_b]]
+        written[at_a], width[at_a] = self.a.written[np.where(common[ends_a], 1, 0), ids_a], self.a.digits[ids_a]
+        written[at_b], width[at_b] = self.b.written[np.where(common[ends_b], 2, 0), ids_b], self.b.digits[ids_b]
+        text = "".join(written.tolist())
+        to_char = np.append(0, np.cumsum(width))[of_a[cuts] + of_b[cuts]]
+        edges = [np.append(0, x).tolist() for x in (of_a[cuts], of_b[cuts], of_link[cuts], to_char)]
+        every = zip(*[e[i : len(e) - 1 + i] for e in edges for i in (0, 1)], strict=True)
+        flat = [(na - ma, nb - mb, pairs[8 * ml : 8 * nl], text[mc : nc - 1]) for ma, na, mb, nb, ml, nl, mc, nc in every]
+        at = np.cumsum([0, *map(len, texts)]).tolist()
+        return [flat[i:j] for i, j in zip(at, at[1:])]
+
+
+def _texts_of(parts: list[str]) -> Iterator[list[list[str]]]:
+    """Parts in lists of TEXT_CHARS characters, TEXTS lists at a time; a longer part is a list of its own."""
+    some: list[list[str]] = []
+    size = TEXT_CHARS
+    for p in parts:
+        size += len(p)
+        if size > TEXT_CHARS:
+            if len(some) == TEXTS:
+                yield some
+                some = []
+            some.append([])
+            size = len(p)
+        some[-1].append(p)
+    if some:
+        yield some
+
+
+@lru_cache(maxsize=4)
+def aligner(path_a: str, path_b: str) -> Aligner:
+    return Aligner(path_a, path_b)
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -203,7 +295,7 @@ class _Block:
         self.pairs: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, kept: pa.RecordBatch, made: list[tuple], pairs: list[np.ndarray]) -> None:
+    def add(self, kept: pa.RecordBatch, made: tuple[tuple, ...], pairs: tuple[np.ndarray, ...]) -> None:
         self.kept.append(kept)
         self.made += made
         self.pairs += pairs
@@ -230,40 +322,33 @@ class _Block:
             yield pa.record_batch([*blank, *[pa.array([row.get(f.name)], f.type) for f in _MADE]], names=[*self.keys.names, *_MADE.names])
 
 
-def _aligner(path_a: str, path_b: str, keys: list[str], with_groups: str, block_links: int):
-    def encode(vocabulary: _Vocabulary, parts: list[str], lead: str) -> list:
-        out = []
-        sizes = [p.encode() for p in parts]
-        for i, j in packs(sizes, CALL_BYTES):
-            out += vocabulary.encode([lead + p for p in parts[i:j]])
-        return out
+def _rows(path_a: str, path_b: str, keys: list[str], groups: str, block_links: int):
+    def row(parts: list[Part | None]) -> tuple[tuple, np.ndarray]:
+        if not parts or None in parts:
+            return (0, 0, 0, 0, ""), np.zeros(0, dtype=np.int64)
+        in_a, in_b, pairs, texts = zip(*parts, strict=True)
+        pairs = np.frombuffer(b"".join(pairs), dtype=np.int64)
+        n_a, n_b = sum(in_a), sum(in_b)
+        text = ";".join(texts)
+        text = hashlib.sha256(text.encode()).hexdigest() if groups == "digest" else text
+        return (n_a, n_b, n_a + n_b - len(pairs), len(pairs), text), pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _vocabularies(path_a, path_b)
+        # Nothing here refers to itself, and looking through all remembered parts for cycles takes a fifth of the time.
+        gc.disable()
+        try:
+            yield from aligned(batches)
+        finally:
+            gc.enable()
+
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        align = aligner(path_a, path_b)
         number, block = TaskContext.get().partitionId() << _BLOCK_BITS, None
         for batch in batches:
-            texts = batch.column("__text")
             kept = batch.select(keys)
-            sizes = [b"" if t is None else t for t in texts.cast(pa.large_binary()).to_pylist()]
-            for i, j in packs(sizes):
-                cut = [segments(t.decode()) if t else [] for t in sizes[i:j]]
-                parts = [p for c in cut for p in c]
-                found_a, found_b = encode(a, parts, " "), encode(b, parts, "")
-                made, pairs, at = [], [], 0
-                for c in cut:
-                    row, own = (0, 0, 0, 0, ""), np.zeros(0, dtype=np.int64)
-                    if c:
-                        text = Aligned(a, b, c, found_a[at : at + len(c)], found_b[at : at + len(c)])
-                        at += len(c)
-                        n_a, n_b = (len(x) for x in text.ids)
-                        if n_a:
-                            in_a, in_b = text.links()
-                            own = text.ids[0][in_a] << 32 | text.ids[1][in_b]
-                            groups = text.groups(a, b)
-                            groups = hashlib.sha256(groups.encode()).hexdigest() if with_groups == "digest" else groups
-                            row = (n_a, n_b, n_a + n_b - len(own), len(own), groups)
-                    made.append(row)
-                    pairs.append(own)
+            texts = [t or b"" for t in batch.column("__text").cast(pa.large_binary()).to_pylist()]
+            for i, j in packs(texts):
+                made, pairs = zip(*map(row, align([align.parts(t.decode()) if t else [] for t in texts[i:j]])), strict=True)
                 block = block or _Block(kept.schema, number)
                 block.add(kept.slice(i, j - i), made, pairs)
                 if block.size >= block_links or len(block.made) >= BLOCK_ROWS:
@@ -320,7 +405,7 @@ def align(
     rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, keys, strict=True)], F.col(text).alias("__text"))
     fields = rows.drop("__text").schema.fields
     schema = T.StructType([*fields, *T.StructType.fromDDL(_MADE_DDL).fields])
-    made = stored(rows.mapInArrow(_aligner(tokenizer_a, tokenizer_b, keys, groups, block_links), schema), "tokens")
+    made = stored(rows.mapInArrow(_rows(tokenizer_a, tokenizer_b, keys, groups, block_links), schema), "tokens")
 
     pairs = made.where(F.col("first").isNotNull()).select("block", "first", F.posexplode(F.arrays_zip("pairs", "links")).alias("i", "p"))
     pairs = pairs.select("block", (F.col("first") + F.col("i")).alias("number"), F.col("p.pairs").alias("pair"), F.col("p.links").alias("links"))

@@ -108,22 +108,26 @@ def test_the_query_has_the_digest_of_the_groups(spark, sf_dir, document_rows, pa
     assert checked > 100
 
 
-def test_long_texts_are_cut_without_a_trace(spark, frame, paths):
+def test_texts_are_cut_without_a_trace(spark, frame, paths, monkeypatch):
     rng = random.Random(5)
-    words = ["alpha", "Beta", "x1", "don't", "naïve", "日本", "...", "\n", "I", "\U0001f600", "  "]
-    long = " ".join(rng.choice(words) for _ in range(120_000))
-    no_cut = "ab" * 200_000
-    assert len(AL.segments(long)) > 1 and " ".join(AL.segments(long)) == long and len(AL.segments(no_cut)) == 1
-    docs = frame([(0, long, "en", "s"), (1, no_cut, "en", "s"), (2, "short", "en", "s")])
+    words = ["alpha", "Beta", "x1", "don't", "naïve", "日本", "...", "\n", "I", "\U0001f600", "  ", "\t", "\x1c", "\xa0", "'s", "1", "\u3000", "▁", "a▁"]
+    texts = [" ".join(rng.choice(words) for _ in range(120_000)), "ab" * 200_000]
+    for _ in range(300):
+        texts.append("".join(rng.choice([*words, " ", " ", "\n", "\r\n"]) for _ in range(rng.randrange(12))))
+    want = brute(texts, paths)
+    monkeypatch.setattr(AL, "PARTS_KEPT", 50)
+    docs = frame([(i, t, "en", "s") for i, t in enumerate(texts)])
     got = AL.align(docs, *paths).orderBy("doc_id").select(*COLUMNS).collect()
-    same([tuple(r) for r in got], brute([long, no_cut, "short"], paths))
+    same([tuple(r) for r in got], want)
+    assert sum(w[0] == 0 for w in want) > 50 and sum(w[0] > 0 for w in want) > 100
 
 
-def test_no_piece_reaches_over_a_safe_cut(paths):
-    import sentencepiece
-
-    b = sentencepiece.SentencePieceProcessor(model_file=paths[1])
-    assert not [p for p in b.id_to_piece(list(range(b.get_piece_size()))) if "▁" in p.lstrip("▁")]
+def test_other_vocabularies_leave_texts_whole(paths):
+    align = AL.Aligner(*paths)
+    assert align.a.cuttable and align.b.cuttable
+    assert align.parts("one two\nthree  four") == [" one", " two", "\nthree  four"]
+    align.b.cuttable = False
+    assert align.parts("one two") == [" one two"]
 
 
 def test_repeated_rows_and_other_columns(spark, odd, paths):
