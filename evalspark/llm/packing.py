@@ -12,6 +12,9 @@ tokens keeps as many as the greatest power of two and returns the others, so tha
 
 from __future__ import annotations
 
+import gc
+import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -23,12 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from evalspark.llm.words import BLOCK, mix, packs, range_hashes
+
 #: Examples are packed in windows of about so many bytes of text, and of so many rows at most.
 WINDOW_BYTES = 1 << 21
 WINDOW_ROWS = 1 << 11
-#: Words whose ids a task remembers. The memory is emptied when it is full.
-WORDS_KEPT = 400_000
+#: Words whose ids a task remembers, of at most so many bytes.
+WORDS_KEPT = 800_000
 LONG_WORD = 64
+#: New words in one text to encode, and texts at a time.
+WORDS_IN_TEXT = 100
+TEXTS = 100
 
 _SEQUENCE_BITS = 36  # sequence_id: task above, sequence of the task below
 
@@ -47,30 +55,94 @@ class Limits:
 class WordIds:
     """Ids of texts by a tokenizer that drops white space, word by word: equal words are encoded once.
 
-    Texts are cut at spaces and line feeds only, which end words for the tokenizer too, whatever stands beside them.
+    Texts are cut at spaces and line feeds only, which end words for the tokenizer too, whatever stands beside them. The words
+    of some texts are told apart by two 64-bit hashes and their lengths, computed on bytes; one string is made of each
+    different word. New words are encoded side by side in longer texts, where the spans of their tokens part them.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core, not the machine
         self._tokenizer = Tokenizer.from_file(path)
-        self._known = {"": b""}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self._known
-        new = list({w for words in split for w in words if w not in known})
-        found = self._tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(new, found, strict=True))
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        if len(known) > WORDS_KEPT:
-            self._known = {"": b""}
-        else:
-            for w in new:
-                if len(w) > LONG_WORD:
-                    del known[w]
+        self._known: dict[bytes, bytes] = {}
+        self._before: dict[bytes, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        pieces = [(i, piece) for i, t in enumerate(texts) for piece in _pieces(t.encode())]
+        found: list[list[np.ndarray]] = [[] for _ in texts]
+        for a, b in packs([piece for _, piece in pieces]):
+            for (i, _), ids in zip(pieces[a:b], self._ids_of([piece for _, piece in pieces[a:b]]), strict=True):
+                found[i].append(ids)
+        return [f[0] if len(f) == 1 else np.concatenate(f) if f else np.empty(0, dtype="<u4") for f in found]
+
+    def _ids_of(self, pieces: list[bytes]) -> list[np.ndarray]:
+        line = b"\n".join(pieces)
+        starts, ends, hashes, checks = _words(np.frombuffer(line, dtype=np.uint8))
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        own = first[which]
+        if np.any(checks != checks[own]) or np.any(ends - starts != (ends - starts)[own]):  # two words of one hash
+            first, which = np.arange(len(starts)), np.arange(len(starts))
+        words = [line[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        each = self._looked_up(words)
+        length = np.array([len(x) for x in each], dtype=np.int64) // 4
+        flat, begin = np.frombuffer(b"".join(each), dtype="<u4"), np.cumsum(length) - length
+        n = length[which]
+        upto = np.append(0, np.cumsum(n))
+        ids = flat[np.repeat(begin[which] - upto[:-1], n) + np.arange(upto[-1])]
+        bounds = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+        at = upto[np.searchsorted(starts, bounds)].tolist()
+        return [ids[i:j] for i, j in zip(at, at[1:])]
+
+    def _looked_up(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words, as bytes. Memory is of two ages: words that are met again become young, and the old ones go when
+        the young ones are many."""
+        missing = set(words).difference(self._known)
+        for w in missing & self._before.keys():
+            self._known[w] = self._before[w]
+        new = list(missing.difference(self._before))
+        for at in range(0, len(new), WORDS_IN_TEXT * TEXTS):
+            self._known.update(self._encoded(new[at : at + WORDS_IN_TEXT * TEXTS]))
+        out = list(map(self._known.__getitem__, words))
+        for w in new:
+            if len(w) > LONG_WORD:
+                del self._known[w]
+        if len(self._known) > WORDS_KEPT // 2:
+            self._known, self._before = {}, self._known
         return out
 
+    def _encoded(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        lines = [[w.decode() for w in words[i : i + WORDS_IN_TEXT]] for i in range(0, len(words), WORDS_IN_TEXT)]
+        done = iter(words)
+        for line, e in zip(lines, self._tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype="<u4").tobytes()
+            last = np.array([end for _, end in e.offsets], dtype=np.int64)
+            stops = np.searchsorted(last, np.cumsum([len(w) + 1 for w in line]) - 1, side="right").tolist()
+            for i, j in zip([0, *stops], stops):
+                yield next(done), ids[4 * i : 4 * j]
+
+
+_BREAK = re.compile(rb"[ \n]")
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text in pieces of about BLOCK bytes that end between words."""
+    at = 0
+    while len(text) - at > BLOCK and (m := _BREAK.search(text, at + BLOCK)):
+        yield text[at : m.start()]
+        at = m.end()
+    yield text[at:] if at else text
+
+
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words between spaces and line feeds, and two hashes of each."""
+    inside = np.concatenate(([False], (data != 32) & (data != 10), [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[0::2], edges[1::2]
+    plain = data.astype(np.uint64) + np.uint64(1)
+    hashes = range_hashes(plain, starts, ends)
+    return starts, ends, hashes, range_hashes(mix(plain), starts, ends)
+
 
 @lru_cache(maxsize=4)
 def word_ids(path: str) -> WordIds:
@@ -80,10 +152,10 @@ def word_ids(path: str) -> WordIds:
 class Example:
     """Ids of an example and, where not all of them do, which bear loss."""
 
-    __slots__ = ("ids", "row", "bears", "before")
+    __slots__ = ("ids", "bears", "before")
 
-    def __init__(self, row: int, ids: np.ndarray, bears: np.ndarray | None):
-        self.row, self.ids, self.bears = row, ids, bears
+    def __init__(self, ids: np.ndarray, bears: np.ndarray | None):
+        self.ids, self.bears = ids, bears
         self.before = None if bears is None else np.concatenate(([0], np.cumsum(bears)))
 
     def loss(self, start: int, end: int) -> int:
@@ -195,14 +267,14 @@ def _shortened(chosen: list[Piece], surplus: int) -> list[Piece]:
 def _examples(batch: pa.RecordBatch, ids: WordIds, end_id: int) -> Iterator[Example]:
     rows = [[(s["text"] or "", bool(s["loss"])) for s in r if s is not None] if r is not None else [] for r in batch.column("segments").to_pylist()]
     coded = iter(ids([text for r in rows for text, _ in r]))
-    stop = np.array([end_id], dtype="<u4").tobytes()
-    for i, r in enumerate(rows):
+    stop = np.array([end_id], dtype="<u4")
+    for r in rows:
         parts = [(next(coded), loss) for _, loss in r]
         parts.append((stop, parts[-1][1] if parts else True))
         bears = None
         if not all(loss for _, loss in parts):
-            bears = np.concatenate([np.full(len(p) // 4, loss) for p, loss in parts])
-        yield Example(i, np.frombuffer(b"".join(p for p, _ in parts), dtype="<u4"), bears)
+            bears = np.concatenate([np.full(len(p), loss) for p, loss in parts])
+        yield Example(np.concatenate([p for p, _ in parts]), bears)
 
 
 def _runs(bears: np.ndarray | None, n: int) -> list[int]:
@@ -243,6 +315,14 @@ def _rows(examples: list[Example], kept: dict[str, pa.Array], found: list[list[P
 
 def _packer(path: str, keys: list[str], limits: Limits, cut: bool, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Nothing here refers to itself; looking through all remembered words for cycles would take its time.
+        gc.disable()
+        try:
+            yield from packed(batches)
+        finally:
+            gc.enable()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, number = word_ids(path), TaskContext.get().partitionId() << _SEQUENCE_BITS
         examples: list[Example] = []
         kept: dict[str, pa.Array] = {}

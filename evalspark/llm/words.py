@@ -43,6 +43,15 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up, down
 
 
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each range of 64-bit values, by value and place in the range."""
+    up, down = _power_tables(len(values))
+    total = np.empty(len(values) + 1, dtype=np.uint64)
+    total[0] = 0
+    np.cumsum(values * up[: len(values)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def _block(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = WORD[data]
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
@@ -51,12 +60,7 @@ def _block(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if inside[-1]:
         edges = np.concatenate((edges, [len(data)]))
     starts, ends = edges[0::2], edges[1::2]
-    up, down = _power_tables(len(data))
-    total = np.empty(len(data) + 1, dtype=np.uint64)
-    total[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-    hashes = (total[ends] - total[starts]) * down[starts]
-    return starts, ends, mix(hashes + (ends - starts).astype(np.uint64))
+    return starts, ends, range_hashes(data.astype(np.uint64) + np.uint64(1), starts, ends)
 
 
 def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
