@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalspark.llm.words import BLOCK, mix, packs, range_hashes
+from evalspark.llm.words import BLOCK, LOWER, mix, packs, range_hashes
 
 #: Examples are packed in windows of about so many bytes of text, and of so many rows at most.
 WINDOW_BYTES = 1 << 21
 WINDOW_ROWS = 1 << 11
 #: Words whose ids a task remembers, of at most so many bytes.
-WORDS_KEPT = 800_000
+WORDS_KEPT = 1_000_000
 LONG_WORD = 64
 #: New words in one text to encode, and texts at a time.
 WORDS_IN_TEXT = 100
@@ -53,11 +53,13 @@ class Limits:
 
 
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space, word by word: equal words are encoded once.
+    """Ids of texts by a tokenizer that lower-cases and drops white space, word by word: equal words are encoded once.
 
-    Texts are cut at spaces and line feeds only, which end words for the tokenizer too, whatever stands beside them. The words
-    of some texts are told apart by two 64-bit hashes and their lengths, computed on bytes; one string is made of each
-    different word. New words are encoded side by side in longer texts, where the spans of their tokens part them.
+    Texts are cut at spaces and line feeds, and where an ASCII letter meets another ASCII character: there the tokenizer
+    ends a word too, whatever follows. A-Z are lower-cased first. Only a text that may hold a special token, which is
+    looked for before all that, is cut at spaces and line feeds alone. Words are told apart on bytes, by their length
+    and two 64-bit hashes; a string is made of new words only, and they are encoded side by side in longer texts, where
+    the spans of their tokens part them. What is remembered of a word is where its ids stand in one array.
     """
 
     def __init__(self, path: str):
@@ -65,61 +67,84 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core, not the machine
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, bytes] = {}
-        self._before: dict[bytes, bytes] = {}
+        self._special = [t.content.encode()[:2] for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._forget()
+
+    def _forget(self) -> None:
+        self._hashes, self._rows = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)  # sorted by hash
+        self._checks, self._sizes = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+        self._begin, self._n = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        self._flat = np.empty(0, dtype="<u4")
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         pieces = [(i, piece) for i, t in enumerate(texts) for piece in _pieces(t.encode())]
         found: list[list[np.ndarray]] = [[] for _ in texts]
-        for a, b in packs([piece for _, piece in pieces]):
+        for a, b in packs([piece for _, piece in pieces], WINDOW_BYTES):
             for (i, _), ids in zip(pieces[a:b], self._ids_of([piece for _, piece in pieces[a:b]]), strict=True):
                 found[i].append(ids)
         return [f[0] if len(f) == 1 else np.concatenate(f) if f else np.empty(0, dtype="<u4") for f in found]
 
     def _ids_of(self, pieces: list[bytes]) -> list[np.ndarray]:
         line = b"\n".join(pieces)
-        starts, ends, hashes, checks = _words(np.frombuffer(line, dtype=np.uint8))
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        own = first[which]
-        if np.any(checks != checks[own]) or np.any(ends - starts != (ends - starts)[own]):  # two words of one hash
-            first, which = np.arange(len(starts)), np.arange(len(starts))
-        words = [line[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        each = self._looked_up(words)
-        length = np.array([len(x) for x in each], dtype=np.int64) // 4
-        flat, begin = np.frombuffer(b"".join(each), dtype="<u4"), np.cumsum(length) - length
-        n = length[which]
+        data = np.frombuffer(line, dtype=np.uint8)
+        plain = not any(s in line for s in self._special)
+        if plain:
+            data = LOWER[data]
+            line = data.tobytes()
+        starts, ends, hashes, checks = _words(data, plain)
+        sizes = ends - starts
+        own, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        alike = first[which]
+        if np.any(checks != checks[alike]) or np.any(sizes != sizes[alike]):  # two words of one hash: each for itself
+            own, first, which = hashes, np.arange(len(starts)), np.arange(len(starts))
+        at = np.searchsorted(self._hashes, own)
+        row = self._rows[np.minimum(at, len(self._rows) - 1)] if len(self._rows) else np.zeros(len(own), dtype=np.int64)
+        met = at < len(self._hashes)
+        met[met] &= self._hashes[at[met]] == own[met]
+        known = met.copy()
+        known[met] &= (self._checks[row[met]] == checks[first[met]]) & (self._sizes[row[met]] == sizes[first[met]])
+        new = np.flatnonzero(~known)
+        ids, n_new = self._encoded([line[s:e].decode() for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
+        begin, n = np.empty(len(own), dtype=np.int64), np.empty(len(own), dtype=np.int64)
+        begin[known], n[known] = self._begin[row[known]], self._n[row[known]]
+        begin[new], n[new] = len(self._flat) + np.cumsum(n_new) - n_new, n_new
+        flat = np.concatenate((self._flat, ids))
+        begin, n = begin[which], n[which]
         upto = np.append(0, np.cumsum(n))
-        ids = flat[np.repeat(begin[which] - upto[:-1], n) + np.arange(upto[-1])]
+        out = flat[np.repeat(begin - upto[:-1], n) + np.arange(upto[-1])]
+        self._remember(new[~met[new] & (sizes[first[new]] <= LONG_WORD)], at, own, checks[first], sizes[first], new, n_new, flat)
         bounds = np.cumsum([0, *(len(p) + 1 for p in pieces)])
-        at = upto[np.searchsorted(starts, bounds)].tolist()
-        return [ids[i:j] for i, j in zip(at, at[1:])]
-
-    def _looked_up(self, words: list[bytes]) -> list[bytes]:
-        """The ids of words, as bytes. Memory is of two ages: words that are met again become young, and the old ones go when
-        the young ones are many."""
-        missing = set(words).difference(self._known)
-        for w in missing & self._before.keys():
-            self._known[w] = self._before[w]
-        new = list(missing.difference(self._before))
-        for at in range(0, len(new), WORDS_IN_TEXT * TEXTS):
-            self._known.update(self._encoded(new[at : at + WORDS_IN_TEXT * TEXTS]))
-        out = list(map(self._known.__getitem__, words))
-        for w in new:
-            if len(w) > LONG_WORD:
-                del self._known[w]
-        if len(self._known) > WORDS_KEPT // 2:
-            self._known, self._before = {}, self._known
-        return out
-
-    def _encoded(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        lines = [[w.decode() for w in words[i : i + WORDS_IN_TEXT]] for i in range(0, len(words), WORDS_IN_TEXT)]
-        done = iter(words)
-        for line, e in zip(lines, self._tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, dtype="<u4").tobytes()
-            last = np.array([end for _, end in e.offsets], dtype=np.int64)
-            stops = np.searchsorted(last, np.cumsum([len(w) + 1 for w in line]) - 1, side="right").tolist()
-            for i, j in zip([0, *stops], stops):
-                yield next(done), ids[4 * i : 4 * j]
+        edges = upto[np.searchsorted(starts, bounds)].tolist()
+        return [out[i:j] for i, j in zip(edges, edges[1:])]
+
+    def _remember(self, some: np.ndarray, at: np.ndarray, own: np.ndarray, checks: np.ndarray, sizes: np.ndarray, new: np.ndarray, n_new: np.ndarray, flat: np.ndarray) -> None:
+        if len(self._hashes) + len(some) > WORDS_KEPT:
+            return self._forget()
+        some = some[np.append(True, own[some][1:] != own[some][:-1])] if len(some) else some
+        begin = np.zeros(len(own), dtype=np.int64)
+        begin[new] = len(self._flat) + np.cumsum(n_new) - n_new
+        n = np.zeros(len(own), dtype=np.int64)
+        n[new] = n_new
+        rows = np.arange(len(some)) + len(self._checks)
+        order = np.argsort(own[some], kind="stable")
+        self._hashes = np.insert(self._hashes, at[some][order], own[some][order])
+        self._rows = np.insert(self._rows, at[some][order], rows[order])
+        self._checks, self._sizes = np.concatenate((self._checks, checks[some])), np.concatenate((self._sizes, sizes[some]))
+        self._begin, self._n = np.concatenate((self._begin, begin[some])), np.concatenate((self._n, n[some]))
+        self._flat = flat
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after another, and how many each has."""
+        ids, counts = [np.empty(0, dtype="<u4")], [np.empty(0, dtype=np.int64)]
+        lines = [words[i : i + WORDS_IN_TEXT] for i in range(0, len(words), WORDS_IN_TEXT)]
+        for first in range(0, len(lines), TEXTS):
+            some = lines[first : first + TEXTS]
+            for line, e in zip(some, self._tokenizer.encode_batch([" ".join(x) for x in some], add_special_tokens=False), strict=True):
+                ids.append(np.array(e.ids, dtype="<u4"))
+                last = np.array([end for _, end in e.offsets], dtype=np.int64)
+                stops = np.searchsorted(last, np.cumsum([len(w) + 1 for w in line]) - 1, side="right")
+                counts.append(np.diff(stops, prepend=0))
+        return np.concatenate(ids), np.concatenate(counts)
 
 
 _BREAK = re.compile(rb"[ \n]")
@@ -134,14 +159,23 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:] if at else text
 
 
-def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words between spaces and line feeds, and two hashes of each."""
-    inside = np.concatenate(([False], (data != 32) & (data != 10), [False]))
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[0::2], edges[1::2]
-    plain = data.astype(np.uint64) + np.uint64(1)
-    hashes = range_hashes(plain, starts, ends)
-    return starts, ends, hashes, range_hashes(mix(plain), starts, ends)
+def _words(data: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words between spaces and line feeds, and two hashes of each. ``plain`` lower-cased texts are cut
+    behind ASCII letters too, unless a letter or a byte of another character follows."""
+    inside = (data != 32) & (data != 10)
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    if plain:
+        letter = (data >= 97) & (data <= 122)
+        begins[1:] |= letter[:-1] & inside[1:] & ~letter[1:] & (data[1:] < 128)
+    starts = np.flatnonzero(begins)
+    stops = np.append(np.flatnonzero(begins | ~inside), len(data))
+    ends = stops[np.searchsorted(stops, starts, side="right")]
+    values = data.astype(np.uint64) + np.uint64(1)
+    return starts, ends, range_hashes(values, starts, ends), range_hashes(_SCATTERED[data], starts, ends)
+
+
+_SCATTERED = mix(np.arange(1, 257, dtype=np.uint64))
 
 
 @lru_cache(maxsize=4)
@@ -203,6 +237,12 @@ def sequences(examples: list[Example], pool: list[Piece], limits: Limits, cut: b
 
     for piece in pool:
         put(piece)
+    def put_back(piece: Piece) -> None:
+        """Of each example one piece is left, its end: what comes back is joined to the rest."""
+        for i in np.flatnonzero(alive & (which == piece[0]) & (start == piece[2])):
+            piece = (piece[0], piece[1], take(int(i))[2])
+        put(piece)
+
     bounds = np.array([limits.tokens, limits.segments, limits.loss], dtype=float)
     pieces = max(1, int(alive.sum()))
     demand = np.array([tokens[alive].sum(), pieces, loss[alive].sum()]) / bounds / pieces
@@ -226,7 +266,7 @@ def sequences(examples: list[Example], pool: list[Piece], limits: Limits, cut: b
         held = int(limits.tokens - room[0])
         if cut and room[0]:
             for piece in _shortened(chosen, held - (1 << held.bit_length() - 1)):
-                put(piece)
+                put_back(piece)
         done.append(chosen)
     return done, [(int(which[i]), int(start[i]), int(end[i])) for i in np.flatnonzero(alive)]
 

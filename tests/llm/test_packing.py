@@ -80,7 +80,7 @@ def test_round_trip_of_documents_and_odd_rows(spark, odd, documents, path, token
 
 def test_words_give_the_ids_of_whole_texts(path, tokenizer):
     texts = ["", " ", "\n\n", "Ünï Σ ΟΔΟΣ <|endoftext|>b a<|startoftext|>", "tab\tand\x1cand\x85and and end", "é ́ x́", "İ K ſ", "it's 'tis 12,345 日本 \U0001f600"]
-    texts += ["long" * 1_000, "a " * 1_000 + "x" * 300]
+    texts += ["long" * 1_000, "a " * 1_000 + "x" * 300, "<|STARTOFTEXT|> <|ENDOFTEXT|>A B.C(d)E'S I'M 1a2B ,'s ''S don't=\u0338 e\u0301.A\u030a", "A\u0301 E'LL x'\u0301"]
     ids = PK.WordIds(path)
     for _ in range(2):
         assert [x.tolist() for x in ids(texts)] == [want_ids(tokenizer, t)[:-1] for t in texts]
@@ -105,7 +105,7 @@ def test_the_memory_of_words_is_bounded(path, tokenizer, monkeypatch):
     for _ in range(20):
         texts = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(30)) for _ in range(3)]
         assert [x.tolist() for x in ids(texts)] == [want_ids(tokenizer, t)[:-1] for t in texts]
-        assert len(ids._known) <= 50 and len(ids._before) <= 150
+        assert len(ids._hashes) == len(ids._checks) <= 100 and (np.diff(ids._hashes.astype(object)) > 0).all()
 
 
 def test_the_query(spark, sf_dir, document_rows, tokenizer):
