@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from evalspark.operators import convert as C
 from evalspark.operators.publish import publish
+from evalspark.operators.regroup import regroup
 from evalspark.plans.bindings import (
     EV_SQL,
     MEASUREMENTS_SQL,
     ORDER_RESULTS_SQL,
     ORDER_SUITE_SQL,
+    ORDER_SUITES,
     READABLE,
     B1_SQL,
     flat_results,
@@ -23,11 +25,13 @@ from evalspark.plans.registry import query
 from evalspark.plans.results import _latest_sql
 from evalspark.schemas import flat_schema
 from evalspark.session import new_shared_path
+from evalspark.sources import facets as FA
 from evalspark.sources import raw as RAW
 from evalspark.sources import store as ST
 from evalspark.sources.shards import read_shards
 from evalspark.streaming import convert as SC
 from evalspark.streaming import results as SR
+from evalspark.streaming import state as SS
 
 # Content of a run as text, and its key.
 _PAYLOAD_SQL = f"""
@@ -116,13 +120,13 @@ def s7_append_new(spark, sf_dir):
 
 @query(
     "s7_append_new_colliding_keys",
-    f"""WITH {_PAYLOAD_SQL}, c AS (SELECT unnest(range({_COPIES})) AS copy, n_rows FROM keyed WHERE n_rows > 0 AND o_orderkey % 5 = 0)
+    f"""WITH {_PAYLOAD_SQL}, c AS (SELECT unnest(range({_COPIES})) AS copy, n_rows FROM keyed WHERE n_rows > 0)
         SELECT copy, count(*) AS n_runs, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM c GROUP BY copy""",
 )
 def s7_append_new_colliding_keys(spark, sf_dir):
     """Runs that share the name of their shard but not their content are all stored: the name is made equal here."""
     path = new_shared_path(spark, "colliding")
-    runs = order_envelopes(spark, sf_dir).where("o_orderkey % 5 = 0 AND size(results) > 0")
+    runs = order_envelopes(spark, sf_dir).where("size(results) > 0")
     copies = runs.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(_COPIES - 1))))
     copies = copies.withColumn("model_revision", F.col("copy").cast("string"))
     one_name = ST.new_runs(copies, ST.read_keys(spark, path)).withColumn("shard_key", F.lit("data/run-of-one-name.parquet"))
@@ -145,10 +149,137 @@ def s7_append_new_compacted(spark, sf_dir):
     return _stored(spark, f"{path}-compacted")
 
 
+@query("s7_append_after_crash", _STORED_SQL)
+def s7_append_after_crash(spark, sf_dir):
+    """Drivers are lost after the rows of a batch, and after its keys; what they left does not count, and every run is stored
+    once when the batches are made again, one of them under its old name."""
+    path = new_shared_path(spark, "store")
+    runs = order_envelopes(spark, sf_dir)
+    ST.append_new(runs.where("suite = 'coding'"), path)
+    rows = ST.publishable_rows(ST.split_empty(runs, ["o_orderkey"])[0])
+    ST.write_rows(rows, path, "lost-after-rows")
+    ST.write_rows(rows, path, "lost-after-keys")
+    ST.write_keys(spark, path, "lost-after-keys")
+    ST.append_new(runs.where("suite <> 'knowledge'"), path, "lost-after-keys")
+    ST.append_new(runs, path)
+    return _stored(spark, path)
+
+
+@query("s7_compact_tiers", _STORED_SQL)
+def s7_compact_tiers(spark, sf_dir):
+    """A batch for every suite, then all runs once more by a publisher that did not see them, merged by size classes."""
+    path = new_shared_path(spark, "store")
+    runs = order_envelopes(spark, sf_dir)
+    for suite in ORDER_SUITES:
+        ST.append_new(runs.where(F.col("suite") == suite), path, f"of-{suite}")
+    ST.write_results(ST.publishable_rows(runs), path, "unaware")
+    ST.compact_tiers(spark, path, fanout=2)
+    return _stored(spark, path)
+
+
+def _two_batches(spark, sf_dir):
+    path = new_shared_path(spark, "store")
+    runs = order_envelopes(spark, sf_dir)
+    ST.append_new(runs.where("suite = 'coding'"), path)
+    ST.append_new(runs, path)
+    return path
+
+
+@query(
+    "c14_regroup_envelopes",
+    f"""WITH {_PAYLOAD_SQL} SELECT o_orderkey, sha256(payload) AS content_sha, true AS verified, n_rows AS n_results,
+          strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS timestamp FROM keyed JOIN orders USING (o_orderkey) WHERE n_rows > 0""",
+)
+def c14_regroup_envelopes(spark, sf_dir):
+    """Envelopes flattened, stored, and put together again: the same content under the same key."""
+    path = _two_batches(spark, sf_dir)
+    runs = regroup(read_shards(spark, path, flat_schema()))
+    found = F.sha2(ST.canonical_payload(), 256)
+    return runs.select(F.col("git_sha").cast("bigint").alias("o_orderkey"), found.alias("content_sha"), "verified", "n_results", "timestamp")
+
+
+def _maintained(spark, sf_dir):
+    """A state that two starts of its stream have brought up to date with a store of several batches, one of them merged."""
+    path, state = _two_batches(spark, sf_dir), new_shared_path(spark, "state")
+    for _ in range(2):
+        stream = SS.start_state(spark, path, state, f"{state}-checkpoint", once=True, every=2, maxFilesPerTrigger="1")
+        stream.awaitTermination()
+        ST.compact_tiers(spark, path, fanout=2)
+    return state
+
+
+_NEWEST_ORDER_SQL = f"""{ORDER_RESULTS_SQL}, n AS (
+  SELECT 'Org/Model_' || CAST(o_custkey % 50 AS VARCHAR) || '.' || o_orderpriority AS model, name, val AS value,
+         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS ts_text, o_orderkey,
+         row_number() OVER (PARTITION BY o_custkey % 50, o_orderpriority, name ORDER BY o_orderdate DESC, o_orderkey DESC) AS r,
+         row_number() OVER (PARTITION BY o_custkey % 50, o_orderpriority, name
+           ORDER BY CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 1 END, o_orderdate DESC, o_orderkey DESC) AS rs
+  FROM rr WHERE {ORDER_SUITE_SQL} = 'coding')"""
+
+
+@query(
+    "q4_leaderboard_maintained",
+    f"WITH {_NEWEST_ORDER_SQL} SELECT model, model AS label, value, ts_text FROM n WHERE r = 1 AND name = 'line_1'",
+)
+def q4_leaderboard_maintained(spark, sf_dir):
+    """A leaderboard from the maintained state: snapshot and tail, no row of the store."""
+    board = SS.leaderboard(spark, _maintained(spark, sf_dir), "coding", "line_1", "price")
+    return board.select("model", "label", "value", stamp_text().alias("ts_text"))
+
+
+@query(
+    "q8_latest_maintained",
+    f"""WITH {_NEWEST_ORDER_SQL} SELECT model, name, max(CASE WHEN r = 1 THEN value END) AS value, max(CASE WHEN r = 1 THEN ts_text END) AS ts_text,
+          CAST(max(CASE WHEN rs = 1 AND o_orderkey % 3 = 0 THEN o_orderkey END) AS BIGINT) AS seed FROM n GROUP BY model, name""",
+)
+def q8_latest_maintained(spark, sf_dir):
+    """Newest values per model and task from the maintained state, each column its own newest."""
+    newest = SS.latest_by_model_task(spark, _maintained(spark, sf_dir), "coding", "price")
+    return newest.select("model", "name", "value", stamp_text().alias("ts_text"), "seed")
+
+
+@query(
+    "q11_facets_index",
+    f"""WITH {ORDER_RESULTS_SQL}, v AS (
+          SELECT {ORDER_SUITE_SQL} AS suite, name, 'price' AS metric, 'Org/Model_' || CAST(o_custkey % 50 AS VARCHAR) || '.' || o_orderpriority AS model
+          FROM rr)
+        SELECT DISTINCT facet, value FROM (
+          SELECT unnest(['suite', 'name', 'metric', 'model']) AS facet, unnest([suite, name, metric, model]) AS value FROM v)
+        ORDER BY facet, value""",
+)
+def q11_facets_index(spark, sf_dir):
+    """Facets of a store from its index: no row of it is read."""
+    return FA.facets(FA.read_facets(spark, _two_batches(spark, sf_dir)))
+
+
+@query(
+    "q14_stats_index",
+    f"""WITH {ORDER_RESULTS_SQL} SELECT count(*) AS n_rows, count(DISTINCT o_custkey % 50 || o_orderpriority) AS n_models FROM rr""",
+)
+def q14_stats_index(spark, sf_dir):
+    """Rows and models of a store after a merge of its batches, from the index."""
+    path = _two_batches(spark, sf_dir)
+    ST.compact_tiers(spark, path, fanout=2)
+    return FA.dataset_stats(FA.read_facets(spark, path))
+
+
+@query("f2_tag_keys_index", "SELECT unnest(['i', 'status']) AS key FROM (SELECT count(*) AS n FROM orders WHERE o_orderkey % 4 > 0) WHERE n > 0")
+def f2_tag_keys_index(spark, sf_dir):
+    return FA.tag_keys(FA.read_facets(spark, _two_batches(spark, sf_dir)))
+
+
+@query(
+    "q12_pivot_names_index",
+    f"WITH {ORDER_RESULTS_SQL} SELECT DISTINCT name FROM rr WHERE {ORDER_SUITE_SQL} = 'coding' ORDER BY name",
+)
+def q12_pivot_names_index(spark, sf_dir):
+    """The columns of a pivot of one suite and metric."""
+    return FA.pivot_names(FA.read_facets(spark, _two_batches(spark, sf_dir)), "coding", "price")
+
+
 @query(
     "s4_write_results_odd_times",
-    """SELECT CASE o_orderkey % 4 WHEN 0 THEN 'refused' ELSE 'stored' END AS fate, count(*) AS n FROM orders
-       WHERE o_orderkey % 4 <> 0 OR o_orderkey % 8 = 4 GROUP BY 1""",
+    "SELECT CASE o_orderkey % 8 WHEN 4 THEN 'refused' ELSE 'stored' END AS fate, count(*) AS n FROM orders GROUP BY 1",
 )
 def s4_write_results_odd_times(spark, sf_dir):
     """Times in lower case and with an offset are stored, one that is no time is refused, and the others are not lost."""
@@ -158,7 +289,7 @@ def s4_write_results_odd_times(spark, sf_dir):
     odd = F.when(F.col("o_orderkey") % 8 == 4, "yesterday at noon").when(F.col("o_orderkey") % 4 == 1, F.lower(stamp))
     odd = odd.when(F.col("o_orderkey") % 4 == 2, F.replace(stamp, F.lit("Z"), F.lit("+02:00"))).otherwise(stamp)
     one = F.expr("named_struct('name', 'n', 'metric', 'm', 'value', 1.0D, 'unit', 'u', 'duration_seconds', CAST(NULL AS DOUBLE), 'tags', CAST(map() AS map<string,string>))")
-    runs = runs.where("o_orderkey % 4 <> 0 OR o_orderkey % 8 = 4").withColumns({"timestamp": odd, "results": F.array(one)})
+    runs = runs.withColumns({"timestamp": odd, "results": F.array(one)})
     good, bad = ST.split_empty(runs, ["o_orderkey"])
     ST.write_results(ST.publishable_rows(good), path)
     stored = read_shards(spark, path, flat_schema()).where("timestamp IS NOT NULL").select(F.lit("stored").alias("fate"))
@@ -291,6 +422,44 @@ def s1_read_loose_json(spark, sf_dir):
     return docs.select("event_id", last.alias("last"), F.isnan(e).alias("has_nan"))
 
 
+# Forms of a text, by event, with the event's number for #, and whether each is one JSON document.
+_FORMS = [
+    ('{"v": #}', True),
+    ('{"v": #}{"v": 0}', False),
+    ('{"v": #} xyz', False),
+    ('{"v": #} ,', False),
+    ("{'v': #}", False),
+    ('{"v": #, "w": +INF}', False),
+    (' {"v": #}\n', True),
+    ('{"v": #}] "x"', False),
+    ('{"v": #}\n<<<<<<< HEAD', False),
+    ('{"v": #, "w": "INF \\"+Infinity"}', True),
+    ('{"v": #}, {"v": 1}', False),
+    ('{"v": 1, "v": #, "w": [NaN, -Infinity]}', True),
+    ('{"v": #', False),
+    ('', False),
+]
+
+
+@query(
+    "s1_one_document",
+    f"""SELECT event_id, event_id % {len(_FORMS)} IN ({", ".join(str(i) for i, (_, good) in enumerate(_FORMS) if good)}) AS readable,
+          CASE WHEN event_id % {len(_FORMS)} IN ({", ".join(str(i) for i, (_, good) in enumerate(_FORMS) if good)}) THEN event_id END AS v
+        FROM events""",
+)
+def s1_one_document(spark, sf_dir):
+    """Texts that are one JSON document, and texts that hold one and more, or less."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
+    forms = F.array(*[F.concat(*_around(form)) for form, _ in _FORMS])
+    docs = RAW.parse_documents(events.select("event_id", F.get(forms, F.col("event_id") % len(_FORMS)).alias("raw")))
+    return docs.select("event_id", F.col("doc").isNotNull().alias("readable"), F.try_variant_get("doc", "$.v", "bigint").alias("v"))
+
+
+def _around(form: str) -> list:
+    before, *after = form.split("#")
+    return [F.lit(before), *[x for a in after for x in (F.col("event_id").cast("string"), F.lit(a))]]
+
+
 def _batch(spark, sf_dir):
     docs = raw_task_documents(spark, sf_dir).select("id", "raw")
     return docs, new_shared_path(spark, "published")

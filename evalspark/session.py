@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# Rendering and parsing of times must not depend on the host's zone; of a repeated key in a document the last value counts.
+SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplicateKeys": "true"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Timestamps in result rows are UTC; rendering and parsing must not depend on the host's zone."""
-    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """The settings this library needs (``SETTINGS``), made where they differ. Nothing else in it changes a session."""
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 
@@ -26,3 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of its own in the shared folder: computed once, and there still when executors are lost."""
+    path = new_shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

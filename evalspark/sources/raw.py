@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalspark.functions.let import computed_once
+from evalspark.functions.let import computed_once, let
 
 
 def load_text(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
@@ -18,14 +18,44 @@ def load_text(spark: SparkSession, path: str | list[str], lines: bool = False) -
     return out.where(F.trim("raw") != "") if lines else out
 
 
+def whole_document(text: Column) -> Column:
+    """The VARIANT of a text that is one JSON value and nothing more but white space; NULL for any other text.
+
+    A parser that is given the text alone stops after the first value: what follows, another document or half of one,
+    would be lost in silence. So it is given an array of the text and of the text's own digest. The array has these two
+    elements just where the text is one value: more values would be more elements, and a text that closes the array
+    itself would have to end in its own digest.
+    """
+    digest = F.md5(text)
+    both = F.from_json(F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]')), "variant", {"allowSingleQuotes": "false"})
+
+    def value(array: Column) -> Column:
+        alone = F.try_variant_get(array, "$[2]", "variant").isNull() & (F.try_variant_get(array, "$[1]", "string") == digest)
+        return F.when(alone & ~other_infinity(text), F.try_variant_get(array, "$[0]", "variant"))
+
+    return let(both, value)
+
+
+def other_infinity(text: Column) -> Column:
+    """Whether a text has ``INF`` or ``+Infinity`` outside of strings: the parser reads them, but they are no JSON to anyone else.
+
+    Only texts that have the letters at all are looked at closely: first escapes go, then strings.
+    """
+    bare = F.regexp_replace(F.regexp_replace(text, r"(?s)\\.", ""), '"[^"]*"', '""')
+    found = F.regexp_like(bare, F.lit(r"INF|\+Infinity"))
+    return F.when(text.contains("INF") | text.contains("+Infinity"), found).otherwise(False)
+
+
 def parse_documents(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Add ``doc``; it is NULL where the text is not JSON.
+    """Add ``doc``; it is NULL where the text is not one JSON document.
 
     Beyond strict JSON, what common tools write is read: ``NaN`` and ``Infinity`` are numbers that are not finite, and
-    of a repeated key the last value counts. For the latter the session's setting is switched on.
+    of a repeated key the last value counts. For the latter the session needs the settings of
+    :func:`evalspark.session.configure`; without them this is refused, as documents would be.
     """
-    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    return computed_once(df.withColumn("doc", F.from_json(raw, "variant")))
+    if df.sparkSession.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        raise RuntimeError("call evalspark.session.configure(spark) first: documents may repeat a key")
+    return computed_once(df.withColumn("doc", whole_document(F.col(raw))))
 
 
 def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

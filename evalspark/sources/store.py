@@ -1,15 +1,15 @@
 """Writing the result dataset: content keys, dry run, append once, compaction.
 
 The rows of a batch stand under ``batch_id=<batch>/suite=<suite>``, whether a batch job or a stream wrote them, and one
-row per run in a table of keys beside them, ``<path>_keys``, by suite and sorted by day. Identity is the full digest of a run's
-content; the short digest in the shard's name is for reading.
+row per run in a table of keys beside them, ``<path>_keys``, by suite and sorted by day. The batch counts from the moment
+its manifest is written, see :mod:`evalspark.sources.commits`. Identity is the full digest of a run's content; the short
+digest in the shard's name is for reading.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,13 +18,15 @@ from evalspark.functions.names import slugify
 from evalspark.functions.times import instant
 from evalspark.operators.flatten import BASE, OPTIONAL, canonical_results, flatten
 from evalspark.schemas import flat_schema
+from evalspark.session import written
+from evalspark.sources import commits as CM
+from evalspark.sources import facets as FA
 from evalspark.sources.shards import read_shards
 
 NO_ROWS = "the run has no measurement to store"
 NO_INSTANT = "the timestamp is no point in time"
-KEYS_DDL = "content_sha STRING, shard_key STRING, batch_id STRING, suite STRING, day DATE"
-# Suites of a batch that are named in the filter on the keys; a batch with more is filtered by its days alone.
-MOST_SUITES = 1_000
+NO_KEY = "rows without the key of their content cannot be told apart"
+KEYS_DDL = "content_sha STRING, shard_key STRING, batch_id STRING, suite STRING, day DATE, n_rows BIGINT"
 
 
 def canonical_payload(
@@ -92,14 +94,66 @@ def new_batch() -> str:
     return f"batch-{uuid.uuid4().hex}"
 
 
-def write_results(rows: DataFrame, path: str, batch_id: str | None = None, partition_by: tuple[str, ...] = ("suite",)) -> None:
-    """Store flat rows as Parquet in the directory of a batch, one directory per suite in it.
+def write_rows(rows: DataFrame, path: str, batch: str, partition_by: tuple[str, ...] = ("suite",)) -> None:
+    """The rows of a batch, one directory per suite. They do not count yet.
 
     The rebalance hint evens out file sizes: small partitions are joined, and a suite that holds most of the rows
     is spread over many files.
     """
     balanced = rows.hint("rebalance", *[F.col(c) for c in partition_by])
-    balanced.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id or new_batch()}")
+    balanced.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch}")
+
+
+def write_results(rows: DataFrame, path: str, batch_id: str | None = None, partition_by: tuple[str, ...] = ("suite",)) -> None:
+    """Store flat rows as Parquet in the directory of a batch, with their keys, and commit it.
+
+    Rows without ``content_sha`` and ``shard_key`` make a folder of shards that is no store: nothing can be appended to it once.
+    """
+    spark, batch = rows.sparkSession, batch_id or new_batch()
+    if not {"content_sha", "shard_key"} <= set(rows.columns):
+        if CM.manifests(spark, path) is not None:
+            raise ValueError(NO_KEY)
+        return write_rows(rows, path, batch, partition_by)
+    start(spark, path)
+    write_rows(rows, path, batch, partition_by)
+    write_keys(spark, path, batch)
+    finish(spark, path, batch)
+
+
+def start(spark: SparkSession, path: str) -> list[CM.Batch]:
+    """Make a store ready for a batch; returns its manifests. A store from before there were manifests gets one for each of
+    its batches, and the keys that a batch lacks."""
+    found = CM.manifests(spark, path)
+    if found is not None:
+        return found
+    old = CM.read_or_none(spark, path, T.StructType.fromDDL("content_sha STRING, batch_id STRING"))
+    before = [] if old is None else [r.batch_id for r in old.select("batch_id").distinct().collect()]
+    if None in before:
+        raise ValueError(NO_KEY)
+    for batch in before:
+        write_keys(spark, path, batch)
+    CM.ensure_log(spark, path)
+    for batch in before:
+        finish(spark, path, batch)
+    return CM.manifests(spark, path) or []
+
+
+def finish(
+    spark: SparkSession,
+    path: str,
+    batch: str,
+    stats: CM.Statistics | None = None,
+    level: int = 0,
+    replaces: tuple[str, ...] = (),
+    known: set[str] | None = None,
+) -> None:
+    """Note the values a batch has and commit it: the last steps, when its rows and keys are written. Statistics that are not
+    given come from the keys."""
+    FA.write_facets(spark, path, batch)
+    if stats is None:
+        keys = CM.read_one(spark, f"{path}_keys", T.StructType.fromDDL(KEYS_DDL), batch)
+        stats = CM.Statistics() if keys is None else CM.statistics(keys)
+    CM.commit(spark, path, batch, stats, level, replaces, known)
 
 
 def distinct_runs(envelopes: DataFrame) -> DataFrame:
@@ -115,15 +169,15 @@ def new_runs(envelopes: DataFrame, existing: DataFrame) -> DataFrame:
     return distinct_runs(envelopes).join(existing.select("content_sha"), "content_sha", "left_anti")
 
 
-def read_keys(spark: SparkSession, path: str) -> DataFrame:
-    """One row per run and batch that stored it."""
+def read_keys(spark: SparkSession, path: str, found: list[CM.Batch] | None = None, of: CM.Statistics | None = None) -> DataFrame:
+    """One row per run and batch that stored it, of the batches that count. ``found`` are the manifests, if they were read just
+    now; with the statistics ``of`` some runs only batches that may have such runs are opened."""
     schema = T.StructType.fromDDL(KEYS_DDL)
-    try:
-        return spark.read.schema(schema).parquet(f"{path}_keys").select(*schema.names)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+    batches = CM.live((CM.manifests(spark, path) or []) if found is None else found)
+    days = (of.first_day, of.last_day) if of and of.first_day is not None else None
+    chosen = [b.name for b in batches.values() if b.n_rows and (of is None or b.may_have(of.suites, days, of.undated))]
+    found = CM.read_batches(spark, f"{path}_keys", schema, chosen)
+    return spark.createDataFrame([], schema) if found is None else found.select(*schema.names)
 
 
 def stored_keys(keys: DataFrame, runs: DataFrame | None = None, other_than: str | None = None) -> DataFrame:
@@ -137,64 +191,167 @@ def stored_keys(keys: DataFrame, runs: DataFrame | None = None, other_than: str
     if runs is None:
         return keys
     day = F.to_date(instant(F.col("timestamp")))
-    found = runs.groupBy("suite").agg(F.min(day).alias("a"), F.max(day).alias("b"), F.count_if(day.isNull()).alias("n"))
-    found = found.limit(MOST_SUITES + 1).collect()
-    if len(found) > MOST_SUITES:
-        total = runs.agg(F.min(day).alias("a"), F.max(day).alias("b"), F.count_if(day.isNull()).alias("n")).first()
-        found, suites = [total], None
-    else:
-        suites = [r.suite for r in found]
-    dates = [d for r in found for d in (r.a, r.b) if d is not None]
-    in_days = F.col("day").between(min(dates), max(dates)) if dates else F.lit(False)
-    if any(r.n for r in found):
+    return _of_suites_and_days(keys, CM.statistics(runs.select("suite", day.alias("day"), F.lit(0).alias("n_rows"))))
+
+
+def _of_suites_and_days(keys: DataFrame, of: CM.Statistics) -> DataFrame:
+    in_days = F.col("day").between(of.first_day, of.last_day) if of.first_day is not None else F.lit(False)
+    if of.undated:
         in_days = in_days | F.col("day").isNull()
-    if suites is not None:
-        of_suite = F.col("suite").isin([s for s in suites if s is not None])
-        in_days = in_days & (of_suite | F.col("suite").isNull() if None in suites else of_suite)
+    if of.suites is not None:
+        of_suite = F.col("suite").isin([s for s in of.suites if s is not None])
+        in_days = in_days & (of_suite | F.col("suite").isNull() if None in of.suites else of_suite)
     return keys.where(in_days)
 
 
+def stage(envelopes: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Envelopes with their keys as a table of their own, so that what made them is not run again by each step of an
+    append: ``keep``, what flat rows are made of, ``n_rows``, ``payload_bytes`` and a number for each row."""
+    keyed = with_shard_key(envelopes)
+    results = F.transform("results", lambda r: r.dropFields("raw"))
+    machine = F.struct(*[F.col(f"system.{c}").alias(c) for c in ("os", "chip", "memory_gb")])
+    return written(
+        keyed.select(
+            *(keep or []),
+            *[c for c in BASE + OPTIONAL if c in keyed.columns],
+            machine.alias("system"),
+            results.alias("results"),
+            "content_sha",
+            "shard_key",
+            F.coalesce(F.size("results"), F.lit(0)).cast("bigint").alias("n_rows"),
+            F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+            F.monotonically_increasing_id().alias("_copy"),
+        ),
+        "staged",
+    )
+
+
 def append_new(envelopes: DataFrame, path: str, batch_id: str | None = None) -> None:
     """Append the runs of a batch the store does not have. Publishing the same content again changes nothing.
 
-    Every batch has a directory of its own, so nothing that another batch wrote is ever touched. A lost executor is no
-    matter: only the output of a finished job is committed. With a ``batch_id``, which nobody else may use, a lost
-    driver is none either: the batch is started again under its name and replaces what it left half done. The keys are
-    written after the rows. Two batches at once may both store a run; :func:`compact` keeps one.
+    Every batch has a directory of its own, so nothing that another batch wrote is ever touched, and it counts when its
+    manifest is written, last. A lost executor is no matter: only the output of a finished job is committed. Nor is a
+    lost driver: publish again, and every run is stored once. A ``batch_id`` belongs to one writer; started again it
+    takes the place of what it left half done, and adds what is new if it had been committed. Two batches at once may both
+    store a run; :func:`compact` and :func:`compact_tiers` keep one.
     """
-    spark = envelopes.sparkSession
-    batch = batch_id or new_batch()
-    fresh = new_runs(envelopes, stored_keys(read_keys(spark, path), envelopes, batch))
-    rows = flatten(fresh, ["shard_key", "content_sha"]).withColumn("timestamp", instant(F.col("timestamp")))
-    write_results(rows, path, batch)
-    write_keys(spark, path, batch)
+    append_staged(stage(envelopes), path, batch_id)
+
+
+def append_staged(staged: DataFrame, path: str, batch_id: str | None = None) -> None:
+    """:func:`append_new` of envelopes that :func:`stage` has written, or of some of its rows.
+
+    Copies are found and stored runs left out on narrow keys; the runs themselves meet a join only if some do not stay.
+    """
+    spark, batch = staged.sparkSession, batch_id or new_batch()
+    found = start(spark, path)
+    known = {b.name for b in found}
+    again = batch in known
+    runs = staged.where("n_rows > 0")
+    day = F.to_date(instant(F.col("timestamp"))).alias("day")
+    of = CM.statistics(runs.select("suite", day, "n_rows"))
+    first = F.min(F.struct("_copy", "shard_key", "suite", day, "n_rows")).alias("r")
+    keys = runs.groupBy("content_sha").agg(first).select("content_sha", "r.*")
+    existing = _of_suites_and_days(read_keys(spark, path, found, of), of)
+    chosen = written(keys.join(existing.select("content_sha"), "content_sha", "left_anti"), "new-runs")
+    stats = CM.statistics(chosen)
+    if again:
+        batch = f"{batch}-{uuid.uuid4().hex}"
+    rest = runs if stats.n_runs == of.n_runs else runs.join(chosen.select("_copy"), "_copy", "left_semi")
+    rows = flatten(rest, ["shard_key", "content_sha"]).withColumn("timestamp", instant(F.col("timestamp")))
+    if stats.n_runs or not again:
+        write_rows(rows, path, batch)
+    if stats.n_runs:
+        _write_keys(chosen.drop("_copy"), path, batch)
+        finish(spark, path, batch, stats, known=known)
+
+
+def _write_keys(keys: DataFrame, path: str, batch: str) -> None:
+    keys = keys.hint("rebalance", F.col("suite")).sortWithinPartitions("suite", "day")
+    keys.write.mode("overwrite").partitionBy("suite").parquet(f"{path}_keys/batch_id={batch}")
 
 
 def write_keys(spark: SparkSession, path: str, batch: str) -> None:
     """The keys of a batch from the rows it has stored: four columns, one row per run."""
-    try:
-        rows = spark.read.schema(flat_schema()).parquet(f"{path}/batch_id={batch}")
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    rows = CM.read_one(spark, path, _stored_schema(), batch)
+    if rows is None:
         return
-    keys = rows.select("content_sha", "shard_key", "suite", F.to_date("timestamp").alias("day")).distinct()
-    keys = keys.hint("rebalance", F.col("suite")).sortWithinPartitions("suite", "day")
-    keys.write.mode("overwrite").partitionBy("suite").parquet(f"{path}_keys/batch_id={batch}")
+    day = F.to_date(F.min("timestamp")).alias("day")
+    keys = rows.groupBy("content_sha", "suite").agg(F.min("shard_key").alias("shard_key"), day, F.count(F.lit(1)).alias("n_rows"))
+    _write_keys(keys.withColumn("content_sha", _demanded("content_sha")), path, batch)
+
+
+def _demanded(column: str) -> Column:
+    return F.coalesce(column, F.raise_error(F.lit(NO_KEY)).cast("string"))
+
+
+def _stored_schema() -> T.StructType:
+    return T.StructType([*flat_schema().fields, T.StructField("batch_id", T.StringType())])
+
+
+def _each_run_once(rows: DataFrame) -> DataFrame:
+    """Stored rows (with ``batch_id``) of each run from one batch: of several the one whose name sorts first.
+
+    Which batch that is comes from the rows themselves, two columns of them, so that rows whose keys were never written
+    are not lost; rows that have no key at all end the job.
+    """
+    chosen = rows.groupBy(_demanded("content_sha").alias("content_sha")).agg(F.min("batch_id").alias("batch_id"))
+    return rows.join(chosen, ["content_sha", "batch_id"], "left_semi").drop("batch_id")
 
 
 def compact(spark: SparkSession, path: str, into: str) -> None:
     """Write the store anew under ``into`` as one batch: few large files, each run once.
 
-    The old store stays as it is; readers and writers are pointed to the new one when it is done. A run that several
-    batches stored is taken from the batch whose name sorts first.
+    The old store stays as it is; readers and writers are pointed to the new one when it is done.
     """
-    chosen = read_keys(spark, path).groupBy("content_sha").agg(F.min("batch_id").alias("batch_id"))
     rows = read_shards(spark, path, flat_schema(), keep_batch=True).drop("model_short")
-    kept = rows.join(chosen, ["content_sha", "batch_id"], "left_semi").drop("batch_id")
-    batch = new_batch()
-    write_results(kept, into, batch)
-    write_keys(spark, into, batch)
+    write_results(_each_run_once(rows), into, new_batch())
+
+
+TIER = 4
+SMALLEST_TIER = 100_000
+
+
+def tier(n_rows: int, fanout: int = TIER) -> int:
+    """Size class of a batch: each holds ``fanout`` times the rows of the one below."""
+    level = 0
+    while n_rows > SMALLEST_TIER * fanout**level:
+        level += 1
+    return level
+
+
+def compact_tiers(spark: SparkSession, path: str, fanout: int = TIER) -> int:
+    """Merge batches of one size class where there are ``fanout`` of them, until there are fewer; returns the merges.
+
+    A merged batch is of a higher class, so that a row is written again only as often as there are classes, which grow as the logarithm
+    of the store, and the batches that a reader lists do so too. Each run is kept once within a merge. Readers see
+    the parts until the manifest of the merged batch is there, and it alone from then on, so a merge that is lost half way
+    changes nothing. Appends may go on meanwhile.
+    """
+    start(spark, path)
+    merges = 0
+    while True:
+        found = CM.live_batches(spark, path) or {}
+        tiers: dict[int, list[CM.Batch]] = {}
+        for b in found.values():
+            if b.n_rows:
+                tiers.setdefault(max(tier(b.n_rows, fanout), b.level), []).append(b)
+        full = [(level, sorted(bs, key=lambda b: b.name)) for level, bs in sorted(tiers.items()) if len(bs) >= fanout]
+        if not full:
+            return merges
+        level, parts = full[0]
+        merge(spark, path, [b.name for b in parts], level + 1)
+        merges += 1
+
+
+def merge(spark: SparkSession, path: str, parts: list[str], level: int) -> str:
+    """One batch in place of ``parts``."""
+    batch = f"merged-{uuid.uuid4().hex}"
+    rows = CM.read_batches(spark, path, _stored_schema(), parts)
+    write_rows(_each_run_once(rows), path, batch)
+    write_keys(spark, path, batch)
+    finish(spark, path, batch, level=level, replaces=tuple(parts))
+    return batch
 
 
 def write_rejects(rejects: DataFrame, path: str, batch_id: str | None = None) -> None:
