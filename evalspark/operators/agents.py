@@ -6,14 +6,14 @@ A transcript row is one message: ``run_id, step, ts, role, content, tool_calls,
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalspark.functions.let import computed_once, let
 from evalspark.operators.convert import assemble_envelopes, fill_run_context
+from evalspark.operators.parts import in_parts
 from evalspark.schemas import ENVELOPE_COLUMNS
+from evalspark.session import written
 
 # What the harness reports.
 MAX_STEPS = 5
@@ -28,6 +28,10 @@ PATH_NOT_ALLOWED = "Error: path not allowed: "
 FILE_NOT_FOUND = "Error: File not found: "
 # end of fixed values
 NO_OBJECT = "Error: tool arguments are not an object"
+# Runs that have more than this share of all rows are few; see _up_to_final.
+HOT_RUNS = 1_000
+# Runs whose results one document holds.
+MOST_RUNS = 2_000
 
 
 def answer_text(answer: Column) -> Column:
@@ -43,19 +47,24 @@ def seconds_between(start: Column, end: Column) -> Column:
     return F.round((F.unix_micros(end) - F.unix_micros(start)) / 1e6, 2)
 
 
-def summarize_runs(transcript: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
+def summarize_runs(transcript: DataFrame, max_steps: int | None = MAX_STEPS) -> DataFrame:
     """``answer, steps, tokens, latency`` of every run: its first model turn without tool calls ends it.
 
-    Rows past ``max_steps`` do not count, whoever wrote them. With that bound the sums up to a final turn known only after the
-    aggregation are a handful of conditional sums: one hash aggregation with partial sums, no window over a run.
+    With a bound rows past ``max_steps`` do not count, whoever wrote them, and a run that never ended has reached it. With
+    ``None`` runs may have any number of steps; one that never ended has no answer, and the steps it made.
+
+    One aggregation with partial sums, whatever the number of steps: it finds each run's final turn, and the sums of all
+    its rows, which are those up to that turn unless the model was asked again after it. Only the rows of such runs
+    are looked at a second time. A run with many rows sends one row per task both times.
     """
     is_turn = F.col("role") == "assistant"
     step = F.col("step")
     final = is_turn & (F.coalesce(F.size("tool_calls"), F.lit(0)) <= 0)
     tokens = message_tokens(F.col("total_tokens"), F.col("completion_tokens"))
+    rows = transcript if max_steps is None else transcript.where(F.coalesce(step, F.lit(0)) <= max_steps)
     # Texts are cut before the aggregation sorts and shuffles its rows.
     used = computed_once(
-        transcript.where(F.coalesce(step, F.lit(0)) <= max_steps).select(
+        rows.select(
             "run_id",
             "ts",
             F.when(is_turn, step).alias("_step"),
@@ -64,27 +73,57 @@ def summarize_runs(transcript: DataFrame, max_steps: int = MAX_STEPS) -> DataFra
             tokens.alias("_tokens"),
         )
     )
-    turns = range(1, max_steps + 1)
-    sums = used.groupBy("run_id").agg(
-        F.min("_end").alias("_final"),
-        F.min_by("_said", "_end").alias("_answer"),
-        F.min("ts").alias("_start"),
-        F.max("ts").alias("_last"),
-        *[F.coalesce(F.sum(F.when(F.col("_step") == i, F.col("_tokens"))), F.lit(0)).alias(f"_tokens{i}") for i in turns],
-        *[F.max(F.when(F.col("_step") == i, F.col("ts"))).alias(f"_ts{i}") for i in turns],
+    last_turn = F.max(F.when(F.col("_step").isNotNull(), F.struct("_step", "ts")))
+    runs = written(
+        used.groupBy("run_id").agg(
+            F.min("_end").alias("_final"),
+            F.min_by("_said", "_end").alias("_answer"),
+            F.min("ts").alias("_start"),
+            F.max("ts").alias("_last"),
+            last_turn.alias("_turn"),
+            F.coalesce(F.sum(F.when(F.col("_step").isNotNull(), F.col("_tokens"))), F.lit(0)).alias("_spent"),
+            F.count(F.lit(1)).alias("_n"),
+        ),
+        "runs",
     )
-    last = F.coalesce("_final", F.lit(max_steps))
-    spent = reduce(lambda a, b: a + b, [F.when(last >= i, F.col(f"_tokens{i}")).otherwise(F.lit(0)) for i in turns])
-    at_final = F.coalesce(*[F.when(F.col("_final") == i, F.col(f"_ts{i}")) for i in turns], F.col("_last"))
-    return sums.select(
+    went_on = runs.where(F.col("_turn._step") > F.col("_final"))
+    if went_on.limit(1).count():
+        # Written, so that the join knows how few they are.
+        upto = written(_up_to_final(used, went_on.select("run_id", "_final", "_n"), runs), "went-on")
+        runs = runs.join(upto, "run_id", "left")
+    else:
+        none = {"_spent_then": "bigint", "_at_then": "timestamp"}
+        runs = runs.withColumns({c: F.lit(None).cast(t) for c, t in none.items()})
+    ended = F.col("_final").isNotNull()
+    unended = F.lit(STEPS_EXHAUSTED if max_steps is not None else EMPTY_ANSWER)
+    at_final = F.when(ended, F.coalesce("_at_then", "_turn.ts")).otherwise(F.col("_last"))
+    steps = F.coalesce("_final", F.lit(max_steps) if max_steps is not None else F.coalesce("_turn._step", F.lit(0)))
+    return runs.select(
         "run_id",
-        F.when(F.col("_final").isNull(), STEPS_EXHAUSTED).otherwise(answer_text(F.col("_answer"))).alias("answer"),
-        last.cast("int").alias("steps"),
-        spent.cast("bigint").alias("tokens"),
+        F.when(ended, answer_text(F.col("_answer"))).otherwise(unended).alias("answer"),
+        steps.cast("int").alias("steps"),
+        F.coalesce("_spent_then", "_spent").cast("bigint").alias("tokens"),
         seconds_between(F.col("_start"), at_final).alias("latency"),
     )
 
 
+def _up_to_final(used: DataFrame, went_on: DataFrame, runs: DataFrame) -> DataFrame:
+    """``run_id, _spent_then, _at_then``: tokens up to the final turn and the time of it, for runs that went on after it.
+
+    Runs with more than one in ``HOT_RUNS`` of all rows, of which there can be no more than that, are told to all tasks;
+    the rows of the others meet them in a join, so that no task gets the rows of a run that has very many.
+    """
+    total = runs.agg(F.sum("_n")).first()[0]
+    is_hot = F.col("_n") * HOT_RUNS > total
+    hot = F.broadcast(went_on.where(is_hot).select("run_id", "_final"))
+    hot_runs = F.broadcast(runs.where(is_hot).select("run_id"))
+    turns = used.where("_step IS NOT NULL").select("run_id", "ts", "_step", "_tokens")
+    rest = turns.join(hot_runs, "run_id", "left_anti").join(went_on.where(~is_hot).select("run_id", "_final"), "run_id")
+    both = turns.join(hot, "run_id").unionByName(rest).where(F.col("_step") <= F.col("_final"))
+    at_final = F.max(F.when(F.col("_step") == F.col("_final"), F.col("ts")))
+    return both.groupBy("run_id").agg(F.sum("_tokens").alias("_spent_then"), at_final.alias("_at_then"))
+
+
 def tool_calls(transcript: DataFrame, max_steps: int | None = None) -> DataFrame:
     """One row per tool call with its place: ``run_id, step, position, tool, args``. A narrow step.
 
@@ -227,15 +266,47 @@ def runs_to_results(runs: DataFrame, keep: list[str] | None = None) -> DataFrame
 
 
 def runs_to_envelopes(runs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Agent runs as envelopes, ready to be validated and stored: ``keep`` and all envelope columns.
+    """Agent runs as envelopes, one per run, ready to be validated and stored: ``keep`` and all envelope columns.
 
     ``runs`` has what :func:`runs_to_results` reads, ``model`` and ``ended``, and may bring the columns of a run's
     context. The time of a run is its end.
     """
     keep = ["run_id"] if keep is None else keep
     context = fill_run_context(runs.drop("suite"))
-    rows = runs_to_results(context.drop("suite"), [*keep, "model", "git_sha", "trigger", "pr_number", "system", "ended"])
+    rows = runs_to_results(context.drop("suite"), [*keep, "model", *CONTEXT, "ended"])
+    return _as_envelopes(rows, keep)
+
+
+CONTEXT = ["git_sha", "trigger", "pr_number", "system"]
+
+
+def _as_envelopes(rows: DataFrame, keep: list[str]) -> DataFrame:
     ended = F.date_format(F.to_utc_timestamp("ended", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     parts = {"timestamp": ended, "model": F.col("model"), "results": F.col("results"), "problems": F.array().cast("array<string>")}
     columns = assemble_envelopes(parts, F.lit(True))
     return rows.select(*keep, *[columns[c].alias(c) for c in ENVELOPE_COLUMNS])
+
+
+def framework_envelopes(runs: DataFrame, most_runs: int = MOST_RUNS) -> DataFrame:
+    """One envelope per model and framework: the results of all its runs in order of their ends, each tagged ``run_id``.
+
+    ``runs`` is as for :func:`runs_to_envelopes`. A pair with more than ``most_runs`` runs has several envelopes of at most so
+    many, numbered by ``part`` from 0, as a document has to stay of a size that can be read: no group is larger, however
+    many runs a pair has. Time and context of an envelope are those of its last run.
+    """
+    context = fill_run_context(runs.drop("suite"))
+    entries = runs_to_results(context.drop("suite"), ["run_id", "model", "framework", *CONTEXT, "ended"])
+    plain = ["name", "metric", "value", "unit", "duration_seconds"]  # what can be put in order
+    entries = entries.withColumn("results", F.transform("results", lambda r: F.struct(*[r[c].alias(c) for c in plain])))
+    parted = in_parts(entries, ["model", "framework"], ["ended", "run_id"], most_runs)
+    newest = F.max(F.struct("ended", "run_id", *CONTEXT))
+    runs_of = F.array_sort(F.collect_list(F.struct("ended", "run_id", "results")))
+    grouped = parted.groupBy("model", "framework", "part").agg(runs_of.alias("_runs"), newest.alias("_newest"))
+
+    def whole(run: Column) -> Column:
+        tags = F.create_map(F.lit("run_id"), run["run_id"].cast("string"))
+        return F.transform(run["results"], lambda r: F.struct(*[r[c].alias(c) for c in plain], tags.alias("tags"), F.lit(None).cast("variant").alias("raw")))
+
+    results = F.flatten(F.transform("_runs", whole))
+    rows = grouped.select("model", "framework", "part", "_newest.ended", *[f"_newest.{c}" for c in CONTEXT], F.lit("framework-eval").alias("suite"), results.alias("results"))
+    return _as_envelopes(rows, ["framework", "part"])

@@ -18,6 +18,13 @@ FEWSHOT_TARGET = "{code}\n```"
 FEWSHOT_EXAMPLES = 3
 # end of fixed values
 
+RESPONSE_ALONE = "response without doc"
+DOC_ALONE = "doc without response"
+DOC_REPEATED = "doc listed more than once"
+TOO_MANY = "too many responses"
+TOO_FEW = "too few responses"
+NO_KEY = "key is missing"
+
 
 def pair_responses(responses: DataFrame, docs: DataFrame, on: str = "doc_id") -> DataFrame:
     """Responses with the problem they answer. Check :func:`unpaired` first: both sides must line up.
@@ -27,29 +34,64 @@ def pair_responses(responses: DataFrame, docs: DataFrame, on: str = "doc_id") ->
     return responses.join(docs, on)
 
 
+def _stated_once(docs: DataFrame, on: str) -> DataFrame:
+    """``docs`` with ``_stated``, how often a key is listed; the join on the key uses the same shuffle."""
+    return docs.withColumn("_stated", F.count(F.lit(1)).over(Window.partitionBy(on)))
+
+
 def pair_all(responses: DataFrame, docs: DataFrame, on: str = "doc_id", unanswered: str = "error") -> DataFrame:
-    """Like :func:`pair_responses` for inputs that must line up: the job fails at the first key that one side lacks.
+    """Like :func:`pair_responses` for inputs that must line up: one row for each response, or the job fails.
 
-    With ``unanswered='skip'`` problems without a response are left out and only responses without a problem fail.
+    It fails at the first key that one side lacks, that has no value, or that the problems list more than once: a
+    response has one problem, and a join would double it in silence. A problem may have any number of responses, as
+    many as were sampled; :func:`parity` tells how many. With ``unanswered='skip'`` problems without a response are left
+    out.
     """
     left = responses.withColumn("_answered", F.lit(True))
-    right = docs.withColumn("_stated", F.lit(True))
-    both = left.join(right, on, "full" if unanswered == "error" else "left")
+    both = left.join(_stated_once(docs, on), on, "full" if unanswered == "error" else "left")
 
-    def missing(side: str) -> Column:
-        return F.raise_error(F.concat(F.lit(f"{side}: "), F.col(on).cast("string"))).cast("boolean")
+    def fail(why: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{why}: "), F.coalesce(F.col(on).cast("string"), F.lit("NULL")))).cast("boolean")
 
-    lines_up = F.when(F.col("_stated").isNull(), missing("response without problem"))
-    lines_up = lines_up.when(F.col("_answered").isNull(), missing("problem without response")).otherwise(True)
+    lines_up = F.when(F.col("_stated").isNull(), fail("response without problem"))
+    lines_up = lines_up.when(F.col("_stated") > 1, fail("problem listed more than once"))
+    lines_up = lines_up.when(F.col("_answered").isNull(), fail("problem without response")).otherwise(True)
     return both.where(lines_up).drop("_answered", "_stated")
 
 
+def pair_or_reject(responses: DataFrame, docs: DataFrame, on: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """``(paired, rejects)``: every response stands in one of them, once.
+
+    ``paired`` has the responses whose problem is listed once, ``rejects`` the other responses with ``side``. What is
+    wrong with the problems themselves :func:`parity` tells.
+    """
+    both = responses.join(_stated_once(docs, on), on, "left")
+    # Of a problem that is listed several times every copy met the response; one of them is enough to tell.
+    once = both.where(F.col("_stated") == 1).drop("_stated")
+    listed = docs.groupBy(on).agg(F.count(F.lit(1)).alias("_stated"))
+    bad = responses.join(listed, on, "left").where(F.col("_stated").isNull() | (F.col("_stated") > 1))
+    side = F.when(F.col("_stated").isNull(), RESPONSE_ALONE).otherwise(DOC_REPEATED)
+    return once, bad.withColumn("side", side).drop("_stated")
+
+
+def parity(responses: DataFrame, docs: DataFrame, on: str = "doc_id", per_doc: int | None = None) -> DataFrame:
+    """``(key, n_responses, n_docs, side)``: the keys at which the two sides do not line up, and how.
+
+    A key must be listed by one problem, and by ``per_doc`` responses, or by any number but none where that is not given. One
+    aggregation of the keys of both sides with partial sums, so a key with most of the responses is one row per task.
+    """
+    keys = responses.select(on, F.lit(1).alias("_r"), F.lit(0).alias("_d")).unionByName(docs.select(on, F.lit(0).alias("_r"), F.lit(1).alias("_d")))
+    counts = keys.groupBy(on).agg(F.sum("_r").cast("bigint").alias("n_responses"), F.sum("_d").cast("bigint").alias("n_docs"))
+    r, d = F.col("n_responses"), F.col("n_docs")
+    side = F.when(F.col(on).isNull(), NO_KEY).when(d == 0, RESPONSE_ALONE).when(d > 1, DOC_REPEATED).when(r == 0, DOC_ALONE)
+    if per_doc is not None:
+        side = side.when(r > per_doc, TOO_MANY).when(r < per_doc, TOO_FEW)
+    return counts.withColumn("side", side).where(F.col("side").isNotNull())
+
+
 def unpaired(responses: DataFrame, docs: DataFrame, on: str = "doc_id") -> DataFrame:
     """Keys that only one side has: ``(key, side)``. Empty when the inputs line up."""
-    answered = responses.select(on).distinct()
-    no_doc = answered.join(docs.select(on), on, "left_anti").withColumn("side", F.lit("response without doc"))
-    no_response = docs.select(on).join(answered, on, "left_anti").withColumn("side", F.lit("doc without response"))
-    return no_doc.unionByName(no_response)
+    return parity(responses, docs, on).where(F.col("side").isin(RESPONSE_ALONE, DOC_ALONE)).select(on, "side")
 
 
 def clean_responses(df: DataFrame, response: str = "response") -> DataFrame:

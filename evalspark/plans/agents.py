@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evalspark.operators import agents as A
+from evalspark.operators.parts import numbered_within
 from evalspark.plans.bindings import table
 from evalspark.plans.registry import query
 
@@ -66,6 +67,47 @@ def a1_summarize_runs(spark, sf_dir):
     return A.summarize_runs(transcript(spark, sf_dir))
 
 
+# A run for every user, a turn for every event, in order of their numbers: runs of any length, one with a third of all.
+_LONG_RUN = "CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END"
+_LONG_SQL = f"""
+lr AS (
+  SELECT {_LONG_RUN} AS run_id, CAST(row_number() OVER (PARTITION BY {_LONG_RUN} ORDER BY event_id) AS INTEGER) AS step,
+         event_type IN ('purchase', 'signup') AND event_id % 7 = 0 AS done, event_id, epoch_us(ts) AS us, event_id % 100 AS tokens
+  FROM events
+)"""
+
+
+def long_transcript(spark, sf_dir):
+    """Turns numbered within their run, with no bound on their number."""
+    events = table(spark, sf_dir, "events").withColumn("run_id", F.expr(_LONG_RUN).cast("bigint"))
+    turns = numbered_within(events.select("run_id", "event_id", "event_type", "ts"), ["run_id"], ["event_id"], "number")
+    done = F.col("event_type").isin("purchase", "signup") & (F.col("event_id") % 7 == 0)
+    call = F.array(F.struct(F.lit("file_read").alias("tool"), F.lit("{}").alias("args")))
+    return turns.select(
+        "run_id",
+        (F.col("number") + 1).cast("int").alias("step"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.lit("assistant").alias("role"),
+        F.concat(F.lit("said "), F.col("event_id").cast("string")).alias("content"),
+        F.when(done, F.array().cast("array<struct<tool: string, args: string>>")).otherwise(call).alias("tool_calls"),
+        (F.col("event_id") % 100).alias("total_tokens"),
+        F.lit(0).cast("bigint").alias("completion_tokens"),
+    )
+
+
+@query(
+    "a1_long_runs",
+    f"""WITH {_LONG_SQL}, f AS (SELECT run_id, min(step) FILTER (done) AS final, max(step) AS turns, min(us) AS start, max(us) AS last FROM lr GROUP BY run_id)
+        SELECT run_id, coalesce(max(CASE WHEN step = final THEN 'said ' || event_id END), '(empty)') AS answer,
+          coalesce(final, turns) AS steps, CAST(sum(CASE WHEN step <= coalesce(final, turns) THEN tokens ELSE 0 END) AS BIGINT) AS tokens,
+          round((coalesce(max(CASE WHEN step = final THEN us END), last) - start) / CAST(1000000 AS DOUBLE), 2) AS latency
+        FROM lr JOIN f USING (run_id) GROUP BY run_id, final, turns, start, last""",
+)
+def a1_long_runs(spark, sf_dir):
+    """Runs without a limit on their steps; most go on after their final turn."""
+    return A.summarize_runs(long_transcript(spark, sf_dir), max_steps=None)
+
+
 _CALLS_SQL = f"""{B8_SQL},
 calls AS (
   SELECT run_id, step, turn, conv_id, unnest(CASE WHEN turn = 3 THEN [0, 1] ELSE [0] END) AS position, tool, args
@@ -182,3 +224,29 @@ def a6_runs_to_envelopes(spark, sf_dir):
     runs = runs.withColumnRenamed("tokens", "input_tokens").withColumn("output_tokens", F.col("run_id") % 997)
     rows = A.runs_to_envelopes(runs).withColumn("r", F.explode("results"))
     return rows.select("run_id", "suite", "model", "git_sha", "trigger", "timestamp", "r.metric", "r.value")
+
+
+_MOST_RUNS = 7
+
+
+@query(
+    "a6_envelopes_by_framework",
+    f"""WITH runs AS (
+          SELECT o_orderkey AS run_id, 'model-' || CAST(o_custkey % 40 AS VARCHAR) AS model, o_orderpriority AS framework,
+            CAST(o_orderdate AS TIMESTAMP) + to_microseconds((o_orderkey % 700) * 250000) AS ended, o_orderstatus, o_orderkey, o_custkey
+          FROM orders),
+        n AS (SELECT *, (row_number() OVER (PARTITION BY model, framework ORDER BY ended, run_id) - 1) // {_MOST_RUNS} AS part FROM runs),
+        e AS (SELECT *, strftime(max(ended) OVER (PARTITION BY model, framework, part), '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, unnest([
+               {{'i': 0, 'metric': 'score', 'v': CASE WHEN o_orderstatus = 'O' THEN 1.0 ELSE 0.0 END}},
+               {{'i': 1, 'metric': 'latency', 'v': CAST((o_orderkey % 700) * 0.25 AS DOUBLE)}},
+               {{'i': 2, 'metric': 'tokens', 'v': CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END}}]) AS x FROM n)
+        SELECT model, framework, CAST(part AS INTEGER) AS part, timestamp, run_id::VARCHAR AS run_id, x.metric AS metric, CAST(x.v AS DOUBLE) AS value,
+          CAST(row_number() OVER (PARTITION BY model, framework, part ORDER BY ended, run_id, x.i) - 1 AS INTEGER) AS place
+        FROM e WHERE x.v IS NOT NULL""",
+)
+def a6_envelopes_by_framework(spark, sf_dir):
+    """One envelope per model and framework, of as many parts as its runs need, shown result by result in order."""
+    runs = agent_runs(spark, sf_dir).withColumn("latency", A.seconds_between(F.col("started"), F.col("ended")))
+    envelopes = A.framework_envelopes(runs, _MOST_RUNS)
+    rows = envelopes.select("model", "framework", "part", "timestamp", F.posexplode("results").alias("place", "r"))
+    return rows.select("model", "framework", "part", "timestamp", F.col("r.tags")["run_id"].alias("run_id"), "r.metric", "r.value", "place")

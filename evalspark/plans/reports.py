@@ -35,6 +35,37 @@ def r1_latency_summary(spark, sf_dir):
     return s.withColumn("mean", F.round("mean", 6))
 
 
+# Every ninth request failed in some way: no number, or none at all.
+_ODD = "CASE event_id % 9 WHEN 0 THEN {nan} WHEN 1 THEN {inf} WHEN 2 THEN -{inf} WHEN 3 THEN NULL ELSE {value} END"
+_QUANTILES = {"median": 0.5, "p10": 0.1, "p25": 0.25, "p90": 0.9, "p99": 0.99}
+
+
+def _rank_sql(name: str, p: float) -> str:
+    """Between the values ranked next to p * (n - 1), as the ranks of a window tell."""
+    at, lo, hi = f"({p} * (n - 1))", f"max(CASE WHEN r = floor({p} * (n - 1)) + 1 THEN v END)", f"max(CASE WHEN r = ceil({p} * (n - 1)) + 1 THEN v END)"
+    part = f"({at} - floor({at}))"
+    straight = f"CASE WHEN {part} = 0.5 THEN ({lo} + {hi}) / 2 ELSE {lo} + ({hi} - {lo}) * {part} END"
+    mixed = f"{lo} * (1 - {part}) + {hi} * {part}"
+    return f"CASE WHEN {part} = 0 OR {lo} = {hi} THEN {lo} WHEN isfinite({lo}) AND isfinite({hi}) THEN {straight} ELSE {mixed} END AS {name}"
+
+
+@query(
+    "r1_order_statistics",
+    f"""WITH e AS (SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE event_type END AS k,
+          {_ODD.format(nan="'NaN'::DOUBLE", inf="'Infinity'::DOUBLE", value="value")} AS v FROM events),
+        o AS (SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY v) AS r, count(*) OVER (PARTITION BY k) AS n FROM e WHERE v IS NOT NULL),
+        a AS (SELECT k, count(*) AS n FROM e GROUP BY k)
+        SELECT a.k AS key, a.n AS n, {", ".join(_rank_sql(name, p).replace("(n - 1)", "(o.n - 1)") for name, p in _QUANTILES.items())}
+        FROM a LEFT JOIN o ON a.k = o.k GROUP BY a.k, a.n, o.n""",
+)
+def r1_order_statistics(spark, sf_dir):
+    """Several quantiles at once of values that are not all finite, one key with a third of the rows."""
+    odd = F.expr(_ODD.format(nan="DOUBLE('NaN')", inf="DOUBLE('Infinity')", value="seconds"))
+    key = F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("event_type"))
+    rows = timings(spark, sf_dir).select(key.alias("key"), odd.alias("v"))
+    return R.exact_quantiles(rows, ["key"], "v", _QUANTILES, {"n": F.count(F.lit(1))})
+
+
 @query(
     "r2_paired_overhead",
     """WITH p AS (SELECT event_id // 2 AS sample, avg(CASE WHEN event_id % 2 = 0 THEN value END) AS a,

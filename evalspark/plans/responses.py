@@ -111,6 +111,41 @@ def t5_unpaired(spark, sf_dir):
     return P.unpaired(answers(spark, sf_dir), problems(spark, sf_dir))
 
 
+# A copy of the problem list that states some problems again, and answers to problems of which some are not there.
+_AGAIN = "prob2 AS (SELECT doc_id FROM prob UNION ALL SELECT doc_id FROM prob WHERE doc_id % 10 = 3)"
+
+
+def _repeated_problems(spark, sf_dir):
+    docs = problems(spark, sf_dir)
+    return docs.unionByName(docs.where("doc_id % 10 = 3"))
+
+
+@query(
+    "t5_parity",
+    f"""WITH {B6_SQL}, {_AGAIN},
+        r AS (SELECT doc_id, count(*) AS n_responses FROM resp GROUP BY doc_id), d AS (SELECT doc_id, count(*) AS n_docs FROM prob2 GROUP BY doc_id),
+        b AS (SELECT doc_id, coalesce(n_responses, 0) AS n_responses, coalesce(n_docs, 0) AS n_docs FROM r FULL JOIN d USING (doc_id))
+        SELECT *, CASE WHEN n_docs = 0 THEN 'response without doc' WHEN n_docs > 1 THEN 'doc listed more than once'
+          WHEN n_responses = 0 THEN 'doc without response' ELSE 'too many responses' END AS side
+        FROM b WHERE n_docs <> 1 OR n_responses <> 1""",
+)
+def t5_parity(spark, sf_dir):
+    """What does not line up one to one, where problems are listed again."""
+    return P.parity(answers(spark, sf_dir), _repeated_problems(spark, sf_dir), per_doc=1)
+
+
+@query(
+    "t5_pair_or_reject",
+    f"""WITH {B6_SQL}, {_AGAIN}, d AS (SELECT doc_id, count(*) AS n FROM prob2 GROUP BY doc_id)
+        SELECT resp.doc_id, CASE WHEN n IS NULL THEN 'response without doc' WHEN n > 1 THEN 'doc listed more than once' ELSE 'paired' END AS side
+        FROM resp LEFT JOIN d USING (doc_id)""",
+)
+def t5_pair_or_reject(spark, sf_dir):
+    """One row for each response, whatever the problem list is like."""
+    paired, rejects = P.pair_or_reject(answers(spark, sf_dir), _repeated_problems(spark, sf_dir))
+    return paired.select("doc_id", F.lit("paired").alias("side")).unionByName(rejects.select("doc_id", "side"))
+
+
 _OUTCOMES_SQL = "o AS (SELECT lang, source, quality FROM labels JOIN documents USING (doc_id))"
 
 

@@ -176,3 +176,56 @@ def test_report_numbers(spark):
     assert flags == [(164, True, False), (240, False, False), (360, False, True)]
     top = spark.createDataFrame([("a", 3), ("b", 9), ("c", None), ("d", 9)], "model string, downloads int")
     assert [r["model"] for r in R.top_models(top, 3).collect()] == ["b", "d", "a"]
+
+
+def test_order_statistics_of_odd_values(spark):
+    """Groups of every size, of values that are not all finite, against sorted lists; NaN comes after all others."""
+    inf, nan = float("inf"), float("nan")
+    rng = random.Random(2)
+    odd = [nan, inf, -inf, None, 1.7976931348623157e308, -1.7976931348623157e308, 0.0, -0.0, 1e-320]
+    groups = {f"g{n}": [rng.choice([*odd, rng.gauss(0, 1), rng.randrange(5)]) for _ in range(n)] for n in (0, 1, 2, 3, 5, 10, 11, 50, 101, 500, 3_000)}
+    groups |= {"none": [None] * 4, "nan": [nan] * 7, "ties": [2.0] * 40 + [nan] * 20, "ends": [-inf, inf], "hot": [rng.random() for _ in range(20_000)] + [nan] * 9_000 + [-inf] * 3}
+    df = spark.createDataFrame([(k, None if v is None else float(v)) for k, vs in groups.items() for v in vs], "k string, v double").repartition(8)
+    at = {"low": 0.0, "p10": 0.1, "median": 0.5, "p77": 0.77, "p99": 0.99, "high": 1.0}
+
+    def between(values, p):
+        place = p * (len(values) - 1)
+        lo, hi, part = values[int(place)], values[min(len(values) - 1, int(place) + (place > int(place)))], place - int(place)
+        if part == 0 or lo == hi or (lo != lo and hi != hi):
+            return lo
+        straight = (lo + hi) / 2 if part == 0.5 else lo + (hi - lo) * part
+        return straight if abs(straight) < inf else lo * (1 - part) + hi * part
+
+    got = {r["k"]: r for r in R.exact_quantiles(df, ["k"], "v", at, {"n": F.count(F.lit(1))}).collect()}
+    assert set(got) == {k for k, vs in groups.items() if vs}
+    for k, r in got.items():
+        values = sorted((float(v) for v in groups[k] if v is not None), key=lambda v: (v != v, v))
+        for name, p in at.items():
+            want = between(values, p) if values else None
+            assert r[name] == want or (r[name] != r[name] and want != want) or abs(r[name] - want) <= 1e-12 * abs(want), (k, name, r[name], want)
+
+
+def test_summaries_without_a_limit(spark):
+    """Runs of any length: the plan does not grow with them, and turns after the final one do not count."""
+    long = [(1, i, i / 100, "assistant", f"a{i}", CALL if i != 900 else [], 1, None) for i in range(1, 1_201)]
+    rows = [*long, *[(2, i, i / 100, "assistant", "", CALL, 2, None) for i in range(1, 401)], (3, 0, 0, "user", "q", None, 9, None)]
+    rows += [(4, 1, 5, "assistant", "one", None, 7, None), (4, 1, 6, "tool", "x", None, 100, None), (4, 2, 7, "assistant", "two", None, 7, None)]
+    got = {r["run_id"]: (r["answer"], r["steps"], r["tokens"], r["latency"]) for r in A.summarize_runs(transcript(spark, rows), None).collect()}
+    assert got == {1: ("a900", 900, 900, 8.99), 2: ("(empty)", 400, 800, 3.99), 3: ("(empty)", 0, 0, 0.0), 4: ("one", 1, 7, 0.0)}
+
+
+def test_one_envelope_per_model_and_framework(spark):
+    df = spark.sql(
+        "SELECT id AS run_id, concat('m', id % 2) AS model, IF(id % 3 = 0, 'a', 'b') AS framework, id % 5 = 0 AS passed, id * 0.5D AS latency, "
+        "IF(id % 4 = 0, NULL, id) AS tokens, timestamp_seconds(1700000000 - id) AS ended FROM range(60)"
+    )
+    whole = {(r["model"], r["framework"]): r for r in A.framework_envelopes(df).collect()}
+    assert len(whole) == 4 and all(r["part"] == 0 for r in whole.values())
+    parts = sorted(A.framework_envelopes(df, 4).collect(), key=lambda r: r["part"])
+    for key, r in whole.items():
+        runs = [x["tags"]["run_id"] for x in r["results"] if x["metric"] == "score"]
+        assert [int(x) for x in runs] == sorted((i for i in range(60) if (f"m{i % 2}", "b" if i % 3 else "a") == key), reverse=True)
+        cut = [p for p in parts if (p["model"], p["framework"]) == key]
+        assert [p["part"] for p in cut] == list(range(-(-len(runs) // 4)))
+        assert [x for p in cut for x in p["results"]] == r["results"]
+        assert all(sum(x["metric"] == "score" for x in p["results"]) <= 4 for p in cut)

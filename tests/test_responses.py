@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from evalspark.functions import responses as R
@@ -125,3 +126,19 @@ def test_too_few_samples_give_no_score(spark):
     assert got.first()["pass_at_1"] == 0.75 and got.first()["pass_at_2"] is None
     rows = scoring.scores_to_results(got, "task", [1, 2]).collect()
     assert [tuple(r) for r in rows] == [("t", "pass@1,none", 0.75)]
+
+
+def test_one_row_for_each_response(spark):
+    responses = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (9, "e"), (None, "f")], "doc_id int, response string")
+    docs = spark.createDataFrame([(1, "p1"), (2, "p2"), (2, "p2"), (3, "p3"), (4, "p4")], "doc_id int, prompt string")
+    paired, rejects = P.pair_or_reject(responses, docs)
+    assert sorted((r["response"], r["prompt"]) for r in paired.collect()) == [("a", "p1"), ("b", "p1"), ("d", "p3")]
+    assert sorted((r["response"], r["side"]) for r in rejects.collect()) == [("c", P.DOC_REPEATED), ("e", P.RESPONSE_ALONE), ("f", P.RESPONSE_ALONE)]
+    found = {(r["doc_id"], r["n_responses"], r["n_docs"], r["side"]) for r in P.parity(responses, docs).collect()}
+    assert found == {(None, 1, 0, P.NO_KEY), (2, 1, 2, P.DOC_REPEATED), (4, 0, 1, P.DOC_ALONE), (9, 1, 0, P.RESPONSE_ALONE)}
+    one = {(r["doc_id"], r["side"]) for r in P.parity(responses, docs, per_doc=1).collect()}
+    assert one == {(None, P.NO_KEY), (1, P.TOO_MANY), (2, P.DOC_REPEATED), (4, P.DOC_ALONE), (9, P.RESPONSE_ALONE)}
+    assert {r["side"] for r in P.parity(responses.where("doc_id = 3"), docs.where("doc_id = 3"), per_doc=2).collect()} == {P.TOO_FEW}
+    with pytest.raises(PySparkException, match="listed more than once: 2"):
+        P.pair_all(responses.where("doc_id = 2"), docs.where("doc_id = 2")).collect()
+    assert P.pair_all(responses.where("doc_id IN (1, 3)"), docs.where("doc_id IN (1, 3)")).count() == 3
