@@ -6,13 +6,14 @@ pass through.
 
 Each stage keeps what it has no reason to remove: texts without a letter go (language ID), one document of each group of
 near duplicates stays (SimHash), documents that hold a window of a benchmark go (decontamination). Mixing puts the rows
-in the order of the mixed sequence. Sharding adds their virtual slot and shard and returns them shard by shard, within a
-shard in the mixed order, which it finds again: files that are read do not keep their order. Neither removes rows. An
-empty table passes all stages.
+in the order of the mixed sequence, which its files keep: they are numbered, and so are the rows in them. Sharding adds
+virtual slot and shard and returns the rows shard by shard, within a shard in the order of the files it reads; Spark deals
+files to tasks in another order, so it goes by these numbers. Neither removes rows. An empty table passes all stages.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -55,22 +56,32 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(found, _KEY, "left_anti").select(*docs.columns)
 
 
-def _with_place(docs: DataFrame) -> DataFrame:
-    """``docs`` with __place, the place in the mixed sequence: it depends on the rows only. Repeated rows share the first."""
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order in which the sources are mixed; repeated rows stand together."""
     rows = _keyed(docs)
     places = mixing.schedule(rows, keep=(_KEY,)).groupBy(_KEY).agg(F.min("place").alias("__place"))
-    return rows.join(places, _KEY).drop(_KEY)
+    return rows.join(places, _KEY).orderBy("__place").select(*docs.columns)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order in which the sources are mixed; repeated rows stand together."""
-    return _with_place(docs).orderBy("__place").select(*docs.columns)
+def _as_filed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with the columns that say where a row stands: file, and row of the file. Rows that come from no files stand
+    as they are dealt."""
+    try:
+        filed = docs.withColumns({"__file": F.col("_metadata.file_name"), "__row": F.col("_metadata.row_index")})
+    except AnalysisException:
+        return docs.withColumn("__row", F.monotonically_increasing_id()), ["__row"]
+    # part-00012-...-c003: partition of the writer, and file of the partition.
+    numbers = {"__part": r"part-(\d+)", "__chunk": r"-c(\d+)\."}
+    found = {c: F.coalesce(F.regexp_extract("__file", p, 1).try_cast("int"), F.lit(0)) for c, p in numbers.items()}
+    return filed.withColumns(found), ["__part", "__chunk", "__file", "__row"]
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their virtual slot (vslot) and shard, by shard and within it in the mixed order."""
-    placed = sharding.place(docs, N_SHARDS, new_shared_path(spark, "slot-map")).drop("rebalanced_shard")
-    return _with_place(placed).orderBy("shard", "__place").select(*placed.columns)
+    filed, order = _as_filed(docs)
+    placed = sharding.place(filed, N_SHARDS, new_shared_path(spark, "slot-map")).drop("rebalanced_shard")
+    columns = [c for c in docs.columns if c not in ("vslot", "shard")]
+    return placed.orderBy("shard", *order).select(*columns, "vslot", "shard")
 
 
 STAGES = [
