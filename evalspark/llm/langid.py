@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: The sample that is learned from: labelled rows of each language, on average; and languages at most.
+#: The sample that is learned from: labelled rows of each language, on average.
 ROWS_PER_LANG = 2_000
-MAX_LANGS = 256
 #: Words of the model in all; a language has its share.
 MODEL_WORDS = 400_000
-#: Numbers that these words may have, one for each language; with many languages this is the bound.
+#: Numbers in the model, one for each language of each word and n-gram: words have half of them at most, n-grams what is
+#: left, the shorter before the longer and the frequent before the rare. With many languages this is the bound.
 MODEL_CELLS = 20_000_000
 LEAST_COUNT = 2
 GRAMS = (5, 4, 3, 2, 1)
@@ -45,7 +45,7 @@ def words_of(text: str) -> Iterator[list[str]]:
 
 @dataclass
 class Model:
-    """Log frequencies by language for words and n-grams. Bounded by ``MODEL_WORDS``, whatever was learned from."""
+    """Log frequencies by language for words and n-grams. Bounded by ``MODEL_CELLS`` numbers, whatever was learned from."""
 
     langs: list[str]
     words: dict[str, int] = field(default_factory=dict)
@@ -54,20 +54,20 @@ class Model:
     _known: dict[str, list[int]] = field(default_factory=dict, repr=False)
 
     @classmethod
-    def fit(cls, counts: Iterable[tuple[str, str, int]], langs: list[str]) -> Model:
-        """``counts``: (language, word, occurrences), each pair of language and word once. They are read as they come; what
-        is held is a number for each language of each word and n-gram."""
+    def fit(cls, counts: Iterable[tuple[str, str, int]], langs: list[str], cells: int = MODEL_CELLS) -> Model:
+        """``counts``: (language, word, occurrences), each pair of language and word once. They are read as they come and
+        noted as three numbers for each word and each of its n-grams; the table of all languages has ``cells`` numbers
+        at most."""
         langs = sorted(langs)
         of = {lang: i for i, lang in enumerate(langs)}
         model, width = cls(langs), len(langs)
-        zeros, seen = array("d", bytes(8 * width)), {}
+        seen: dict[int, tuple[dict[str, int], array, array, array]] = {}
 
         def add(kind: int, name: str, lang: int, n: int) -> None:
-            names, cells = seen.setdefault(kind, ({}, array("d")))
-            if (row := names.get(name)) is None:
-                row = names[name] = len(names)
-                cells.extend(zeros)
-            cells[row * width + lang] += n
+            names, rows, lang_of, times = seen.setdefault(kind, ({}, array("l"), array("l"), array("d")))
+            rows.append(names.setdefault(name, len(names)))
+            lang_of.append(lang)
+            times.append(n)
 
         for lang, word, n in counts:
             add(0, word, of[lang], n)
@@ -75,13 +75,23 @@ class Model:
                 for gram in set(cls._cut(word, size)):
                     add(size, gram, of[lang], n)
         tables, first = [np.zeros((0, width))], 0
-        for kind, (names, cells) in sorted(seen.items()):
-            found = np.array(cells).reshape(-1, width)
-            kept = np.flatnonzero(found.sum(axis=1) >= (LEAST_COUNT if kind == 0 else 0))
-            at = {int(row): first + i for i, row in enumerate(kept)}
+        left = cells // max(1, width)
+        for kind in sorted(seen):
+            names, rows, lang_of, times = seen.pop(kind)
+            row, lang, n = np.frombuffer(rows, dtype=np.int64), np.frombuffer(lang_of, dtype=np.int64), np.frombuffer(times)
+            total = np.bincount(row, weights=n, minlength=len(names))
+            kept = np.flatnonzero(total >= (LEAST_COUNT if kind == 0 else 0))
+            room = left // 2 if kind == 0 else left
+            if len(kept) > room:  # the most frequent, the first of equal ones
+                kept = np.sort(kept[np.argsort(-total[kept], kind="stable")[:room]])
+            left -= len(kept)
+            at = np.full(len(names), -1)
+            at[kept] = np.arange(len(kept))
+            found = np.zeros((len(kept), width))
+            use = at[row] >= 0
+            np.add.at(found, (at[row[use]], lang[use]), n[use])
             into = model.words if kind == 0 else model.grams
-            into.update((name, at[row]) for name, row in names.items() if row in at)
-            found = found[kept]
+            into.update((name, first + int(at[i])) for name, i in names.items() if at[i] >= 0)
             tables.append(np.log(found + SMOOTHING) - np.log(found.sum(axis=0) + SMOOTHING * max(1, len(kept))))
             first += len(kept)
         model.table = np.concatenate(tables)
@@ -146,26 +156,29 @@ def learn(
     text: str = "text",
     lang: str = "lang",
     rows_per_lang: int = ROWS_PER_LANG,
-    max_langs: int = MAX_LANGS,
+    max_langs: int | None = None,
     model_words: int = MODEL_WORDS,
+    model_cells: int = MODEL_CELLS,
 ) -> Model:
     """A model from a bounded sample of the labelled rows: of each language the rows whose hash of key and text is in the
-    share of all hashes that holds ``rows_per_lang`` rows (give or take chance; all rows of a smaller language), of the
-    ``max_langs`` languages with most rows. Nothing is ranked: only counts by language meet in one task. Rows without a language or a text teach nothing; without labelled rows the model has no language. Whole
-    texts are counted, in Spark; what reaches the driver is the most frequent words, ``model_words`` in all, of
-    ``MODEL_CELLS`` numbers at most.
+    share of all hashes that holds ``rows_per_lang`` rows (give or take chance; all rows of a smaller language). All
+    languages are learned, or the ``max_langs`` with most rows if that is given. Nothing is ranked: only counts by
+    language meet in one task. Rows without a language or a text teach nothing; without labelled rows the model has no
+    language. Whole texts are counted, in Spark; what reaches the driver is the languages and the most frequent words,
+    ``model_words`` in all, and the model is ``model_cells`` numbers at most: with more languages it has fewer words and n-grams of each.
     """
     rows = docs.filter(F.col(lang).isNotNull()).select(F.xxhash64(F.col(key), F.col(text)).alias("h"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    sizes = (sizes if max_langs is None else sizes.limit(max_langs)).collect()
     langs = [r.lang for r in sizes]
     most = [(r.lang, min(2**63 - 1, 2**64 * rows_per_lang // r.n - 2**63)) for r in sizes]
-    bound = F.broadcast(rows.sparkSession.createDataFrame(most, "lang string, most long"))  # at most max_langs rows
+    bound = F.broadcast(rows.sparkSession.createDataFrame(most, "lang string, most long"))  # a row for each language
     sample = rows.join(bound, "lang").filter(F.col("h") <= F.col("most")).select("lang", "text")
     counts = sample.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    words = min(model_words, MODEL_CELLS // max(1, len(langs)))
+    words = min(model_words, model_cells // (2 * max(1, len(langs))))
     share = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = counts.withColumn("r", F.row_number().over(share)).filter(F.col("r") <= max(1, words // max(1, len(langs))))
-    return Model.fit(map(tuple, top.select("lang", "word", "n").toLocalIterator()), langs)
+    return Model.fit(map(tuple, top.select("lang", "word", "n").toLocalIterator()), langs, model_cells)
 
 
 def predict(
