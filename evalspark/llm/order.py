@@ -47,3 +47,25 @@ def row_key(*columns: str) -> F.Column:
         text = F.col(c).cast(T.StringType())
         parts += [F.coalesce(F.length(text).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(text, F.lit(""))]
     return F.unhex(F.md5(F.concat(*parts)))
+
+
+#: Keys with more than one in so many of all rows are told to all tasks: there are at most this many.
+HOT_KEYS = 1_000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """``rows`` left-joined with ``table`` on ``key``; ``table`` has one row per key and in ``n`` how many rows have it.
+
+    The few keys with very many rows are broadcast, and their rows are dealt evenly over the join of the others, so that
+    no task gets them all. ``table`` is read several times: store it before.
+    """
+    total = table.agg(F.sum(n)).first()[0] or 0
+    columns = [c for c in table.columns if c not in (key, n)]
+    is_hot = F.col(n) * HOT_KEYS > total
+    hot = table.where(is_hot).select(key, F.lit(True).alias("__hot"), *[F.col(c).alias(f"__hot_{c}") for c in columns])
+    rest = table.where(~is_hot).select(key, F.lit(0).cast("long").alias("__salt"), *columns)
+    met = rows.join(F.broadcast(hot), key, "left")  # at most HOT_KEYS rows
+    met = met.withColumn("__salt", F.when(F.col("__hot"), 1 + F.monotonically_increasing_id()).otherwise(0))
+    met = met.join(rest, [key, "__salt"], "left")
+    found = {c: F.when(F.col("__hot"), F.col(f"__hot_{c}")).otherwise(F.col(c)) for c in columns}
+    return met.withColumns(found).select(*rows.columns, *columns)

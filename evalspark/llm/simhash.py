@@ -5,9 +5,10 @@ two fingerprints that differ in r bits have distances to each reference that dif
 greatest difference of coordinates exceeds r is discarded unseen; what is left is verified bit by bit.
 
 Alone, distances to references cannot spare looking at all pairs of 64-bit fingerprints (a reference keeps 57 % of random
-pairs at r = 4), so pairs meet first in buckets: of ``BLOCKS`` blocks of bits at most r are touched by r differing bits,
-hence a pair agrees on ``BLOCKS - r`` of them, and each choice of that many blocks is one key. Tables of coordinates
-are compared within buckets.
+pairs at r = 4), so pairs meet first in buckets: of b blocks of bits at most r are touched by r differing bits, hence a
+pair agrees on b - r of them, and each choice of that many blocks is one key. More blocks make longer keys, and so
+smaller buckets, but more of them for each fingerprint: their number follows the number of distinct fingerprints.
+Tables of coordinates are compared within buckets.
 """
 
 from __future__ import annotations
@@ -22,14 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalspark.llm.components import components
-from evalspark.llm.order import stored
+from evalspark.llm.order import looked_up, stored
 from evalspark.llm.words import mix
 
 RADIUS = 4
 SHINGLE = 4
 SEED = 42
 PIVOTS = 16
-BLOCKS = 6
+#: Distinct fingerprints that a bucket holds by chance, at most; see blocks_for.
+CHANCE = 16
 #: Fingerprints that one bucket compares in one go; a larger bucket is split and its parts are compared pair by pair.
 BUCKET = 2048
 
@@ -83,7 +85,16 @@ def distances(prints: np.ndarray, references: np.ndarray) -> np.ndarray:
     return np.bitwise_count(prints[None, :] ^ references[:, None]).astype(np.int8)
 
 
-def block_keys(fp: Column, radius: int = RADIUS, blocks: int = BLOCKS) -> Column:
+def blocks_for(n: int, radius: int = RADIUS) -> int:
+    """The fewest blocks with which ``n`` random fingerprints put no more than ``CHANCE`` into a bucket: 6 for up to 33
+    million, 7 for up to 2 billion, 8 for up to 69 billion."""
+    blocks = radius + 2
+    while blocks < 64 and n > CHANCE << 64 * (blocks - radius) // blocks:
+        blocks += 1
+    return blocks
+
+
+def block_keys(fp: Column, radius: int, blocks: int) -> Column:
     """array<long>: one key for each choice of ``blocks - radius`` blocks of bits, with which choice it is."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     parts = [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
@@ -181,14 +192,16 @@ def _links(radius: int, n_pivots: int, limit: int | None):
     return run
 
 
-def links(prints: DataFrame, *, radius: int = RADIUS, n_pivots: int = PIVOTS, blocks: int = BLOCKS, bucket: int = BUCKET) -> DataFrame:
+def links(prints: DataFrame, *, radius: int = RADIUS, n_pivots: int = PIVOTS, blocks: int | None = None, bucket: int = BUCKET) -> DataFrame:
     """(a, b): links between distinct fingerprints (column fp) that connect all that differ in ``radius`` bits at most.
 
     In a bucket of many close fingerprints the links are a spanning forest, not all pairs: nothing that is linked falls
     apart. Buckets above ``bucket`` come back from the first pass and are dealt as pairs of parts, so that none is held
-    by one task.
+    by one task. Without ``blocks`` their number is that for the number of fingerprints.
     """
     nodes = prints.select("fp").distinct()
+    if blocks is None:
+        blocks = blocks_for(nodes.count(), radius)
     keyed = nodes.select(F.explode(block_keys(F.col("fp"), radius, blocks)).alias("bucket"), "fp")
     keyed = keyed.repartition("bucket").sortWithinPartitions("bucket")
     first = stored(keyed.mapInArrow(_links(radius, n_pivots, bucket), _EDGE), "links")
@@ -216,16 +229,17 @@ def near_duplicates(docs: DataFrame, *, keep: tuple[str, ...] = (), doc_id: str
     renamed = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(columns)], F.col(text).alias("__body"))
     keys = [f"__k{i}" for i in range(len(columns))]
     prints = stored(with_fingerprints(renamed, keys, "__body"), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("__k0").alias("__least"))
-    roots = components(links(prints, radius=shingle_radius))
+    nodes = stored(prints.groupBy("fp").agg(F.min("__k0").alias("__least"), F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
+    roots = components(links(nodes, radius=shingle_radius))
     linked = nodes.join(roots, nodes.fp == roots.node)
     least = linked.groupBy("root").agg(F.min("__least").alias("component_id"))
     known = linked.join(least, "root").select(F.col("node").alias("fp"), "root", "component_id")
     alone = F.col("root").isNull()
     of = nodes.join(known, "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("component"), F.when(alone, F.col("__least")).otherwise(F.col("component_id")).alias("component_id")
+        "fp", "n", F.coalesce("root", "fp").alias("component"), F.when(alone, F.col("__least")).otherwise(F.col("component_id")).alias("component_id")
     )
-    return prints.join(of, "fp").select(*[F.col(k).alias(c) for k, c in zip(keys, columns, strict=True)], "fp", "component", "component_id")
+    # A fingerprint that very many documents share, the empty text's say, must not bring them all into one task.
+    return looked_up(prints, stored(of, "components"), "fp").select(*[F.col(k).alias(c) for k, c in zip(keys, columns, strict=True)], "fp", "component", "component_id")
 
 
 def digits(fp: Column) -> Column:
