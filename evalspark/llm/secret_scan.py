@@ -16,8 +16,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evalspark.llm.order import stored
+
 _FINDING = "struct<rule: string, kind: string, start: int, end: int>"
-LEDGER = f"blob string, rules array<string>, findings array<{_FINDING}>"
+ROW = f"blob string, rules array<string>, findings array<{_FINDING}>"
+#: The ledger is filed by the first digits of the digest, so that a small run opens a few of its 256 parts.
+PREFIX_DIGITS = 2
+LEDGER = f"{ROW}, prefix string"
 
 
 @dataclass(frozen=True)
@@ -79,9 +84,15 @@ def _scan(rules: tuple[Rule, ...]):
     return run
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+def read_ledger(spark: SparkSession, path: str, blobs: DataFrame | None = None) -> DataFrame | None:
+    """The ledger, or what it has of some ``blobs`` (blob, without repeats): only their parts are opened, and rows of other
+    blobs are left out before anything is put together."""
     try:
-        return spark.read.schema(LEDGER).parquet(path)
+        rows = spark.read.schema(LEDGER).parquet(path)
+        if blobs is None:
+            return rows
+        parts = [r[0] for r in blobs.select(F.left("blob", F.lit(PREFIX_DIGITS))).distinct().collect()]  # at most 256
+        return rows.filter(F.col("prefix").isin(parts)).join(blobs, "blob", "left_semi")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -95,7 +106,8 @@ def scan(versions: DataFrame, ledger: str, *, keep: tuple[str, ...] = ("doc_id",
     Only blobs that some rule has not seen are scanned; what was found is added to ``ledger`` (Parquet) before the
     result is made. A null text is an empty one. Copies share a blob and its findings; repeated rows are rows of the
     result each. An empty table adds nothing and gives no rows. Other columns are ignored. A run that is broken off
-    leaves the ledger as it was or with all its blobs; two runs at once may scan a blob twice, which changes nothing.
+    leaves the ledger as it was or with all its blobs; two runs at once may scan a blob twice, which changes nothing. A run
+    over few versions costs what they cost, and the parts of the ledger that their blobs are filed in.
     """
     spark = versions.sparkSession
     names = [r.id for r in rules]
@@ -104,18 +116,22 @@ def scan(versions: DataFrame, ledger: str, *, keep: tuple[str, ...] = ("doc_id",
     rows = rows.withColumn("blob", blob_of())
     todo = F.array(*[F.lit(n) for n in names])
     past = read_ledger(spark, ledger)
+    if past is not None:
+        blobs = stored(rows.select("blob").distinct(), "blobs")
+        past = read_ledger(spark, ledger, blobs)
     if past is None:
         unseen = rows.select("blob", "text").dropDuplicates(["blob"]).withColumn("rules", todo)
     else:
         seen = past.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("rules"))).alias("seen"))
-        open_ = rows.select("blob").distinct().join(seen, "blob", "left")
+        open_ = blobs.join(seen, "blob", "left")
         left = F.when(F.col("seen").isNull(), todo).otherwise(F.array_except(todo, F.col("seen")))
         open_ = open_.select("blob", left.alias("rules")).filter(F.size("rules") > 0)
         # Texts are joined after copies are gone; few open blobs become a broadcast at run time.
         unseen = rows.select("blob", "text").join(open_.select("blob"), "blob", "left_semi").dropDuplicates(["blob"]).join(open_, "blob")
-    unseen.select("blob", "text", "rules").mapInArrow(_scan(rules), LEDGER).write.mode("append").parquet(ledger)
+    found = unseen.select("blob", "text", "rules").mapInArrow(_scan(rules), ROW).withColumn("prefix", F.left("blob", F.lit(PREFIX_DIGITS)))
+    found.hint("rebalance", F.col("prefix")).write.mode("append").partitionBy("prefix").parquet(ledger)
 
-    known = spark.read.schema(LEDGER).parquet(ledger).filter(F.size("findings") > 0).select("blob", F.explode("findings").alias("f"))
+    known = read_ledger(spark, ledger, None if past is None else blobs).filter(F.size("findings") > 0).select("blob", F.explode("findings").alias("f"))
     order = F.array_position(F.lit(names), F.col("f.rule"))
     known = known.withColumn("at", order).filter(F.col("at") > 0)
     found = F.sort_array(F.collect_set(F.struct(F.col("f.start").alias("start"), F.col("at").alias("at"), F.col("f.end").alias("end"), F.col("f.kind").alias("kind"))))
