@@ -4,7 +4,8 @@ A source with weight w must have had w * t blocks, give or take less than one, a
 therefore released at floor((j - 1) / w) and due at ceil(j / w), and in every slot the released block with the earliest
 deadline runs. Weights are whole numbers of a common denominator, so releases and deadlines are exact however many
 blocks there are: no error grows with the number of slots. The blocks that exist are laid out one after another in one
-task, which holds a few numbers for each source and writes a row for each block (``block_rows`` rows of the data).
+task, which holds a few numbers for each source and writes a row for each block. There are never more than about
+``MOST_BLOCKS`` blocks and one for each source: a larger table has larger blocks.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from evalspark.llm.order import numbered, stored
 
 PERIOD = 10_000
 BLOCK_ROWS = 8
+#: Blocks that one task lays out, one after another: where BLOCK_ROWS rows a block would make more, blocks are larger.
+MOST_BLOCKS = 4_000_000
 ALPHA = 0.5
 #: Up to so many sources their table is sent to all tasks; beyond, it is joined by shuffle.
 BROADCAST_SOURCES = 10_000
@@ -83,28 +86,10 @@ def layout(whole: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str,
             heapq.heappush(waiting, (release[i], i))
 
 
-def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Weights as whole parts of the period: at least one each, largest remainders first, names at ties."""
-    if not weights:
-        return {}
-    if len(weights) > period:
-        raise ValueError(f"{len(weights)} sources do not fit a period of {period} slots")
-    if any(w < 0 for w in weights.values()):
-        raise ValueError("weights must not be negative")
-    total = sum(map(Fraction, weights.values())) or Fraction(1)
-    spare = period - len(weights)
-    exact = {s: Fraction(w) / total * spare for s, w in weights.items()}
-    whole = {s: 1 + int(x) for s, x in exact.items()}
-    left = period - sum(whole.values())
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[:left]:
-        whole[s] += 1
-    whole[max(whole, key=lambda s: (whole[s], s))] += period - sum(whole.values())  # all weights zero
-    return whole
-
-
-def one_period(parts: dict[str, int]) -> list[tuple[str, int, int, int, int, int]]:
-    """(source, share, n-th block from 0, release, deadline, slot) for each block of one period, by earliest deadline."""
-    return [(s, parts[s], nth, release, deadline, slot) for s, nth, release, deadline, slot in layout(parts, parts)]
+def block_rows_for(n_rows: int) -> int:
+    """Rows of a block: BLOCK_ROWS, or for tables of more rows as many as keep the blocks to MOST_BLOCKS. A source is less
+    than a block off its target, so at any size by less than about one row in MOST_BLOCKS of the table."""
+    return max(BLOCK_ROWS, -(-n_rows // MOST_BLOCKS))
 
 
 def source_key(source: str = "source") -> Column:
@@ -144,7 +129,7 @@ def schedule(
     keep: tuple[str, ...] = ("doc_id",),
     source: str = "source",
     period: int = PERIOD,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     max_sources: int | None = None,
 ) -> DataFrame:
     """One row per record: the columns ``keep`` and ``source``, block, release, deadline, slot and place.
@@ -152,7 +137,7 @@ def schedule(
     ``weights`` by source name (None for null); without them a source weighs the square root of its number of rows.
     A source that has no weight, or zero, gets the least share (one slot of ``period``, see ``whole_weights``): nothing
     is dropped. Rows of a source go into blocks of ``block_rows`` in an order given by a hash of the columns ``keep``;
-    ``block`` counts from 0. ``place`` is the row's place in the mixed sequence: rising, different for all rows, with
+    ``block`` counts from 0. Without ``block_rows`` the number of rows decides, see ``block_rows_for``. ``place`` is the row's place in the mixed sequence: rising, different for all rows, with
     holes where a source has run out; the others then keep their proportions to each other. As long as a source has
     blocks, the number it has had differs from weight * slots by less than one, after any number of slots.
 
@@ -170,6 +155,8 @@ def schedule(
     n_sources = sizes.count()
     if max_sources is not None and n_sources > max_sources:
         raise ValueError(f"more than {max_sources} sources; group them first")
+    if block_rows is None:
+        block_rows = block_rows_for(sizes.agg(F.sum("__n")).first()[0] or 0)
     heads = sizes.select("__src", "__head")
     ranked = ranked.join(F.broadcast(heads) if n_sources <= BROADCAST_SOURCES else heads, "__src")
     nth = F.col("__rank") - F.col("__head")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import heapq
+import json
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,8 @@ from pyspark.sql import types as T
 from evalspark.llm.order import numbered, row_key
 
 N_SLOTS = 4096
+#: Slots for each shard, at least, so that shards can be dealt nearly equal bytes.
+SLOTS_PER_SHARD = 64
 MAP_SCHEMA = T.StructType(
     [T.StructField(n, T.IntegerType(), False) for n in ("version", "vslot", "shard")] + [T.StructField("bytes", T.LongType(), False)]
 )
@@ -27,6 +31,11 @@ def slot_of(*columns: str, n_slots: int = N_SLOTS) -> F.Column:
     return (F.conv(F.substring(F.hex(row_key(*columns)), 1, 7), 16, 10).cast("long") % n_slots).cast("int")
 
 
+def slots_for(n_shards: int) -> int:
+    """``N_SLOTS``, or the power of two that gives each of many shards SLOTS_PER_SHARD slots."""
+    return max(N_SLOTS, 1 << (n_shards * SLOTS_PER_SHARD - 1).bit_length())
+
+
 def slot_bytes(records: DataFrame, slot: F.Column, size: F.Column) -> DataFrame:
     """(vslot, bytes): partial sums leave each task, so a hot slot costs one row per task."""
     return records.groupBy(slot.alias("vslot")).agg(F.sum(size).alias("bytes"))
@@ -50,6 +59,8 @@ class SlotMap:
     @classmethod
     def fresh(cls, sizes: dict[int, int], n_shards: int, n_slots: int = N_SLOTS) -> SlotMap:
         """Version 1: slots by falling size, each to the shard with the least bytes so far (the lowest number at ties)."""
+        if not 1 <= n_shards <= n_slots:
+            raise ValueError(f"{n_shards} shards do not share {n_slots} slots")
         heap = [(0, s) for s in range(n_shards)]
         shard = {}
         for slot in sorted(range(n_slots), key=lambda s: (-sizes.get(s, 0), s)):
@@ -99,13 +110,35 @@ class SlotMap:
         found = rows.filter(F.col("version") == version).collect()  # one row per slot
         return cls(len(found), version, {r.vslot: r.shard for r in found}, {r.vslot: r.bytes for r in found})
 
+    @classmethod
+    def current(cls, spark: SparkSession, path: str, n_shards: int) -> SlotMap | None:
+        """The last stored version with no more than ``n_shards`` shards, or None where no map is stored."""
+        try:
+            rows = spark.read.schema(MAP_SCHEMA).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        versions = rows.groupBy("version").agg((F.max("shard") + 1).alias("n")).filter(F.col("n") <= n_shards)
+        last = versions.agg(F.max("version")).first()[0]
+        if last is None:
+            raise ValueError(f"the map stored at {path} has more than {n_shards} shards")
+        return cls.load(spark, path, last)
+
+    @staticmethod
+    def last_version(spark: SparkSession, path: str) -> int:
+        return spark.read.schema(MAP_SCHEMA).parquet(path).agg(F.max("version")).first()[0]
+
     def shard_of(self, slot: F.Column) -> F.Column:
         """The shard of a slot as a column: a lookup in an array of ``n_slots`` numbers."""
-        return F.get(F.lit([self.shard[s] for s in range(self.n_slots)]), slot)
+        of = [self.shard[s] for s in range(self.n_slots)]
+        if self.n_slots <= N_SLOTS:
+            return F.get(F.lit(of), slot)
+        return F.get(F.from_json(F.lit(json.dumps(of)), "array<int>"), slot)  # one literal, not one for each slot
 
 
 def place(
-    docs: DataFrame, n_shards: int, map_path: str, *, by: tuple[str, ...] = ("doc_id", "text"), text: str = "text", n_slots: int = N_SLOTS
+    docs: DataFrame, n_shards: int, map_path: str, *, by: tuple[str, ...] = ("doc_id", "text"), text: str = "text", n_slots: int | None = None
 ) -> DataFrame:
     """``docs`` with vslot, shard and rebalanced_shard (in place of columns of these names), without a shuffle of rows.
 
@@ -117,7 +150,7 @@ def place(
     the slots; with the id alone its records stay together, and so do copies of one record in any case: where these are
     more than a shard's share, their shard is larger than the others by that much.
     """
-    spark = docs.sparkSession
+    spark, n_slots = docs.sparkSession, n_slots or slots_for(n_shards)
     # At most one row per slot reaches the driver.
     slot = slot_of(*by, n_slots=n_slots)
     sizes = {r.vslot: r.bytes for r in slot_bytes(docs, slot, size_of(text)).collect()}
@@ -128,7 +161,28 @@ def place(
     return docs.withColumns({"vslot": slot, "shard": first.shard_of(slot), "rebalanced_shard": second.shard_of(slot)})
 
 
-def assign(docs: DataFrame, n_shards: int, map_path: str, *, key: str = "doc_id", text: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
+def place_more(docs: DataFrame, n_shards: int, map_path: str, *, by: tuple[str, ...] = ("doc_id", "text"), text: str = "text") -> DataFrame:
+    """``docs``, records that come after those of the map at ``map_path``, with vslot and shard; without a map as ``place``.
+
+    Every slot stays where the last version with no more than ``n_shards`` shards has it, so that records of before and
+    now are found alike. With more shards than that version the map is edited: the new shards take slots from the fullest.
+    The bytes of the new records are added to the slots', and the map is stored as a new version.
+    """
+    spark = docs.sparkSession
+    before = SlotMap.current(spark, map_path, n_shards)
+    if before is None:
+        return place(docs, n_shards, map_path, by=by, text=text).drop("rebalanced_shard")
+    slot = slot_of(*by, n_slots=before.n_slots)
+    sizes = dict(before.sizes)
+    for r in slot_bytes(docs, slot, size_of(text)).collect():  # at most one row per slot
+        sizes[r.vslot] = sizes.get(r.vslot, 0) + r.bytes
+    now = SlotMap(before.n_slots, SlotMap.last_version(spark, map_path), dict(before.shard), sizes)
+    now = now.grown(n_shards - 1 - max(before.shard.values()))
+    now.save(spark, map_path)
+    return docs.withColumns({"vslot": slot, "shard": now.shard_of(slot)})
+
+
+def assign(docs: DataFrame, n_shards: int, map_path: str, *, key: str = "doc_id", text: str = "text", n_slots: int | None = None) -> DataFrame:
     """One row per record: ``key`` (the id), size, text_crc32, vslot, shard, slot (0, 1, ... in each shard), rebalanced_shard.
 
     Shards as in ``place``. A null text has size 1. Repeated rows share a virtual slot and get places of their own. An

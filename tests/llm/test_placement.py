@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
+from itertools import islice
 
 import pytest
 from hypothesis import given, settings
@@ -16,15 +17,50 @@ from evalspark.llm import mixing, sharding
 @settings(max_examples=40, deadline=None)
 @given(st.dictionaries(st.text(min_size=1, max_size=4), st.floats(0, 100), min_size=1, max_size=12))
 def test_less_than_one_block_from_the_target(weights):
-    parts = mixing.shares(weights, 240)
-    assert sum(parts.values()) == 240 and min(parts.values()) >= 1
-    done = Counter()
-    for slot, (source, share, nth, release, deadline, at) in enumerate(mixing.one_period(parts)):
-        assert at == slot and share == parts[source] and nth == done[source]
-        assert release <= slot < deadline
+    blocks = dict.fromkeys(weights, 240)  # no source runs out
+    whole = mixing.whole_weights(weights, blocks, 240)
+    total, done = sum(whole.values()), Counter()
+    for slot, (source, nth, release, deadline, at) in enumerate(islice(mixing.layout(whole, blocks), 240)):
+        assert at == slot and nth == done[source] and release <= slot < deadline
         done[source] += 1
-        assert all(abs(done[s] - Fraction(p, 240) * (slot + 1)) < 1 for s, p in parts.items())
-    assert done == parts
+        assert all(abs(done[s] - Fraction(w, total) * (slot + 1)) < 1 for s, w in whole.items())
+
+
+def brute_schedule(sizes, block_rows):
+    """Of the sources' weights, the square roots of their rows: in each slot the released block that is due first."""
+    exact = {s: Fraction(float(n) ** 0.5) for s, n in sizes.items()}
+    total = sum(exact.values())
+    left = {s: -(-n // block_rows) for s, n in sizes.items()}
+    done, slot, out = Counter(), 0, {}
+    while any(done[s] < left[s] for s in sizes):
+        ready = [s for s in sizes if done[s] < left[s] and done[s] * total // exact[s] <= slot]
+        if ready:
+            first = min(ready, key=lambda s: (-(-(done[s] + 1) * total // exact[s]), s))
+            out[first, done[first]] = slot
+            done[first] += 1
+        slot += 1
+    return out
+
+
+def test_the_query_against_every_slot_looked_at(spark, sf_dir, documents):
+    import __spark_entry__ as entry
+
+    sizes = Counter("=" + r.source for r in documents.select("source").collect())
+    want = brute_schedule(sizes, mixing.BLOCK_ROWS)
+    got = {("=" + r.source, r.block): r.slot for r in entry.queries()["op5_mixing"](spark, sf_dir).collect()}
+    assert got == want
+
+
+def test_unequal_sources_against_every_slot_looked_at(frame):
+    sizes = {"a": 300, "b": 70, "c": 9, "d": 1}
+    docs = frame([(i, "x", None, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))])
+    got = {("=" + r.source, r.block): r.slot for r in mixing.schedule(docs, block_rows=2).collect()}
+    assert got == brute_schedule({"=" + s: n for s, n in sizes.items()}, 2)
+
+
+def test_large_tables_have_large_blocks():
+    assert mixing.block_rows_for(0) == mixing.block_rows_for(32_000_000) == mixing.BLOCK_ROWS
+    assert mixing.block_rows_for(40_000_000_000) == 10_000
 
 
 def test_schedule(documents, document_rows):
@@ -138,6 +174,31 @@ def test_one_id_of_many_records_is_spread(tmp_path, frame):
     assert together.select("vslot").distinct().count() == 2
 
 
+def test_more_shards_than_slots(tmp_path, documents):
+    assert sharding.slots_for(16) == 4096 and sharding.slots_for(5000) == 1 << 19
+    with pytest.raises(ValueError, match="do not share"):
+        sharding.assign(documents, 5000, str(tmp_path / "a"), n_slots=4096)
+    rows = sharding.assign(documents, 100, str(tmp_path / "b")).collect()
+    assert {r.shard for r in rows} <= set(range(100)) and len({r.shard for r in rows}) > 60
+
+
+def test_a_stored_map_goes_on(spark, tmp_path, documents):
+    path = str(tmp_path / "map")
+    first = sharding.place_more(documents.filter("doc_id < 100"), 4, path)
+    more = documents.filter("doc_id >= 100")
+    second = sharding.place_more(more, 4, path)
+    one, two = sharding.SlotMap.load(spark, path, 1), sharding.SlotMap.load(spark, path)
+    assert one.shard == two.shard and two.version == 3 and sum(two.sizes.values()) == sum(size(r.text) for r in documents.collect())
+    assert all(r.shard == one.shard[r.vslot] for r in first.collect() + second.collect())
+    third = sharding.place_more(documents, 6, path)
+    grown = sharding.SlotMap.load(spark, path)
+    assert grown.version == 4 and set(grown.shard.values()) == set(range(6))
+    assert all(grown.shard[s] in (to, 4, 5) for s, to in two.shard.items())
+    assert all(r.shard == grown.shard[r.vslot] for r in third.collect())
+    with pytest.raises(ValueError, match="more than 3 shards"):
+        sharding.place_more(documents, 3, path)
+
+
 def test_a_heavy_slot_and_growth_by_several():
     sizes = {0: 1000, **{i: 10 for i in range(1, 64)}}
     first = sharding.SlotMap.fresh(sizes, 4, 64)
