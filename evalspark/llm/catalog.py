@@ -202,7 +202,10 @@ def _words_sql(text) -> str:
     return "[" + ", ".join(f"'{w}'" for w in text) + "]"
 
 
-_NOTICES_SQL = ", ".join(f"({n.need}, '{n.label}', {_words_sql(n.words)})" for n in licenses.notices_in_order(licenses.NOTICES, {}, licenses.THRESHOLD))
+_TEMPLATES_SQL = ", ".join(
+    f"({t.need}, '{t.label}', {t.reach}, {_words_sql(t.words)}, {_words_sql(t.must)}, {_words_sql(t.never) if t.never else '[]::VARCHAR[]'})"
+    for t in licenses.in_order(licenses.TEMPLATES, {}, licenses.THRESHOLD)
+)
 _PHRASES_SQL = ", ".join(f"('{label}', {_words_sql(phrase.split())})" for phrase, label in licenses.PHRASES.items())
 
 
@@ -210,12 +213,16 @@ _PHRASES_SQL = ", ".join(f"('{label}', {_words_sql(phrase.split())})" for phrase
     "op8_license_scan",
     f"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
-    notices(need, label, x) AS (VALUES {_NOTICES_SQL}), phrases(label, x) AS (VALUES {_PHRASES_SQL}),
+    templates(need, label, m, x, must, never) AS (VALUES {_TEMPLATES_SQL}), phrases(label, x) AS (VALUES {_PHRASES_SQL}),
     places AS (
       SELECT r, label, s - 1 AS s FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS s FROM d), phrases WHERE list_slice(w, s, s + len(x) - 1) = x
     ),
-    lines AS (SELECT r, {_WORDS.format("line")} AS w FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
-    hits AS (SELECT r, label, len(list_intersect(x, w)) / len(x)::DOUBLE AS c FROM lines, notices WHERE len(list_intersect(x, w)) >= need),
+    sizes AS (SELECT DISTINCT m FROM templates),
+    windows AS (SELECT r, m, list_slice(w, k + 1, k + 2 * m) AS w FROM (SELECT r, w, m, unnest(range(0, len(w), m)) AS k FROM d, sizes)),
+    hits AS (
+      SELECT r, label, len(list_intersect(x, w)) / len(x)::DOUBLE AS c FROM windows JOIN templates USING (m)
+      WHERE list_has_all(w, must) AND NOT list_has_any(w, never) AND len(list_intersect(x, w)) >= need
+    ),
     base AS (SELECT r, count(*) AS n, min(s) AS a, max(s) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY r),
     every AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM places UNION SELECT r, label FROM hits) GROUP BY r),
     best AS (SELECT r, max(c) AS c FROM hits GROUP BY r)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import re
+import textwrap
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from evalspark.llm import licenses, pii, secret_scan
@@ -136,16 +138,52 @@ def brute_license(text):
         at = [i for i in range(len(w) - len(p) + 1) if w[i : i + len(p)] == p]
         places.append((len(at), min(at, default=None), max(at, default=None)))
     found = set()
-    lines = [x for x in ((text or "").split("\n")) if words(x)]
-    for n, line in enumerate(lines):
-        for label, notice in licenses.NOTICES:
-            t = set(words(notice))
-            common = len(t & set(words(line)))
-            if common >= max(1, math.ceil(0.8 * len(t) - 1e-9)):
-                found.add((n, label, common / len(t)))
+    for t in licenses.TEMPLATES:
+        own = words(t.text)
+        m = 8
+        while m < 1.25 * len(own):
+            m *= 2
+        for k in range(0, len(w), m):
+            block = set(w[k : k + 2 * m])
+            common = len(block & set(own))
+            if common >= math.ceil(0.8 * len(set(own)) - 1e-9) and block >= set(t.must) and not block & set(t.never):
+                found.add((k, t.label, common / len(set(own))))
     return len(w), places, sorted(found)
 
 
+def wrapped(text, columns=70, mark=""):
+    return "\n".join(mark + line for line in textwrap.wrap(" ".join(text.split()), columns))
+
+
+def labels_of(frame, texts):
+    rows = licenses.scan(frame([(i, t, None, None) for i, t in enumerate(texts)])).collect()
+    return [sorted({f.label for f in r.found}) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_notices_as_they_stand_in_files(frame):
+    """Wrapped at 70 columns, behind comment marks, and in the middle of prose, each has its own label and no other."""
+    prose = "some words of prose that say nothing about any of it at all and go on for a while "
+    whole = [t for t in licenses.TEMPLATES]
+    texts = [form for t in whole for form in (t.text, wrapped(t.text), wrapped(t.text, 60, "# "), prose * 9 + t.text + prose * 9)]
+    got = labels_of(frame, texts)
+    want = [[t.label] for t in whole for _ in range(4)]
+    assert got == want
+
+
+def test_words_that_tell_licenses_apart(frame):
+    cases = {
+        "This work is licensed under a Creative Commons Attribution 4.0 International License": ["cc-by"],
+        "under the terms of the GNU General Public License as published by the Free Software Foundation": ["gpl"],
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation": ["lgpl"],
+        "the book was released under a new title and the license fee was paid": [],
+        "we admit that it was released under the license of an author": [],
+        "the MIT campus": [],
+        "licensed under the Apache\nLicense, version 2.0": ["apache-2"],
+        "All rights are reserved by nobody": [],
+    }
+    assert labels_of(frame, list(cases)) == list(cases.values())
+
+
 def test_licenses(frame, document_rows):
     texts = LICENSE_TEXTS + [r[1] for r in document_rows]
     rows = licenses.scan(frame([(i, t, None, None) for i, t in enumerate(texts)], clash=True)).collect()
@@ -156,10 +194,10 @@ def test_licenses(frame, document_rows):
     assert sum(bool(r.found) for r in rows) > 5
 
 
-def test_licenses_in_passes_and_odd_rows(monkeypatch, odd, frame):
-    whole = frame([(i, t, None, None) for i, t in enumerate(LICENSE_TEXTS)])
-    want = sorted(licenses.scan(whole).collect(), key=repr)
-    monkeypatch.setattr(licenses, "passes", lambda notices, most=30, f=licenses.passes: f(notices, 30))
-    assert sorted(licenses.scan(whole).collect(), key=repr) == want
+def test_licenses_of_odd_rows(odd, frame):
     assert licenses.scan(odd).count() == 11 and licenses.scan(frame([])).count() == 0
-    assert licenses.scan(odd, notices=()).filter(F.size("found") > 0).count() == 0
+    assert licenses.scan(odd, templates=()).filter(F.size("found") > 0).count() == 0
+    assert licenses.scan(odd, phrases={}).filter(F.size("places") > 0).count() == 0
+    with pytest.raises(ValueError, match="names no word"):
+        licenses.scan(odd, templates=(licenses.Template("x", "some text", ()),))
+
