@@ -55,31 +55,30 @@ class Model:
 
     @classmethod
     def fit(cls, counts: Iterable[tuple[str, str, int]], langs: list[str], cells: int = MODEL_CELLS) -> Model:
-        """``counts``: (language, word, occurrences), each pair of language and word once. They are read as they come and
-        noted as three numbers for each word and each of its n-grams; the table of all languages has ``cells`` numbers
-        at most."""
+        """``counts``: (language, word, occurrences), each pair of language and word once. They are held as they come; n-grams
+        are noted size by size, as two numbers for each of a word's. The table of all languages has ``cells`` numbers at
+        most."""
         langs = sorted(langs)
         of = {lang: i for i, lang in enumerate(langs)}
         model, width = cls(langs), len(langs)
-        seen: dict[int, tuple[dict[str, int], array, array, array]] = {}
-
-        def add(kind: int, name: str, lang: int, n: int) -> None:
-            names, rows, lang_of, times = seen.setdefault(kind, ({}, array("l"), array("l"), array("d")))
-            rows.append(names.setdefault(name, len(names)))
-            lang_of.append(lang)
-            times.append(n)
-
+        words: list[str] = []
+        spoken, times = array("i"), array("d")
         for lang, word, n in counts:
-            add(0, word, of[lang], n)
-            for size in GRAMS:
-                for gram in set(cls._cut(word, size)):
-                    add(size, gram, of[lang], n)
+            words.append(word)
+            spoken.append(of[lang])
+            times.append(n)
+        spoken, times = np.array(spoken, dtype=np.int32), np.array(times)
         tables, first = [np.zeros((0, width))], 0
         left = cells // max(1, width)
-        for kind in sorted(seen):
-            names, rows, lang_of, times = seen.pop(kind)
-            row, lang, n = np.frombuffer(rows, dtype=np.int64), np.frombuffer(lang_of, dtype=np.int64), np.frombuffer(times)
-            total = np.bincount(row, weights=n, minlength=len(names))
+        for kind in (0, *sorted(GRAMS)) if words else ():
+            names: dict[str, int] = {}
+            rows, of_word = array("i"), array("i")
+            for i, word in enumerate(words):
+                for name in (word,) if kind == 0 else set(cls._cut(word, kind)):
+                    rows.append(names.setdefault(name, len(names)))
+                    of_word.append(i)
+            row, which = np.frombuffer(rows, dtype=np.int32), np.frombuffer(of_word, dtype=np.int32)
+            total = np.bincount(row, weights=times[which], minlength=len(names))
             kept = np.flatnonzero(total >= (LEAST_COUNT if kind == 0 else 0))
             room = left // 2 if kind == 0 else left
             if len(kept) > room:  # the most frequent, the first of equal ones
@@ -87,9 +86,9 @@ class Model:
             left -= len(kept)
             at = np.full(len(names), -1)
             at[kept] = np.arange(len(kept))
-            found = np.zeros((len(kept), width))
             use = at[row] >= 0
-            np.add.at(found, (at[row[use]], lang[use]), n[use])
+            cell = at[row[use]] * width + spoken[which[use]]
+            found = np.bincount(cell, weights=times[which[use]], minlength=len(kept) * width).reshape(len(kept), width)
             into = model.words if kind == 0 else model.grams
             into.update((name, first + int(at[i])) for name, i in names.items() if at[i] >= 0)
             tables.append(np.log(found + SMOOTHING) - np.log(found.sum(axis=0) + SMOOTHING * max(1, len(kept))))
