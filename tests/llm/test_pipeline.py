@@ -67,7 +67,7 @@ def test_queries_without_sql_run(spark, sf_dir, name):
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_queries_equal_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     df = catalog.QUERIES[name](spark, sf_dir)
     cursor = con.execute(catalog.ORACLES[name])
