@@ -3,7 +3,9 @@
 A block is a window of words, so that neither line ends nor comment marks can part it: a template of at most m words is
 looked for in windows of 2 m words at every m-th word (m is a power of two), one of which holds any m words that follow
 each other. A block contains a template when it has at least ``THRESHOLD`` of the template's distinct words, all the words
-that tell it from its kin (mit; lesser; noncommercial) and none that makes it another one.
+that tell it from its kin (mit; lesser; noncommercial), if there are such, and none that makes it another one.
+
+Only texts that have enough words for some template, and those that tell it from its kin, are cut into blocks.
 
 Words are put in one global order, rarest first by the number of blocks that have them. If block and template share o
 words, then a word of the template's first ``|template| - o + 1`` is among the block's first ``|block| - o + 1`` (of those
@@ -33,17 +35,21 @@ PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2
 
 @dataclass(frozen=True)
 class Template:
-    """A license text. ``must`` are words that a block has to have, at least one; blocks are looked for at the first, so it
-    had better be a rare one. ``never`` are words that it must not have."""
+    """A license text. ``must`` are words that a block has to have, since without them it is a notice of another license or
+    none; ``never`` are words that it must not have. They do not serve speed. No word of a ``plain`` template is so telling:
+    the threshold alone decides."""
 
     label: str
     text: str
-    must: tuple[str, ...]
+    must: tuple[str, ...] = ()
     never: tuple[str, ...] = ()
+    plain: bool = False
 
     def __post_init__(self):
-        if not self.must:
-            raise ValueError(f"the template of {self.label} names no word that a block has to have")
+        if not self.must and not self.plain:
+            raise ValueError(f"the template of {self.label} names no word that a block has to have, nor is it plain")
+        if self.must and self.plain:
+            raise ValueError(f"the template of {self.label} is plain, yet names words that a block has to have")
 
 
 # License texts and notices as they stand in files.
@@ -74,12 +80,12 @@ _CC = "This work is licensed under a Creative Commons Attribution{0} 4.0 Interna
 _RESERVED = "Copyright. All rights reserved. No part of this publication may be reproduced without permission"
 
 TEMPLATES = (
-    Template("mit", _MIT, ("sublicense",)),
-    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", ("hereby", "charge")),
-    Template("mit", "released under the MIT license", ("license", "mit")),
-    Template("isc", _ISC, ("permission", "fee")),
-    Template("bsd", _BSD, ("redistributions",)),
-    Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", ("redistribution",)),
+    Template("mit", _MIT, plain=True),
+    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", plain=True),
+    Template("mit", "released under the MIT license", ("mit",)),
+    Template("isc", _ISC, ("fee",)),
+    Template("bsd", _BSD, plain=True),
+    Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", plain=True),
     Template("apache-2", _APACHE, ("apache",)),
     Template("apache-2", "Licensed under the Apache License, Version 2.0", ("apache",)),
     Template("gpl", _GNU.format("", "3"), ("gnu",), ("lesser", "affero")),
@@ -89,7 +95,7 @@ TEMPLATES = (
     Template("agpl", _GNU.format("Affero ", "3"), ("gnu", "affero")),
     Template("agpl", _GNU_LINE.format("Affero "), ("gnu", "affero")),
     Template("mpl-2", _MPL, ("mozilla",)),
-    Template("unlicense", _UNLICENSE, ("unencumbered",)),
+    Template("unlicense", _UNLICENSE, plain=True),
     Template("cc-by", _CC.format(""), ("creative", "attribution"), ("sharealike", "noncommercial", "noderivatives")),
     Template("cc-by-sa", _CC.format("-ShareAlike"), ("sharealike",), ("noncommercial",)),
     Template("cc-by-nc", _CC.format("-NonCommercial"), ("noncommercial",), ("sharealike", "noderivatives")),
@@ -119,6 +125,11 @@ class Wanted:
     def prefix(self) -> tuple[str, ...]:
         return self.words[: len(self.words) - self.need + 1]
 
+    def is_among(self, words: Column) -> Column:
+        """Whether distinct words have those that the template needs."""
+        enough = F.size(F.array_intersect(words, F.lit(list(self.words)))) >= self.need
+        return enough & (F.size(F.array_except(F.lit(list(self.must)), words)) == 0) if self.must else enough
+
 
 def spaced(text: Column) -> Column:
     """The words of a text with one space between: A-Z in lower case, other ASCII than letters and digits as gaps."""
@@ -165,14 +176,20 @@ def phrase_places(words: Column, phrase: str) -> Column:
     return F.when(F.contains(words, F.lit(phrase)), place).otherwise(none)
 
 
-def _windows(words: Column, m: int, templates: list[Template]) -> Column:
-    """The blocks of one reach that have a word some template demands: reach, first word, and the words that matter there."""
-    vocabulary = sorted({w for t in templates for w in (*_words(t.text), *t.must, *t.never)})
-    keys = F.lit(sorted({t.must[0] for t in templates}))
+def _vocabulary(templates: list[Wanted]) -> Column:
+    return F.lit(sorted({w for t in templates for w in (*t.words, *t.must, *t.never)}))
+
+
+def _windows(words: Column, m: int, templates: list[Wanted]) -> Column:
+    """The blocks of one reach that have enough words for some template: reach, first word, and the words that matter there."""
     starts = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / m).cast("int"))
-    blocks = F.transform(starts, lambda k: F.struct((k * m).alias("at"), F.slice(words, k * m + 1, F.lit(2 * m)).alias("w")))
-    blocks = F.filter(blocks, lambda b: F.arrays_overlap(b["w"], keys))
-    return F.transform(blocks, lambda b: F.struct(F.lit(m).alias("reach"), b["at"].alias("at"), F.array_intersect(b["w"], F.lit(vocabulary)).alias("words")))
+    blocks = F.transform(
+        starts,
+        lambda k: F.struct(
+            F.lit(m).alias("reach"), (k * m).alias("at"), F.array_intersect(F.slice(words, k * m + 1, F.lit(2 * m)), _vocabulary(templates)).alias("words")
+        ),
+    )
+    return F.filter(blocks, lambda b: F.size(b["words"]) >= min(t.need for t in templates))
 
 
 _PLACES = "array<struct<n: int, first: int, last: int>>"
@@ -199,24 +216,23 @@ def scan(
     keys = [f"__k{i}" for i in range(len(keep))]
     spark = docs.sparkSession
     rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, keys, strict=True)], spaced(F.coalesce(F.col(text), F.lit(""))).alias("__words"))
-    by_reach: dict[int, list[Template]] = {}
-    for t in templates:
-        if _words(t.text):
-            by_reach.setdefault(reach(t), []).append(t)
+    by_reach: dict[int, list[Wanted]] = {}
+    for t in in_order(templates, {}, threshold):
+        by_reach.setdefault(t.reach, []).append(t)
     none = F.array().cast(_BLOCKS)
     blocks = none
     if by_reach:
-        # Most texts have none of the words that templates demand; the others are cut, once, for the sizes that are asked for.
-        rows = rows.withColumn("__line", F.concat(F.lit(" "), F.col("__words"), F.lit(" ")))
-
-        def named(group: list[Template]) -> Column:
-            return reduce(lambda a, b: a | b, [F.contains("__line", F.lit(f" {k} ")) for k in sorted({t.must[0] for t in group})])
+        # Most texts have too few words of every template; the others are cut, once, for the sizes that are asked for.
+        every = [t for group in by_reach.values() for t in group]
 
         def windows(words: Column) -> Column:
-            return F.concat(*[F.when(named(group), _windows(words, m, group)).otherwise(none) for m, group in sorted(by_reach.items())])
+            def of(seen: Column) -> Column:
+                has = {m: reduce(lambda a, b: a | b, [t.is_among(seen) for t in group]) for m, group in by_reach.items()}
+                return F.concat(*[F.when(has[m], _windows(words, m, group)).otherwise(none) for m, group in sorted(by_reach.items())])
 
-        every = [t for group in by_reach.values() for t in group]
-        blocks = F.when(named(every), let(F.split("__words", " "), windows)).otherwise(none)
+            return let(F.array_intersect(words, _vocabulary(every)), of)
+
+        blocks = let(F.split("__words", " "), windows)
     noted = stored(
         rows.select(
             *keys,

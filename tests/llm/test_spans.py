@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import textwrap
 import uuid
@@ -184,6 +185,64 @@ def test_words_that_tell_licenses_apart(frame):
     assert labels_of(frame, list(cases)) == list(cases.values())
 
 
+def without(text, word):
+    return " ".join(w for w in text.split() if word not in w.lower())
+
+
+def test_notices_that_lack_a_word(frame):
+    """A block that meets the threshold has the label, whichever words it lacks; but not without words that tell kin apart."""
+    of = {(t.label, len(words(t.text))): t.text for t in licenses.TEMPLATES}
+    text = lambda label, i: sorted((n, x) for (k, n), x in of.items() if k == label)[i][1]
+    cases = [
+        ("released under the MIT terms", ["mit"]),
+        ("this was released under the MIT licensesome", ["mit"]),
+        (without(text("mit", -1), "sublicense"), ["mit"]),
+        (without(text("mit", 1), "hereby"), ["mit"]),
+        (without(text("mit", 1), "charge"), ["mit"]),
+        (without(text("isc", 0), "permission"), ["isc"]),
+        (without(text("isc", 0), "fee"), []),
+        (without(text("bsd", 1), "redistribution"), ["bsd"]),
+        (without(text("bsd", 0), "redistribution"), ["bsd"]),
+        (without(text("unlicense", 0), "unencumbered"), ["unlicense"]),
+        ("mit dem Hund unter the license", []),
+        ("released under the license of it", []),
+    ]
+    assert labels_of(frame, [c for c, _ in cases]) == [w for _, w in cases]
+
+
+def test_demanded_words_part_kin(frame):
+    """Texts that meet a template's threshold and are no such notice: what ``must`` is for."""
+    kin = [
+        ("gpl", "This program is free software; you can redistribute it under the terms of the Eclipse Public License as published by the Eclipse Foundation"),
+        ("apache-2", "Licensed under the Educational Community License, Version 2.0"),
+        ("mpl-2", "This Source Code Form is subject to the terms of the bCDDL Public License, v. 2.0. If a copy of the bCDDL was not distributed with this file, You can obtain one at https://example.org/bCDDL/2.0/"),
+        ("isc", "that notice appear with it for " + licenses.TEMPLATES[0].text),
+        ("mit", "released under the license of the authors"),
+        ("all-rights-reserved", "No copyright: all of this publication may be reproduced, in whole or in part, without permission"),
+    ]
+    found = labels_of(frame, [text for _, text in kin])
+    for (label, text), labels in zip(kin, found, strict=True):
+        own = [set(words(t.text)) for t in licenses.TEMPLATES if t.label == label and t.must]
+        assert any(len(o & set(words(text))) >= math.ceil(0.8 * len(o) - 1e-9) for o in own), text
+        assert label not in labels, text
+
+
+def test_licenses_at_the_threshold(frame):
+    """As many words as a template needs, and one less, in any order and within prose."""
+    rng, texts = random.Random(7), ["mit", "fee mit gnu"]
+    for t in licenses.TEMPLATES:
+        own = sorted(set(words(t.text)))
+        need = math.ceil(0.8 * len(own) - 1e-9)
+        for n in (need, need, need, need - 1):
+            some = rng.sample(own, n)
+            texts += [" ".join(some), "und so " * rng.randrange(40) + " ".join(some) + " weiter mit" * rng.randrange(40)]
+    rows = licenses.scan(frame([(i, t, None, None) for i, t in enumerate(texts)])).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert [tuple(f) for f in r.found] == brute_license(texts[r.doc_id])[2], texts[r.doc_id]
+    assert {f.label for r in rows for f in r.found} == {t.label for t in licenses.TEMPLATES}
+
+
 def test_licenses(frame, document_rows):
     texts = LICENSE_TEXTS + [r[1] for r in document_rows]
     rows = licenses.scan(frame([(i, t, None, None) for i, t in enumerate(texts)], clash=True)).collect()
