@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import shutil
 
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
@@ -48,3 +49,76 @@ def test_the_key_of_a_measurement_yields_to_stated_tags(spark):
     tags = tags.when(F.col("id") == 2, empty_string_map())
     got = spark.range(4).select(measurement_tags(F.lit("k"), tags).alias("t")).collect()
     assert [r.t for r in got] == [{"lm_eval_key": "k", "a": "1"}, {"lm_eval_key": "mine"}, {"lm_eval_key": "k"}, None]
+
+
+def wide_shuffles(spark, monkeypatch, work):
+    """What ``work`` writes as rows, and how many of those writes deal rows to files by a shuffle."""
+    plans = []
+    real = ST._write
+
+    def noted(rows, path, partition_by=()):
+        plans.append((path, rows._jdf.queryExecution().optimizedPlan().toString()))
+        real(rows, path, partition_by)
+
+    monkeypatch.setattr(ST, "_write", noted)
+    work()
+    monkeypatch.setattr(ST, "_write", real)
+    return [(path, "Rebalance" in plan, "Join" in plan) for path, plan in plans]
+
+
+def numbered(spark, n, suite="reasoning"):
+    runs = envelopes(spark, *[VALID_ENVELOPE.replace("0.375", str(i + 0.5)) for i in range(n)])
+    return runs.withColumn("suite", F.lit(suite))
+
+
+def test_a_batch_of_one_suite_is_not_dealt_by_suite(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    both = numbered(spark, 3).unionByName(numbered(spark, 2, "coding"))
+    ST.start(spark, path)
+    ST.write_rows(ST.publishable_rows(both), path, "again")  # a lost driver left rows of two suites under the name
+    found = wide_shuffles(spark, monkeypatch, lambda: ST.append_new(numbered(spark, 3), path, "again"))
+    assert found and not [p for p, dealt, _ in found if dealt]
+    assert sorted(r["value"] for r in read_shards(spark, path).collect()) == [0.5, 1.5, 2.5]
+    found = wide_shuffles(spark, monkeypatch, lambda: ST.append_new(both, path))  # what is stored already is left out
+    assert sorted((r["suite"], r["value"]) for r in read_shards(spark, path).collect()) == [("coding", 0.5), ("coding", 1.5)] + [
+        ("reasoning", i + 0.5) for i in range(3)
+    ]
+    assert ST.read_keys(spark, path).count() == 5
+
+
+def test_a_merge_shuffles_no_rows_of_large_suites(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ST, "LARGE_SUITE", 3)
+    path = str(tmp_path / "store")
+    ST.append_new(numbered(spark, 4), path, "a")
+    ST.append_new(numbered(spark, 4, "coding"), path, "b")
+    ST.write_results(ST.publishable_rows(numbered(spark, 4).unionByName(numbered(spark, 1, "knowledge"))), path, "c")  # all but one are in a
+    ST.write_results(ST.publishable_rows(numbered(spark, 3, "coding")), path, "d")  # all are in b
+    found = wide_shuffles(spark, monkeypatch, lambda: ST.merge(spark, path, ["d", "c", "b", "a"], 1))
+    large = [f for f in found if "/suite=" in f[0]]
+    assert len(large) == 4 and not [f for f in large if f[1]]
+    stored = read_shards(spark, path)
+    assert sorted((r["suite"], r["value"]) for r in stored.collect()) == [("coding", i + 0.5) for i in range(4)] + [("knowledge", 0.5)] + [
+        ("reasoning", i + 0.5) for i in range(4)
+    ]
+    keys = ST.read_keys(spark, path)
+    assert keys.count() == 9 and keys.agg(F.sum("n_rows")).first()[0] == 9 and keys.join(stored, ["content_sha", "shard_key", "suite"]).count() == 9
+    assert not [f for f in stored.inputFiles() if "merged-" not in f]
+
+
+def test_a_merge_of_parts_that_share_nothing_joins_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    for name in ("reasoning", "coding"):
+        ST.append_new(numbered(spark, 2, name), path, name)
+    found = wide_shuffles(spark, monkeypatch, lambda: ST.merge(spark, path, ["coding", "reasoning"], 1))
+    assert not [f for f in found if f[2]]
+    assert sorted(r["value"] for r in read_shards(spark, path).collect()) == [0.5, 0.5, 1.5, 1.5]
+
+
+def test_a_merge_keeps_rows_whose_keys_are_gone(spark, tmp_path):
+    path = str(tmp_path / "store")
+    ST.append_new(numbered(spark, 2), path, "a")
+    ST.write_results(ST.publishable_rows(numbered(spark, 4)), path, "b")
+    shutil.rmtree(path + "_keys/batch_id=b")
+    ST.merge(spark, path, ["a", "b"], 1)
+    assert sorted(r["value"] for r in read_shards(spark, path).collect()) == [0.5, 1.5, 2.5, 3.5]
+    assert ST.read_keys(spark, path).count() == 4
